@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, packing, shard, simhash
+from . import chat, decontam, langid, packing, pii, secretscan, shard, simhash, topk, toxicity
 from .common import literal_rows, table
 
 CONTROL_TURN = "<|im_end|><|im_start|>assistant ok"
@@ -31,11 +31,47 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of all documents, plain and disguised."""
+    return pii.find_pii(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans"
+    )
+
+
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents, learned from those that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.fit(docs))
+
+
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 largest integer inner products of every twentieth vector."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of all documents: known patterns and random strings."""
+    return secretscan.find_secrets(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans"
+    )
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that repeat benchmark passages."""
+    return decontam.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents on 16 shards whose row counts are at most one apart."""
     return shard.shard_documents(table(spark, sf_dir, "documents"), shards=16)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected toxicity severity of all documents."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as sequences in 8 length buckets and token-budget batches."""
     return packing.pack_documents(table(spark, sf_dir, "documents"))
@@ -49,7 +85,13 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
+    "op2_pii": op2_pii,
+    "op3_language": op3_language,
+    "op4_topk": op4_topk,
+    "op5_secrets": op5_secrets,
+    "op6_decontamination": op6_decontamination,
     "op7_sharding": op7_sharding,
+    "op8_toxicity": op8_toxicity,
     "op9_packing": op9_packing,
     "op10_simhash": op10_simhash,
 }
@@ -73,4 +115,17 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_chat_format": OP1_SQL}
+OP4_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_chat_format": OP1_SQL, "op4_topk": OP4_SQL}
