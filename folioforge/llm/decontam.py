@@ -14,8 +14,10 @@ from .common import map_batches, rewrite_rows, texts_of
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15 | 1)
 _FILTER_BITS = 22
-_CHUNK = 1 << 21
+_CHUNK = 1 << 18
 _START_BITS = 20
+#: Alignments whose tables advance together.
+_TOGETHER = 512
 
 
 def _fold_table() -> np.ndarray:
@@ -34,21 +36,32 @@ _FOLD = _fold_table()
 
 def folded(text: str) -> np.ndarray:
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    if not len(codes) or int(codes.max()) < 0x10000:
+        return _FOLD[codes]
     low = codes < 0x10000
     return np.where(low, _FOLD[np.where(low, codes, 0)], codes)
 
 
 def gram_hashes(codes: np.ndarray, q: int) -> np.ndarray:
-    """A 64-bit hash of the q characters from each position on."""
+    """A 64-bit hash of the q characters from each position on, put together from hashes of 1, 2, 4, ... characters."""
     n = len(codes) - q + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    wide = codes.astype(np.uint64)
-    h = np.zeros(n, np.uint64)
-    for i in range(q):
-        h = (h + wide[i : i + n]) * _MULTIPLIER
-        h ^= h >> np.uint64(29)
-    return h
+    span, part = 1, codes.astype(np.uint64)
+    part *= _MULTIPLIER
+    whole, done = None, 0
+    while True:
+        if q & span:
+            piece = part[done : done + n]
+            whole = piece.copy() if whole is None else whole * _MULTIPLIER + piece
+            done += span
+        span *= 2
+        if span > q:
+            break
+        part = part[: len(part) - span // 2] * _MULTIPLIER + part[span // 2 :]
+        part ^= part >> np.uint64(31)
+    whole *= _MULTIPLIER
+    return whole
 
 
 @dataclass(frozen=True)
@@ -62,30 +75,53 @@ class Region:
     edits: int
 
 
-def banded_alignment(pattern: np.ndarray, text: np.ndarray, origin: int, width: int) -> tuple[int, int, int]:
-    """Least edits of the pattern against any stretch of the text on diagonals ``origin .. origin + width - 1``.
+def _equal_stretch(pattern: np.ndarray, text: np.ndarray, origin: int, width: int) -> int:
+    """The first place on the band's diagonals where the text equals the pattern, or -1: an alignment without edits."""
+    lo = max(origin, 0)
+    stretch, key = text[lo : origin + width - 1 + len(pattern)].tobytes(), pattern.tobytes()
+    at = stretch.find(key)
+    while at >= 0 and at % 4:
+        at = stretch.find(key, at + 1)
+    return lo + at // 4 if at >= 0 else -1
+
 
-    Returns ``(edits, start, end)``; of equal edits the earliest end, then the earliest start. Positions outside the text
-    match nothing. One row per pattern character; insertions along a row are a running minimum.
+def banded_alignments(
+    patterns: Sequence[np.ndarray], texts: Sequence[np.ndarray], origins: Sequence[int], width: int
+) -> list[tuple[int, int, int]]:
+    """Least edits of each pattern against any stretch of its text on diagonals ``origin .. origin + width - 1``.
+
+    Patterns have one length. Returns ``(edits, start, end)`` each; of equal edits the earliest end, then the earliest start.
+    Positions outside a text match nothing. All tables advance together, one row per pattern character; insertions along
+    a row are a running minimum. A cell holds edits in its high bits and the start's diagonal in its low ones.
     """
+    n, length = len(patterns), len(patterns[0])
     big = np.int64(1) << _START_BITS
     lanes = np.arange(width, dtype=np.int64)
-    at = origin + lanes
-    inside = (at >= 0) & (at <= len(text))
-    cost = np.where(inside, lanes, big << 12)
-    padded = np.full(width + len(pattern), -1, np.int64)
-    lo, hi = max(origin, 0), min(origin + width + len(pattern), len(text))
-    if hi > lo:
-        padded[lo - origin : hi - origin] = text[lo:hi]
-    for i, c in enumerate(pattern):
-        step = cost + np.where(padded[i : i + width] == c, 0, big)
-        step[:-1] = np.minimum(step[:-1], cost[1:] + big)
-        step = np.minimum.accumulate(step - lanes * big) + lanes * big
-        ends = at + i + 1
-        cost = np.where((ends >= 0) & (ends <= len(text)), step, big << 12)
-    best = int(np.argmin(cost >> _START_BITS))
-    value = int(cost[best])
-    return value >> _START_BITS, origin + (value & int(big - 1)), origin + len(pattern) + best
+    at = np.asarray(origins, np.int64)[:, None] + lanes[None, :]
+    limit = np.array([len(t) for t in texts], np.int64)[:, None]
+    padded = np.full((n, width + length), -1, np.int64)
+    for row, (text, origin) in enumerate(zip(texts, origins)):
+        lo, hi = max(origin, 0), min(origin + width + length, len(text))
+        if hi > lo:
+            padded[row, lo - origin : hi - origin] = text[lo:hi]
+    signs = np.stack(patterns).astype(np.int64)
+    never = big << 12
+    cost = np.where((at >= 0) & (at <= limit), lanes[None, :], never)
+    slope = lanes[None, :] * big
+    for i in range(length):
+        step = cost + np.where(padded[:, i : i + width] == signs[:, i : i + 1], 0, big)
+        np.minimum(step[:, :-1], cost[:, 1:] + big, out=step[:, :-1])
+        cost = np.minimum.accumulate(step - slope, axis=1) + slope
+        ends = at + (i + 1)
+        cost[(ends < 0) | (ends > limit)] = never
+    best = np.argmin(cost >> _START_BITS, axis=1)
+    values = cost[np.arange(n), best]
+    return [(int(v) >> _START_BITS, o + (int(v) & int(big - 1)), o + length + int(j)) for v, o, j in zip(values, origins, best)]
+
+
+def banded_alignment(pattern: np.ndarray, text: np.ndarray, origin: int, width: int) -> tuple[int, int, int]:
+    """One pattern's :func:`banded_alignments`."""
+    return banded_alignments([pattern], [text], [origin], width)[0]
 
 
 class BenchmarkIndex:
@@ -175,19 +211,32 @@ class BenchmarkIndex:
         joined = np.concatenate([x for _, codes in group for x in (codes, gap)])
         starts = np.cumsum([0] + [len(codes) + self.q for _, codes in group])[:-1]
         seen: set[tuple[int, int, int]] = set()
+
+        def keep(t: int, window: int, edits: int, start: int, end: int) -> None:
+            if edits <= self.edits[window] and (t, window, end) not in seen:
+                seen.add((t, window, end))
+                out[group[t][0]].append(Region(int(self.owner[window]), window, start, end, edits))
+
+        later: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
         for window, band in self._candidates(joined).tolist():
             pattern, k = self.patterns[window], int(self.edits[window])
-            diagonal = band * self.step - 4096
+            diagonal, width = band * self.step - 4096, 2 * self.step + 2 * k
             # The band may touch two texts; each is aligned by itself.
             lo = int(np.searchsorted(starts, max(diagonal - k, 0), side="right")) - 1
             hi = int(np.searchsorted(starts, diagonal + 2 * self.step + len(pattern) + k, side="right"))
             for t in range(max(lo, 0), hi):
-                i, codes = group[t]
                 origin = diagonal - int(starts[t]) - k
-                edits, start, end = banded_alignment(pattern, codes, origin, 2 * self.step + 2 * k)
-                if edits <= k and (t, window, end) not in seen:
-                    seen.add((t, window, end))
-                    out[i].append(Region(int(self.owner[window]), window, start, end, edits))
+                equal = _equal_stretch(pattern, group[t][1], origin, width)
+                if equal >= 0:
+                    keep(t, window, 0, equal, equal + len(pattern))
+                else:
+                    later.setdefault((len(pattern), width), []).append((t, window, origin))
+        for (_, width), tasks in later.items():
+            for first in range(0, len(tasks), _TOGETHER):
+                some = tasks[first : first + _TOGETHER]
+                done = banded_alignments([self.patterns[w] for _, w, _ in some], [group[t][1] for t, _, _ in some], [o for _, _, o in some], width)
+                for (t, window, _), (edits, start, end) in zip(some, done):
+                    keep(t, window, edits, start, end)
         for i, _ in group:
             out[i].sort(key=lambda r: (r.item, r.window, r.start))
 
