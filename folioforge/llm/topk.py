@@ -131,7 +131,9 @@ def best_of(queries: tuple, blocks: list[tuple], k: int, head: int, floor: np.nd
     return [(int(q_ids[i]), int(v), int(s)) for i in range(n) for v, s in zip(best_v[i], best_s[i])]
 
 
-def top_k(vectors: DataFrame, every: int = 20, k: int = 20, scale: int = 64, head_share: float = 0.5) -> DataFrame:
+def top_k(
+    vectors: DataFrame, every: int = 20, k: int = 20, scale: int = 64, head_share: float = 0.5, block: int = BLOCK, query_block: int = QUERY_BLOCK, stripe: int = STRIPE
+) -> DataFrame:
     """For each row whose vec_id is divisible by ``every``, its ``k`` largest inner products with other rows.
 
     Returns ``(query_id, rank, vec_id, score)`` over the quantised vectors, ties to the smaller vec_id. Blocks of queries
@@ -154,8 +156,8 @@ def top_k(vectors: DataFrame, every: int = 20, k: int = 20, scale: int = 64, hea
     turn = rotation(ints, dims)
     head = max(1, int(dims * head_share))
     asked = ints.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min(F.struct("q", "norm2")).alias("m")).select("vec_id", "m.q", "m.norm2")
-    query_blocks = _blocks(asked, dims, QUERY_BLOCK).withColumnRenamed("block", "qb")
-    stripes = _blocks(ints, dims, BLOCK).withColumn("stripe", F.floor(F.col("block") / STRIPE))
+    query_blocks = _blocks(asked, dims, query_block).withColumnRenamed("block", "qb")
+    stripes = _blocks(ints, dims, block).withColumn("stripe", F.floor(F.col("block") / stripe))
     n_blocks = query_blocks.count()
     n_stripes = stripes.agg(F.max("stripe")).head()[0] + 1
     if not n_blocks:
@@ -184,7 +186,7 @@ def top_k(vectors: DataFrame, every: int = 20, k: int = 20, scale: int = 64, hea
     if n_stripes > 1:
         found = checkpoint(found)
         reached = found.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("floor"))
-        later = _with_floors(query_blocks, reached).withColumn("stripe", F.explode(F.sequence(F.lit(1), F.lit(int(n_stripes - 1)))).cast("long"))
+        later = _with_floors(query_blocks, reached).withColumn("stripe", F.explode(F.expr(f"sequence(1L, {int(n_stripes) - 1}L)")))
         found = found.unionByName(search(later, stripes.where("stripe > 0")))
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
