@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, texts_of
+from .common import checkpoint, map_batches, texts_of
 
 _WORD = re.compile(r"[^\W\d_]+")
 #: Word beginnings of these lengths are features beside whole words.
@@ -99,64 +99,65 @@ class OrdinalModel:
 class SeverityModel:
     """An ordinal model over the features that tell toxic from clean texts, and how to read a text into them."""
 
-    def __init__(self, rows: Sequence[Sequence[int]] = (), toxic: Sequence[int] = (), min_docs: int = 4, min_gain: float = 20.0) -> None:
-        """``rows`` are the feature hashes of labelled texts.
+    def __init__(self, features: Sequence[tuple[int, bool]] = (), rows: Sequence[Sequence[int]] = (), toxic: Sequence[int] = ()) -> None:
+        """``features`` are the hashes in use and whether each speaks for toxicity, ``rows`` the labelled texts' features as
+        places in it.
 
-        Features stay if ``min_docs`` texts have them and the log-likelihood ratio statistic of their counts among toxic
-        and clean texts reaches ``min_gain``. Out of the 0/1 labels come ordered grades: 0 for clean, 1 and 2 for toxic texts with few
-        and with many features that speak for toxicity, parted at the median.
+        Out of the 0/1 labels come ordered grades: 0 for clean, 1 and 2 for toxic texts with few and with many features
+        that speak for toxicity, parted at the median.
         """
         t = np.asarray(toxic, bool)
-        flat = np.fromiter((f for r in rows for f in r), np.int64)
-        row = np.repeat(np.arange(len(rows)), [len(r) for r in rows]) if len(rows) else np.zeros(0, np.int64)
-        names, place = np.unique(flat, return_inverse=True)
-        pos, neg = np.bincount(place[t[row]], minlength=len(names)), np.bincount(place[~t[row]], minlength=len(names))
-        both = pos + neg
-        even = both * (t.sum() / max(len(t), 1))
-        with np.errstate(divide="ignore", invalid="ignore"):
-            gain = 2 * (np.where(pos > 0, pos * np.log(pos / even), 0) + np.where(neg > 0, neg * np.log(neg / (both - even)), 0))
-        chosen = np.flatnonzero((gain >= min_gain) & (both >= min_docs))
-        self.vocabulary = {int(names[i]): k for k, i in enumerate(chosen)}
-        self.model = OrdinalModel(len(chosen))
-        if not len(chosen) or t.all() or not t.any():
-            return
-        column = np.full(len(names), -1)
-        column[chosen] = np.arange(len(chosen))
-        kept = [[c for c in column[p].tolist() if c >= 0] for p in np.split(place, np.cumsum([len(r) for r in rows])[:-1])]
-        speaks = (pos[chosen] > even[chosen]).astype(int)
-        many = np.array([speaks[k].sum() for k in kept])
-        middle = np.median(many[t])
-        self.model.fit(kept, np.where(t, 1 + (many > middle), 0))
+        self.vocabulary = {h: i for i, (h, _) in enumerate(features)}
+        self.model = OrdinalModel(len(features))
+        if len(features) and t.any() and not t.all():
+            speaks = np.array([s for _, s in features], int)
+            many = np.array([speaks[list(r)].sum() for r in rows])
+            self.model.fit(rows, np.where(t, 1 + (many > np.median(many[t])), 0))
 
     def above(self, hashes: Sequence[int]) -> np.ndarray:
         """P(grade > k) for k = 0, 1, ... of a text with these feature hashes."""
         return self.model.above([self.vocabulary[h] for h in hashes if h in self.vocabulary])
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_docs: int = 6000) -> SeverityModel:
+def fit(docs: DataFrame, labels: DataFrame, max_docs: int = 6000, min_docs: int = 4, min_gain: float = 20.0, max_features: int = 20_000) -> SeverityModel:
     """Fit on about ``max_docs`` labelled documents, half of them toxic, chosen by a hash of the id.
 
-    Features of the sample, not its texts, reach the driver. Labels with a null id or null ``toxic`` are not used.
-    Documents with equal texts count once in the sample.
+    Labels with a null id or null ``toxic`` are not used; documents with equal texts count once. Features are counted on
+    the cluster. One stays if ``min_docs`` texts have it and the log-likelihood ratio statistic of its counts among toxic
+    and clean texts reaches ``min_gain`` (of more than ``max_features``, those with the largest). The driver sees these
+    features and each sampled text's places in them. The sample's ids are broadcast: ``max_docs`` bounds them.
     """
-    known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("__id")).agg(F.max("toxic").alias("__toxic"))
-    sizes = {bool(r[0]): r[1] for r in known.groupBy(F.col("__toxic") > 0).agg(F.count(F.lit(1))).collect()}
+    known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("__id")).agg((F.max("toxic") > 0).alias("__toxic"))
+    sizes = dict(known.groupBy("__toxic").agg(F.count(F.lit(1))).collect())
     scale = 1 << 20
-    limit = F.when(F.col("__toxic") > 0, int(min(1.0, max_docs / 2 / max(sizes.get(True, 0), 1)) * scale)).otherwise(
-        int(min(1.0, max_docs / 2 / max(sizes.get(False, 0), 1)) * scale)
-    )
-    chosen = known.where(F.pmod(F.xxhash64(F.col("__id").cast("string")), F.lit(scale)) < limit)
-    sample = docs.select(F.col("doc_id").cast("long").alias("__id"), "text").join(chosen, "__id")
+    share = {t: int(min(1.0, max_docs / 2 / max(sizes.get(t, 0), 1)) * scale) for t in (True, False)}
+    chosen = known.where(F.pmod(F.xxhash64(F.col("__id").cast("string")), F.lit(scale)) < F.when(F.col("__toxic"), share[True]).otherwise(share[False]))
+    named = docs.select(F.col("doc_id").cast("long").alias("__id"), F.coalesce("text", F.lit("")).alias("text"))
+    sample = named.join(F.broadcast(chosen), "__id").groupBy("text").agg(F.max(F.col("__toxic").cast("int")).alias("toxic"))
     make = Featurizer()
 
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
-        texts = texts_of(batch)
-        yield {"crc": [zlib.crc32(t.encode("utf-8", "surrogatepass")) for t in texts], "toxic": batch.column(1), "features": [make(t) for t in texts]}
-
-    rows = map_batches(sample.select("text", F.col("__toxic").cast("int").alias("toxic")), "crc long, toxic int, features array<long>", run).collect()
-    unique = sorted({(r["crc"], tuple(r["features"])): r["toxic"] for r in rows}.items())
-    features, toxic = [k[1] for k, _ in unique], [v for _, v in unique]
-    return SeverityModel(features, toxic)
+        yield {"toxic": batch.column(1), "features": [make(t) for t in texts_of(batch)]}
+
+    read = checkpoint(map_batches(sample.select("text", "toxic"), "toxic int, features array<long>", run))
+    n_pos, n = read.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.count(F.lit(1))).head()
+    if not n_pos or n_pos == n:
+        return SeverityModel()
+    each = read.select("toxic", F.explode("features").alias("f")).groupBy("f").agg(F.sum("toxic").alias("pos"), F.count(F.lit(1)).alias("both"))
+    pos, both = F.col("pos"), F.col("both")
+    even = both * (n_pos / n)
+    part = lambda seen, expected: F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
+    gain = 2 * (part(pos, even) + part(both - pos, both - even))
+    best = each.where(both >= min_docs).select("f", (pos > even).alias("speaks"), gain.alias("gain")).where(F.col("gain") >= min_gain)
+    features = [(r["f"], r["speaks"]) for r in best.orderBy(F.desc("gain"), "f").limit(max_features).collect()]
+    place = {h: i for i, (h, _) in enumerate(features)}
+
+    def look_up(batch: pa.RecordBatch) -> Iterator[dict]:
+        yield {"toxic": batch.column(0), "at": [[place[h] for h in row if h in place] for row in batch.column(1).to_pylist()]}
+
+    rows = map_batches(read, "toxic int, at array<int>", look_up).collect()
+    rows = sorted((tuple(r["at"]), r["toxic"]) for r in rows)
+    return SeverityModel(features, [r[0] for r in rows], [r[1] for r in rows])
 
 
 def score(docs: DataFrame, model: SeverityModel, threshold: float = 0.6) -> DataFrame:
