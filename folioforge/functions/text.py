@@ -6,6 +6,8 @@ digits, ``(?s)`` and ``\\z`` so that only line feeds end lines.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,6 +15,11 @@ from pyspark.sql import functions as F
 BLANK = r"[\s&&[^\n]]"
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once, however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def strip(c: Column) -> Column:
     """Without white space of any kind at both ends."""
     return F.regexp_replace(F.regexp_replace(c, r"(?U)^\s+", ""), r"(?U)\s+\z", "")

@@ -47,9 +47,11 @@ def data_drift(pairs: DataFrame, key: str) -> DataFrame:
     a second shuffle is needed.
     """
     b, a = (blocks(F.coalesce(F.col(c), F.lit(""))) for c in ("before", "after"))
-    both = pairs.select(key, b.alias("b"), a.alias("a")).where("size(b) = size(a)")
+    both = pairs.select(key, b.alias("b"), a.alias("a"))
     signed = lambda c, n: F.transform(F.col(c), lambda block, i: F.transform(data_tokens(block), lambda w: F.struct(i.alias("table_no"), w.alias("token"), F.lit(n).alias("n"))))
-    each = both.select(key, F.explode(F.flatten(F.concat(signed("b", -1), signed("a", 1)))).alias("t")).select(key, "t.*")
+    # No filter on the texts: it would be pushed below the rules that made them, and repeat their work.
+    tokens = F.when(F.size("b") == F.size("a"), F.flatten(F.concat(signed("b", -1), signed("a", 1))))
+    each = both.select(key, F.explode_outer(tokens).alias("t")).select(key, "t.*").where("token IS NOT NULL")
     return each.groupBy(key, "table_no", "token").agg(F.sum("n").cast("int").alias("delta")).where("delta <> 0")
 
 

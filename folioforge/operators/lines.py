@@ -153,3 +153,70 @@ def spaced_headings(text: Column, mapping: Column) -> Column:
         return F.array(F.when(mark != "", F.concat(mark, F.array_join(F.transform(tokens, word), ""))).otherwise(line))
 
     return map_lines(text, rule, fenced=True)
+
+
+_COST = r"(?<![A-Za-z\d])\+?\d+\s*credits"
+_COST_END = r"(?i)(?<![A-Za-z\d])(\+?\d+)\s*(credits)\s*\z"
+_EDGE = r"[-—–•*’]"
+
+
+def _split_merged(line: Column) -> Column:
+    """Items that an extraction put on one line, each as a line; a cost in the middle parts them."""
+    text = X.rstrip(line)
+    n = F.regexp_count(text, F.lit(f"(?iU){_COST}"))
+    merged = (n >= 2) | ((n == 1) & ~text.rlike(_COST_END))
+    marked = F.regexp_replace(text, rf"(?iU)(\+?\d+\s*credits)\s+(?:{_EDGE}\s*)?(?=[A-Z\d])", "$1\x00")
+    parts = F.filter(F.transform(F.split(marked, "\x00", -1), X.strip), lambda p: p != "")
+    bullet = F.startswith(text, F.lit("- "))
+
+    def item(p: Column, i: Column) -> Column:
+        first = F.when(bullet & ~F.startswith(p, F.lit("- ")), F.concat(F.lit("- "), p)).otherwise(p)
+        return F.when(i == 0, first).otherwise(F.concat(F.lit("- "), X.strip(F.regexp_replace(p, rf"(?U)\A{_EDGE}\s*", ""))))
+
+    return F.when(text.rlike(r"\A[|#]") | ~merged, F.array(line)).otherwise(F.transform(parts, item))
+
+
+def _clean_item(line: Column) -> Column:
+    """Bullets without leaders and stray marks; a bare line with a leader becomes a bullet."""
+    text = X.rstrip(line)
+    spaced = lambda x: X.strip(X.inner_spaces(F.regexp_replace(x, r"\.{3,}", " ")))
+    bullet = F.concat(F.lit("- "), spaced(F.regexp_replace(F.substring(text, F.lit(3), F.length(text)), r"(?U)\A[•*]\s*", "")))
+    bare = spaced(text)
+    led = F.when(bare == "", F.array().cast("array<string>")).otherwise(F.array(F.concat(F.lit("- "), bare)))
+    plain = (text == "") | text.rlike(r"\A[|#]")
+    return F.when(plain, F.array(line)).when(F.startswith(text, F.lit("- ")), F.array(bullet)).when(text.rlike(r"\.{3,}"), led).otherwise(F.array(line))
+
+
+def tabulate_equipment(text: Column) -> Column:
+    """Bullet lists of priced items as tables ``Item | Cost``; upgrades (``+`` costs) with a dash.
+
+    Four steps: split merged items; join an item that a column break parted (one regular expression over two bullets with
+    at most one blank line between, so that a joined bullet is used up); tidy items; and make a table of each run of
+    bullets of which all end in a cost. Texts without the word ``credits`` stay as they are.
+    """
+    blank = r"[\s&&[^\n]]*+"
+    parted = (
+        rf"(?mU)^- (?![^\n]*\.{{3}})(?!(?i:[^\n]*{_COST}{blank}$))(?=[^\n]*\S){blank}([^\n]*?){blank}\n(?:{blank}\n)?- (?=[\p{{Ll}}*])([^\n]*?(?i:{_COST})){blank}$"
+    )
+    split = map_lines(text, _split_merged, fenced=True)
+    joined = F.regexp_replace(split, parted, "- $1 $2")
+    tidy = map_lines(joined, _clean_item, fenced=True)
+    parts = F.regexp_extract_all(F.concat(tidy, F.lit("\n")), F.lit(r"(?U)(?:- [^\n]*\S[^\n]*+\n)++|[^\n]*+\n"), F.lit(0))
+
+    def row(line: Column) -> Column:
+        cost = F.concat(F.regexp_extract(line, _COST_END, 1), F.lit(" "), F.regexp_extract(line, _COST_END, 2))
+        item = X.strip(F.regexp_replace(F.substring(line, F.lit(3), F.length(line)), _COST_END, ""))
+        mark = F.when(F.startswith(cost, F.lit("+")), F.lit("— ")).otherwise(F.lit(""))
+        return F.concat(F.lit("| "), mark, item, F.lit(" | "), cost, F.lit(" |\n"))
+
+    def one(part: Column, i: Column) -> Column:
+        run = F.transform(lines_of(part), X.rstrip)
+        before = F.try_element_at(parts, i)
+        gap = F.when((i > 0) & F.coalesce(before != "\n", F.lit(False)), F.lit("\n")).otherwise(F.lit(""))
+        table = F.concat(gap, F.lit("| Item | Cost |\n|---|---|\n"), F.array_join(F.transform(run, row), ""), F.lit("\n"))
+        plain = F.array_join(F.transform(run, lambda x: F.concat(x, F.lit("\n"))), "")
+        bullets = F.startswith(part, F.lit("- "))
+        return F.when(bullets & F.forall(run, lambda x: x.rlike(_COST_END)), table).when(bullets, plain).otherwise(part)
+
+    done = limit_blank_runs(join_segments(F.transform(parts, one)))
+    return F.when(F.contains(F.lower(text), F.lit("credits")), done).otherwise(text)

@@ -6,7 +6,7 @@ come out as they went in. A block is one table of one text, so the arrays are sm
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +19,7 @@ def map_blocks(text: Column, rule: Callable[[Column], Column]) -> Column:
     """Apply ``rule`` to every table block outside fences."""
 
     def one(segment: Column) -> Column:
-        new = F.array_join(F.transform(rule(lines_of(segment)), lambda x: F.concat(x, F.lit("\n"))), "")
+        new = F.array_join(F.transform(X.let(lines_of(segment), rule), lambda x: F.concat(x, F.lit("\n"))), "")
         return F.when(is_table(segment), new).otherwise(segment)
 
     return F.when(F.contains(text, F.lit("|")), join_segments(F.transform(segments(text), one))).otherwise(text)
@@ -79,40 +79,46 @@ def _both(g: Column, h: Column, first_wins: bool) -> Column:
 
 
 def promote_header_block(block: Column) -> Column:
-    cells = cells_of(block)
-    merged = F.zip_with(at(cells, 0), at(cells, 2), lambda g, h: _both(g, h, first_wins=False))
-    return F.when(is_demoted_header(cells), F.concat(F.array(render_row(merged)), F.slice(block, 2, 1), F.slice(block, F.lit(4), F.size(block)))).otherwise(block)
+    def rule(cells: Column) -> Column:
+        merged = F.zip_with(at(cells, 0), at(cells, 2), lambda g, h: _both(g, h, first_wins=False))
+        return F.when(is_demoted_header(cells), F.concat(F.array(render_row(merged)), F.slice(block, 2, 1), F.slice(block, F.lit(4), F.size(block)))).otherwise(block)
+
+    return X.let(cells_of(block), rule)
 
 
 def collapse_header_block(block: Column) -> Column:
-    cells = cells_of(block)
-    group, header = at(cells, 0), at(cells, 1)
-    merged = render_row(F.zip_with(group, header, lambda g, h: _both(g, h, first_wins=True)))
-    rest = F.slice(block, F.lit(3), F.size(block))
-    folded = F.when(F.size(group) == F.size(header), F.concat(F.array(merged), rest)).otherwise(F.concat(F.slice(block, 2, 1), rest))
-    return F.when((width(cells) >= 6) & F.coalesce(separator_index(cells) == 2, F.lit(False)), folded).otherwise(block)
+    def rule(cells: Column) -> Column:
+        group, header = at(cells, 0), at(cells, 1)
+        merged = render_row(F.zip_with(group, header, lambda g, h: _both(g, h, first_wins=True)))
+        rest = F.slice(block, F.lit(3), F.size(block))
+        folded = F.when(F.size(group) == F.size(header), F.concat(F.array(merged), rest)).otherwise(F.concat(F.slice(block, 2, 1), rest))
+        return F.when((width(cells) >= 6) & F.coalesce(separator_index(cells) == 2, F.lit(False)), folded).otherwise(block)
+
+    return X.let(cells_of(block), rule)
 
 
 def split_fused_block(block: Column) -> Column:
     """A fused ``Am Traits`` column as two: the leading ammo token, and the rest."""
-    cells = cells_of(block)
-    header, sep = at(cells, 0), separator_index(cells)
-    fused = F.transform(header, lambda c: c.rlike(r"(?iU)\AAm\s+Traits\z"))
-    j = F.array_position(fused, True).cast("int")
-    good = (
-        (width(cells) >= 6) & sep.isNotNull() & (F.size(F.filter(fused, lambda x: x)) == 1)
-        & F.forall(cells, lambda c: F.size(c) == F.size(header))
-    )
-    token = r"(?Us)\A(\d+\+|\d+|-)(?:\s+(.*))?\z"
+    def rule(cells: Column) -> Column:
+        header, sep = at(cells, 0), separator_index(cells)
+        fused = F.transform(header, lambda c: c.rlike(r"(?iU)\AAm\s+Traits\z"))
+        j = F.array_position(fused, True).cast("int")
+        good = (
+            (width(cells) >= 6) & sep.isNotNull() & (F.size(F.filter(fused, lambda x: x)) == 1)
+            & F.forall(cells, lambda c: F.size(c) == F.size(header))
+        )
+        token = r"(?Us)\A(\d+\+|\d+|-)(?:\s+(.*))?\z"
+
+        def one(row: Column, i: Column) -> Column:
+            cell = F.element_at(row, j)
+            ammo = F.regexp_extract(cell, token, 1)
+            rest = F.when(ammo != "", F.regexp_extract(cell, token, 2)).otherwise(cell)
+            new = F.when(i == sep, F.array(cell, cell)).when(i == 0, F.array(F.lit("Am"), F.lit("Traits"))).otherwise(F.array(ammo, rest))
+            return render_row(F.concat(F.slice(row, F.lit(1), j - 1), new, F.slice(row, j + 1, F.size(row))))
 
-    def one(row: Column, i: Column) -> Column:
-        cell = F.element_at(row, j)
-        ammo = F.regexp_extract(cell, token, 1)
-        rest = F.when(ammo != "", F.regexp_extract(cell, token, 2)).otherwise(cell)
-        new = F.when(i == sep, F.array(cell, cell)).when(i == 0, F.array(F.lit("Am"), F.lit("Traits"))).otherwise(F.array(ammo, rest))
-        return render_row(F.concat(F.slice(row, F.lit(1), j - 1), new, F.slice(row, j + 1, F.size(row))))
+        return F.when(F.coalesce(good, F.lit(False)), F.transform(cells, one)).otherwise(block)
 
-    return F.when(F.coalesce(good, F.lit(False)), F.transform(cells, one)).otherwise(block)
+    return X.let(cells_of(block), rule)
 
 
 _ROW = "struct<raw:string,cells:array<string>,kind:int,dirty:boolean>"
@@ -130,7 +136,9 @@ def _merge(block: Column, wraps: Callable[[Column, Column, Column, Column], Colu
     ).cast(f"struct<done:array<{_ROW}>,prev:{_ROW},tail:array<{_ROW}>,sep:boolean>")
 
     def step(state: Column, raw: Column) -> Column:
-        cells = X.split_cells(raw)
+        return X.let(X.split_cells(raw), lambda cells: advance(state, raw, cells))
+
+    def advance(state: Column, raw: Column, cells: Column) -> Column:
         filled = F.filter(F.transform(cells, lambda c, i: F.when(c != "", i)), lambda i: i.isNotNull())
         k = F.try_element_at(filled, F.lit(1))
         separator = X.is_separator(cells)
@@ -203,8 +211,9 @@ def promote_label_row(text: Column) -> Column:
     parts = segments(text)
 
     def one(segment: Column, i: Column) -> Column:
-        block = lines_of(segment)
-        cells = cells_of(block)
+        return X.let(lines_of(segment), lambda block: X.let(cells_of(block), lambda cells: promoted(segment, i, block, cells)))
+
+    def promoted(segment: Column, i: Column, block: Column, cells: Column) -> Column:
         title = F.regexp_replace(at(at(cells, 0), 0), r"\A\*+|\*+\z", "")
         before = F.try_element_at(parts, i)
         gap = F.when((i > 0) & F.coalesce(before != "\n", F.lit(False)), F.lit("\n")).otherwise(F.lit(""))
@@ -216,6 +225,16 @@ def promote_label_row(text: Column) -> Column:
     return F.when(F.contains(text, F.lit("|")), join_segments(F.transform(parts, one))).otherwise(text)
 
 
+RULES = (promote_header, promote_label_row, collapse_headers, split_fused, merge_wrapped_rows, merge_wrapped_names)
+
+
+def repair_tables(texts: DataFrame, text: str = "text", rules: Sequence[Callable[[Column], Column]] = RULES) -> DataFrame:
+    """Apply the rules in their order, each in a projection of its own, so that no rule works on another's expression."""
+    for rule in rules:
+        texts = texts.withColumn(text, rule(F.col(text)))
+    return texts
+
+
 def table_rows(texts: DataFrame, key: str, text: str = "text", dashes: int = 3) -> DataFrame:
     """All table rows: ``(<key>, table_no, row_no, first_line, raw, cells, is_sep)``; tables count from 0 in each text,
     rows from 0 in each table, lines from 1."""

@@ -6,14 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import scalars
+from . import scalars, tables_q
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    return {key: scalars.query(key) for key in scalars.SCALARS}
+    return {key: scalars.query(key) for key in scalars.SCALARS} | tables_q.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return {key: scalars.oracle(key) for key in scalars.SCALARS}
+    return {key: scalars.oracle(key) for key in scalars.SCALARS} | tables_q.ORACLES
