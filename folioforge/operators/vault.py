@@ -45,6 +45,8 @@ _META = (
     "parent:string,prev:string,next:string,tags:array<string>,tags_ok:boolean,summary:string,summary_ok:boolean,created:string,generated_by:string>"
 )
 
+_FIELDS = [f.split(":")[0] for f in _META[7:-1].split(",")]
+
 
 def _parsed(text: str | None) -> dict:
     lines = (text or "").split("\n")
@@ -54,7 +56,7 @@ def _parsed(text: str | None) -> dict:
     except yaml.YAMLError:
         meta = None
     if not isinstance(meta, dict) or not meta:
-        return {"ok": False, "keys": []}
+        return dict.fromkeys(_FIELDS) | {"ok": False, "keys": [], "pages_ok": False, "tags_ok": False, "summary_ok": True}
     pages, tags = meta.get("source_pages"), meta.get("tags")
     pages_ok = isinstance(pages, list) and len(pages) == 2 and all(isinstance(x, int) for x in pages)
     word = lambda k: None if meta.get(k) is None else str(meta[k])
@@ -71,7 +73,8 @@ def parse_notes(files: DataFrame) -> DataFrame:
 
     @F.pandas_udf(_META)
     def run(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([_parsed(t) for t in texts], columns=[f.split(":")[0] for f in _META[7:-1].split(",")])
+        rows = [_parsed(t) for t in texts]
+        return pd.DataFrame({f: pd.Series([r[f] for r in rows], dtype=object) for f in _FIELDS})
 
     return files.select("path", "text", run("text").alias("meta"), split_note(F.col("text"))["body"].alias("body"))
 
