@@ -59,8 +59,9 @@ class LanguageModel:
         total = np.array(list(words.values()), float).sum(axis=0) if words else np.zeros(width)
         known = {w: c for w, c in words.items() if sum(c) >= min_count}
         self.words = {w: i for i, w in enumerate(known)}
-        self.word_scores = np.log((np.array(list(known.values()), float).reshape(-1, width) + 0.5) / (total + 0.5 * max(len(words), 1)))
-        single = np.array([c for g, c in grams.items() if len(g) == 1], float).reshape(-1, width).sum(axis=0)
+        self.word_scores = np.log((np.array(list(known.values()), float).reshape(len(known), width) + 0.5) / (total + 0.5 * max(len(words), 1)))
+        letters = [c for g, c in grams.items() if len(g) == 1]
+        single = np.array(letters, float).reshape(len(letters), width).sum(axis=0)
         self.floor = np.log(0.5) - np.log(single + 1.0)
         self.grams: dict[str, int] = {}
         scores: list[np.ndarray] = []
@@ -73,7 +74,7 @@ class LanguageModel:
             with np.errstate(divide="ignore", invalid="ignore"):
                 scores.append(np.where(own > 0, np.log(own / given), below))
             self.grams[gram] = len(scores) - 1
-        self.gram_scores = np.array(scores).reshape(-1, width)
+        self.gram_scores = np.array(scores).reshape(len(scores), width)
         self.cache: dict[str, np.ndarray] = {}
 
     def unseen(self, word: str) -> np.ndarray:

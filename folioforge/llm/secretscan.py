@@ -39,7 +39,13 @@ def base_spans(text: str) -> list[Span]:
 
 
 class MarkovPair:
-    """First-order character models of random strings and of ordinary identifiers, with add-one smoothing."""
+    """First-order character models of random strings and of ordinary identifiers.
+
+    A transition's probability is its count with ``blend`` pseudo-counts dealt out by the signs' own frequencies, so that
+    a sign never seen behind another is as likely as it is on the whole.
+    """
+
+    blend = 20.0
 
     def __init__(self, random: Iterable[tuple[str, int]], ordinary: Iterable[tuple[str, int]]) -> None:
         self.ratio = self._fit(random) - self._fit(ordinary)
@@ -50,11 +56,13 @@ class MarkovPair:
 
     @classmethod
     def _fit(cls, samples: Iterable[tuple[str, int]]) -> np.ndarray:
-        counts = np.ones((len(SIGNS) + 1, len(SIGNS) + 1))
+        counts = np.zeros((len(SIGNS) + 1, len(SIGNS) + 1))
         for token, n in samples:
             codes = cls._codes(token)
             np.add.at(counts, (codes[:-1], codes[1:]), n)
-        return np.log(counts / counts.sum(axis=1, keepdims=True))
+        alone = counts.sum(axis=0) + 1
+        alone /= alone.sum()
+        return np.log((counts + cls.blend * alone) / (counts.sum(axis=1, keepdims=True) + cls.blend))
 
     def score(self, token: str) -> float:
         """Log-likelihood ratio per character; above 0 a random string is the likelier origin."""
@@ -62,11 +70,17 @@ class MarkovPair:
         return float(self.ratio[codes[:-1], codes[1:]].mean())
 
 
+def _in_question(token: str) -> bool:
+    """Whether the models are to judge a string of this kind: 20 signs or more with a letter and a digit."""
+    return len(token) >= 20 and any(c.isdigit() for c in token) and any(c.isalpha() for c in token)
+
+
 def labelled_samples(docs: DataFrame, max_docs: int = 4000, n_random: int = 4000, seed: int = 7) -> tuple[list[tuple[str, int]], list[tuple[str, int]]]:
     """Labelled strings: random ones and ordinary identifiers with their counts.
 
     Ordinary identifiers are the letters-first strings of a bounded sample of documents (about ``max_docs``, chosen by a
-    hash of the id) outside the spans of known secrets. Random strings are the values of known secrets in that sample
+    hash of the id) outside the spans of known secrets, without those of the kind to be judged; a string that comes n
+    times weighs 1 + log2(n). Random strings are the values of known secrets in that sample
     and ``n_random`` strings drawn uniformly from base-62, base-64, base-32 and hexadecimal signs, of 20 to 64 signs.
     """
     total = docs.count()
@@ -84,7 +98,7 @@ def labelled_samples(docs: DataFrame, max_docs: int = 4000, n_random: int = 4000
                     tokens.append(value)
                     secret.append(True)
                     at = b
-            words = _IDENTIFIER.findall(" ".join([*parts, text[at:]]))
+            words = [w for w in _IDENTIFIER.findall(" ".join([*parts, text[at:]])) if not _in_question(w)]
             tokens += words
             secret += [False] * len(words)
         yield {"token": tokens, "secret": secret}
@@ -94,15 +108,14 @@ def labelled_samples(docs: DataFrame, max_docs: int = 4000, n_random: int = 4000
     rng = np.random.default_rng(seed)
     alphabets = [SIGNS[:62], SIGNS[:64], SIGNS[:26] + "234567", "0123456789abcdef", "0123456789ABCDEF", SIGNS[:62] + "_-"]
     drawn = [("".join(rng.choice(list(alphabets[i % len(alphabets)]), int(rng.integers(20, 65)))), 1) for i in range(n_random)]
-    return drawn + [(r.token, r.n) for r in rows if r.secret and r.token], [(r.token, r.n) for r in rows if not r.secret]
+    return drawn + [(r.token, 1) for r in rows if r.secret and r.token], [(r.token, r.n.bit_length()) for r in rows if not r.secret]
 
 
 def random_spans(text: str, model: MarkovPair, threshold: float) -> list[Span]:
     """Candidates that hold a letter and a digit and whose ratio reaches the threshold."""
     out = []
     for m in _CANDIDATE.finditer(text):
-        token = m.group()
-        if any(c.isdigit() for c in token) and any(c.isalpha() for c in token) and model.score(token) >= threshold:
+        if _in_question(m.group()) and model.score(m.group()) >= threshold:
             out.append((3, *m.span()))
     return out
 
@@ -118,7 +131,7 @@ def spell(spans: Iterable[Span]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for k, a, b in spans)
 
 
-def find_secrets(docs: DataFrame, model: MarkovPair | None = None, threshold: float = 0.5) -> DataFrame:
+def find_secrets(docs: DataFrame, model: MarkovPair | None = None, threshold: float = 3.0) -> DataFrame:
     """One row per document: ``(doc_id, n_assign, n_access, n_hex, base, spans)``.
 
     Counts and ``base`` are those of the known patterns; ``spans`` adds ``random`` strings. Spans are ``kind:start:end`` in
