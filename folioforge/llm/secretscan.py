@@ -48,7 +48,11 @@ class MarkovPair:
     blend = 20.0
 
     def __init__(self, random: Iterable[tuple[str, int]], ordinary: Iterable[tuple[str, int]]) -> None:
-        self.ratio = self._fit(random) - self._fit(ordinary)
+        labelled = list(random)
+        self.ratio = self._fit(labelled) - self._fit(ordinary)
+        scores = [self.score(token) for token, _ in labelled]
+        #: What all but one in 200 of the labelled random strings reach, and never less than even odds.
+        self.threshold = max(0.0, float(np.percentile(scores, 0.5))) if scores else 0.0
 
     @staticmethod
     def _codes(token: str) -> np.ndarray:
@@ -131,17 +135,19 @@ def spell(spans: Iterable[Span]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for k, a, b in spans)
 
 
-def find_secrets(docs: DataFrame, model: MarkovPair | None = None, threshold: float = 3.0) -> DataFrame:
+def find_secrets(docs: DataFrame, model: MarkovPair | None = None, threshold: float | None = None) -> DataFrame:
     """One row per document: ``(doc_id, n_assign, n_access, n_hex, base, spans)``.
 
     Counts and ``base`` are those of the known patterns; ``spans`` adds ``random`` strings. Spans are ``kind:start:end`` in
-    code points. The models are fitted on a bounded sample (see :func:`labelled_samples`) unless given. Null and empty
+    code points. The models and their threshold are fitted on a bounded sample (see
+    :func:`labelled_samples`) unless given. Null and empty
     texts have no spans; null ids and repeated rows are rows like others; extra columns are not read.
     """
     pair = model or MarkovPair(*labelled_samples(docs))
+    least = pair.threshold if threshold is None else threshold
 
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
-        found = [all_spans(t, pair, threshold) for t in texts_of(batch)]
+        found = [all_spans(t, pair, least) for t in texts_of(batch)]
         columns = {f"n_{kind}": [sum(k == i for k, _, _ in base) for base, _ in found] for i, kind in enumerate(KINDS[:3])}
         yield {"doc_id": batch.column(0), **columns, "base": [spell(b) for b, _ in found], "spans": [spell(s) for _, s in found]}
 
