@@ -454,7 +454,7 @@ ORACLES: dict[str, str] = {
     "r02_shared_pages": f"{CTE} SELECT DISTINCT toc_number, page, owner FROM (SELECT *, first_value(toc_number) OVER (PARTITION BY page ORDER BY ord) AS owner FROM own) o WHERE owner <> toc_number",
     "r03_section_assets": f"{CTE} SELECT own.ord, regexp_extract(text, '([0-9]+\\.png)', 1) AS ref, 'image' AS kind, count(*) AS n, CAST(sum(own.page) AS BIGINT) AS page_sum FROM own JOIN pg USING (page) GROUP BY ALL",
     "r04_page_targets": f"{CTE}, {_TARGETS} SELECT page, link_target FROM tgt",
-    "r05_note_headings": f"SELECT CAST(page AS VARCHAR) AS link_target, 'customer ' || (page - 1) AS key, 'Customer#' || (page - 1) AS heading FROM ({fx.duck(fx.PAGE_TEXT)}) p",
+    "r05_note_headings": f"SELECT CAST(page AS VARCHAR) AS link_target, 'customer' || (page - 1) AS key, 'Customer#' || (page - 1) AS heading FROM ({fx.duck(fx.PAGE_TEXT)}) p",
     "r06_linkify_index": R06_SQL, "r07_note_paths": f"{CTE} SELECT toc_number, link_target || '.md' AS note_path FROM pth",
     "r08_prev_next": f"{CTE} SELECT toc_number, lag(toc_number) OVER (ORDER BY ord) AS prev_number, lead(toc_number) OVER (ORDER BY ord) AS next_number FROM sec WHERE is_leaf",
     "r09_parent_links": f"{CTE} SELECT s.toc_number, coalesce('[[' || pth.link_target || '|' || p.display_title || ']]', '[[tpch/tpch|All \"Customers\"]]') AS parent FROM sec s LEFT JOIN sec p ON p.toc_number = s.parent_number LEFT JOIN pth ON pth.ord = p.ord",
