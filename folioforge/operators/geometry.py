@@ -111,7 +111,8 @@ def rebuild_index(frags: DataFrame, title: str = "Index", tolerance: float = 0.6
     line = F.when(letter == "", F.concat(F.lit("- "), F.col("t"), F.lit("\n"))).when(first, F.concat(F.lit("\n### "), letter, F.lit("\n\n")))
     items = rows.withColumn("line", line).where("line IS NOT NULL")
     joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("page", "row", "line"))), lambda x: x["line"]), "")
-    text = F.regexp_replace(F.concat(F.lit("## INDEX\n"), F.when(F.startswith(joined, F.lit("\n")), F.lit("")).otherwise(F.lit("\n")), joined), r"\n*\z", "\n")
+    gap = F.when(F.startswith(joined, F.lit("\n")), F.lit("")).otherwise(F.lit("\n"))
+    text = F.concat(F.regexp_replace(F.concat(F.lit("## INDEX\n"), gap, joined), r"\n+\z", ""), F.lit("\n"))
     return items.groupBy("source_slug").agg(text.alias("markdown"))
 
 

@@ -267,7 +267,7 @@ def update_library_index(index: DataFrame, books: DataFrame) -> DataFrame:
     new = books.select(F.concat("source_slug", F.lit("/"), "source_slug").alias("target"), F.col("title").alias("alias"))
     entries = kept.unionByName(new).agg(F.collect_list(F.struct("target", "alias")).alias("e"))
     text = upsert_region(F.col("text"), managed_block(F.col("e")))
-    return old.crossJoin(F.broadcast(entries)).select(F.regexp_replace(text, r"\n*\z", "\n").alias("text"))
+    return old.crossJoin(F.broadcast(entries)).select(F.concat(F.regexp_replace(text, r"\n+\z", ""), F.lit("\n")).alias("text"))
 
 
 def enrich(notes: DataFrame, updates: DataFrame, owner: str = OWNER) -> DataFrame:

@@ -6,14 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import notes_q, scalars, tables_q
+from . import geometry_q, notes_q, scalars, tables_q
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    return {key: scalars.query(key) for key in scalars.SCALARS} | tables_q.QUERIES | notes_q.QUERIES
+    return {key: scalars.query(key) for key in scalars.SCALARS} | tables_q.QUERIES | notes_q.QUERIES | geometry_q.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return {key: scalars.oracle(key) for key in scalars.SCALARS} | tables_q.ORACLES | notes_q.ORACLES
+    return {key: scalars.oracle(key) for key in scalars.SCALARS} | tables_q.ORACLES | notes_q.ORACLES | geometry_q.ORACLES
