@@ -178,7 +178,7 @@ def top_k(
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
 
     def search(asking: DataFrame, some: DataFrame) -> DataFrame:
-        pairs = some.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))).groupBy("qb", "stripe")
+        pairs = some.withColumn("qb", F.explode(F.expr(f"sequence(0L, {n_blocks - 1}L)"))).groupBy("qb", "stripe")
         return asking.groupBy("qb", "stripe").cogroup(pairs).applyInPandas(meet, "query_id long, vec_id long, score long")
 
     no_floor = query_blocks.withColumn("floors", F.lit(None).cast("binary"))

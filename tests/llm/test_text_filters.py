@@ -254,7 +254,11 @@ def test_top_k_equals_brute_force(spark):
         if i % 20 == 0:
             best = sorted((-int(v @ w), j) for j, w in good if j != i)[:20]
             want += [(i, r + 1, j, -s) for r, (s, j) in enumerate(best)]
-    for sizes in ({}, {"block": 32, "query_block": 8, "stripe": 2}):
-        got = [tuple(r) for r in topk.top_k(frame, **sizes).collect()]
-        assert sorted(got) == sorted(want)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for sizes in ({}, {"block": 32, "query_block": 8, "stripe": 2}):
+            got = [tuple(r) for r in topk.top_k(frame, **sizes).collect()]
+            assert sorted(got) == sorted(want)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert topk.top_k(frame.limit(0)).count() == 0
