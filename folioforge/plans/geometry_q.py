@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import geometry as G
 from ..operators import sections as R
 from ..sources import documents as S
+from . import extract, tables_q
 from . import fixtures as fx
 
 c = F.col
@@ -121,6 +122,16 @@ def r14(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("k", R.frontmatter(meta).alias("text"))
 
 
+def u01(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dirty pages through the whole order of rules; the guard finds no drift."""
+    pages = fx.run(spark, sf_dir, fx.DIRTY).select(c("doc_id").cast("string").alias("source_slug"), F.lit(1).alias("page"), "text", "doc_id")
+    counts = pages.select("source_slug", F.lit(225).alias("page_count"))
+    every = {k: True for k, v in extract.DEFAULTS.items() if v is False and k != "fix_heading_spaces"}
+    done = extract.normalize_pages(pages, every | {"boilerplate_patterns": (tables_q.LICENSE, tables_q.COPY)}, counts)
+    drifted = done.drift.select(F.substring_index("key", "#", 1).alias("source_slug")).distinct()
+    return done.pages.join(drifted, "source_slug", "left_anti").select("doc_id", "text")
+
+
 R14_SQL = """SELECT c_custkey AS k, '---' || chr(10) || 'title: "' || replace(replace(c_name || ' "x" ' || chr(92), chr(92), chr(92) || chr(92)), '"', chr(92) || '"') || '"' || chr(10) || 'source_pages: [1, ' || c_custkey || ']' || chr(10)
   || 'toc_level: 2' || chr(10) || 'tags: [a, b]' || chr(10) || CASE WHEN c_custkey % 2 = 0 THEN 'summary: "' || c_mktsegment || '"' || chr(10) ELSE '' END || 'created: 2024-01-02' || chr(10) || '---' AS text FROM customer"""
 
@@ -130,7 +141,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "g03_column_template": lambda s, d: G.column_template(G.column_bands(frags(s, d))).select("band", "lo", "hi"),
     "g04_dominant_size": lambda s, d: G.dominant_size(frags(s, d)), "g05_column_of": g05, "g06_index": lambda s, d: G.rebuild_index(frags(s, d)),
     "n05_glued_words": n05, "n06_heading_map": n06, "s04_zero_area": s04, "s10_patterns": s10, "s13_scanned": s13, "s14_config": s14, "x22_vault_paths": x22,
-    "k05_moved_vaults": k05, "k08_sort_specs": k08, "r14_frontmatter": r14,
+    "k05_moved_vaults": k05, "k08_sort_specs": k08, "r14_frontmatter": r14, "u01_normalize_pages": u01,
 }
 _SPACED = "SELECT CAST(c_custkey AS INT) AS line_no, c_mktsegment AS glued, left(c_mktsegment, 3) || ' ' || substr(c_mktsegment, 4) AS spaced FROM customer"
 ORACLES: dict[str, str] = {
@@ -145,5 +156,5 @@ ORACLES: dict[str, str] = {
     "s14_config": "SELECT n_name AS source_slug, CASE WHEN n_nationkey % 2 = 0 THEN n_nationkey ELSE 3 END AS split_depth, 'clean' AS tier FROM nation", "x22_vault_paths": X22_SQL,
     "k05_moved_vaults": "SELECT n_name AS source_slug, '/old' AS vault FROM nation WHERE n_nationkey % 4 = 0",
     "k08_sort_specs": "SELECT n_name || '/sortspec.md' AS path, '---' || chr(10) || 'sorting-spec: |-' || chr(10) || '  target-folder: lib/' || n_name || '/**' AS head FROM nation WHERE n_nationkey % 3 <> 0",
-    "r14_frontmatter": R14_SQL,
+    "r14_frontmatter": R14_SQL, "u01_normalize_pages": tables_q.N03_SQL.replace("text || chr(7)", "text"),
 }
