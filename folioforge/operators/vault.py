@@ -45,6 +45,8 @@ _META = (
     "parent:string,prev:string,next:string,tags:array<string>,tags_ok:boolean,summary:string,summary_ok:boolean,created:string,generated_by:string>"
 )
 
+#: The C parser where the YAML library has it.
+_LOADER = getattr(yaml, "CSafeLoader", yaml.SafeLoader)
 _FIELDS = [f.split(":")[0] for f in _META[7:-1].split(",")]
 
 
@@ -52,7 +54,7 @@ def _parsed(text: str | None) -> dict:
     lines = (text or "").split("\n")
     close = next((i for i, x in enumerate(lines) if i and x.strip() == "---"), 0) if lines[0].strip() == "---" else 0
     try:
-        meta = yaml.safe_load("\n".join(lines[1:close])) if close else None
+        meta = yaml.load("\n".join(lines[1:close]), _LOADER) if close else None
     except yaml.YAMLError:
         meta = None
     if not isinstance(meta, dict) or not meta:

@@ -286,7 +286,7 @@ def vault(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return vault(spark, sf_dir).select("path").unionByName(fx.run(spark, sf_dir, "SELECT 'tpch/assets/a.png' AS path FROM {region} WHERE r_regionkey = 0"))
+    return V.scan(fx.run(spark, sf_dir, VAULT)).select("path").unionByName(fx.run(spark, sf_dir, "SELECT 'tpch/assets/a.png' AS path FROM {region} WHERE r_regionkey = 0"))
 
 
 _ALL = "WITH RECURSIVE v AS (SELECT c_custkey AS k, c_name, 'tpch/' || CASE WHEN c_custkey % 31 = 0 THEN 'Bad Name' ELSE '01' END || '-c' || c_custkey || '.md' AS path, c_custkey % 37 <> 0 AS mine FROM customer)"
