@@ -63,12 +63,6 @@ FROM {lineitem} WHERE l_orderkey % 50 = 0
 """
 
 
-def cells(row: str, n: int) -> str:
-    """SQL for a table row's cells after its first: ``n`` values out of the item's columns."""
-    names = ("CAST(l_partkey AS STRING)", "CAST(l_suppkey AS STRING)", "CAST(l_linenumber AS STRING)", "l_returnflag", "l_linestatus", "'4+'", "'-1'", "'x'", "'y'")
-    return ", '|', ".join(names[:n]) if row else ""
-
-
 def tables_sql(head: str, line: str, tail: str = "''", items: str = ITEMS) -> str:
     """One text per sampled order: ``head``, then a line per item, then ``tail``; all SQL expressions."""
     rows = f"SELECT l_orderkey, rn, {line} AS line FROM ({items}) i"

@@ -22,18 +22,15 @@ _V = "'|', CAST(l_partkey AS STRING), '|', CAST(l_suppkey AS STRING), '|', CAST(
 _SEP8 = "'|---|---|---|---|---|---|---|---|', chr(10)"
 _NAME = "concat('|W', CAST(rn AS STRING))"
 _TAIL = "concat(chr(10), 'after | ', chr(10), '```', chr(10), '|x|y|', chr(10), '|---|---|', chr(10), '```')"
-_WEAPON = f"concat({_NAME}, {_V}, 'Am, Sharp', '|'"
 
 
 def _text(head: str, line: str, tail: str = _TAIL) -> str:
     return fx.tables_sql(head, line, tail)
 
 
-# b02/b05: eight columns; a group row, the labels.
-_GROUP, _LABELS = "'||Rng|Rng|Acc|Str|D|AP|', chr(10)", "'|Weapon|S|L|S|Str|D|**Ap**|Traits|', chr(10)"
+# Eight columns: the labels below a group row.
+_LABELS = "'|Weapon|S|L|S|Str|D|**Ap**|Traits|', chr(10)"
 _ROW8 = f"concat({_NAME}, {_V}, 'Melee', '|', chr(10))"
-_MERGED = "'|Weapon|Rng (S)|Rng (L)|Acc (S)|Str|D|AP (**Ap**)|Traits|', chr(10)"
-_PLAIN8 = f"concat({_NAME}, {_V}, 'x', '|', chr(10))"
 
 BEFORE_AFTER: dict[str, tuple[str, Callable[[Column], Column], str]] = {
     "b02_promote_header": (
@@ -160,7 +157,7 @@ def n01(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def n03(spark: SparkSession, sf_dir: str) -> DataFrame:
-    body = lines.normalize_body(F.regexp_replace("text", "\x07", "\x07"), [LICENSE, COPY], True, F.lit(225))
+    body = lines.normalize_body(c("text"), [LICENSE, COPY], True, F.lit(225))
     return fx.run(spark, sf_dir, fx.DIRTY).select("doc_id", body.alias("text"))
 
 
