@@ -55,16 +55,16 @@ SELECT doc_id, concat('## C H A P T E R  ', CAST(doc_id AS STRING), chr(10), tex
 FROM {documents}
 """
 
-#: Lines of sampled orders, numbered by a total order.
+#: Lines of all orders, numbered by a total order.
 ITEMS = """
 SELECT *, row_number() OVER (PARTITION BY l_orderkey
   ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate, l_quantity, l_discount, l_tax) AS rn
-FROM {lineitem} WHERE l_orderkey % 50 = 0
+FROM {lineitem}
 """
 
 
 def tables_sql(head: str, line: str, tail: str = "''", items: str = ITEMS) -> str:
-    """One text per sampled order: ``head``, then a line per item, then ``tail``; all SQL expressions."""
+    """One text per order: ``head``, then a line per item, then ``tail``; all SQL expressions."""
     rows = f"SELECT l_orderkey, rn, {line} AS line FROM ({items}) i"
     return f"""
 SELECT l_orderkey AS k, concat({head}, TEXT_AGG(line, rn), {tail}) AS text FROM ({rows}) r GROUP BY l_orderkey

@@ -82,8 +82,8 @@ def rewrite_oracle(key: str) -> str:
 
 
 _B_TABLE = _text(f"'intro', {NL}, '|Name|Part|Supp|Line|Flag|Status|', {NL}, '|---|---|---|---|---|---|', {NL}", f"concat({_NAME}, {_V}, chr(10))")
-_CHANGED = "CASE WHEN CAST(floor(l_orderkey / 50) AS INT) % 3 = 1 AND rn = 1 THEN CAST(l_partkey + 1 AS STRING) ELSE CAST(l_partkey AS STRING) END"
-_SWAPPED = "SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_returnflag, l_linestatus, rn AS name, CASE WHEN CAST(floor(l_orderkey / 50) AS INT) % 3 = 2 AND rn IN (1, 2) THEN 3 - rn ELSE rn END AS rn FROM (" + fx.ITEMS + ") z"
+_CHANGED = "CASE WHEN l_orderkey % 3 = 1 AND rn = 1 THEN CAST(l_partkey + 1 AS STRING) ELSE CAST(l_partkey AS STRING) END"
+_SWAPPED = "SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_returnflag, l_linestatus, rn AS name, CASE WHEN l_orderkey % 3 = 2 AND rn IN (1, 2) THEN 3 - rn ELSE rn END AS rn FROM (" + fx.ITEMS + ") z"
 _A_TABLE = fx.tables_sql(
     f"'intro', {NL}, '|Name|Part|Supp|Line|Flag|Status|', {NL}, '|---|---|---|---|---|---|', {NL}",
     f"concat('|W', CAST(name AS STRING), '|', {_CHANGED}, '|', CAST(l_suppkey AS STRING), '|', CAST(l_linenumber AS STRING), '|', l_returnflag, '|', l_linestatus, '|', chr(10))", _TAIL, _SWAPPED,
@@ -98,15 +98,15 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 _ITEMS = fx.duck(fx.ITEMS)
 D03_SQL = f"""
 WITH i AS ({_ITEMS}), b AS (
-  SELECT l_orderkey AS k, CAST(l_partkey AS VARCHAR) AS token, -1 AS n FROM i WHERE rn = 1 AND CAST(floor(l_orderkey / 50) AS INT) % 3 = 1
-  UNION ALL SELECT l_orderkey, CAST(l_partkey + 1 AS VARCHAR), 1 FROM i WHERE rn = 1 AND CAST(floor(l_orderkey / 50) AS INT) % 3 = 1)
+  SELECT l_orderkey AS k, CAST(l_partkey AS VARCHAR) AS token, -1 AS n FROM i WHERE rn = 1 AND l_orderkey % 3 = 1
+  UNION ALL SELECT l_orderkey, CAST(l_partkey + 1 AS VARCHAR), 1 FROM i WHERE rn = 1 AND l_orderkey % 3 = 1)
 SELECT k, 0 AS table_no, token, n AS delta FROM b
 """
 D05_SQL = f"""
 WITH i AS ({_ITEMS}), n AS (SELECT l_orderkey AS k, count(*) AS n FROM i GROUP BY 1)
-SELECT k, 'order' AS kind, 0 AS table_no, 'W1 -> W2' AS detail FROM n WHERE CAST(floor(k / 50) AS INT) % 3 = 2 AND n >= 2
-UNION ALL SELECT l_orderkey, 'dropped', 0, CAST(l_partkey AS VARCHAR) || ' x1' FROM i WHERE rn = 1 AND CAST(floor(l_orderkey / 50) AS INT) % 3 = 1
-UNION ALL SELECT l_orderkey, 'added', 0, CAST(l_partkey + 1 AS VARCHAR) || ' x1' FROM i WHERE rn = 1 AND CAST(floor(l_orderkey / 50) AS INT) % 3 = 1
+SELECT k, 'order' AS kind, 0 AS table_no, 'W1 -> W2' AS detail FROM n WHERE k % 3 = 2 AND n >= 2
+UNION ALL SELECT l_orderkey, 'dropped', 0, CAST(l_partkey AS VARCHAR) || ' x1' FROM i WHERE rn = 1 AND l_orderkey % 3 = 1
+UNION ALL SELECT l_orderkey, 'added', 0, CAST(l_partkey + 1 AS VARCHAR) || ' x1' FROM i WHERE rn = 1 AND l_orderkey % 3 = 1
 """
 D04_SQL = f"SELECT l_orderkey AS k, string_agg('W' || CAST(rn AS VARCHAR), ',' ORDER BY rn) AS anchors FROM ({_ITEMS}) i GROUP BY l_orderkey"
 N10_SQL = f"""
@@ -223,7 +223,7 @@ def d06(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def d09(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repair verdicts: table edits of which every fifth also changes prose, and one in seven is a mere promotion."""
-    table = pairs(spark, sf_dir).withColumn("after", F.when(c("k") % 250 == 0, F.concat("after", F.lit(" more"))).otherwise(c("after"))).withColumn("kind", F.lit("table"))
+    table = pairs(spark, sf_dir).withColumn("after", F.when(c("k") % 5 == 0, F.concat("after", F.lit(" more"))).otherwise(c("after"))).withColumn("kind", F.lit("table"))
     promoted = _both(BEFORE_AFTER["b04_promote_label_row"][0], spark, sf_dir).select((-c("k") - 1).alias("k"), c("text").alias("before"), tables.promote_label_row(c("text")).alias("after"), F.lit("table").alias("kind"))
     index = fx.run(spark, sf_dir, _INDEX).select((c("k") + 1_000_000_000).alias("k"), "before", "after", F.lit("index").alias("kind"))
     return guards.repair_drift(table.unionByName(promoted).unionByName(index), "k").fillna(-1, ["table_no"])
@@ -231,7 +231,7 @@ def d09(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 D09_SQL = f"""
 {D05_SQL}
-UNION ALL SELECT DISTINCT l_orderkey, 'prose', -1, 'lines outside tables changed' FROM ({_ITEMS}) p WHERE l_orderkey % 250 = 0
+UNION ALL SELECT DISTINCT l_orderkey, 'prose', -1, 'lines outside tables changed' FROM ({_ITEMS}) p WHERE l_orderkey % 5 = 0
 UNION ALL SELECT k + 1000000000, 'index', -1, 'position ' || position || ': ' || was || ' -> ' || now FROM ({D07_SQL}) x
 """
 

@@ -32,3 +32,10 @@ def test_query_equals_sql(spark, duck, key):
 
 def test_every_query_has_sql():
     assert set(catalog.queries()) == set(catalog.oracle_sql())
+
+
+def test_fixtures_read_every_order(spark, duck):
+    """Table and guard queries see all lines, not those of chosen order keys."""
+    orders, items = duck.sql("SELECT count(DISTINCT l_orderkey), count(*) FROM lineitem").fetchall()[0]
+    assert catalog.queries()["d04_row_anchors"](spark, SF).count() == orders
+    assert catalog.queries()["n10_table_rows"](spark, SF).where("row_no > 1").count() == items
