@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +42,17 @@ def folded(text: str) -> np.ndarray:
     return np.where(low, _FOLD[np.where(low, codes, 0)], codes)
 
 
+def collapsed(text: str) -> tuple[str, np.ndarray]:
+    """The text with one blank for each run of white space, and the source position of each of its characters."""
+    blank = folded(text) == 32
+    again = blank[1:] & blank[:-1]
+    if not again.any():
+        return text, np.arange(len(text))
+    places = np.flatnonzero(np.append(True, ~again))
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)[places]
+    return codes.tobytes().decode("utf-32-le", "surrogatepass"), places
+
+
 def gram_hashes(codes: np.ndarray, q: int) -> np.ndarray:
     """A 64-bit hash of the q characters from each position on, put together from hashes of 1, 2, 4, ... characters."""
     n = len(codes) - q + 1
@@ -204,6 +215,15 @@ class BenchmarkIndex:
         self._search(group, out)
         return out
 
+    def find_in(self, texts: Sequence[str]) -> list[list[Region]]:
+        """:func:`find` in texts whose runs of white space count as one blank; starts and ends are those of the source."""
+        pairs = [collapsed(t) for t in texts]
+        out = []
+        for (_, places), regions in zip(pairs, self.find([t for t, _ in pairs])):
+            source = lambda r: (int(places[max(r.start, 0)]), int(places[min(r.end, len(places)) - 1]) + 1)
+            out.append([replace(r, start=a, end=b) for r in regions for a, b in [source(r)]])
+        return out
+
     def _search(self, group: Sequence[tuple[int, np.ndarray]], out: list[list[Region]]) -> None:
         if not group:
             return
@@ -258,7 +278,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, max_chars: int = 2
     """One row per document and benchmark item that it repeats: ``(doc_id, item_id, n_windows, start, end, edits)``.
 
     ``n_windows`` counts the item's windows found, ``start`` and ``end`` span them in code points of the text, ``edits`` is
-    the least number of edits of any. Letter case and the kind of white space don't count. Items of fewer than 40
+    the least number of edits of any. Letter case and the kind and amount of white space don't count. Items of fewer than 40
     characters are too common to tell and are not searched. Null texts hold nothing; null ids and repeated rows are
     rows like others; extra columns are not read; an empty benchmark finds nothing.
     """
@@ -272,7 +292,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, max_chars: int = 2
         def run(batch: pa.RecordBatch, ids=ids, index=index) -> Iterator[dict]:
             doc_ids = batch.column(0).to_pylist()
             out: dict[str, list] = {c: [] for c in ("doc_id", "item_id", "n_windows", "start", "end", "edits")}
-            for doc_id, regions in zip(doc_ids, index.find(texts_of(batch))):
+            for doc_id, regions in zip(doc_ids, index.find_in(texts_of(batch))):
                 for item in dict.fromkeys(r.item for r in regions):
                     own = [r for r in regions if r.item == item]
                     row = (doc_id, ids[item], len({r.window for r in own}), min(r.start for r in own), max(r.end for r in own), min(r.edits for r in own))
@@ -291,7 +311,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, max_chars: int = 20
         index = BenchmarkIndex([t for _, t in items], **options)
 
         def run(batch: pa.RecordBatch, index=index) -> pa.RecordBatch:
-            return batch.filter(pa.array([not r for r in index.find(texts_of(batch))], pa.bool_()))
+            return batch.filter(pa.array([not r for r in index.find_in(texts_of(batch))], pa.bool_()))
 
         docs = rewrite_rows(docs, run)
     return docs

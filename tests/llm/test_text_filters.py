@@ -242,6 +242,17 @@ def test_contamination_tables(spark):
     assert decontam.find_contamination(docs(spark, rows), bench.limit(0)).count() == 0
 
 
+def test_contamination_with_runs_of_white_space(spark):
+    item = "for each row in rows:\n        total += row.value\n        if total > limit:\n            break\n    report the total of all rows to the caller"
+    bench = spark.createDataFrame([(1, item), (2, "Onhe in haedea it ha with orbleat thesstea heerthly and erensh oron nt thinorsh erresh that anonhath")], "item_id long, text string")
+    spaced = "Onhe in haedea it ha with orbleat thesstea heerthly and erensh oron nt thinorsh erresh that anonhath".replace(" ", " \n\t ")
+    rows = [(1, "x  y " + item + "  z", "en"), (2, "  a\n\n" + spaced + "\n\n b", "en"), (3, " \n ", "en"), *AWKWARD[1:]]
+    got = {(r.doc_id, r.item_id): r for r in decontam.find_contamination(docs(spark, rows), bench).collect()}
+    assert set(got) == {(1, 1), (2, 2)}
+    assert (got[1, 1].start, got[1, 1].end, got[1, 1].edits) == (5, 5 + len(item), 0)
+    assert (got[2, 2].start, got[2, 2].end, got[2, 2].edits) == (5, 5 + len(spaced), 0)
+
+
 def test_top_k_equals_brute_force(spark):
     rng = np.random.default_rng(11)
     rows = [(i, [float(np.float32(x)) for x in rng.normal(size=6) * (1 + i % 5)]) for i in range(400)]
