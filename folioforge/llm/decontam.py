@@ -138,21 +138,25 @@ def banded_alignment(pattern: np.ndarray, text: np.ndarray, origin: int, width:
 class BenchmarkIndex:
     """Q-grams of the windows of benchmark items.
 
-    An item is covered by windows of ``window`` characters, one every half window and one at its end; a shorter item is a
-    window of its own. A window of w characters takes ``k = floor(rate * w)`` edits, fewer where the q-gram lemma would
+    An item is covered by windows of ``window`` characters, one every ``stride`` and one at its end, so that each stretch of
+    ``window + stride - 1`` characters holds one; a shorter item is a window of its own, and one below ``min_chars`` is
+    matched without edits between word boundaries. A window of w characters takes ``k = floor(rate * w)`` edits, fewer where the q-gram lemma would
     leave no bound; it then shares at least ``w + 1 - q * (k + 1)`` q-grams with any stretch within k edits, all on
     diagonals at most k apart.
     """
 
-    def __init__(self, items: Sequence[str], q: int = 10, window: int = 100, rate: float = 0.08, min_chars: int = 40) -> None:
+    def __init__(self, items: Sequence[str], q: int = 10, window: int = 70, stride: int = 20, rate: float = 0.08, min_chars: int = 40) -> None:
         self.q = q
+        short: dict[int, list[tuple[int, np.ndarray]]] = {}
         self.patterns: list[np.ndarray] = []
         owner, grams, gram_window, gram_at = [], [], [], []
         for i, item in enumerate(items):
             codes = folded(" ".join(item.split()))
             if len(codes) < max(min_chars, q):
+                if any(chr(c).isalnum() for c in codes):
+                    short.setdefault(len(codes), []).append((i, codes))
                 continue
-            starts = {0} if len(codes) <= window else {*range(0, len(codes) - window + 1, window // 2), len(codes) - window}
+            starts = {0} if len(codes) <= window else {*range(0, len(codes) - window + 1, stride), len(codes) - window}
             for start in sorted(starts):
                 pattern = codes[start : start + window]
                 h = gram_hashes(pattern, q)
@@ -162,6 +166,13 @@ class BenchmarkIndex:
                 self.patterns.append(pattern)
                 owner.append(i)
         self.owner = np.array(owner, np.int64)
+        #: Short items by length: their hashes, ascending, with item, window number after the patterns and characters.
+        self.short: dict[int, tuple[np.ndarray, list[tuple[int, int, np.ndarray]]]] = {}
+        number = len(self.patterns)
+        for size, found in sorted(short.items()):
+            rows = sorted(((int(gram_hashes(codes, size)[0]), i, number + k, codes) for k, (i, codes) in enumerate(found)), key=lambda r: r[:2])
+            self.short[size] = np.array([r[0] for r in rows], np.uint64), [r[1:] for r in rows]
+            number += len(found)
         widths = np.array([len(p) for p in self.patterns], np.int64)
         self.edits = np.maximum(np.minimum((widths * rate).astype(np.int64), widths // q - 1), 0)
         self.needed = np.maximum(widths + 1 - q * (self.edits + 1), 1)
@@ -199,6 +210,8 @@ class BenchmarkIndex:
     def find(self, texts: Sequence[str]) -> list[list[Region]]:
         """For each text its regions, one for each window and place, in the order of item, window and start."""
         out: list[list[Region]] = [[] for _ in texts]
+        for i, text in enumerate(texts if self.short else ()):
+            out[i] = self._exact(folded(text))
         if not self.patterns:
             return out
         group: list[tuple[int, np.ndarray]] = []
@@ -215,6 +228,21 @@ class BenchmarkIndex:
         self._search(group, out)
         return out
 
+    def _exact(self, codes: np.ndarray) -> list[Region]:
+        """The places of short items that no letter or digit continues."""
+        out = []
+        inside = lambda a, b: a >= 0 and b < len(codes) and chr(codes[a]).isalnum() and chr(codes[b]).isalnum()
+        for size, (hashes, items) in self.short.items():
+            h = gram_hashes(codes, size)
+            first, last = np.searchsorted(hashes, h), np.searchsorted(hashes, h, side="right")
+            for at in np.flatnonzero(last > first).tolist():
+                if inside(at - 1, at) or inside(at + size - 1, at + size):
+                    continue
+                for item, window, signs in items[first[at] : last[at]]:
+                    if np.array_equal(codes[at : at + size], signs):
+                        out.append(Region(item, window, at, at + size, 0))
+        return sorted(out, key=lambda r: (r.item, r.window, r.start))
+
     def find_in(self, texts: Sequence[str]) -> list[list[Region]]:
         """:func:`find` in texts whose runs of white space count as one blank; starts and ends are those of the source."""
         pairs = [collapsed(t) for t in texts]
@@ -279,7 +307,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, max_chars: int = 2
 
     ``n_windows`` counts the item's windows found, ``start`` and ``end`` span them in code points of the text, ``edits`` is
     the least number of edits of any. Letter case and the kind and amount of white space don't count. Items of fewer than 40
-    characters are too common to tell and are not searched. Null texts hold nothing; null ids and repeated rows are
+    characters are searched whole, without edits and between word boundaries. Null texts hold nothing; null ids and repeated rows are
     rows like others; extra columns are not read; an empty benchmark finds nothing.
     """
     schema = "doc_id long, item_id long, n_windows int, start int, end int, edits int"

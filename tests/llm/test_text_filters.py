@@ -253,6 +253,17 @@ def test_contamination_with_runs_of_white_space(spark):
     assert (got[2, 2].start, got[2, 2].end, got[2, 2].edits) == (5, 5 + len(spaced), 0)
 
 
+def test_contamination_by_shorter_passages_and_short_items():
+    rng = random.Random(13)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    long = " ".join("".join(rng.choice(letters) for _ in range(rng.randint(3, 9))) for _ in range(60))
+    index = decontam.BenchmarkIndex([long, "What is 2 + 2?", "Paris", "?!"])
+    for start in range(0, len(long) - 92):
+        assert [r.item for r in index.find_in(["lead " + long[start : start + 92] + " tail"])[0]][:1] == [0], start
+    texts = ["so, what  is 2 + 2?", "go to PARIS.", "comparison parisian", "what is 2 + 3?", "?!", ""]
+    assert [[(r.item, r.start, r.end) for r in found] for found in index.find_in(texts)] == [[(1, 4, 19)], [(2, 6, 11)], [], [], [], []]
+
+
 def test_top_k_equals_brute_force(spark):
     rng = np.random.default_rng(11)
     rows = [(i, [float(np.float32(x)) for x in rng.normal(size=6) * (1 + i % 5)]) for i in range(400)]
