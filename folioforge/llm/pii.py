@@ -44,15 +44,15 @@ DIGIT_WORDS = {
 _TABLE = str.maketrans(LOOKALIKES)
 _ODD = re.compile("[" + re.escape("".join(LOOKALIKES) + INVISIBLE) + "]")
 _DIGIT = "(?:" + "|".join(sorted(DIGIT_WORDS, key=len, reverse=True)) + ")"
+_BR_DOT = r"[ ]?[\[({<][ ]?(?:dot|\.)[ ]?[\])}>][ ]?"
 _ITEM = rf"(?:{_DIGIT}(?![^\W_])|[0-9]+(?![^\W\d_]))"
 #: Three or more spelled digits in a row; plain digits, "plus", "dot" and "dash" may stand between them.
 _SPELLED = re.compile(
-    rf"(?<![^\W_])(?:plus[ -]?)?{_ITEM}(?:(?:[ ,-]{{1,2}}|[ ]?(?:\.|dot|point|dash|hyphen)[ ]?|[ ]?[()][ ]?){_ITEM})+", re.I
+    rf"(?<![^\W_])(?:plus[ -]?)?{_ITEM}(?:(?:[ ,-]{{1,2}}|{_BR_DOT}|[ ]?(?:\.|dot|point|dash|hyphen)[ ]?|[ ]?[()][ ]?){_ITEM})+", re.I
 )
-_TOKEN = re.compile(rf"(?P<d>{_DIGIT})|(?P<p>plus[ -]?)|(?P<o>[ ]?(?:dot|point)[ ]?)|(?P<h>[ ]?(?:dash|hyphen)[ ]?)|(?P<s>[ ,-]{{1,2}})|(?P<x>.)", re.I | re.S)
-_HINT = re.compile(rf"(?<![^\W_]){_DIGIT}[ ,-]{{1,2}}{_DIGIT}(?![^\W_])", re.I)
+_TOKEN = re.compile(rf"(?P<d>{_DIGIT})|(?P<p>plus[ -]?)|(?P<o>{_BR_DOT}|[ ]?(?:dot|point)[ ]?)|(?P<h>[ ]?(?:dash|hyphen)[ ]?)|(?P<s>[ ,-]{{1,2}})|(?P<x>.)", re.I | re.S)
+_HINT = re.compile(rf"(?<![^\W_]){_DIGIT}(?:[ ,-]{{1,2}}|[ ]?(?:\.|dot|point|dash|hyphen)[ ]?|[ ]?[()][ ]?|{_BR_DOT}){_DIGIT}(?![^\W_])", re.I)
 _BR_AT = r"[ ]?[\[({<][ ]?(?:at|@)[ ]?[\])}>][ ]?"
-_BR_DOT = r"[ ]?[\[({<][ ]?(?:dot|\.)[ ]?[\])}>][ ]?"
 _WORD_AT, _WORD_DOT = r"[ ]+at[ ]+", r"[ ]+dot[ ]+"
 _PART = r"[A-Za-z0-9-]+"
 #: Disguised addresses: a bracketed "at" with plain or disguised dots, or a bare "at" with disguised dots only.
@@ -61,6 +61,8 @@ _DISGUISED = re.compile(
     rf"(?:{_BR_AT}{_PART}(?:(?:{_BR_DOT}|{_WORD_DOT}|\.){_PART})+|{_WORD_AT}{_PART}(?:(?:{_BR_DOT}|{_WORD_DOT}){_PART})+|@{_PART}(?:\.{_PART})*(?:(?:{_BR_DOT}|{_WORD_DOT}){_PART})+)",
     re.I,
 )
+#: Dots between digits, bracketed or spelled.
+_NUMBER_DOT = re.compile(rf"(?<=[0-9])(?:{_BR_DOT}|[ ]*(?:dot|point)[ ]*)(?=[0-9])", re.I)
 _DISGUISE_HINT = re.compile(r"[\[({<][ ]?(?:at|@|dot|\.)[ ]?[\])}>]|[ ]dot[ ]", re.I)
 _AT_OR_DOT = re.compile(rf"(?P<at>{_BR_AT}|{_WORD_AT})|(?P<dot>{_BR_DOT}|{_WORD_DOT})", re.I)
 
@@ -108,8 +110,8 @@ def base_spans(text: str) -> list[Span]:
 def _undisguise(text: str) -> tuple[str, list[int], list[int]] | None:
     """The normalised text with the source start and end of each of its characters; None if nothing is disguised.
 
-    Three transducers run one after the other, each rewriting pieces and composing the offsets: look-alike and invisible
-    characters, spelled digits, then at/dot disguises.
+    Four transducers run one after the other, each rewriting pieces and composing the offsets: look-alike and invisible
+    characters, spelled digits, dots between digits, then at/dot disguises.
     """
     odd = _ODD.search(text) is not None
     changed = False
@@ -149,6 +151,7 @@ def _undisguise(text: str) -> tuple[str, list[int], list[int]] | None:
                     out = DIGIT_WORDS[t.group().lower()] if t.lastgroup == "d" else sign[t.lastgroup]
                     edits.append((*t.span(), out))
         apply(edits)
+    apply([(*m.span(), ".") for m in _NUMBER_DOT.finditer(text)])
     if _DISGUISE_HINT.search(text):
         edits = []
         for m in _DISGUISED.finditer(text):

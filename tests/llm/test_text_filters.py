@@ -62,6 +62,32 @@ def test_pii_leaves_plain_text(text):
     assert pii.all_spans(text) == ([], [])
 
 
+@pytest.mark.parametrize(
+    "source",
+    [
+        "192[.]168[.]1[.]7", "192 (dot) 168 (dot) 1 (dot) 7", "192 dot 168 dot 1 dot 7", "192.168[dot]1 DOT 7", "192 point 168 point 1 point 7",
+        "eight dot eight dot eight dot eight", "eight point eight point eight point eight", "eight [dot] eight [dot] eight [dot] eight", "eight.eight.eight.eight",
+    ],
+)
+def test_pii_dots_between_digits(source):
+    text = f"ip {source}, then"
+    base, spans = pii.all_spans(text)
+    assert base == [] and spans == [(1, 3, 3 + len(source))]
+    assert pii.redact(text) == "ip [IP], then"
+
+
+def test_pii_dashes_between_spelled_digits():
+    source = "plus one dash five five five dash zero one zero dash nine nine nine nine"
+    assert pii.redact(f"call {source}.") == "call [PHONE]."
+    apart = "plus one dash five dash five dash five dash zero dash one dash zero dash nine dash nine dash nine"
+    assert pii.redact(f"call {apart}.") == "call [PHONE]."
+
+
+@pytest.mark.parametrize("text", ["release 2 dot 5 is out", "at 3 point 7 of 10", "one dot two", "1 dot 300 dot 1 dot 1", "a 1 (dot) b 2"])
+def test_pii_dots_in_plain_text(text):
+    assert pii.redact(text) == text
+
+
 def test_pii_tables(spark):
     rows = {r.doc_id: r for r in pii.find_pii(docs(spark, AWKWARD)).collect()}
     assert rows[3].n_email == 1 and rows[3].spans == "email:0:5" and rows[1].spans == "" and len(rows) == 5
