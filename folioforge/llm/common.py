@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import tempfile
 from collections.abc import Callable, Iterator, Sequence
 
@@ -20,16 +21,41 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def checkpoint(df: DataFrame) -> DataFrame:
     """``df`` written to the shared checkpoint folder, its lineage cut.
 
-    The folder is the session's ``spark.checkpoint.dir``. Only a session that names none (tests) gets one of its own.
+    The folder is the session's ``spark.checkpoint.dir``. Only a session in one process (tests) may do without; on a
+    cluster that is an error, since a folder of one machine would be lost with it.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        shared = spark.conf.get("spark.checkpoint.dir", None)
+        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not shared and not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(shared or os.path.join(tempfile.gettempdir(), "folioforge-checkpoints"))
     return df.checkpoint(eager=True)
 
 
+#: Bytes and rows of the record batches that go to Python workers, where the session sets nothing else.
+BATCH_BYTES, BATCH_ROWS = "8m", "2000"
+
+
+def _bounded_batches(spark: SparkSession) -> None:
+    """Long texts make large batches; a session that keeps Spark's default sizes gets smaller ones."""
+    for key, value in (("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES), ("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)):
+        if spark.conf.get(key, None) in (None, "10000", "2147483647", "2147483647b"):
+            spark.conf.set(key, value)
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """A column name for each of ``names`` that ``df`` doesn't have, whatever its letter case."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def map_batches(
     df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], Iterator[dict[str, object]]]
 ) -> DataFrame:
@@ -40,6 +66,7 @@ def map_batches(
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
+    _bounded_batches(df.sparkSession)
     struct = StructType.fromDDL(schema)
     arrow = to_arrow_schema(struct)
 
@@ -64,6 +91,7 @@ def rewrite_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch])
         for batch in batches:
             yield fn(batch)
 
+    _bounded_batches(df.sparkSession)
     return df.mapInArrow(run, df.schema)
 
 

@@ -157,22 +157,3 @@ def near_duplicates(
     moved = linked.join(smallest, "root").select("fp", "component")
     of = nodes.join(moved, "fp", "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
     return prints.join(of, "fp").select("doc_id", "fp", "component_id")
-
-
-def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one document of each near-duplicate group: the one with the smallest doc_id.
-
-    Rows with a null doc_id can't be told apart and stay. Of rows that repeat a kept doc_id, one stays. All columns,
-    also ones named like the operator's own, are kept.
-    """
-    kept = (
-        near_duplicates(docs, **options)
-        .where(F.col("doc_id") == F.col("component_id"))
-        .groupBy(F.col("doc_id").alias("__id"))
-        .agg((F.count(F.lit(1)) > 1).alias("__again"))
-    )
-    own = docs.withColumn("__id", F.col("doc_id").cast("long"))
-    joined = own.join(kept, "__id")
-    once = joined.where("NOT __again").drop("__id", "__again")
-    again = joined.where("__again").dropDuplicates(["__id"]).drop("__id", "__again")
-    return once.unionByName(again).unionByName(docs.where(F.col("doc_id").isNull()))
