@@ -5,7 +5,7 @@ from pyspark.sql import SparkSession
 
 
 @pytest.fixture(scope="session")
-def spark() -> SparkSession:
+def spark(tmp_path_factory: pytest.TempPathFactory) -> SparkSession:
     session = (
         SparkSession.builder.master("local[4]")
         .config("spark.driver.memory", "4g")
@@ -13,6 +13,7 @@ def spark() -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
