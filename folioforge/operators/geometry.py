@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..functions import unicode as U
 
 
 def keep_zero_area(x0: Column, y0: Column, x1: Column, y1: Column, cell: tuple[Column, Column, Column, Column], overlaps: Column) -> Column:
@@ -16,29 +18,35 @@ def keep_zero_area(x0: Column, y0: Column, x1: Column, y1: Column, cell: tuple[C
 
 
 def fragments(spans: DataFrame) -> DataFrame:
-    """Fragments out of spans ``(..., y0, y1, flags)``: mid-height with one decimal, bold by flag 16, blank ones dropped."""
+    """Fragments out of spans ``(..., y0, y1, flags)``: mid-height with one decimal, half to even, bold by flag 16, blank ones dropped."""
     kept = spans.where(X.strip(F.col("text")) != "")
-    return kept.withColumn("y", F.round((F.col("y0") + F.col("y1")) / 2, 1)).withColumn("bold", F.col("flags").bitwiseAND(16) != 0).drop("y0", "y1", "flags")
+    return kept.withColumn("y", U.python_round((F.col("y0") + F.col("y1")) / 2, 1)).withColumn("bold", F.col("flags").bitwiseAND(16) != 0).drop("y0", "y1", "flags")
 
 
 def row_numbers(frags: DataFrame, tolerance: float = 4.0) -> DataFrame:
     """Add ``row``, from 0 on each page: a fragment joins a row while within ``tolerance`` of the row's first fragment.
 
-    The anchor makes this a fold along the page's fragments by (y, x0); a page's fragments are one small array.
+    The anchor makes this a walk along the page's fragments by (y, x0); only their heights go to Python, as one array for
+    each page.
     """
     keys = ["source_slug", "page"]
     others = [c for c in frags.columns if c not in keys]
     item = F.struct(F.col("y").alias("__y"), F.col("x0").alias("__x"), F.col("frag_ord").alias("__o"), *others)
     page = frags.groupBy(*keys).agg(F.sort_array(F.collect_list(item)).alias("f"))
-    start = F.struct(F.lit(None).cast("double").alias("anchor"), F.lit(-1).alias("row"), F.array().cast("array<int>").alias("rows"))
 
-    def step(state: Column, f: Column) -> Column:
-        same = F.coalesce(F.abs(f["__y"] - state["anchor"]) <= tolerance, F.lit(False))
-        row = F.when(same, state["row"]).otherwise(state["row"] + 1)
-        return F.struct(F.when(same, state["anchor"]).otherwise(f["__y"]).alias("anchor"), row.alias("row"), F.concat(state["rows"], F.array(row)).alias("rows"))
+    @F.pandas_udf("array<int>")
+    def rows_of(heights: pd.Series) -> pd.Series:
+        def one(ys) -> list[int]:
+            found, anchor, row = [], None, -1
+            for y in ys:
+                if anchor is None or y is None or not abs(y - anchor) <= tolerance:
+                    anchor, row = y, row + 1
+                found.append(row)
+            return found
 
-    rows = F.aggregate("f", start, step, lambda s: s["rows"])
-    z = page.select(*keys, F.explode(F.arrays_zip(F.col("f"), rows.alias("r"))).alias("z"))
+        return heights.map(one)
+
+    z = page.select(*keys, F.explode(F.arrays_zip(F.col("f"), rows_of(F.transform("f", lambda f: f["__y"])).alias("r"))).alias("z"))
     return z.select(*keys, *[F.col(f"z.f.{c}").alias(c) for c in others], F.col("z.r").alias("row"))
 
 
@@ -79,7 +87,7 @@ def column_of(x0: Column, cuts: Column) -> Column:
 
 def dominant_size(frags: DataFrame) -> DataFrame:
     """``(source_slug, size)``: the most frequent size to one decimal, ties to the one met first by (page, frag_ord)."""
-    sized = frags.select("source_slug", F.round("size", 1).alias("size"), F.struct("page", "frag_ord").alias("at"))
+    sized = frags.select("source_slug", U.python_round(F.col("size")).alias("size"), F.struct("page", "frag_ord").alias("at"))
     n = sized.groupBy("source_slug", "size").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))
     r = F.row_number().over(W.partitionBy("source_slug").orderBy(F.desc("n"), "first"))
     return n.withColumn("r", r).where("r = 1").select("source_slug", "size")
@@ -99,7 +107,7 @@ def rebuild_index(frags: DataFrame, title: str = "Index", tolerance: float = 0.6
     edges = template.groupBy("source_slug").agg(F.count(F.lit(1)).alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("n >= 2").drop("n")
     cuts = column_cuts(template).join(edges, "source_slug")
     body = filled.join(cuts, "source_slug").join(dominant_size(filled).withColumnRenamed("size", "dom"), "source_slug")
-    sized = F.abs(F.round("size", 1) - F.col("dom")) <= tolerance
+    sized = F.abs(U.python_round(F.col("size")) - F.col("dom")) <= tolerance
     kept = body.where((sized | X.strip(F.col("text")).rlike(_LETTER)) & F.col("x0").between(F.col("lo") - room, F.col("hi") + room))
     columns = kept.withColumn("page", F.struct("page", column_of(F.col("x0"), F.col("cuts")).alias("col"))).select(*frags.columns)
     shown = F.when(F.col("bold"), F.concat(F.lit("**"), X.strip(F.col("text")), F.lit("**"))).otherwise(F.col("text"))

@@ -40,17 +40,23 @@ def table_count_drift(pairs: DataFrame, key: str) -> DataFrame:
     return pairs.select(key, *n).where("n_before <> n_after")
 
 
+#: The token of a finding about the number of tables; no white-space token of a cell can be this.
+TABLES = "number of tables"
+
+
 def data_drift(pairs: DataFrame, key: str) -> DataFrame:
-    """Tokens whose number differs: ``(<key>, table_no, token, delta)`` for texts with as many tables before as after.
+    """Tokens whose number differs: ``(<key>, table_no, token, delta)``.
 
-    ``pairs`` holds ``before`` and ``after``. One row of tokens is exploded with +1 or -1 and summed, so neither a join nor
-    a second shuffle is needed.
+    A text with more or fewer tables after the edit has one row instead: table -1, the token :data:`TABLES`, and the
+    difference. ``pairs`` holds ``before`` and ``after``; null texts are empty. One row of tokens is exploded with +1 or -1
+    and summed, so neither a join nor a second shuffle is needed.
     """
     b, a = (blocks(F.coalesce(F.col(c), F.lit(""))) for c in ("before", "after"))
     both = pairs.select(key, b.alias("b"), a.alias("a"))
     signed = lambda c, n: F.transform(F.col(c), lambda block, i: F.transform(data_tokens(block), lambda w: F.struct(i.alias("table_no"), w.alias("token"), F.lit(n).alias("n"))))
     # No filter on the texts: it would be pushed below the rules that made them, and repeat their work.
-    tokens = F.when(F.size("b") == F.size("a"), F.flatten(F.concat(signed("b", -1), signed("a", 1))))
+    count = F.array(F.struct(F.lit(-1).alias("table_no"), F.lit(TABLES).alias("token"), (F.size("a") - F.size("b")).alias("n")))
+    tokens = F.when(F.size("b") == F.size("a"), F.flatten(F.concat(signed("b", -1), signed("a", 1)))).otherwise(count)
     each = both.select(key, F.explode_outer(tokens).alias("t")).select(key, "t.*").where("token IS NOT NULL")
     return each.groupBy(key, "table_no", "token").agg(F.sum("n").cast("int").alias("delta")).where("delta <> 0")
 
@@ -73,7 +79,7 @@ def strict_drift(pairs: DataFrame, key: str) -> DataFrame:
     count = table_count_drift(pairs, key).select(
         key, F.lit("tables").alias("kind"), F.lit(None).cast("int").alias("table_no"), F.concat_ws(" -> ", "n_before", "n_after").alias("detail")
     )
-    tokens = data_drift(pairs, key).select(key, F.when(F.col("delta") > 0, "added").otherwise("dropped").alias("kind"), "table_no", F.concat_ws(" x", "token", F.abs("delta")).alias("detail"))
+    tokens = data_drift(pairs, key).where("table_no >= 0").select(key, F.when(F.col("delta") > 0, "added").otherwise("dropped").alias("kind"), "table_no", F.concat_ws(" x", "token", F.abs("delta")).alias("detail"))
     order = order_drift(pairs, key).select(key, F.lit("order").alias("kind"), "table_no", F.concat_ws(" -> ", "was", "now").alias("detail"))
     return count.unionByName(tokens).unionByName(order)
 
@@ -107,16 +113,27 @@ def other_lines(text: Column) -> Column:
 def repair_drift(proposals: DataFrame, key: str) -> DataFrame:
     """What speaks against proposed bodies: ``(<key>, kind, table_no, detail)``; none means accepted.
 
-    ``proposals`` holds ``kind`` (``index`` or ``table``), ``before`` and ``after``. Index edits must keep the token order. Table
-    edits must keep the data strictly and all other lines, unless they are just the promotion of a label row. Line
-    feeds at the end don't count.
+    ``proposals`` holds ``kind`` (``index`` or ``table``; null is ``table``, any other is a finding), ``before`` and ``after``.
+    Index edits must keep the token order. Table edits must keep the data strictly, and all other lines unless they are just
+    the promotion of a label row. Line feeds at the end don't count.
     """
-    trimmed = proposals.select(key, "kind", *[F.regexp_replace(F.coalesce(F.col(c), F.lit("")), r"\n+\z", "").alias(c) for c in ("before", "after")])
+    trimmed = proposals.select(key, F.coalesce("kind", F.lit("table")).alias("kind"), *[F.regexp_replace(F.coalesce(F.col(c), F.lit("")), r"\n+\z", "").alias(c) for c in ("before", "after")])
     index = index_drift(trimmed.where("kind = 'index'"), key).select(
         key, F.lit("index").alias("kind"), F.lit(None).cast("int").alias("table_no"), F.concat(F.lit("position "), F.col("position"), F.lit(": "), F.col("was"), F.lit(" -> "), F.col("now")).alias("detail")
     )
-    tables = trimmed.where("kind = 'table'").where(F.col("after") != promote_label_row(F.col("before")))
-    prose = tables.where(other_lines(F.col("before")) != other_lines(F.col("after"))).select(
+    unknown = trimmed.where(~F.col("kind").isin("index", "table")).select(
+        key, F.lit("kind").alias("kind"), F.lit(None).cast("int").alias("table_no"), F.concat(F.lit("unknown kind "), F.col("kind")).alias("detail")
+    )
+    tables = trimmed.where("kind = 'table'")
+    changed = (F.col("after") != promote_label_row(F.col("before"))) & (other_lines(F.col("before")) != other_lines(F.col("after")))
+    prose = tables.where(changed).select(
         key, F.lit("prose").alias("kind"), F.lit(None).cast("int").alias("table_no"), F.lit("lines outside tables changed").alias("detail")
     )
-    return index.unionByName(strict_drift(tables, key)).unionByName(prose)
+    return index.unionByName(strict_drift(tables, key)).unionByName(prose).unionByName(unknown)
+
+
+def raise_on_drift(drift: DataFrame, what: str = "edit") -> None:
+    """Stop where a guard has findings; the message shows the first twenty."""
+    found = drift.limit(20).collect()
+    if found:
+        raise ValueError(f"data drift, {what} not applied: " + "; ".join(str(r.asDict()) for r in found))

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -13,9 +14,6 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..functions import unicode as U
 
-#: Levels deeper than this in one outline are not expected; the bound is on nesting, not on entries.
-MAX_DEPTH = 12
-
 
 def choose_source(candidates: DataFrame) -> DataFrame:
     """Entries of the best source of each document: ``priority`` (smallest first) out of embedded, toc-page, headings, pages."""
@@ -51,52 +49,60 @@ def effective_levels(toc: DataFrame) -> DataFrame:
     return with_k.withColumn("eff", F.least(F.col("k") + 1, F.col("k") + low)).drop("__l")
 
 
-def build_sections(toc: DataFrame, pages: DataFrame, pad_width: int = 2, slug_len: int = 60, max_depth: int = MAX_DEPTH) -> DataFrame:
+def walk_outline(levels: Sequence[int], starts: Sequence[int | None], pad_width: int) -> Iterator[tuple[int, str, str | None, str, bool, int | None]]:
+    """``(depth, number, parent's number, plain number, is leaf, start of the next entry that is as shallow)`` of each entry.
+
+    One walk with a stack of the open entries, one for each depth; any depth. Numbers are padded to the width of their
+    largest sibling, ``pad_width`` at least.
+    """
+    parents, places, depths, siblings, nexts = [], [], [], Counter(), [None] * len(levels)
+    still: list[int] = []
+    for k, level in enumerate(levels):
+        depth = min(max(level, 1), len(still) + 1)
+        for done in still[depth - 1 :]:
+            nexts[done] = starts[k]
+        del still[depth - 1 :]
+        parent = still[-1] if still else -1
+        siblings[parent] += 1
+        parents.append(parent)
+        places.append(siblings[parent])
+        depths.append(depth)
+        still.append(k)
+    numbers, plain = [], []
+    for k, (parent, place) in enumerate(zip(parents, places)):
+        part = str(place).rjust(max(pad_width, len(str(siblings[parent]))), "0")
+        numbers.append(part if parent < 0 else f"{numbers[parent]}.{part}")
+        plain.append(str(place) if parent < 0 else f"{plain[parent]}.{place}")
+        yield depths[k], numbers[k], None if parent < 0 else numbers[parent], plain[k], k not in siblings, nexts[k]
+
+
+def build_sections(toc: DataFrame, pages: DataFrame, pad_width: int = 2, slug_len: int = 60) -> DataFrame:
     """The section table out of ``toc(source_slug, ord, level, title, start_page)`` and ``pages(source_slug, page_count)``.
 
     Returns ``(source_slug, ord, toc_number, parent_number, level, title, display_title, slug, is_leaf, start_page,
-    end_page)``. All windows part by document and order by ``ord``, so one shuffle serves them. A sibling's index counts
-    the entries of its depth since the last shallower entry, so every ancestor's index is a running count and no joins
-    are needed. Outlines nest ``max_depth`` levels at most.
+    end_page)``. Each entry's depth, number and end depend on all before it, so a document's entries, without their texts'
+    pages, are walked as one group: one shuffle by document, linear in the entries, any depth. Documents without a
+    page count give no sections; a null level is 1.
     """
-    order = W.partitionBy("source_slug").orderBy("k")
-    upto = order.rowsBetween(W.unboundedPreceding, W.currentRow)
-    t = effective_levels(toc)
-    depths = range(1, max_depth + 1)
-    back = W.partitionBy("source_slug").orderBy(F.desc("k")).rowsBetween(W.unboundedPreceding, -1)
-    whole = W.partitionBy("source_slug")
-    eff = F.col("eff")
-    t = t.select("*", *[F.sum((eff == d).cast("int")).over(upto).alias(f"__c{d}") for d in depths])
-    # Siblings of depth d: the entries of that depth between two shallower ones.
-    t = t.select(
-        "*",
-        *[F.coalesce(F.max(F.when(eff < d, F.col(f"__c{d}"))).over(upto), F.lit(0)).alias(f"__b{d}") for d in depths],
-        *[F.coalesce(F.last(F.when(eff < d, F.col(f"__c{d}")), ignorenulls=True).over(back), F.max(f"__c{d}").over(whole)).alias(f"__e{d}") for d in depths],
-    )
-    t = t.select("*", *[(F.col(f"__c{d}") - F.col(f"__b{d}")).alias(f"__i{d}") for d in depths], *[(F.col(f"__e{d}") - F.col(f"__b{d}")).alias(f"__m{d}") for d in depths])
-
-    def number(padded: bool, last: Column) -> Column:
-        parts = []
-        for d in depths:
-            digits = F.col(f"__i{d}").cast("string")
-            if padded:
-                room = F.greatest(F.lit(pad_width), F.length(F.col(f"__m{d}").cast("string")))
-                digits = F.lpad(digits, F.greatest(room, F.length(digits)), F.lit("0"))
-            parts.append(F.when(last >= d, digits))
-        return F.concat_ws(".", *parts)
-
-    following = F.lead("eff").over(order)
-    t = t.join(pages.select("source_slug", "page_count"), "source_slug")
-    nexts = F.coalesce(*[F.when(eff == d, F.last(F.when(eff <= d, F.col("start_page")), ignorenulls=True).over(back)) for d in depths])
-    t = t.withColumn("__next", nexts).withColumn("__leaf", following.isNull() | (following <= eff))
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("ord", kind="stable")
+        levels = [1 if pd.isna(x) else int(x) for x in frame["level"]]
+        starts = [None if pd.isna(x) else int(x) for x in frame["start_page"]]
+        walked = pd.DataFrame(walk_outline(levels, starts, pad_width), columns=["eff", "toc_number", "parent_number", "plain", "is_leaf", "next_page"], dtype=object)
+        return walked.assign(source_slug=frame["source_slug"].to_numpy(), k=range(len(frame)), title=frame["title"].to_numpy(), start_page=pd.Series(starts, dtype=object))
+
+    shape = "source_slug string, k int, eff int, toc_number string, parent_number string, plain string, is_leaf boolean, title string, start_page int, next_page int"
+    entries = toc.select("source_slug", "ord", "level", "title", F.col("start_page").cast("int").alias("start_page"))
+    t = entries.groupBy("source_slug").applyInPandas(run, shape).join(pages.select("source_slug", F.col("page_count").cast("int").alias("page_count")), "source_slug")
     n = F.greatest(F.col("page_count"), F.lit(1))
     start = F.least(F.greatest(F.col("start_page"), F.lit(1)), n)
-    end = F.when(F.col("__next").isNull(), F.col("page_count")).otherwise(F.greatest(F.col("start_page"), F.col("__next") - 1))
+    end = F.when(F.col("next_page").isNull(), F.col("page_count")).otherwise(F.greatest(F.col("start_page"), F.col("next_page") - 1))
     title = X.clean_inline(F.col("title"))
     return t.select(
-        "source_slug", F.col("k").alias("ord"), number(True, eff).alias("toc_number"), F.when(eff > 1, number(True, eff - 1)).alias("parent_number"),
-        eff.alias("level"), title.alias("title"), F.concat_ws(" ", number(False, eff), title).alias("display_title"), U.slugify(title, slug_len).alias("slug"),
-        F.col("__leaf").alias("is_leaf"), start.alias("start_page"), F.least(F.greatest(end, start), n).alias("end_page"),
+        "source_slug", F.col("k").alias("ord"), "toc_number", "parent_number", F.col("eff").alias("level"), title.alias("title"),
+        F.concat_ws(" ", "plain", title).alias("display_title"), U.slugify(title, slug_len).alias("slug"), "is_leaf",
+        start.alias("start_page"), F.least(F.greatest(end, start), n).alias("end_page"),
     )
 
 

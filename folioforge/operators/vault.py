@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from difflib import unified_diff
 
 import pandas as pd
 import yaml
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from . import guards, tables
+from . import sections as S
 from .lines import is_code, is_hash_line, lines_of, normalize_body, segments
 
 INDEX = "index.md"
@@ -41,7 +43,7 @@ def split_note(text: Column) -> Column:
 
 
 _META = (
-    "struct<ok:boolean,keys:array<string>,title:string,source:string,source_pages:array<int>,pages_ok:boolean,toc_level:int,toc_number:string,"
+    "struct<ok:boolean,keys:array<string>,title:string,source:string,source_pages:array<int>,pages_ok:boolean,boundary:string,toc_level:int,toc_number:string,"
     "parent:string,prev:string,next:string,tags:array<string>,tags_ok:boolean,summary:string,summary_ok:boolean,created:string,generated_by:string>"
 )
 
@@ -67,7 +69,7 @@ def _parsed(text: str | None) -> dict:
         "toc_level": meta.get("toc_level") if isinstance(meta.get("toc_level"), int) else None,
         "tags": [str(t) for t in tags] if isinstance(tags, list) else None, "tags_ok": isinstance(tags, list) and "pdf-import" in tags,
         "summary_ok": "summary" not in meta or isinstance(meta["summary"], str),
-    } | {k: word(k) for k in ("title", "source", "toc_number", "parent", "prev", "next", "summary", "created", "generated_by")}
+    } | {k: word(k) for k in ("title", "source", "boundary", "toc_number", "parent", "prev", "next", "summary", "created", "generated_by")}
 
 
 def parse_notes(files: DataFrame) -> DataFrame:
@@ -164,10 +166,12 @@ def reachable(notes: DataFrame, checkpoint) -> DataFrame:
     links = note_links(notes)
     to = F.when(X.is_index_target(F.col("target")), F.lit(INDEX)).otherwise(F.concat("target", F.lit(".md")))
     edges = checkpoint(links.select("path", to.alias("to")).distinct().join(notes.select(F.col("path").alias("to")).distinct(), "to"))
-    seen = frontier = checkpoint(notes.where(F.col("path") == INDEX).select("path").distinct())
-    while frontier.head(1):
+    frontier = checkpoint(notes.where(F.col("path") == INDEX).select("path").distinct())
+    seen = frontier
+    while not frontier.isEmpty():
+        # Each round writes its own notes only; what was seen is a union of the rounds' files.
         frontier = checkpoint(frontier.join(edges, "path").select(F.col("to").alias("path")).distinct().join(seen, "path", "left_anti"))
-        seen = checkpoint(seen.unionByName(frontier))
+        seen = seen.unionByName(frontier)
     return seen
 
 
@@ -272,50 +276,68 @@ def update_library_index(index: DataFrame, books: DataFrame) -> DataFrame:
     return old.crossJoin(F.broadcast(entries)).select(F.concat(F.regexp_replace(text, r"\n+\z", ""), F.lit("\n")).alias("text"))
 
 
+def rerender(meta: Column, body: Column, **changed: Column) -> Column:
+    """A note out of its parsed frontmatter, with some values changed, and a body; keys come in their fixed order."""
+    values = {k: meta[k] for k in S.FRONTMATTER_KEYS} | changed
+    return S.render_note(values, F.regexp_replace(body, r"\A\n+", ""))
+
+
 def enrich(notes: DataFrame, updates: DataFrame, owner: str = OWNER) -> DataFrame:
-    """``(path, outcome, summary, tags)`` of each update of a note: applied, or why not.
+    """``(path, outcome, summary, tags, text)`` of each update of a note: applied, or why not.
 
-    A summary is set unless there is one (or with ``force``); new tags go behind the old ones, each once.
+    A summary is set unless there is one (or with ``force``); new tags go behind the old ones, each once. ``text`` is the
+    note written anew with both, null where the update is not applied.
     """
-    j = updates.join(notes.select("path", "meta"), "path", "left")
+    j = updates.join(notes.select("path", "meta", "body"), "path", "left")
     owned = F.coalesce(F.col("meta.generated_by") == owner, F.lit(False))
     has = F.coalesce(F.col("meta.summary"), F.lit("")) != ""
     skip = F.col("summary").isNotNull() & has & ~F.coalesce("force", F.lit(False))
     outcome = F.when(F.col("meta").isNull(), "no such note").when(~owned, "not generated").when(skip, "already enriched").otherwise("applied")
     old, new = F.coalesce("meta.tags", F.array().cast("array<string>")), F.filter(F.coalesce("add_tags", F.array().cast("array<string>")), lambda t: t != "")
     done = outcome == "applied"
-    return j.select(
-        "path", outcome.alias("outcome"), F.when(done, F.coalesce(X.collapse_white(F.col("summary")), F.col("meta.summary"))).alias("summary"),
-        F.when(done, F.concat(old, F.array_except(new, old))).alias("tags"),
-    )
+    summary, tags = F.coalesce(X.collapse_white(F.col("summary")), F.col("meta.summary")), F.concat(old, F.array_except(new, old))
+    text = rerender(F.col("meta"), F.col("body"), summary=summary, tags=tags)
+    return j.select("path", outcome.alias("outcome"), F.when(done, summary).alias("summary"), F.when(done, tags).alias("tags"), F.when(done, text).alias("text"))
 
 
 def repair(notes: DataFrame, proposals: DataFrame, owner: str = OWNER) -> tuple[DataFrame, DataFrame]:
-    """Accepted ``(path, text)`` and rejected ``(path, kind, table_no, detail)`` repairs of generated notes."""
+    """Accepted ``(path, text)`` and rejected ``(path, kind, table_no, detail)`` repairs of generated notes.
+
+    An accepted note is written anew, frontmatter keys in their order, with the proposed body.
+    """
     joined = proposals.join(notes.select("path", "text", "meta", "body"), "path", "left")
     owned = F.coalesce(F.col("meta.generated_by") == owner, F.lit(False))
     foreign = joined.where(~owned).select("path", F.lit("ownership").alias("kind"), F.lit(None).cast("int").alias("table_no"), F.lit("not a generated note").alias("detail"))
     mine = joined.where(owned)
     drift = guards.repair_drift(mine.select("path", "kind", F.col("body").alias("before"), F.col("new_body").alias("after")), "path")
-    head = split_note(F.col("text"))["head"]
-    text = F.concat(head, F.lit("\n"), F.regexp_replace("new_body", r"\A\n+|\n+\z", ""), F.lit("\n"))
+    text = rerender(F.col("meta"), F.col("new_body"))
     accepted = mine.join(drift.select("path").distinct(), "path", "left_anti").select("path", text.alias("text"))
     return accepted, drift.unionByName(foreign)
 
 
 def clean_notes(notes: DataFrame, patterns: Sequence[str]) -> DataFrame:
-    """``(path, text)`` of the notes that cleaning changes, the index aside: bodies without boilerplate, heads untouched."""
+    """``(path, old, text)`` of the notes that cleaning changes, the index aside: bodies without boilerplate, heads untouched."""
     parts = split_note(F.col("text"))
     body = normalize_body(parts["body"], patterns, strip_page_numbers=False)
     new = F.concat(F.regexp_replace(F.concat(parts["head"], body), r"\n+\z", ""), F.lit("\n"))
-    return notes.where(F.col("path") != INDEX).select("path", F.col("text").alias("old"), new.alias("text")).where("text <> old").select("path", "text")
+    return notes.where(F.col("path") != INDEX).select("path", F.col("text").alias("old"), new.alias("text")).where("text <> old")
 
 
 _PICTURE = r"(?s)\*\*-+ *Start of picture text *-+\*\*(.*?)\*\*-+ *End of picture text *-+\*\*"
 
 
+def cleaning_report(changed: DataFrame) -> DataFrame:
+    """``(path, diff)`` of ``changed(path, old, text)``: the lines of a unified diff of each note."""
+
+    @F.pandas_udf("array<string>")
+    def diff(paths: pd.Series, old: pd.Series, new: pd.Series) -> pd.Series:
+        return pd.Series([list(unified_diff(a.splitlines(), b.splitlines(), f"a/{p}", f"b/{p}", lineterm="")) for p, a, b in zip(paths, old, new)])
+
+    return changed.select("path", diff("path", "old", "text").alias("diff"))
+
+
 def picture_residue(notes: DataFrame, patterns: Sequence[str], hint: str = "This ebook belongs to") -> DataFrame:
-    """``(path, residue)``: picture text that patterns and line breaks leave, at most 120 characters of each block."""
+    """``(path, residue)``: picture text that patterns and line breaks leave; the report shows 120 characters of each block."""
     inner = notes.select("path", F.explode(F.regexp_extract_all("text", F.lit(_PICTURE), F.lit(1))).alias("t"))
     cut = F.col("t")
     for p in patterns:

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..operators import guards, lines, sections, tables, toc
+from ..operators import geometry, guards, lines, sections, tables, toc
+from ..sources.documents import scanned_documents
 from .lineage import checkpoint
 
 #: Options and their defaults.
@@ -17,6 +19,7 @@ DEFAULTS: dict[str, object] = {
     "split_depth": 0, "pad_width": 2, "slug_max_len": 60, "tier": "clean", "boilerplate_patterns": (), "strip_page_numbers": True,
     "reformat_stat_blocks": False, "reformat_equipment_lists": False, "promote_header_below_separator": False, "collapse_table_headers": False,
     "split_am_traits": False, "merge_wrapped_table_rows": False, "merge_wrapped_name_rows": False, "guard_table_data": True, "fix_heading_spaces": False,
+    "min_text_chars": 200, "toc_title_pattern": toc.TOC_TITLE, "toc_hierarchy_mode": "auto", "reconstruct_index": False, "index_title_pattern": r"^\s*index\s*$",
 }
 
 
@@ -70,3 +73,98 @@ def sectionize(pages: DataFrame, entries: DataFrame, page_counts: DataFrame, opt
     cfg = DEFAULTS | dict(options)
     tree = checkpoint(toc.build_sections(toc.clamp_depth(entries, int(cfg["split_depth"])), page_counts, int(cfg["pad_width"]), int(cfg["slug_max_len"])))
     return tree.join(sections.section_text(tree, pages), ["source_slug", "ord"], "left").withColumn("kind", F.lit("text"))
+
+
+def printed_outline(pages: DataFrame, fragments: DataFrame, page_counts: DataFrame, options: Mapping[str, object] = {}, pinned: int | None = None) -> DataFrame:
+    """Outline out of printed tables of contents: their pages, rows, entries, page offset, levels."""
+    cfg = DEFAULTS | dict(options)
+    at = toc.locate_toc_pages(pages, str(cfg["toc_title_pattern"]), pinned=pinned)
+    on = geometry.row_numbers(fragments.where(X.strip(F.col("text")) != "").join(at, ["source_slug", "page"]))
+    parts = F.sort_array(F.collect_list(F.struct("x0", "frag_ord", "text")))
+    rows = on.groupBy("source_slug", F.col("page").alias("page_no"), F.col("row").alias("row_no")).agg(parts.alias("f"))
+    rows = rows.select("source_slug", "page_no", "row_no", X.strip_leaders(F.array_join("f.text", " ")).alias("text"), F.element_at("f.x0", 1).alias("x0"), F.element_at("f.x0", -1).alias("x1"))
+    title = F.regexp_replace(F.col("text"), r"\A#{1,6}\s+", "")
+    entries = checkpoint(toc.parse_printed_rows(rows.where(~title.rlike(str(cfg["toc_title_pattern"])))))
+    headings = pages.join(at, ["source_slug", "page"], "left_anti").select("source_slug", "page", F.explode(toc.heading_titles(F.coalesce("text", F.lit("")))).alias("title"))
+    return toc.printed_toc(entries, toc.page_offset(entries, headings), page_counts, str(cfg["toc_hierarchy_mode"]))
+
+
+def reconstruct_indexes(tree: DataFrame, fragments: DataFrame, pattern: str) -> DataFrame:
+    """``(source_slug, ord, markdown)`` of the leaves whose title matches; null where their pages have no index layout."""
+    plain = X.strip(F.regexp_replace("title", r"[\x00-\x1f]+", ""))
+    found = tree.where(F.col("is_leaf") & plain.rlike(f"(?i){pattern}")).select("source_slug", "ord", "start_page", "end_page")
+    key = F.concat_ws("#", F.col("ord").cast("string"), "source_slug")
+    on = found.select("source_slug", "ord", F.explode(F.sequence("start_page", "end_page")).alias("page"))
+    frags = fragments.join(on, ["source_slug", "page"]).withColumn("source_slug", key).drop("ord")
+    rebuilt = geometry.rebuild_index(frags).select(F.col("source_slug").alias("key"), "markdown")
+    return found.withColumn("key", key).join(rebuilt, "key", "left").select("source_slug", "ord", "markdown")
+
+
+@dataclass(frozen=True)
+class Extraction:
+    """``sections`` with texts and kinds, normalised ``pages``, ``outlines(source_slug, toc_source)``, ``warnings(source_slug,
+    warning)``, and documents that were ``rejected(source_slug, reason)``, which have no sections."""
+
+    sections: DataFrame
+    pages: DataFrame
+    outlines: DataFrame
+    warnings: DataFrame
+    rejected: DataFrame
+
+
+# Names of outline sources, best first.
+TOC_SOURCES = ("embedded", "toc-page", "headings", "pages")
+
+
+def extract(
+    pages: DataFrame, page_counts: DataFrame, embedded: DataFrame | None = None, fragments: DataFrame | None = None, options: Mapping[str, object] = {},
+    fallback: str | None = None, ignore_toc: bool = False, toc_page: int | None = None, heading_maps: DataFrame | None = None,
+) -> Extraction:
+    """Pages of many documents into sections.
+
+    The embedded outline is used wherever there is one, unless ``ignore_toc``; other documents get that of ``fallback``
+    (``toc``, ``headings`` or ``pages``). Rejected are documents with table drift, with too little text, and without an
+    outline. ``reconstruct_index`` rebuilds index sections out of ``fragments``.
+    """
+    cfg = DEFAULTS | dict(options)
+    counts = page_counts.select("source_slug", "page_count")
+    done = normalize_pages(pages, options, counts, heading_maps)
+    text = checkpoint(done.pages)
+    shape = ["source_slug", F.col("ord").cast("int").alias("ord"), F.col("level").cast("int").alias("level"), "title", F.col("start_page").cast("int").alias("start_page")]
+    candidates = []
+    if embedded is not None and not ignore_toc:
+        candidates.append((0, embedded.withColumn("title", X.clean_inline(F.col("title")))))
+    if fallback == "toc":
+        if fragments is None:
+            raise ValueError("the fallback to a printed table of contents needs fragments")
+        candidates.append((1, printed_outline(text, fragments, counts, options, toc_page)))
+    elif fallback == "headings":
+        candidates.append((2, toc.toc_from_headings(text)))
+    elif fallback == "pages":
+        candidates.append((3, toc.page_entries(counts)))
+    entries = reduce(DataFrame.unionByName, [t.select(*shape, F.lit(p).alias("priority")) for p, t in candidates]) if candidates else pages.sparkSession.createDataFrame([], "source_slug string, ord int, level int, title string, start_page int, priority int")
+    chosen = checkpoint(toc.choose_source(entries))
+    names = F.array(*[F.lit(n) for n in TOC_SOURCES])
+    outlines = chosen.groupBy("source_slug").agg(F.element_at(names, F.min("priority") + 1).alias("toc_source"))
+    reason = lambda rows, why: rows.select("source_slug", F.lit(why).alias("reason"))
+    drifted = done.drift.select(F.regexp_replace("key", r"#[0-9]*\z", "").alias("source_slug")).distinct()
+    rejected = reason(counts.join(outlines, "source_slug", "left_anti"), "no outline").unionByName(reason(drifted, "table data changed"))
+    rejected = checkpoint(rejected.unionByName(reason(scanned_documents(pages, outlines, int(cfg["min_text_chars"])), "too little text")))
+    tree = sectionize(text, chosen.join(rejected, "source_slug", "left_anti").drop("priority"), counts, options)
+    shared = sections.shared_pages(tree).select("source_slug", F.concat(F.lit("page "), F.col("page"), F.lit(" is shared by sections "), F.col("owner"), F.lit(" and "), F.col("toc_number")).alias("warning"))
+    bare = toc.looks_degenerate(chosen.where("priority = 0")).where("degenerate").select("source_slug", F.lit("the embedded outline looks degenerate").alias("warning"))
+    warnings = shared.unionByName(bare)
+    if cfg["reconstruct_index"] and cfg["tier"] != "structural":
+        if fragments is None:
+            raise ValueError("rebuilding indexes needs fragments")
+        tree = checkpoint(tree)
+        built = checkpoint(reconstruct_indexes(tree, fragments, str(cfg["index_title_pattern"])))
+        good = built.where("markdown IS NOT NULL").select("source_slug", "ord", F.col("markdown").alias("rebuilt"))
+        tree = tree.join(good, ["source_slug", "ord"], "left")
+        is_index = F.col("rebuilt").isNotNull()
+        tree = tree.withColumn("kind", F.when(is_index, "index").otherwise("text")).withColumn("assets", F.when(~is_index, F.col("assets"))).withColumn("markdown", F.coalesce("rebuilt", "markdown")).drop("rebuilt")
+        poor = built.where("markdown IS NULL").join(tree, ["source_slug", "ord"], "left_semi")
+        none = tree.select("source_slug").distinct().join(built, "source_slug", "left_anti")
+        warnings = warnings.unionByName(poor.select("source_slug", F.concat(F.lit("section "), F.col("ord"), F.lit(" has no index layout")).alias("warning")))
+        warnings = warnings.unionByName(none.select("source_slug", F.lit("no leaf's title matches the index title").alias("warning")))
+    return Extraction(tree, text, outlines, warnings.distinct(), rejected)

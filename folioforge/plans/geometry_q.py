@@ -15,12 +15,12 @@ from . import fixtures as fx
 
 c = F.col
 
-#: An index in two columns with a title and a letter head, and a second page with one column.
+#: An index in two columns of 250 rows a page with a title and a letter head, and a last page with one column.
 FRAGMENTS = """
 SELECT 'idx' AS source_slug, page, frag_ord, text, x0, x0 + 5 * length(text) AS x1, y, size, bold FROM (
-  SELECT 1 AS page, CAST(p_partkey AS INT) AS frag_ord, concat(p_name, ' ........ ', CAST(p_size AS STRING)) AS text, CASE WHEN p_partkey % 2 = 0 THEN CAST(10 AS DOUBLE) ELSE CAST(200 AS DOUBLE) END AS x0,
-    CAST(20 * row_number() OVER (PARTITION BY p_partkey % 2 ORDER BY p_partkey) AS DOUBLE) AS y, CAST(10 AS DOUBLE) AS size, p_partkey % 10 = 0 AS bold FROM {part}
-  UNION ALL SELECT 2, CAST(p_partkey AS INT), concat(p_name, ' .. 7'), CAST(10 AS DOUBLE), CAST(20 * p_partkey AS DOUBLE), CAST(10 AS DOUBLE), false FROM {part} WHERE p_partkey % 97 = 0
+  SELECT CAST(floor(p_partkey / 500) AS INT) + 1 AS page, CAST(p_partkey AS INT) AS frag_ord, concat(p_name, ' ........ ', CAST(p_size AS STRING)) AS text, CASE WHEN p_partkey % 2 = 0 THEN CAST(10 AS DOUBLE) ELSE CAST(200 AS DOUBLE) END AS x0,
+    CAST(20 * row_number() OVER (PARTITION BY p_partkey % 2, floor(p_partkey / 500) ORDER BY p_partkey) AS DOUBLE) AS y, CAST(10 AS DOUBLE) AS size, p_partkey % 10 = 0 AS bold FROM {part}
+  UNION ALL SELECT 1000000, CAST(p_partkey AS INT), concat(p_name, ' .. 7'), CAST(10 AS DOUBLE), CAST(20 * p_partkey AS DOUBLE), CAST(10 AS DOUBLE), false FROM {part} WHERE p_partkey % 97 = 0
   UNION ALL SELECT 1, -2, 'INDEX', CAST(10 AS DOUBLE), CAST(0 AS DOUBLE), CAST(30 AS DOUBLE), false FROM {region} WHERE r_regionkey = 0
   UNION ALL SELECT 1, -1, 'A', CAST(10 AS DOUBLE), CAST(10 AS DOUBLE), CAST(16 AS DOUBLE), false FROM {region} WHERE r_regionkey = 0
 ) f
@@ -108,11 +108,11 @@ def k05(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def k08(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sort specs that are not there yet, with the length of their text."""
+    """Sort specs that are not there yet, with their whole text."""
     planned = fx.run(spark, sf_dir, "SELECT concat(n_name, '/sortspec.md') AS path, n_name FROM {nation}")
     present = fx.run(spark, sf_dir, "SELECT concat(n_name, '/sortspec.md') AS path FROM {nation} WHERE n_nationkey % 3 = 0")
     text = S.sort_spec(S.sort_target(F.lit("lib"), c("n_name")))
-    return S.missing_specs(planned, present).select("path", F.substring_index(text, "\n", 3).alias("head"))
+    return S.missing_specs(planned, present).select("path", text.alias("text"))
 
 
 def r14(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,14 +122,36 @@ def r14(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("k", R.frontmatter(meta).alias("text"))
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+#: Pages with tables that a rule repairs: the queries whose inputs and results they are.
+U01_TABLES = ("b02_promote_header", "b04_promote_label_row", "b05_collapse_headers", "b08_merge_wrapped_names")
+
+
 def u01(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dirty pages through the whole order of rules; the guard finds no drift."""
-    pages = fx.run(spark, sf_dir, fx.DIRTY).select(c("doc_id").cast("string").alias("source_slug"), F.lit(1).alias("page"), "text", "doc_id")
+    """Dirty pages and pages with tables to repair through the whole order of rules; the guard finds no drift."""
+    pages = fx.run(spark, sf_dir, fx.DIRTY).select(c("doc_id").cast("string").alias("source_slug"), F.lit(1).alias("page"), "text")
+    for key in U01_TABLES:
+        broken = fx.run(spark, sf_dir, fx.spark_agg(tables_q.BEFORE_AFTER[key][0]))
+        pages = pages.unionByName(broken.select(F.concat(F.lit(key[:4]), c("k").cast("string")).alias("source_slug"), F.lit(1).alias("page"), "text"))
     counts = pages.select("source_slug", F.lit(225).alias("page_count"))
     every = {k: True for k, v in extract.DEFAULTS.items() if v is False and k != "fix_heading_spaces"}
     done = extract.normalize_pages(pages, every | {"boilerplate_patterns": (tables_q.LICENSE, tables_q.COPY)}, counts)
     drifted = done.drift.select(F.substring_index("key", "#", 1).alias("source_slug")).distinct()
-    return done.pages.join(drifted, "source_slug", "left_anti").select("doc_id", "text")
+    return done.pages.join(drifted, "source_slug", "left_anti").select("source_slug", "text")
+
+
+U01_SQL = "SELECT CAST(doc_id AS VARCHAR) AS source_slug, text FROM (" + tables_q.N03_SQL.replace("text || chr(7)", "text") + ") p" + "".join(
+    f" UNION ALL SELECT '{key[:4]}' || k, text FROM ({tables_q.rewrite_oracle(key)}) {key[:3]}" for key in U01_TABLES
+)
+
+
+def s05(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fragments out of spans, blank ones among them, with mid-heights that lie halfway between two decimals."""
+    sql = "SELECT p_partkey AS k, CASE WHEN p_partkey % 9 = 0 THEN ' ' ELSE p_name END AS text, CAST(p_size AS DOUBLE) AS y0, p_size + CAST(p_partkey % 4 AS DOUBLE) / 2 AS y1, CAST(p_size AS INT) AS flags FROM {part}"
+    return G.fragments(fx.run(spark, sf_dir, sql)).select("k", "y", "bold")
 
 
 R14_SQL = """SELECT c_custkey AS k, '---' || chr(10) || 'title: "' || replace(replace(c_name || ' "x" ' || chr(92), chr(92), chr(92) || chr(92)), '"', chr(92) || '"') || '"' || chr(10) || 'source_pages: [1, ' || c_custkey || ']' || chr(10)
@@ -140,7 +162,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "g02_columns": lambda s, d: G.column_bands(frags(s, d)).select("page", "band", "lo", "hi"),
     "g03_column_template": lambda s, d: G.column_template(G.column_bands(frags(s, d))).select("band", "lo", "hi"),
     "g04_dominant_size": lambda s, d: G.dominant_size(frags(s, d)), "g05_column_of": g05, "g06_index": lambda s, d: G.rebuild_index(frags(s, d)),
-    "n05_glued_words": n05, "n06_heading_map": n06, "s04_zero_area": s04, "s10_patterns": s10, "s13_scanned": s13, "s14_config": s14, "x22_vault_paths": x22,
+    "n05_glued_words": n05, "n06_heading_map": n06, "s04_zero_area": s04, "s05_fragments": s05, "s10_patterns": s10, "s13_scanned": s13, "s14_config": s14, "x22_vault_paths": x22,
     "k05_moved_vaults": k05, "k08_sort_specs": k08, "r14_frontmatter": r14, "u01_normalize_pages": u01,
 }
 _SPACED = "SELECT CAST(c_custkey AS INT) AS line_no, c_mktsegment AS glued, left(c_mktsegment, 3) || ' ' || substr(c_mktsegment, 4) AS spaced FROM customer"
@@ -155,6 +177,7 @@ ORACLES: dict[str, str] = {
     "s13_scanned": "SELECT CAST(doc_id AS VARCHAR) AS source_slug, length(text) AS chars FROM documents WHERE length(text) < 600 AND doc_id % 3 <> 0",
     "s14_config": "SELECT n_name AS source_slug, CASE WHEN n_nationkey % 2 = 0 THEN n_nationkey ELSE 3 END AS split_depth, 'clean' AS tier FROM nation", "x22_vault_paths": X22_SQL,
     "k05_moved_vaults": "SELECT n_name AS source_slug, '/old' AS vault FROM nation WHERE n_nationkey % 4 = 0",
-    "k08_sort_specs": "SELECT n_name || '/sortspec.md' AS path, '---' || chr(10) || 'sorting-spec: |-' || chr(10) || '  target-folder: lib/' || n_name || '/**' AS head FROM nation WHERE n_nationkey % 3 <> 0",
-    "r14_frontmatter": R14_SQL, "u01_normalize_pages": tables_q.N03_SQL.replace("text || chr(7)", "text"),
+    "k08_sort_specs": f"SELECT n_name || '/sortspec.md' AS path, {_quoted(S.SORT_HEAD)} || 'lib/' || n_name || '/**' || {_quoted(S.SORT_TAIL)} AS text FROM nation WHERE n_nationkey % 3 <> 0",
+    "r14_frontmatter": R14_SQL, "u01_normalize_pages": U01_SQL,
+    "s05_fragments": "SELECT p_partkey AS k, round_even(p_size + CAST(p_partkey % 4 AS DOUBLE) / 4, 1) AS y, (CAST(p_size AS INT) & 16) <> 0 AS bold FROM part WHERE p_partkey % 9 <> 0",
 }

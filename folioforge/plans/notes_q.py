@@ -170,24 +170,32 @@ def t16(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = fx.run(spark, sf_dir, sql)
     rows = base.select("source_slug", "ord", F.when(c("c_custkey") % 7 == 0, F.lit("zzz")).otherwise(F.concat(F.lit("É "), "c_name")).alias("title"), c("ord").alias("page"))
     heads = base.select("source_slug", (c("ord") + c("n_regionkey") + 2).alias("page"), F.concat(F.lit("1. é  "), F.upper("c_name"), F.lit(" !")).alias("title"))
-    return T.page_offset(rows, heads).select("source_slug", "page_offset")
+    return T.page_offset(rows, heads)
 
 
-T16_SQL = "SELECT DISTINCT 'n' || c_nationkey AS source_slug, CAST(n_regionkey + 2 AS INT) AS page_offset FROM customer JOIN nation ON c_nationkey = n_nationkey"
+T16_SQL = """
+WITH r AS (SELECT c_nationkey AS n, n_regionkey AS r, c_custkey AS c, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS k, greatest(count(*) OVER (PARTITION BY c_nationkey) // 20, 1) AS step FROM customer JOIN nation ON c_nationkey = n_nationkey)
+SELECT 'n' || n AS source_slug, CAST(r + 2 AS INT) AS page_offset, CAST(count(*) AS INT) AS votes, CAST(count(*) AS INT) AS winners FROM r WHERE k % step = 0 AND k < step * 20 AND c % 7 <> 0 GROUP BY n, r
+"""
 
 
 def t17(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Printed rows in their three forms into an outline."""
+    """Printed rows in their three forms into outlines: levels by indent, and by the numbers before the titles."""
     sql = """SELECT concat('n', CAST(c_nationkey AS STRING)) AS source_slug, 1 AS page_no, CAST(c_custkey AS INT) * 2 AS row_no,
       CASE c_custkey % 3 WHEN 0 THEN concat(CAST(c_custkey AS STRING), ' | ', c_name) WHEN 1 THEN concat(CAST(c_custkey AS STRING), ' ', c_name) ELSE concat(c_name, ' ', CAST(c_custkey AS STRING)) END AS text,
-      CAST(10 AS DOUBLE) AS x0, CAST(10 AS DOUBLE) AS x1 FROM {customer}"""
-    entries = T.parse_printed_rows(fx.run(spark, sf_dir, sql))
+      CAST(10 + 11 * (c_custkey % 2) AS DOUBLE) AS x0, CAST(10 + 11 * (c_custkey % 2) AS DOUBLE) AS x1, c_custkey, c_name FROM {customer}"""
+    rows = fx.run(spark, sf_dir, sql)
+    dotted = F.concat(F.repeat(F.lit("1."), (c("c_custkey") % 3).cast("int")), c("c_custkey").cast("string"), F.lit(" "), "c_name")
+    numbered = rows.withColumn("text", F.concat(c("c_custkey").cast("string"), F.lit(" | "), dotted)).withColumn("source_slug", F.concat(F.lit("x"), "source_slug"))
+    entries = T.parse_printed_rows(rows.unionByName(numbered).drop("c_custkey", "c_name"))
     slugs = entries.select("source_slug").distinct()
     return T.printed_toc(entries, slugs.withColumn("page_offset", F.lit(2)), slugs.withColumn("page_count", F.lit(900))).select("source_slug", "ord", "level", "title", "start_page")
 
 
-T17_SQL = """SELECT 'n' || c_nationkey AS source_slug, CAST(row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS INT) AS ord, 1 AS level, c_name AS title,
-  CAST(least(c_custkey + 2, 900) AS INT) AS start_page FROM customer"""
+T17_SQL = """
+WITH e AS (SELECT c_nationkey AS n, c_custkey AS c, CAST(row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS INT) AS ord, CAST(dense_rank() OVER (PARTITION BY c_nationkey ORDER BY c_custkey % 2) AS INT) AS band, c_name AS title, CAST(least(c_custkey + 2, 900) AS INT) AS start_page FROM customer)
+SELECT 'n' || n AS source_slug, ord, band AS level, title, start_page FROM e UNION ALL SELECT 'xn' || n, ord, CAST(c % 3 + 1 AS INT), title, start_page FROM e
+"""
 
 
 def r01(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,7 +217,7 @@ _INDEX_BODY = "concat('## INDEX', chr(10), '- Customer#', CAST(c_custkey AS STRI
 def r06(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Index notes over sections: a page, a bold page, and a page that no note covers; page n + 1 has the heading Customer#n."""
     s, paths = sections(spark, sf_dir), _paths(spark, sf_dir)
-    index = fx.run(spark, sf_dir, f"SELECT 'tpch' AS source_slug, CAST(c_custkey AS STRING) AS link_target, {_INDEX_BODY} AS markdown FROM {{customer}} WHERE c_custkey < 200")
+    index = fx.run(spark, sf_dir, f"SELECT 'tpch' AS source_slug, CAST(c_custkey AS STRING) AS link_target, {_INDEX_BODY} AS markdown FROM {{customer}}")
     targets = R.page_targets(s, paths)
     heads = targets.select("source_slug", "link_target", F.concat(F.lit("## 3. Customer#"), "page").alias("markdown"))
     merged = heads.groupBy("source_slug", "link_target").agg(F.array_join(F.sort_array(F.collect_list("markdown")), "\n").alias("markdown"))
@@ -222,7 +230,7 @@ SELECT CAST(c_custkey AS VARCHAR) AS link_target, '## INDEX' || chr(10) || '- Cu
   || coalesce('[[' || a.link_target || '#Customer#' || c_custkey || '|' || c_custkey || ']]', CAST(c_custkey AS VARCHAR))
   || ', ' || coalesce('**[[' || b.link_target || CASE WHEN b.link_target = a.link_target THEN '#Customer#' || c_custkey ELSE '' END || '|' || (c_custkey + 3) || ']]**', '**' || (c_custkey + 3) || '**')
   || ', 99999' || chr(10) || 'no entry 5' AS markdown
-FROM customer LEFT JOIN tgt a ON a.page = c_custkey LEFT JOIN tgt b ON b.page = c_custkey + 3 WHERE c_custkey < 200
+FROM customer LEFT JOIN tgt a ON a.page = c_custkey LEFT JOIN tgt b ON b.page = c_custkey + 3
 """
 
 
@@ -235,7 +243,9 @@ def notes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All notes of the outline's document, built from its sections and pages."""
     s = sections(spark, sf_dir)
     text = R.section_text(s, pages(spark, sf_dir).withColumn("text", X.image_sentinels(c("text"))))
-    full = s.join(text, ["source_slug", "ord"], "left").withColumn("kind", F.lit("text"))
+    full = s.join(text, ["source_slug", "ord"], "left").withColumn("kind", F.when(c("is_leaf") & (c("ord") % 5 == 0), F.lit("index")).otherwise("text"))
+    listed = F.concat(F.coalesce("markdown", F.lit("")), F.lit("\n- Zeta "), c("start_page").cast("string"), F.lit(", **"), (c("start_page") + 1).cast("string"), F.lit("**, 999999"))
+    full = full.withColumn("markdown", F.when(c("kind") == "index", listed).otherwise(c("markdown")))
     return R.build_notes(full, sources(spark, sf_dir), V.OWNER)
 
 
@@ -244,14 +254,16 @@ def r13(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _Q = "replace(replace({0}, chr(92), chr(92) || chr(92)), '\"', chr(92) || '\"')"
-R13_SQL = f"""{CTE},
+R13_SQL = f"""{CTE}, {_TARGETS},
 lk AS (SELECT sec.ord, sec.toc_number, '[[' || link_target || '|' || display_title || ']]' AS l FROM sec JOIN pth USING (ord)),
 nb AS (SELECT ord, lag(l) OVER (ORDER BY ord) AS pv, lead(l) OVER (ORDER BY ord) AS nx FROM lk JOIN (SELECT ord FROM sec WHERE is_leaf) s USING (ord)),
 lst AS (SELECT parent_number, string_agg('- ' || l, chr(10) ORDER BY sec.ord) AS items FROM sec JOIN lk USING (ord) GROUP BY parent_number),
 body AS (
   SELECT sec.*, pth.link_target, lk.l, nb.pv, nb.nx, coalesce(pl.l, '[[tpch/tpch|All "Customers"]]') AS up, lst.items,
-    replace(markdown, '![x](img/', '![](' || repeat('../', length(pth.link_target) - length(replace(pth.link_target, '/', '')) - 1) || 'assets/') AS md
-  FROM sec JOIN pth USING (ord) JOIN lk USING (ord) LEFT JOIN nb USING (ord) LEFT JOIN txt USING (ord) LEFT JOIN lk pl ON pl.toc_number = sec.parent_number LEFT JOIN lst ON lst.parent_number = sec.toc_number)
+    replace(CASE WHEN is_leaf AND sec.ord % 5 = 0 THEN coalesce(markdown, '') || chr(10) || '- Zeta ' || coalesce('[[' || ta.link_target || '|' || sec.start_page || ']]', CAST(sec.start_page AS VARCHAR))
+      || ', ' || coalesce('**[[' || tb.link_target || '|' || (sec.start_page + 1) || ']]**', '**' || (sec.start_page + 1) || '**') || ', 999999' ELSE markdown END, '![x](img/', '![](' || repeat('../', length(pth.link_target) - length(replace(pth.link_target, '/', '')) - 1) || 'assets/') AS md
+  FROM sec JOIN pth USING (ord) JOIN lk USING (ord) LEFT JOIN nb USING (ord) LEFT JOIN txt USING (ord) LEFT JOIN lk pl ON pl.toc_number = sec.parent_number LEFT JOIN lst ON lst.parent_number = sec.toc_number
+    LEFT JOIN tgt ta ON ta.page = sec.start_page LEFT JOIN tgt tb ON tb.page = sec.start_page + 1)
 SELECT link_target || '.md' AS path, '---' || chr(10) || 'title: "' || display_title || '"' || chr(10) || 'source: "tpch.pdf"' || chr(10) || 'source_pages: [' || start_page || ', ' || end_page || ']' || chr(10)
   || 'boundary: page-level' || chr(10) || 'toc_level: ' || level || chr(10) || 'toc_number: "' || toc_number || '"' || chr(10) || 'parent: "' || {_Q.format("up")} || '"' || chr(10)
   || coalesce('prev: "' || pv || '"' || chr(10), '') || coalesce('next: "' || nx || '"' || chr(10), '') || 'tags: [pdf-import, tpch]' || chr(10) || 'created: 2024-01-02' || chr(10) || 'generated_by: engine' || chr(10) || '---' || chr(10) || chr(10)
@@ -388,7 +400,15 @@ K07_SQL = "SELECT '# Imported' || chr(10) || '[[tpch/01-c1|one]]' || chr(10) ||
 
 
 def k09(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return V.clean_notes(vault(spark, sf_dir), PATTERNS).select("path", F.contains("text", F.lit("Copy of")).alias("left"))
+    """Cleaned notes with their whole text and the number of lines in their diff."""
+    changed = V.clean_notes(vault(spark, sf_dir), PATTERNS)
+    diff = F.size(F.filter("diff", lambda x: x.rlike(r"\A[-+](?![-+]{2})")))
+    return changed.join(V.cleaning_report(changed), "path").select("path", "text", diff.alias("diff_lines"))
+
+
+K09_SQL = f"""WITH f AS (SELECT path, text, replace(replace(text, 'Copy of 7' || chr(10), ''), '# C A P S' || chr(10), '# CAPS' || chr(10)) AS new FROM ({fx.duck(VAULT)}) x WHERE path LIKE 'tpch/%')
+SELECT path, new AS text, CAST(CASE WHEN contains(text, 'Copy of 7') THEN 1 ELSE 0 END + CASE WHEN contains(text, 'C A P S') THEN 2 ELSE 0 END AS INT) AS diff_lines FROM f WHERE new <> text
+UNION ALL SELECT 'loose.md', 'no frontmatter' || chr(10), 0"""
 
 
 def k10(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -401,24 +421,29 @@ def r19(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Enrichment of every note with a summary and two tags, one of which is there."""
     sql = "SELECT concat('tpch/01-c', CAST(c_custkey AS STRING), '.md') AS path, concat(' a  ', c_name) AS summary, c_custkey % 82 = 0 AS force FROM {customer}"
     updates = fx.run(spark, sf_dir, sql).withColumn("add_tags", F.array(F.lit("pdf-import"), F.lit("new"), F.lit("new")))
-    return V.enrich(vault(spark, sf_dir), updates).select("path", "outcome", "summary", F.array_join("tags", ",").alias("tags"))
+    return V.enrich(vault(spark, sf_dir), updates).select("path", "outcome", "summary", F.array_join("tags", ",").alias("tags"), "text")
 
 
 R19_SQL = """
-WITH u AS (SELECT c_custkey AS k, c_name, CASE WHEN c_custkey % 31 = 0 THEN 'no such note' WHEN c_custkey % 37 = 0 THEN 'not generated' WHEN c_custkey % 41 = 0 AND c_custkey % 82 <> 0 THEN 'already enriched' ELSE 'applied' END AS outcome FROM customer)
-SELECT 'tpch/01-c' || k || '.md' AS path, outcome, CASE WHEN outcome = 'applied' THEN 'a ' || c_name END AS summary, CASE WHEN outcome = 'applied' THEN 'pdf-import,new' END AS tags FROM u
-"""
+WITH u AS (SELECT c_custkey AS k, c_name, CASE WHEN c_custkey % 31 = 0 THEN 'no such note' WHEN c_custkey % 37 = 0 THEN 'not generated' WHEN c_custkey % 41 = 0 AND c_custkey % 82 <> 0 THEN 'already enriched' ELSE 'applied' END AS outcome FROM customer),
+f AS (SELECT path, replace(replace(text, 'source_pages: [1, x]' || chr(10), ''), 'summary: old text' || chr(10), '') AS text FROM (__VAULT__) x)
+SELECT 'tpch/01-c' || k || '.md' AS path, outcome, CASE WHEN outcome = 'applied' THEN 'a ' || c_name END AS summary, CASE WHEN outcome = 'applied' THEN 'pdf-import,new' END AS tags,
+  CASE WHEN outcome = 'applied' THEN replace(replace(f.text, 'tags: [pdf-import]', 'tags: [pdf-import, new]'), 'created: ', 'summary: "a ' || c_name || '"' || chr(10) || 'created: ') END AS text
+FROM u LEFT JOIN f ON f.path = 'tpch/01-c' || k || '.md'
+""".replace("__VAULT__", fx.duck(VAULT))
 
 
 def r20(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Repairs of notes: a new first line of prose (rejected), or the same body (accepted)."""
+    """Repairs of notes: a new first line of prose (rejected), an unknown kind (rejected), or the same body (accepted)."""
     n = vault(spark, sf_dir).where("path LIKE 'tpch/%'")
-    proposals = n.select("path", F.lit("table").alias("kind"), F.when(F.length("path") % 2 == 0, F.concat(F.lit("more\n"), c("body"))).otherwise(c("body")).alias("new_body"))
+    kind = F.when(F.endswith("path", F.lit("9.md")), F.lit("other")).when(~F.endswith("path", F.lit("8.md")), F.lit("table"))
+    proposals = n.select("path", kind.alias("kind"), F.when(F.length("path") % 2 == 0, F.concat(F.lit("more\n"), c("body"))).otherwise(c("body")).alias("new_body"))
     accepted, rejected = V.repair(n, proposals)
-    return accepted.select("path", F.lit("accepted").alias("outcome")).unionByName(rejected.select("path", c("kind").alias("outcome")))
+    return accepted.select("path", F.lit("accepted").alias("outcome"), "text").unionByName(rejected.select("path", c("kind").alias("outcome"), F.lit("").alias("text")))
 
 
-R20_SQL = f"{_ALL} SELECT path, CASE WHEN NOT mine THEN 'ownership' WHEN length(path) % 2 = 0 THEN 'prose' ELSE 'accepted' END AS outcome FROM v"
+R20_SQL = f"""{_ALL}, o AS (SELECT path, CASE WHEN NOT mine THEN 'ownership' WHEN path LIKE '%9.md' THEN 'kind' WHEN length(path) % 2 = 0 THEN 'prose' ELSE 'accepted' END AS outcome FROM v)
+SELECT o.path, outcome, CASE WHEN outcome = 'accepted' THEN replace(replace(text, 'source_pages: [1, x]' || chr(10), ''), 'summary: old text', 'summary: "old text"') ELSE '' END AS text FROM o JOIN ({fx.duck(VAULT)}) x USING (path)"""
 
 Q = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Q] = {
@@ -462,7 +487,7 @@ ORACLES: dict[str, str] = {
     "r13_build_notes": R13_SQL, "r15_parse_notes": R15_SQL, "r17_links": R17_SQL, "r18_managed_region": R18_SQL, "r19_enrich": R19_SQL, "r20_repair": R20_SQL,
     "k02_write_conflicts": K02_SQL, "k03_orphans": "SELECT 'tpch/' || c_custkey || '.md' AS path FROM customer WHERE c_custkey % 3 = 0",
     "k06_assets": f"{CTE} SELECT DISTINCT 'tpch' AS source_slug, regexp_extract(text, '([0-4]\\.png)', 1) AS ref FROM own JOIN pg USING (page) WHERE regexp_matches(text, '/[0-4]\\.png')",
-    "k07_library_index": K07_SQL, "k09_clean_notes": f"{_ALL} SELECT path, false AS left FROM v WHERE k % 53 = 0 OR k % 43 = 0 UNION ALL SELECT 'loose.md', false",
+    "k07_library_index": K07_SQL, "k09_clean_notes": K09_SQL,
     "k10_picture_text": "SELECT CAST(c_custkey AS VARCHAR) AS path, 'Map of ' || c_name AS residue FROM customer WHERE c_custkey % 4 = 1",
     **{f"v0{i + 1}_{name}": gate_sql(name) for i, name in enumerate(V.GATES)},
     "v09_verify": V09_SQL,

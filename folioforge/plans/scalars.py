@@ -65,11 +65,6 @@ SCALARS: dict[str, tuple[str, Column | Callable[[], Column], str]] = {
     "x21_fixed_names": (_from("lower(c_mktsegment)"), lambda: F.concat_ws("~", X.moc_path(c("s")), X.asset_dir(c("s")), X.segment(F.lit("01.02"), c("s"))), "s || '/' || s || '.md~' || s || '/assets~01.02-' || s"),
     "x23_trait_wrap": (_from(_TRAIT), lambda: X.splits_trait(F.substring_index(c("s"), "~", 1), F.substring_index(c("s"), "~", -1)), "regexp_matches(s, 'Shield~Breaker|Rapid~Fire|Single~Shot')"),
     "x24_name_subheader": (_from(_NAME), lambda: X.is_name_subheader(c("s")), r"s = '' OR regexp_matches(s, '^[*_]') OR contains(lower(s), 'combi-weapon') OR contains(lower(s), 'component') OR contains(lower(s), 'pattern') OR (upper(s) = s AND regexp_matches(s, '[A-Za-z]'))"),
-    "s05_fragments": (
-        "SELECT p_partkey AS k, concat(CAST(p_size AS STRING), ':', CAST(p_size + 7 AS STRING)) AS s FROM {part}",
-        lambda: F.concat_ws("~", F.round((F.substring_index(c("s"), ":", 1).cast("double") + F.substring_index(c("s"), ":", -1).cast("double")) / 2, 1), (F.substring_index(c("s"), ":", 1).cast("int").bitwiseAND(16) != 0).cast("string")),
-        "CAST(round((CAST(split_part(s, ':', 1) AS DOUBLE) + CAST(split_part(s, ':', 2) AS DOUBLE)) / 2, 1) AS VARCHAR) || '~' || CAST((CAST(split_part(s, ':', 1) AS INT) & 16) <> 0 AS VARCHAR)",
-    ),
     "s12_content_hash": ("SELECT doc_id AS k, text AS s FROM {documents}", lambda: F.sha2(c("s"), 256), "sha256(s)"),
 }
 

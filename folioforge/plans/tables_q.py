@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators import guards, lines, tables
 from . import fixtures as fx
+from .lineage import checkpoint
 
 c = F.col
 NL = "chr(10)"
@@ -62,8 +63,8 @@ BEFORE_AFTER: dict[str, tuple[str, Callable[[Column], Column], str]] = {
         _text(f"'# Wil Int', {NL}", "CASE WHEN rn % 5 = 0 THEN concat('Ganger', CAST(rn AS STRING), '....', CAST(l_partkey AS STRING), ' credits ** M WS BS S T W I A Ld Cl Wil Int **<br>5\" 4+ 4+ 3 3 1 4+ x 7+ 6+ - ', CAST(l_linenumber AS STRING), '+ Skills: ', l_returnflag, chr(10)) ELSE concat('Ganger', CAST(rn AS STRING), ' ', CAST(l_partkey AS STRING), ' credits', chr(10), chr(10), '| M | WS | BS | S | T | W | I | A | Ld | Cl | Wil | Int |', chr(10), '|---|---|---|---|---|---|---|---|---|---|---|---|', chr(10), '| 5\" | 4+ | 4+ | 3 | 3 | 1 | 4+ | 1 | 7+ | 6+ | - | ', CAST(l_linenumber AS STRING), '+ |', chr(10), chr(10), 'Skills: ', l_returnflag, chr(10)) END", "'end'"),
     ),
     "n09_equipment_lists": (
-        _text(f"'## List', {NL}", "concat('- Gun', CAST(rn AS STRING), '........', CAST(l_partkey AS STRING), ' credits', CASE WHEN rn % 2 = 0 THEN ' - Scope.....+15 credits' ELSE '' END, chr(10), CASE WHEN rn % 3 = 0 THEN concat('- Ironhead heavy', chr(10), '- flamer*....210 credits', chr(10)) ELSE '' END)", f"concat('end', {NL}, '- worth 10 credits, or so')"), lines.tabulate_equipment,
-        _text(f"'## List', {NL}, {NL}, '| Item | Cost |', {NL}, '|---|---|', {NL}", "concat('| Gun', CAST(rn AS STRING), ' | ', CAST(l_partkey AS STRING), ' credits |', chr(10), CASE WHEN rn % 2 = 0 THEN concat('| — Scope | +15 credits |', chr(10)) ELSE '' END, CASE WHEN rn % 3 = 0 THEN concat('| Ironhead heavy flamer* | 210 credits |', chr(10)) ELSE '' END)", f"concat({NL}, 'end', {NL}, '- worth 10 credits, or so')"),
+        _text(f"'## List', {NL}", "concat('- Gun', CAST(rn AS STRING), '........', CAST(l_partkey AS STRING), ' credits', CASE WHEN rn % 2 = 0 THEN ' - Scope.....+15 credits' ELSE '' END, chr(10), CASE WHEN rn % 3 = 0 THEN concat('- Copper ladle', chr(10), '- spoon*....210 credits', chr(10)) ELSE '' END)", f"concat('end', {NL}, '- worth 10 credits, or so')"), lines.tabulate_equipment,
+        _text(f"'## List', {NL}, {NL}, '| Item | Cost |', {NL}, '|---|---|', {NL}", "concat('| Gun', CAST(rn AS STRING), ' | ', CAST(l_partkey AS STRING), ' credits |', chr(10), CASE WHEN rn % 2 = 0 THEN concat('| — Scope | +15 credits |', chr(10)) ELSE '' END, CASE WHEN rn % 3 = 0 THEN concat('| Copper ladle spoon* | 210 credits |', chr(10)) ELSE '' END)", f"concat({NL}, 'end', {NL}, '- worth 10 credits, or so')"),
     ),
 }
 
@@ -95,19 +96,26 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _both(_B_TABLE, spark, sf_dir).withColumnRenamed("text", "before").join(_both(_A_TABLE, spark, sf_dir).withColumnRenamed("text", "after"), "k")
 
 
+def lost(rows: DataFrame) -> DataFrame:
+    """The pairs, with the whole table gone in every eleventh text."""
+    return rows.withColumn("after", F.when(c("k") % 11 == 4, F.lit("intro")).otherwise(c("after")))
+
+
 _ITEMS = fx.duck(fx.ITEMS)
 D03_SQL = f"""
 WITH i AS ({_ITEMS}), b AS (
   SELECT l_orderkey AS k, CAST(l_partkey AS VARCHAR) AS token, -1 AS n FROM i WHERE rn = 1 AND l_orderkey % 3 = 1
   UNION ALL SELECT l_orderkey, CAST(l_partkey + 1 AS VARCHAR), 1 FROM i WHERE rn = 1 AND l_orderkey % 3 = 1)
-SELECT k, 0 AS table_no, token, n AS delta FROM b
+SELECT k, 0 AS table_no, token, n AS delta FROM b WHERE k % 11 <> 4
+UNION ALL SELECT DISTINCT l_orderkey, -1, 'number of tables', -1 FROM i WHERE l_orderkey % 11 = 4
 """
-D05_SQL = f"""
-WITH i AS ({_ITEMS}), n AS (SELECT l_orderkey AS k, count(*) AS n FROM i GROUP BY 1)
-SELECT k, 'order' AS kind, 0 AS table_no, 'W1 -> W2' AS detail FROM n WHERE k % 3 = 2 AND n >= 2
-UNION ALL SELECT l_orderkey, 'dropped', 0, CAST(l_partkey AS VARCHAR) || ' x1' FROM i WHERE rn = 1 AND l_orderkey % 3 = 1
-UNION ALL SELECT l_orderkey, 'added', 0, CAST(l_partkey + 1 AS VARCHAR) || ' x1' FROM i WHERE rn = 1 AND l_orderkey % 3 = 1
+_STRICT = f"""
+WITH i AS ({_ITEMS}), n AS (SELECT l_orderkey AS k, count(*) AS n FROM i GROUP BY 1), strict AS (
+  SELECT k, 'order' AS kind, 0 AS table_no, 'W1 -> W2' AS detail FROM n WHERE k % 3 = 2 AND n >= 2
+  UNION ALL SELECT l_orderkey, 'dropped', 0, CAST(l_partkey AS VARCHAR) || ' x1' FROM i WHERE rn = 1 AND l_orderkey % 3 = 1
+  UNION ALL SELECT l_orderkey, 'added', 0, CAST(l_partkey + 1 AS VARCHAR) || ' x1' FROM i WHERE rn = 1 AND l_orderkey % 3 = 1)
 """
+D05_SQL = f"{_STRICT} SELECT * FROM strict WHERE k % 11 <> 4 UNION ALL SELECT k, 'tables', -1, '1 -> 0' FROM n WHERE k % 11 = 4"
 D04_SQL = f"SELECT l_orderkey AS k, string_agg('W' || CAST(rn AS VARCHAR), ',' ORDER BY rn) AS anchors FROM ({_ITEMS}) i GROUP BY l_orderkey"
 N10_SQL = f"""
 WITH i AS ({_ITEMS})
@@ -184,13 +192,18 @@ N07_SQL = "SELECT c_custkey AS k, '## **' || upper(c_mktsegment) || ' CHAPTER**
 def common_lines(spark: SparkSession, sf_dir: str, least: int = 10) -> DataFrame:
     """Lines and characters per language that stand in ``least`` documents or more: the corpus's boilerplate.
 
-    Copies of a line within a document are counted map-side before the shuffle by line, and the boilerplate lines come back
-    by a join that the planner may broadcast by size.
+    Only 128-bit hashes of lines are shuffled, once, with partial counts, so a line of every document is one row of each
+    task; a document's copies of a line are made one inside its row. The hashes of boilerplate come back as a broadcast
+    where there are few of them.
     """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    line = docs.select("doc_id", "lang", F.explode(F.split("text", "\n", -1)).alias("line"))
-    shared = line.where("line <> ''").select("doc_id", "line").distinct().groupBy("line").agg(F.count(F.lit(1)).alias("n")).where(c("n") >= least).select("line")
-    return line.join(shared, "line").groupBy("lang").agg(F.count(F.lit(1)).alias("n_lines"), F.sum(F.length("line")).alias("n_chars"))
+    lines = F.split("text", "\n", -1)
+    hashed = [F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2")]
+    each = docs.select(F.explode(F.array_distinct(lines)).alias("line")).where("line <> ''").select(*hashed)
+    shared = checkpoint(each.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where(c("n") >= least).select("h1", "h2"))
+    shared = F.broadcast(shared) if shared.count() <= 1_000_000 else shared
+    line = docs.select("lang", F.explode(lines).alias("line")).where("line <> ''").select("lang", F.length("line").alias("chars"), *hashed)
+    return line.join(shared, ["h1", "h2"]).groupBy("lang").agg(F.count(F.lit(1)).alias("n_lines"), F.sum("chars").alias("n_chars"))
 
 
 def b01(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -222,16 +235,18 @@ def d06(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def d09(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Repair verdicts: table edits of which every fifth also changes prose, and one in seven is a mere promotion."""
-    table = pairs(spark, sf_dir).withColumn("after", F.when(c("k") % 5 == 0, F.concat("after", F.lit(" more"))).otherwise(c("after"))).withColumn("kind", F.lit("table"))
+    """Repair verdicts: table edits of which every fifth also changes prose; kinds that are null or unknown; mere promotions."""
+    kind = F.when(c("k") % 13 == 1, F.lit("prose")).when(c("k") % 13 != 0, F.lit("table"))
+    table = pairs(spark, sf_dir).withColumn("after", F.when(c("k") % 5 == 0, F.concat("after", F.lit(" more"))).otherwise(c("after"))).withColumn("kind", kind)
     promoted = _both(BEFORE_AFTER["b04_promote_label_row"][0], spark, sf_dir).select((-c("k") - 1).alias("k"), c("text").alias("before"), tables.promote_label_row(c("text")).alias("after"), F.lit("table").alias("kind"))
     index = fx.run(spark, sf_dir, _INDEX).select((c("k") + 1_000_000_000).alias("k"), "before", "after", F.lit("index").alias("kind"))
     return guards.repair_drift(table.unionByName(promoted).unionByName(index), "k").fillna(-1, ["table_no"])
 
 
 D09_SQL = f"""
-{D05_SQL}
-UNION ALL SELECT DISTINCT l_orderkey, 'prose', -1, 'lines outside tables changed' FROM ({_ITEMS}) p WHERE l_orderkey % 5 = 0
+{_STRICT} SELECT * FROM strict WHERE k % 13 <> 1
+UNION ALL SELECT k, 'kind', -1, 'unknown kind prose' FROM n WHERE k % 13 = 1
+UNION ALL SELECT k, 'prose', -1, 'lines outside tables changed' FROM n WHERE k % 5 = 0 AND k % 13 <> 1
 UNION ALL SELECT k + 1000000000, 'index', -1, 'position ' || position || ': ' || was || ' -> ' || now FROM ({D07_SQL}) x
 """
 
@@ -263,9 +278,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "n10_table_rows": n10,
     "b01_table_shapes": b01,
     **{key: rewrite_query(key) for key in BEFORE_AFTER},
-    "d03_data_drift": lambda spark, sf_dir: guards.data_drift(pairs(spark, sf_dir), "k"),
+    "d03_data_drift": lambda spark, sf_dir: guards.data_drift(lost(pairs(spark, sf_dir)), "k"),
     "d04_row_anchors": d04,
-    "d05_strict_drift": lambda spark, sf_dir: guards.strict_drift(pairs(spark, sf_dir), "k").fillna(-1, ["table_no"]),
+    "d05_strict_drift": lambda spark, sf_dir: guards.strict_drift(lost(pairs(spark, sf_dir)), "k").fillna(-1, ["table_no"]),
     "d06_index_tokens": d06,
     "d07_index_drift": lambda spark, sf_dir: guards.index_drift(fx.run(spark, sf_dir, _INDEX), "k"),
     "d09_repair_check": d09,

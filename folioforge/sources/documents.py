@@ -39,6 +39,70 @@ def read_pages(spark: SparkSession, path: str, parse, schema: str = "source_slug
     return read_binary(spark, path).select("path", "content").mapInPandas(run, schema)
 
 
+DOCUMENT = (
+    "path string, file_name string, sha256 string, title string, author string, page_count int, toc array<struct<level:int,title:string,start_page:int>>,"
+    "pages array<string>, fragments array<struct<page:int,text:string,x0:double,x1:double,y0:double,y1:double,size:double,flags:int>>"
+)
+
+
+def read_documents(spark: SparkSession, path: str, parse) -> DataFrame:
+    """Binary documents by a plug-in, one row each in the shape of :data:`DOCUMENT` and their ``source_slug``.
+
+    ``parse(path, content)`` gives a dictionary with ``title``, ``author``, ``toc`` (tuples of level, title, page), ``pages`` (texts)
+    and ``fragments`` (tuples in the order of the field), each of which may lack. The title is the cleaned one of the
+    document, else its file's name without the ending.
+    """
+    from ..functions import unicode as U
+
+    def run(frames):
+        import pandas as pd
+
+        fields = [f.split()[0] for f in ("path", "file_name", "sha256", "title", "author", "page_count", "toc", "pages", "fragments")]
+        for frame in frames:
+            rows = []
+            for f in frame.itertuples():
+                d = parse(f.path, f.content)
+                pages = list(d.get("pages", ()))
+                toc = [dict(zip(("level", "title", "start_page"), e)) for e in d.get("toc", ())]
+                frags = [dict(zip(("page", "text", "x0", "x1", "y0", "y1", "size", "flags"), e)) for e in d.get("fragments", ())]
+                rows.append((f.path, f.path.rpartition("/")[2], f.sha256, d.get("title"), (d.get("author") or "").strip(), len(pages), toc, pages, frags))
+            yield pd.DataFrame(rows, columns=fields)
+
+    found = read_binary(spark, path).select("path", "sha256", "content").mapInPandas(run, DOCUMENT)
+    own, stem = X.clean_inline(F.coalesce("title", F.lit(""))), F.regexp_replace("file_name", r"\.[^.]*\z", "")
+    return found.withColumn("title", F.when(own != "", own).otherwise(stem)).withColumn("source_slug", U.slugify(F.col("title")))
+
+
+def document_pages(documents: DataFrame) -> DataFrame:
+    """``(source_slug, page, text)``, pages from 1."""
+    return documents.select("source_slug", F.posexplode("pages").alias("p", "text")).select("source_slug", (F.col("p") + 1).alias("page"), "text")
+
+
+def document_outlines(documents: DataFrame) -> DataFrame:
+    """``(source_slug, ord, level, title, start_page)`` of the embedded outlines."""
+    return documents.select("source_slug", F.posexplode("toc").alias("ord", "e")).select("source_slug", "ord", "e.*")
+
+
+def document_fragments(documents: DataFrame) -> DataFrame:
+    """``(source_slug, page, frag_ord, text, x0, x1, y, size, bold)``."""
+    from ..operators.geometry import fragments
+
+    return fragments(documents.select("source_slug", F.posexplode("fragments").alias("frag_ord", "f")).select("source_slug", "frag_ord", "f.*"))
+
+
+def read_options(spark: SparkSession, path: str, defaults: Mapping[str, object]) -> dict:
+    """Options of a JSON file over their defaults; unknown ones are left out, and so is a file that is not there."""
+    import json
+
+    from .vault_files import exists
+
+    if not exists(spark, path):
+        return dict(defaults)
+    text = spark.read.text(path, wholetext=True).head()
+    given = json.loads(text[0]) if text else {}
+    return dict(defaults) | {k: tuple(v) if isinstance(v, list) else v for k, v in given.items() if k in defaults}
+
+
 def passthrough(options: Mapping[str, object], defaults: Mapping[str, object], supported: Iterable[str], takes_any: bool = False) -> tuple[dict, list[str]]:
     """Options that a page parser takes, and warnings for changed ones that it doesn't."""
     known = set(supported)
@@ -120,13 +184,15 @@ def sort_target(relative: Column, slug: Column | None = None) -> Column:
 
 def sort_spec(target: Column) -> Column:
     """Text of a sort-spec note."""
-    # Fixed value: the format that the sorting plug-in reads.
-    head, tail = "---\nsorting-spec: |-\n  target-folder: ", (
-        "\n  order-asc: a-z\n---\n\nInterleaves files and folders in Obsidian's File Explorer so notes appear in reading order (by their numeric prefixes) "
-        "instead of Obsidian's default folders-before-files.\n\nRequires the community plugin \"Custom File Explorer sorting\" (obsidian-custom-sort). "
-        "View-only: nothing on disk changes.\n"
-    )
-    return F.concat(F.lit(head), target, F.lit(tail))
+    return F.concat(F.lit(SORT_HEAD), target, F.lit(SORT_TAIL))
+
+
+# The format that the sorting plug-in reads.
+SORT_HEAD, SORT_TAIL = "---\nsorting-spec: |-\n  target-folder: ", (
+    "\n  order-asc: a-z\n---\n\nInterleaves files and folders in Obsidian's File Explorer so notes appear in reading order (by their numeric prefixes) "
+    "instead of Obsidian's default folders-before-files.\n\nRequires the community plugin \"Custom File Explorer sorting\" (obsidian-custom-sort). "
+    "View-only: nothing on disk changes.\n"
+)
 
 
 def missing_specs(planned: DataFrame, present: DataFrame) -> DataFrame:
