@@ -126,7 +126,7 @@ def asset_path(note_dir: Column, name: Column) -> Column:
     return F.concat(ups, F.lit("assets/"), name)
 
 
-_IMAGE = r"!\[[^\]]*\]\((?:[^)]*/)?([^)/]+)\)"
+_IMAGE = r"!\[[^\]]*\]\((?:[^)]*/)?(?:ASSET:)?([^)/]+)\)"
 
 
 def image_sentinels(c: Column) -> Column:
