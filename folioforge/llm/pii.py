@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -53,18 +54,21 @@ _SPELLED = re.compile(
 _TOKEN = re.compile(rf"(?P<d>{_DIGIT})|(?P<p>plus[ -]?)|(?P<o>{_BR_DOT}|[ ]?(?:dot|point)[ ]?)|(?P<h>[ ]?(?:dash|hyphen)[ ]?)|(?P<s>[ ,-]{{1,2}})|(?P<x>.)", re.I | re.S)
 _HINT = re.compile(rf"(?<![^\W_]){_DIGIT}(?:[ ,-]{{1,2}}|[ ]?(?:\.|dot|point|dash|hyphen)[ ]?|[ ]?[()][ ]?|{_BR_DOT}){_DIGIT}(?![^\W_])", re.I)
 _BR_AT = r"[ ]?[\[({<][ ]?(?:at|@)[ ]?[\])}>][ ]?"
-_WORD_AT, _WORD_DOT = r"[ ]+at[ ]+", r"[ ]+dot[ ]+"
-_PART = r"[A-Za-z0-9-]+"
-#: Disguised addresses: a bracketed "at" with plain or disguised dots, or a bare "at" with disguised dots only.
-_DISGUISED = re.compile(
-    rf"[A-Za-z0-9._%+-]+(?:(?:{_BR_DOT}|{_WORD_DOT})[A-Za-z0-9_%+-]+)*"
-    rf"(?:{_BR_AT}{_PART}(?:(?:{_BR_DOT}|{_WORD_DOT}|\.){_PART})+|{_WORD_AT}{_PART}(?:(?:{_BR_DOT}|{_WORD_DOT}){_PART})+|@{_PART}(?:\.{_PART})*(?:(?:{_BR_DOT}|{_WORD_DOT}){_PART})+)",
-    re.I,
-)
+_WORD_AT, _WORD_DOT = r"(?<![ ])[ ]++at[ ]++", r"[ ]++dot[ ]++"
+_PART, _DOT = r"[A-Za-z0-9-]++", rf"(?:{_BR_DOT}|{_WORD_DOT})"
+#: The "at" of a disguised address, and what must stand behind it: plain or disguised dots behind a bracketed one,
+#: disguised dots only behind a bare one, at least one disguised dot behind "@".
+_AT = re.compile(rf"(?P<bracket>{_BR_AT})|(?P<word>{_WORD_AT})|(?P<sign>@)", re.I)
+_DOMAINS = {
+    "bracket": re.compile(rf"{_PART}(?:(?:{_DOT}|\.){_PART})++", re.I), "word": re.compile(rf"{_PART}(?:{_DOT}{_PART})++", re.I),
+    "sign": re.compile(rf"{_PART}(?:\.{_PART})*+(?:{_DOT}{_PART})++", re.I),
+}
+#: A disguised dot before a place, read from right to left.
+_DOT_BACKWARDS = re.compile(r"[ ]?[\])}>][ ]?(?:tod|\.)[ ]?[\[({<][ ]?|[ ]++tod[ ]++", re.I)
 #: Dots between digits, bracketed or spelled.
 _NUMBER_DOT = re.compile(rf"(?<=[0-9])(?:{_BR_DOT}|[ ]*(?:dot|point)[ ]*)(?=[0-9])", re.I)
 _DISGUISE_HINT = re.compile(r"[\[({<][ ]?(?:at|@|dot|\.)[ ]?[\])}>]|[ ]dot[ ]", re.I)
-_AT_OR_DOT = re.compile(rf"(?P<at>{_BR_AT}|{_WORD_AT})|(?P<dot>{_BR_DOT}|{_WORD_DOT})", re.I)
+_ANY_DOT = re.compile(_DOT, re.I)
 
 
 def luhn(digits: str) -> bool:
@@ -107,6 +111,36 @@ def base_spans(text: str) -> list[Span]:
     return out
 
 
+def _disguised_addresses(text: str) -> Iterator[tuple[int, int, int, int]]:
+    """``(start, "at" start, "at" end, end)`` of disguised addresses, leftmost first, non-overlapping.
+
+    Each "at" is looked at once: first what stands behind it, then its local part from right to left, which ends at the
+    address before. So the time is in proportion to the text, whatever it is.
+    """
+    done, backwards = 0, None
+    for sign in _AT.finditer(text):
+        if sign.start() < done:
+            continue
+        domain = _DOMAINS[sign.lastgroup].match(text, sign.end())
+        if not domain:
+            continue
+        start = at = sign.start()
+        while True:
+            while start > done and text[start - 1] in _LOCAL:
+                start -= 1
+            if start == at:
+                break
+            backwards = text[::-1] if backwards is None else backwards
+            dot = _DOT_BACKWARDS.match(backwards, len(text) - start)
+            before = start - (dot.end() - dot.start()) if dot else 0
+            if not dot or before <= done or text[before - 1] not in _LOCAL:
+                break
+            start = before
+        if start < at:
+            yield start, at, sign.end(), domain.end()
+            done = domain.end()
+
+
 def _undisguise(text: str) -> tuple[str, list[int], list[int]] | None:
     """The normalised text with the source start and end of each of its characters; None if nothing is disguised.
 
@@ -154,8 +188,9 @@ def _undisguise(text: str) -> tuple[str, list[int], list[int]] | None:
     apply([(*m.span(), ".") for m in _NUMBER_DOT.finditer(text)])
     if _DISGUISE_HINT.search(text):
         edits = []
-        for m in _DISGUISED.finditer(text):
-            edits += [(*t.span(), "@" if t.lastgroup == "at" else ".") for t in _AT_OR_DOT.finditer(text, m.start(), m.end())]
+        for start, at, end, done in _disguised_addresses(text):
+            edits += [(*t.span(), ".") for t in _ANY_DOT.finditer(text, start, at)]
+            edits += [(at, end, "@"), *((*t.span(), ".") for t in _ANY_DOT.finditer(text, end, done))]
         apply(edits)
     return (text, list(starts), list(ends)) if changed else None
 
@@ -170,7 +205,9 @@ def all_spans(text: str) -> tuple[list[Span], list[Span]]:
     more = set()
     for kind, a, b in base_spans(normal):
         start, end = starts[a], ends[b - 1]
-        if not any(k == kind and s <= start and end <= e for k, s, e in base):
+        # Base spans stand in the order of kind and start, and those of one kind don't overlap.
+        i = bisect_right(base, (kind, start, len(text) + 1)) - 1
+        if i < 0 or base[i][0] != kind or base[i][2] < end:
             more.add((kind, start, end))
     return base, sorted({*base, *more})
 
@@ -180,9 +217,9 @@ def spell(spans: Iterable[Span], kinds: tuple[str, ...] = KINDS) -> str:
 
 
 def find_pii(docs: DataFrame) -> DataFrame:
-    """One row per document: ``(doc_id, n_email, n_ip, n_card, n_phone, base, spans)``.
+    """One row per document: ``(doc_id, n_email, n_ip, n_card, n_phone, base, spans, n_spans)``.
 
-    Counts and ``base`` are those of the plain patterns; ``spans`` adds disguised identifiers. Spans are
+    Counts and ``base`` are those of the plain patterns; ``spans`` adds disguised identifiers, and ``n_spans`` counts all. Spans are
     ``kind:start:end`` in code points of the source text. Null and empty texts have none; null ids and repeated rows are
     rows like others; extra columns are not read.
     """
@@ -190,11 +227,11 @@ def find_pii(docs: DataFrame) -> DataFrame:
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
         found = [all_spans(t) for t in texts_of(batch)]
         columns = {f"n_{kind}": [sum(k == i for k, _, _ in base) for base, _ in found] for i, kind in enumerate(KINDS)}
-        yield {"doc_id": batch.column(0), **columns, "base": [spell(b) for b, _ in found], "spans": [spell(s) for _, s in found]}
+        yield {"doc_id": batch.column(0), **columns, "base": [spell(b) for b, _ in found], "spans": [spell(s) for _, s in found], "n_spans": [len(s) for _, s in found]}
 
     return map_batches(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"),
-        "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base string, spans string",
+        "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base string, spans string, n_spans long",
         run,
     )
 

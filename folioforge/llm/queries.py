@@ -34,7 +34,7 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of all documents, plain and disguised."""
     return pii.find_pii(table(spark, sf_dir, "documents")).select(
-        "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans"
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans", "n_spans"
     )
 
 

@@ -310,3 +310,20 @@ def test_top_k_equals_brute_force(spark):
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert topk.top_k(frame.limit(0)).count() == 0
+
+
+def test_pii_takes_time_in_proportion():
+    import time
+
+    big = 1_000_000
+    texts = [
+        "a" * big + " x dot y", "a dot " * (big // 6) + "b", "x at " * (big // 5) + "y", " " * big + "at x dot y", "a (at) " * (big // 7), "+1" + "(" * big, "1" * big + "a", "@" * big,
+        "one " * (big // 4), "1 dot " * (big // 6), "а" + "me@mail.example " * 50_000, "a[.]" * (big // 4) + "b (at) c.d",
+    ]
+    for text in texts:
+        began = time.process_time()
+        pii.all_spans(text)
+        assert time.process_time() - began < 20, text[:20]
+    base, spans = pii.all_spans("а" + "me@mail.example " * 1000)
+    assert len(base) == 1000 and len(spans) == 1001
+    assert pii.redact("jane dot van (dot) doe at mail dot example dot org or x@y dot z") == "[EMAIL] or [EMAIL]"
