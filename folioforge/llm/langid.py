@@ -16,13 +16,15 @@ from .common import map_batches, rewrite_rows, texts_of
 
 UNKNOWN = "und"
 _WORD = re.compile(r"[^\W\d_]+")
-#: Longer letter runs are scored in pieces of this length, so that scripts without spaces have bounded words.
+#: Longer letter runs, as of scripts without spaces, are no words: they are read by n-grams, in pieces of this length.
 MAX_WORD = 40
 
 
 def words_of(text: str) -> list[str]:
-    """Lower-cased runs of letters."""
+    """Lower-cased runs of letters; numerals such as a half or a circled one are no letters."""
     words = _WORD.findall(text.lower())
+    if not "".join(words).isalpha():
+        words = [p for w in words for p in ("".join(c if c.isalpha() else " " for c in w).split() if not w.isalpha() else (w,))]
     if any(len(w) > MAX_WORD for w in words):
         words = [w[i : i + MAX_WORD] for w in words for i in range(0, len(w), MAX_WORD)]
     return words
@@ -57,7 +59,7 @@ class LanguageModel:
                         found = grams[gram] = [0] * width
                     found[i] += count
         total = np.array(list(words.values()), float).sum(axis=0) if words else np.zeros(width)
-        known = {w: c for w, c in words.items() if sum(c) >= min_count}
+        known = {w: c for w, c in words.items() if sum(c) >= min_count and len(w) < MAX_WORD}
         self.words = {w: i for i, w in enumerate(known)}
         self.word_scores = np.log((np.array(list(known.values()), float).reshape(len(known), width) + 0.5) / (total + 0.5 * max(len(words), 1)))
         letters = [c for g, c in grams.items() if len(g) == 1]
@@ -75,10 +77,10 @@ class LanguageModel:
                 scores.append(np.where(own > 0, np.log(own / given), below))
             self.grams[gram] = len(scores) - 1
         self.gram_scores = np.array(scores).reshape(len(scores), width)
-        self.cache: dict[str, np.ndarray] = {}
+        self.cache: dict[str, tuple[np.ndarray, int]] = {}
 
-    def unseen(self, word: str) -> np.ndarray:
-        """Log probabilities of an unseen word, by backing off to shorter n-grams."""
+    def unseen(self, word: str) -> tuple[np.ndarray, int]:
+        """Log probabilities of an unseen word, by backing off to shorter n-grams, and how many of its signs are unknown."""
         padded, known, missing = f"^{word}$", [], 0
         get, order = self.grams.get, self.order
         for end in range(2, len(padded) + 1):
@@ -89,29 +91,32 @@ class LanguageModel:
                     break
             else:
                 missing += 1
-        return self.gram_scores[known].sum(axis=0) + missing * self.floor
+        return self.gram_scores[known].sum(axis=0) + missing * self.floor, missing
 
     def predict(self, text: str) -> tuple[str, float]:
-        """The likeliest language and its share of the probability when all languages are as likely beforehand."""
+        """The likeliest language and its score: its share of the probability when all languages are as likely
+        beforehand, times the share of the text's letters that training texts hold, so that an unlearned script scores low."""
         counts = Counter(words_of(text))
         if not counts or not self.langs:
             return UNKNOWN, 0.0
-        known, times, total = [], [], np.zeros(len(self.langs))
+        known, times, total, strange = [], [], np.zeros(len(self.langs)), 0
         for word, n in counts.items():
             found = self.words.get(word)
             if found is not None:
                 known.append(found)
                 times.append(n)
                 continue
-            scores = self.cache.get(word)
-            if scores is None:
+            found = self.cache.get(word)
+            if found is None:
                 if len(self.cache) >= 100_000:
                     self.cache.clear()
-                scores = self.cache[word] = self.unseen(word)
-            total += n * scores
+                found = self.cache[word] = self.unseen(word)
+            total += n * found[0]
+            strange += n * found[1]
         total += np.array(times, float) @ self.word_scores[known]
         best = int(np.argmax(total))
-        return self.langs[best], float(1 / np.exp(total - total[best]).sum())
+        fit = 1 - strange / sum(n * len(w) for w, n in counts.items()) if strange else 1.0
+        return self.langs[best], float(max(fit, 0.0) / np.exp(total - total[best]).sum())
 
 
 def training_rows(docs: DataFrame, doc_id: str = "doc_id") -> DataFrame:
@@ -119,19 +124,19 @@ def training_rows(docs: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     return docs.where(F.col("lang").isNotNull() & (F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % 4 != 2))
 
 
-def fit(docs: DataFrame, docs_per_lang: int = 1200, max_words: int = 100_000, **options) -> LanguageModel:
+def fit(docs: DataFrame, docs_per_lang: int = 1200, **options) -> LanguageModel:
     """Learn from about ``docs_per_lang`` labelled documents of each language, chosen by a hash of the id.
 
-    Word counts are made on the cluster; at most ``max_words`` (language, word) counts, the largest, reach the driver.
+    That is the only bound: all languages and all words of these documents are learned. Word counts are made on the
+    cluster, and the sample's vocabulary reaches the driver.
     """
-    rows = training_rows(docs)
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(1000).collect()
-    if not sizes:
-        return LanguageModel([], **options)
+    rows = training_rows(docs).select("doc_id", "lang", "text")
+    sizes = rows.groupBy(F.col("lang").alias("__lang")).agg(F.count(F.lit(1)).alias("__n"))
     scale = 1 << 20
-    limits = F.create_map(*[x for r in sizes for x in (F.lit(r["lang"]), F.lit(int(min(1.0, docs_per_lang / r["n"]) * scale)))])
     place = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(scale))
-    sample = rows.where(place < F.element_at(limits, F.col("lang"))).select("lang", "text")
+    chosen = (F.col("lang") == F.col("__lang")) & (place * F.col("__n") < F.lit(docs_per_lang * scale))
+    # One row for each language, as many as the model has columns.
+    sample = rows.join(F.broadcast(sizes), chosen).select("lang", "text")
 
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
         counts: Counter = Counter()
@@ -140,14 +145,14 @@ def fit(docs: DataFrame, docs_per_lang: int = 1200, max_words: int = 100_000, **
         yield {"lang": [k[0] for k in counts], "word": [k[1] for k in counts], "n": list(counts.values())}
 
     counted = map_batches(sample, "lang string, word string, n long", run).groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    top = counted.orderBy(F.desc("n"), "lang", "word").limit(max_words).collect()
-    return LanguageModel(((r["lang"], r["word"], r["n"]) for r in top), **options)
+    return LanguageModel(sorted((r["lang"], r["word"], r["n"]) for r in counted.collect()), **options)
 
 
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """One row per document: ``(doc_id, held_out, lang_pred, score)``.
 
     ``und`` with score 0 where the text is null, empty or without letters, or nothing was learned. Whole texts are scored.
+    A text in a script that no training text has keeps a learned language, with a score near 0.
     Ties go to the first language in alphabetical order. Null ids and repeated rows are rows like others; extra columns,
     also ``lang`` and ``source``, are not read.
     """
@@ -165,7 +170,7 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, model: LanguageModel, min_score: float = 0.5) -> DataFrame:
-    """``docs`` without the rows whose language is ``und`` or scores below ``min_score``; columns stay as they are."""
+    """``docs`` without the rows whose language is ``und`` or scores below ``min_score``, as mixed and strange scripts do."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [model.predict(t) for t in texts_of(batch)]
