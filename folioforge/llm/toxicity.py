@@ -37,6 +37,36 @@ class Featurizer:
         return sorted({f for w in set(_WORD.findall(text.lower())) for f in self.of_word(w)})
 
 
+def cuts_of(params: Sequence[np.ndarray]) -> np.ndarray:
+    """Thresholds out of ``(weights, first threshold, logarithms of the gaps)``."""
+    return params[1][0] + np.concatenate([[0.0], np.cumsum(np.exp(params[2]))])
+
+
+def loss_and_gradient(params: Sequence[np.ndarray], flat: np.ndarray, row: np.ndarray, y: np.ndarray, weight: np.ndarray, l2: float) -> tuple[float, list[np.ndarray]]:
+    """The weighted negative log-likelihood of the grades ``y`` with its penalty, and its derivative by each parameter.
+
+    ``flat`` holds the features of all texts and ``row`` the text of each.
+    """
+    cuts, n = cuts_of(params), len(y)
+    k = len(cuts)
+    z = np.bincount(row, params[0][flat], n)
+    above = np.ones((n, k + 2))
+    above[:, 1:-1] = 1 / (1 + np.exp(np.clip(cuts[None, :] - z[:, None], -40, 40)))
+    above[:, -1] = 0
+    at = lambda x, grade: np.take_along_axis(x, grade[:, None], 1)[:, 0]
+    p = np.maximum(at(above, y) - at(above, y + 1), 1e-12)
+    slope = above * (1 - above)
+    hi, lo = at(slope, y), at(slope, y + 1)
+    dz = -weight * (hi - lo) / p
+    dcut = np.zeros(k)
+    np.add.at(dcut, np.maximum(y - 1, 0), np.where(y > 0, weight * hi / p, 0))
+    np.add.at(dcut, np.minimum(y, k - 1), np.where(y < k, -weight * lo / p, 0))
+    dw = np.bincount(flat, dz[row], len(params[0])) + l2 * params[0]
+    dgap = np.cumsum(dcut[::-1])[::-1][1:] * np.exp(params[2])
+    loss = -(weight * np.log(p)).sum() + l2 / 2 * (params[0] ** 2).sum()
+    return float(loss), [dw, np.array([dcut.sum()]), dgap]
+
+
 class OrdinalModel:
     """P(grade > k) = sigmoid(x.w - threshold[k]): one weight vector, ordered thresholds.
 
@@ -58,30 +88,15 @@ class OrdinalModel:
         share = np.bincount(y, minlength=k + 1).astype(float)
         weight = (1.0 / np.maximum(share, 1))[y]
         weight /= weight.sum()
-        first, gaps = 0.0, np.zeros(max(k - 1, 0))
-        params = [self.weights, np.array([first]), gaps]
+        params = [self.weights, np.array([0.0]), np.zeros(max(k - 1, 0))]
         m, v = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
         for step in range(1, rounds + 1):
-            cuts = params[1][0] + np.concatenate([[0.0], np.cumsum(np.exp(params[2]))])
-            z = np.bincount(row, params[0][flat], len(rows))
-            above = np.ones((len(rows), k + 2))
-            above[:, 1:-1] = 1 / (1 + np.exp(np.clip(cuts[None, :] - z[:, None], -40, 40)))
-            above[:, -1] = 0
-            p = np.maximum(np.take_along_axis(above, y[:, None], 1)[:, 0] - np.take_along_axis(above, y[:, None] + 1, 1)[:, 0], 1e-12)
-            slope = above * (1 - above)
-            hi, lo = np.take_along_axis(slope, y[:, None], 1)[:, 0], np.take_along_axis(slope, y[:, None] + 1, 1)[:, 0]
-            dz = -weight * (hi - lo) / p
-            dcut = np.zeros(k)
-            np.add.at(dcut, np.maximum(y - 1, 0), np.where(y > 0, weight * hi / p, 0))
-            np.add.at(dcut, np.minimum(y, k - 1), np.where(y < k, -weight * lo / p, 0))
-            dw = np.bincount(flat, dz[row], len(self.weights)) + l2 * params[0]
-            dgap = np.cumsum(dcut[::-1])[::-1][1:] * np.exp(params[2])
-            for i, g in enumerate((dw, np.array([dcut.sum()]), dgap)):
+            _, slopes = loss_and_gradient(params, flat, row, y, weight, l2)
+            for i, g in enumerate(slopes):
                 m[i] = 0.9 * m[i] + 0.1 * g
                 v[i] = 0.999 * v[i] + 0.001 * g * g
-                params[i] -= rate * (m[i] / (1 - 0.9**step)) / (np.sqrt(v[i] / (1 - 0.999**step)) + 1e-8)
-        self.weights = params[0]
-        self.thresholds = params[1][0] + np.concatenate([[0.0], np.cumsum(np.exp(params[2]))])
+                params[i] = params[i] - rate * (m[i] / (1 - 0.9**step)) / (np.sqrt(v[i] / (1 - 0.999**step)) + 1e-8)
+        self.weights, self.thresholds = params[0], cuts_of(params)
         return self
 
     def above(self, features: Sequence[int]) -> np.ndarray:
@@ -119,13 +134,13 @@ class SeverityModel:
         return self.model.above([self.vocabulary[h] for h in hashes if h in self.vocabulary])
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_docs: int = 6000, min_docs: int = 4, min_gain: float = 20.0, max_features: int = 20_000) -> SeverityModel:
+def fit(docs: DataFrame, labels: DataFrame, max_docs: int = 6000, min_docs: int = 4, min_gain: float = 20.0) -> SeverityModel:
     """Fit on about ``max_docs`` labelled documents, half of them toxic, chosen by a hash of the id.
 
     Labels with a null id or null ``toxic`` are not used; documents with equal texts count once. Features are counted on
     the cluster. One stays if ``min_docs`` texts have it and the log-likelihood ratio statistic of its counts among toxic
-    and clean texts reaches ``min_gain`` (of more than ``max_features``, those with the largest). The driver sees these
-    features and each sampled text's places in them. The sample's ids are broadcast: ``max_docs`` bounds them.
+    and clean texts reaches ``min_gain``; there is no other bound on features. The driver sees these features and each
+    sampled text's places in them. The sample's ids are broadcast: ``max_docs`` bounds them.
     """
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("__id")).agg((F.max("toxic") > 0).alias("__toxic"))
     sizes = dict(known.groupBy("__toxic").agg(F.count(F.lit(1))).collect())
@@ -149,7 +164,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = 6000, min_docs: int
     part = lambda seen, expected: F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
     gain = 2 * (part(pos, even) + part(both - pos, both - even))
     best = each.where(both >= min_docs).select("f", (pos > even).alias("speaks"), gain.alias("gain")).where(F.col("gain") >= min_gain)
-    features = [(r["f"], r["speaks"]) for r in best.orderBy(F.desc("gain"), "f").limit(max_features).collect()]
+    features = [(r["f"], r["speaks"]) for r in best.orderBy(F.desc("gain"), "f").collect()]
     place = {h: i for i, (h, _) in enumerate(features)}
 
     def look_up(batch: pa.RecordBatch) -> Iterator[dict]:
