@@ -52,7 +52,7 @@ def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of all documents: known patterns and random strings."""
     return secretscan.find_secrets(table(spark, sf_dir, "documents")).select(
-        "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans"
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans", "n_spans"
     )
 
 

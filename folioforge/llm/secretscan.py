@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -79,12 +81,12 @@ def _in_question(token: str) -> bool:
     return len(token) >= 20 and any(c.isdigit() for c in token) and any(c.isalpha() for c in token)
 
 
-def labelled_samples(docs: DataFrame, max_docs: int = 4000, n_random: int = 4000, seed: int = 7) -> tuple[list[tuple[str, int]], list[tuple[str, int]]]:
+def labelled_samples(docs: DataFrame, max_docs: int = 4000, n_random: int = 4000, max_tokens: int = 100_000, seed: int = 7) -> tuple[list[tuple[str, int]], list[tuple[str, int]]]:
     """Labelled strings: random ones and ordinary identifiers with their counts.
 
     Ordinary identifiers are the letters-first strings of a bounded sample of documents (about ``max_docs``, chosen by a
     hash of the id) outside the spans of known secrets, without those of the kind to be judged; a string that comes n
-    times weighs 1 + log2(n). Random strings are the values of known secrets in that sample
+    times weighs 1 + log2(n). Of more than ``max_tokens`` different strings the most frequent ones are samples. Random strings are the values of known secrets in that sample
     and ``n_random`` strings drawn uniformly from base-62, base-64, base-32 and hexadecimal signs, of 20 to 64 signs.
     """
     total = docs.count()
@@ -108,7 +110,7 @@ def labelled_samples(docs: DataFrame, max_docs: int = 4000, n_random: int = 4000
         yield {"token": tokens, "secret": secret}
 
     found = map_batches(sample.select("text"), "token string, secret boolean", run).groupBy("token", "secret").agg(F.count(F.lit(1)).alias("n"))
-    rows = found.orderBy(F.desc("n"), "token", "secret").limit(100_000).collect()
+    rows = found.orderBy(F.desc("n"), "token", "secret").limit(max_tokens).collect()
     rng = np.random.default_rng(seed)
     alphabets = [SIGNS[:62], SIGNS[:64], SIGNS[:26] + "234567", "0123456789abcdef", "0123456789ABCDEF", SIGNS[:62] + "_-"]
     drawn = [("".join(rng.choice(list(alphabets[i % len(alphabets)]), int(rng.integers(20, 65)))), 1) for i in range(n_random)]
@@ -127,7 +129,10 @@ def random_spans(text: str, model: MarkovPair, threshold: float) -> list[Span]:
 def all_spans(text: str, model: MarkovPair, threshold: float) -> tuple[list[Span], list[Span]]:
     """The base spans, and with them the random strings that no base span covers, by start and kind."""
     base = base_spans(text)
-    more = [s for s in random_spans(text, model, threshold) if not any(a <= s[1] and s[2] <= b for _, a, b in base)]
+    starts = [a for _, a, _ in base]
+    #: How far the base spans reach that begin up to each one.
+    reach = [0, *accumulate((b for _, _, b in base), max)]
+    more = [s for s in random_spans(text, model, threshold) if reach[bisect_right(starts, s[1])] < s[2]]
     return base, sorted(base + more, key=lambda s: (s[1], s[0]))
 
 
@@ -136,9 +141,10 @@ def spell(spans: Iterable[Span]) -> str:
 
 
 def find_secrets(docs: DataFrame, model: MarkovPair | None = None, threshold: float | None = None) -> DataFrame:
-    """One row per document: ``(doc_id, n_assign, n_access, n_hex, base, spans)``.
+    """One row per document: ``(doc_id, n_assign, n_access, n_hex, base, spans, n_spans)``.
 
-    Counts and ``base`` are those of the known patterns; ``spans`` adds ``random`` strings. Spans are ``kind:start:end`` in
+    Counts and ``base`` are those of the known patterns; ``spans`` adds ``random`` strings, and ``n_spans`` counts all. The models
+    judge runs of 20 signs or more that hold a letter and a digit; shorter runs and words are not in question. Spans are ``kind:start:end`` in
     code points. The models and their threshold are fitted on a bounded sample (see
     :func:`labelled_samples`) unless given. Null and empty
     texts have no spans; null ids and repeated rows are rows like others; extra columns are not read.
@@ -149,10 +155,10 @@ def find_secrets(docs: DataFrame, model: MarkovPair | None = None, threshold: fl
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
         found = [all_spans(t, pair, least) for t in texts_of(batch)]
         columns = {f"n_{kind}": [sum(k == i for k, _, _ in base) for base, _ in found] for i, kind in enumerate(KINDS[:3])}
-        yield {"doc_id": batch.column(0), **columns, "base": [spell(b) for b, _ in found], "spans": [spell(s) for _, s in found]}
+        yield {"doc_id": batch.column(0), **columns, "base": [spell(b) for b, _ in found], "spans": [spell(s) for _, s in found], "n_spans": [len(s) for _, s in found]}
 
     return map_batches(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"),
-        "doc_id long, n_assign long, n_access long, n_hex long, base string, spans string",
+        "doc_id long, n_assign long, n_access long, n_hex long, base string, spans string, n_spans long",
         run,
     )

@@ -112,6 +112,34 @@ def test_secret_base_equals_plain_patterns():
         assert secretscan.base_spans(text) == plain_secrets(text), text
 
 
+def test_markov_ratio_equals_direct_form():
+    import math
+
+    ordinary = [("abba_cab", 3), ("cabbage", 2)]
+    pair = secretscan.MarkovPair([("q7Z", 1), ("Z7q", 1)], ordinary)
+
+    def log_probability(samples, before, sign):
+        seen = [(a, b, n) for token, n in samples for a, b in zip(f" {token}", token)]
+        alone = (sum(n for _, b, n in seen if b == sign) + 1) / (sum(n for _, _, n in seen) + len(secretscan.SIGNS) + 1)
+        given, from_it = sum(n for a, b, n in seen if (a, b) == (before, sign)), sum(n for a, _, n in seen if a == before)
+        return math.log((given + pair.blend * alone) / (from_it + pair.blend))
+
+    token = "cabZ7"
+    want = sum(log_probability([("q7Z", 1), ("Z7q", 1)], a, b) - log_probability(ordinary, a, b) for a, b in zip(f" {token}", token)) / len(token)
+    assert math.isclose(pair.score(token), want)
+
+
+def test_secrets_take_time_in_proportion(spark):
+    import time
+
+    pair = secretscan.MarkovPair([("q7Zk2PxV9rT4mWc8LsYb1NdH", 1)], [("configuration_values", 5)])
+    hexes = "0123456789abcdef0123456789abcdef zz "
+    for text in (hexes * 30_000, "q7Zk2PxV9rT4mWc8LsYb " * 50_000, "a1" * 500_000, "token" + " " * 1_000_000, "AKIA" * 250_000, hexes * 20_000 + "q7Zk2PxV9rT4mWc8LsYb " * 20_000):
+        began = time.process_time()
+        secretscan.all_spans(text, pair, 0.0)
+        assert time.process_time() - began < 20
+
+
 def test_markov_models_part_random_from_ordinary(spark):
     words = "the quick brown fox jumps over lazy dogs while configuration values remain in repository_settings and getUserAccountName".split()
     rng = random.Random(6)
@@ -177,7 +205,37 @@ def test_language_backs_off_step_by_step():
             known = next((word[s:end] for s in range(max(end - 3, 0), end) if word[s:end] in every), "")
             total += score(lang, known)
         want.append(total)
-    assert np.allclose(model.unseen("kamx"), want)
+    assert np.allclose(model.unseen("kamx")[0], want) and model.unseen("kamx")[1] == 0
+
+
+def test_language_prediction_equals_direct_form():
+    import math
+
+    counts = [("aa", "kato", 5), ("aa", "mira", 4), ("bb", "kato", 1), ("bb", "wex", 3)]
+    model = langid.LanguageModel(counts, order=3, min_count=1)
+    totals = {"aa": 9, "bb": 4}
+    scores = []
+    for i, lang in enumerate(("aa", "bb")):
+        known = sum(t * math.log((dict(((a, w), n) for a, w, n in counts).get((lang, word), 0) + 0.5) / (totals[lang] + 1.5)) for word, t in (("kato", 2), ("wex", 1)))
+        scores.append(known + model.unseen("zorp")[0][i])
+    want = 1 / sum(math.exp(s - max(scores)) for s in scores)
+    lang, score = model.predict("Kato wex, kato 12 zorp")
+    # z, p and one more sign of "zorp" are in no training text.
+    strange = model.unseen("zorp")[1]
+    assert lang == ("aa", "bb")[scores.index(max(scores))] and math.isclose(score, want * (1 - strange / 15)) and strange == 2
+
+
+@pytest.mark.parametrize("text", ["½ ²", "①Ⅷ", "१२", "🙂", "_", None, ""])
+def test_language_needs_letters(text):
+    assert langid.LanguageModel([("aa", "kato", 5)]).predict(text or "") == ("und", 0.0)
+
+
+def test_language_of_strange_scripts_scores_low(spark):
+    rows = [(i, "kato mira solun tarik " * 3, "aa") for i in range(40)] + [(100, "като мира " * 20, None), (101, "कातो" * 5000, None), (102, "kato мира", None)]
+    model = langid.fit(docs(spark, rows))
+    kept = {r.doc_id for r in langid.keep_identified(docs(spark, rows), model).collect()}
+    assert kept == set(range(40)) | {102} or kept == set(range(40))
+    assert model.predict("като мира")[0] == "aa" and model.predict("като мира")[1] == 0
 
 
 def test_toxicity(spark):
@@ -201,6 +259,30 @@ def test_toxicity(spark):
     assert not any(r.toxic for r in toxicity.score(table, flat).collect())
 
 
+def test_ordinal_likelihood_and_gradient_equal_brute_force():
+    rng = np.random.default_rng(3)
+    rows = [sorted(rng.choice(6, rng.integers(0, 5), replace=False).tolist()) for _ in range(40)]
+    y = rng.integers(0, 4, 40)
+    flat, row = np.array([f for r in rows for f in r], np.int64), np.repeat(np.arange(40), [len(r) for r in rows])
+    weight = rng.random(40)
+    params = [rng.normal(size=6), np.array([0.3]), rng.normal(size=2)]
+    loss, slopes = toxicity.loss_and_gradient(params, flat, row, y, weight, 0.01)
+    cuts = [0.3, 0.3 + np.exp(params[2][0]), 0.3 + np.exp(params[2][0]) + np.exp(params[2][1])]
+    want = 0.005 * float((params[0] ** 2).sum())
+    for features, grade, w in zip(rows, y, weight):
+        above = [1, *(1 / (1 + np.exp(c - params[0][features].sum())) for c in cuts), 0]
+        want -= w * np.log(above[grade] - above[grade + 1])
+    assert np.isclose(loss, want)
+    for p, slope in zip(params, slopes):
+        for i in range(len(p)):
+            p[i] += 1e-6
+            up = toxicity.loss_and_gradient(params, flat, row, y, weight, 0.01)[0]
+            p[i] -= 2e-6
+            down = toxicity.loss_and_gradient(params, flat, row, y, weight, 0.01)[0]
+            p[i] += 1e-6
+            assert np.isclose(slope[i], (up - down) / 2e-6, atol=1e-4)
+
+
 def test_ordinal_thresholds_are_ordered():
     model = toxicity.OrdinalModel(3).fit([[0], [0, 1], [0, 1, 2], [1], []] * 20, [0, 1, 2, 1, 0] * 20)
     assert model.thresholds[0] < model.thresholds[1]
