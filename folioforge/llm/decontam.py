@@ -18,6 +18,8 @@ _CHUNK = 1 << 18
 _START_BITS = 20
 #: Alignments whose tables advance together.
 _TOGETHER = 512
+#: Shared q-grams (places in texts times places in windows) that are looked at together.
+_HITS = 1 << 20
 
 
 def _fold_table() -> np.ndarray:
@@ -147,9 +149,9 @@ class BenchmarkIndex:
 
     def __init__(self, items: Sequence[str], q: int = 10, window: int = 70, stride: int = 20, rate: float = 0.08, min_chars: int = 40) -> None:
         self.q = q
+        whole, starts_at, at = [], [], 0
         short: dict[int, list[tuple[int, np.ndarray]]] = {}
-        self.patterns: list[np.ndarray] = []
-        owner, grams, gram_window, gram_at = [], [], [], []
+        owner, grams, gram_window, gram_at, sizes = [], [], [], [], []
         for i, item in enumerate(items):
             codes = folded(" ".join(item.split()))
             if len(codes) < max(min_chars, q):
@@ -161,19 +163,25 @@ class BenchmarkIndex:
                 pattern = codes[start : start + window]
                 h = gram_hashes(pattern, q)
                 grams.append(h)
-                gram_window.append(np.full(len(h), len(self.patterns)))
-                gram_at.append(np.arange(len(h)))
-                self.patterns.append(pattern)
+                gram_window.append(np.full(len(h), len(owner), np.int32))
+                gram_at.append(np.arange(len(h), dtype=np.int16))
+                starts_at.append(at + start)
+                sizes.append(len(pattern))
                 owner.append(i)
-        self.owner = np.array(owner, np.int64)
+            whole.append(codes)
+            at += len(codes)
+        self.owner = np.array(owner, np.int32)
+        #: The items' characters one behind the other; a window is a stretch of them.
+        self.codes = np.concatenate(whole) if whole else np.zeros(0, np.uint32)
+        self.starts, widths = np.array(starts_at, np.int64), np.array(sizes, np.int64)
+        self.widths = widths
         #: Short items by length: their hashes, ascending, with item, window number after the patterns and characters.
         self.short: dict[int, tuple[np.ndarray, list[tuple[int, int, np.ndarray]]]] = {}
-        number = len(self.patterns)
+        number = len(owner)
         for size, found in sorted(short.items()):
             rows = sorted(((int(gram_hashes(codes, size)[0]), i, number + k, codes) for k, (i, codes) in enumerate(found)), key=lambda r: r[:2])
             self.short[size] = np.array([r[0] for r in rows], np.uint64), [r[1:] for r in rows]
             number += len(found)
-        widths = np.array([len(p) for p in self.patterns], np.int64)
         self.edits = np.maximum(np.minimum((widths * rate).astype(np.int64), widths // q - 1), 0)
         self.needed = np.maximum(widths + 1 - q * (self.edits + 1), 1)
         self.step = int(self.edits.max()) + 1 if len(widths) else 1
@@ -181,13 +189,21 @@ class BenchmarkIndex:
         order = np.argsort(every, kind="stable")
         self.hashes, first = np.unique(every[order], return_index=True)
         self.first = np.append(first, len(every))
-        self.of_window = (np.concatenate(gram_window) if grams else np.zeros(0, np.int64))[order]
-        self.of_place = (np.concatenate(gram_at) if grams else np.zeros(0, np.int64))[order]
+        self.of_window = (np.concatenate(gram_window) if grams else np.zeros(0, np.int32))[order]
+        self.of_place = (np.concatenate(gram_at) if grams else np.zeros(0, np.int16))[order]
         self.filter = np.zeros(1 << _FILTER_BITS, bool)
         self.filter[(self.hashes >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
 
-    def _candidates(self, codes: np.ndarray) -> np.ndarray:
-        """``(window, band)`` pairs whose band holds enough shared q-grams; band b spans diagonals b*step .. (b+2)*step."""
+    def pattern(self, window: int) -> np.ndarray:
+        """The characters of a window."""
+        return self.codes[self.starts[window] : self.starts[window] + self.widths[window]]
+
+    def _candidates(self, codes: np.ndarray) -> Iterator[tuple[int, int]]:
+        """``(window, band)`` pairs whose band holds enough shared q-grams; band b spans diagonals b*step .. (b+2)*step.
+
+        The text is gone through in stretches whose q-grams have about ``_HITS`` places in windows, so that a passage of
+        many items takes time but no more memory. A pair's count is carried on until the text is past its band.
+        """
         h = gram_hashes(codes, self.q)
         at = np.flatnonzero(self.filter[(h >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
         place = np.searchsorted(self.hashes, h[at])
@@ -196,23 +212,35 @@ class BenchmarkIndex:
         good = self.hashes[place] == h[at]
         at, place = at[good], place[good]
         if not len(at):
-            return np.zeros((0, 2), np.int64)
-        n = self.first[place + 1] - self.first[place]
-        into = np.repeat(self.first[place] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
-        window = self.of_window[into]
-        # Diagonals count from a window's length before the text, so that none is negative.
-        band = (np.repeat(at, n) - self.of_place[into] + 4096) // self.step
-        key = (window << np.int64(40)) | band
-        keys, counts = np.unique(np.concatenate([key, key - 1]), return_counts=True)
-        keys = keys[counts >= self.needed[keys >> np.int64(40)]]
-        return np.stack([keys >> np.int64(40), keys & np.int64((1 << 40) - 1)], axis=1)
+            return
+        hits = self.first[place + 1] - self.first[place]
+        upto = np.cumsum(hits)
+        mask, reach = np.int64((1 << 40) - 1), int(self.widths.max()) + 2 * self.step
+        open_keys, open_counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        lo = 0
+        while lo < len(at):
+            hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + _HITS, side="right")))
+            n, frm, here = hits[lo:hi], self.first[place[lo:hi]], at[lo:hi]
+            into = np.repeat(frm - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+            # Diagonals count from a window's length before the text, so that none is negative.
+            band = (np.repeat(here, n) - self.of_place[into] + 4096) // self.step
+            key = (self.of_window[into].astype(np.int64) << np.int64(40)) | band
+            keys, counts = np.unique(np.concatenate([key, key - 1]), return_counts=True)
+            if len(open_keys):
+                keys, back = np.unique(np.concatenate([open_keys, keys]), return_inverse=True)
+                counts = np.bincount(back, np.concatenate([open_counts, counts])).astype(np.int64)
+            past = (keys & mask) * self.step - 4096 + reach < at[hi] if hi < len(at) else np.ones(len(keys), bool)
+            good = keys[past & (counts >= self.needed[keys >> np.int64(40)])]
+            open_keys, open_counts = keys[~past], counts[~past]
+            yield from zip((good >> np.int64(40)).tolist(), (good & mask).tolist())
+            lo = hi
 
     def find(self, texts: Sequence[str]) -> list[list[Region]]:
         """For each text its regions, one for each window and place, in the order of item, window and start."""
         out: list[list[Region]] = [[] for _ in texts]
         for i, text in enumerate(texts if self.short else ()):
             out[i] = self._exact(folded(text))
-        if not self.patterns:
+        if not len(self.owner):
             return out
         group: list[tuple[int, np.ndarray]] = []
         held = 0
@@ -266,8 +294,14 @@ class BenchmarkIndex:
                 out[group[t][0]].append(Region(int(self.owner[window]), window, start, end, edits))
 
         later: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
-        for window, band in self._candidates(joined).tolist():
-            pattern, k = self.patterns[window], int(self.edits[window])
+
+        def align(tasks: list[tuple[int, int, int]], width: int) -> None:
+            done = banded_alignments([self.pattern(w) for _, w, _ in tasks], [group[t][1] for t, _, _ in tasks], [o for _, _, o in tasks], width)
+            for (t, window, _), (edits, start, end) in zip(tasks, done):
+                keep(t, window, edits, start, end)
+
+        for window, band in self._candidates(joined):
+            pattern, k = self.pattern(window), int(self.edits[window])
             diagonal, width = band * self.step - 4096, 2 * self.step + 2 * k
             # The band may touch two texts; each is aligned by itself.
             lo = int(np.searchsorted(starts, max(diagonal - k, 0), side="right")) - 1
@@ -278,21 +312,22 @@ class BenchmarkIndex:
                 if equal >= 0:
                     keep(t, window, 0, equal, equal + len(pattern))
                 else:
-                    later.setdefault((len(pattern), width), []).append((t, window, origin))
+                    tasks = later.setdefault((len(pattern), width), [])
+                    tasks.append((t, window, origin))
+                    if len(tasks) >= _TOGETHER:
+                        align(tasks, width)
+                        tasks.clear()
         for (_, width), tasks in later.items():
-            for first in range(0, len(tasks), _TOGETHER):
-                some = tasks[first : first + _TOGETHER]
-                done = banded_alignments([self.patterns[w] for _, w, _ in some], [group[t][1] for t, _, _ in some], [o for _, _, o in some], width)
-                for (t, window, _), (edits, start, end) in zip(some, done):
-                    keep(t, window, edits, start, end)
+            if tasks:
+                align(tasks, width)
         for i, _ in group:
             out[i].sort(key=lambda r: (r.item, r.window, r.start))
 
 
 def benchmark_slices(benchmark: DataFrame, max_chars: int) -> Iterator[list[tuple[int | None, str]]]:
-    """The different ``(item_id, text)`` of the benchmark, in slices of about ``max_chars`` characters at most.
+    """The different ``(item_id, text)`` of the benchmark, in slices of about ``max_chars`` characters.
 
-    Only one slice at a time is on the driver and in a broadcast; a larger benchmark takes more passes over the documents.
+    A slice's index, about 50 bytes a character, is broadcast; a larger benchmark takes more passes over the documents.
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text")).distinct()
     total = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).head()[0]
@@ -302,7 +337,7 @@ def benchmark_slices(benchmark: DataFrame, max_chars: int) -> Iterator[list[tupl
         yield [(r["item_id"], r["text"]) for r in items.where(place == part).orderBy("item_id", "text").collect()]
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, max_chars: int = 20_000_000, **options) -> DataFrame:
+def find_contamination(docs: DataFrame, benchmark: DataFrame, max_chars: int = 2_000_000, **options) -> DataFrame:
     """One row per document and benchmark item that it repeats: ``(doc_id, item_id, n_windows, start, end, edits)``.
 
     ``n_windows`` counts the item's windows found, ``start`` and ``end`` span them in code points of the text, ``edits`` is
@@ -315,9 +350,10 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, max_chars: int = 2
     found: DataFrame | None = None
     for items in benchmark_slices(benchmark, max_chars):
         ids = [i for i, _ in items]
-        index = BenchmarkIndex([t for _, t in items], **options)
+        shared = docs.sparkSession.sparkContext.broadcast(BenchmarkIndex([t for _, t in items], **options))
 
-        def run(batch: pa.RecordBatch, ids=ids, index=index) -> Iterator[dict]:
+        def run(batch: pa.RecordBatch, ids=ids, shared=shared) -> Iterator[dict]:
+            index = shared.value
             doc_ids = batch.column(0).to_pylist()
             out: dict[str, list] = {c: [] for c in ("doc_id", "item_id", "n_windows", "start", "end", "edits")}
             for doc_id, regions in zip(doc_ids, index.find_in(texts_of(batch))):
@@ -333,12 +369,13 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, max_chars: int = 2
     return found
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, max_chars: int = 20_000_000, **options) -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, max_chars: int = 2_000_000, **options) -> DataFrame:
     """``docs`` without the rows that repeat a benchmark passage; columns stay as they are."""
     for items in benchmark_slices(benchmark, max_chars):
-        index = BenchmarkIndex([t for _, t in items], **options)
+        shared = docs.sparkSession.sparkContext.broadcast(BenchmarkIndex([t for _, t in items], **options))
 
-        def run(batch: pa.RecordBatch, index=index) -> pa.RecordBatch:
+        def run(batch: pa.RecordBatch, shared=shared) -> pa.RecordBatch:
+            index = shared.value
             return batch.filter(pa.array([not r for r in index.find_in(texts_of(batch))], pa.bool_()))
 
         docs = rewrite_rows(docs, run)

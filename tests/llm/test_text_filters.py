@@ -321,7 +321,9 @@ def noisy(text, k, rng):
     return "".join(out)
 
 
-def test_contamination_equals_brute_force():
+@pytest.mark.parametrize("hits", [20, 1 << 20])
+def test_contamination_equals_brute_force(monkeypatch, hits):
+    monkeypatch.setattr(decontam, "_HITS", hits)
     rng = random.Random(10)
     items = ["".join(rng.choice("abcdefgh ") for _ in range(n)) for n in (60, 90, 130, 250, 20)]
     index = decontam.BenchmarkIndex(items)
@@ -332,7 +334,7 @@ def test_contamination_equals_brute_force():
     found = index.find(texts)
     for text, regions in zip(texts, found):
         low = "".join(map(chr, decontam.folded(text)))
-        want = {w for w, p in enumerate(index.patterns) if edit_distance_within("".join(map(chr, p)), low) <= index.edits[w]}
+        want = {w for w in range(len(index.owner)) if edit_distance_within("".join(map(chr, index.pattern(w))), low) <= index.edits[w]}
         assert {r.window for r in regions} == want
     assert any(found) and not any(found[:6])
 
@@ -409,3 +411,28 @@ def test_pii_takes_time_in_proportion():
     base, spans = pii.all_spans("а" + "me@mail.example " * 1000)
     assert len(base) == 1000 and len(spans) == 1001
     assert pii.redact("jane dot van (dot) doe at mail dot example dot org or x@y dot z") == "[EMAIL] or [EMAIL]"
+
+
+def test_shared_templates_take_bounded_memory():
+    import tracemalloc
+
+    rng = random.Random(17)
+    letters = "abcdefghijklmnopqrstuvwxyz "
+    prefix = "".join(rng.choice(letters[:26]) for _ in range(60))
+    items = [prefix + "".join(rng.choice(letters[:26]) for _ in range(40)) for _ in range(1000)]
+    index = decontam.BenchmarkIndex(items)
+    tracemalloc.start()
+    found = index.find_in([(prefix + " ") * 60 + items[7] + " end"])[0]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert {r.item for r in found if r.edits == 0} == {7} and peak < 300e6, peak
+
+
+def test_recall_of_verbatim_passages_by_length():
+    rng = random.Random(18)
+    item = " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 9))) for _ in range(80))
+    index = decontam.BenchmarkIndex([item])
+    for size, least in ((89, 1.0), (100, 1.0), (80, 0.9)):
+        starts = range(0, len(item) - size, 3)
+        found = index.find_in([f"lead {item[s : s + size]} tail" for s in starts])
+        assert sum(bool(f) for f in found) >= least * len(starts), size
