@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from .common import checkpoint, literal_rows, map_batches
 
 #: Vectors in a block, and blocks of a stripe; a task holds one block of queries and one stripe.
-BLOCK, QUERY_BLOCK, STRIPE = 4096, 2048, 16
+BLOCK, QUERY_BLOCK, STRIPE = 1024, 2048, 8
+#: More components than this would make the driver's sums of products too large.
+MAX_DIMS = 8192
 
 
 def quantised(vector: Column, scale: int = 64) -> Column:
@@ -54,9 +56,9 @@ def rotation(vectors: DataFrame, dims: int) -> np.ndarray:
 
 
 def _blocks(vectors: DataFrame, dims: int, size: int) -> DataFrame:
-    """Vectors by descending length, packed: ``(block, ids, ints)``, ids and components as binary columns.
+    """Vectors by descending length, packed: ``(block, top, ids, ints)``, ids and components as binary columns.
 
-    Each range partition packs its own rows; blocks are numbered along the lengths from the partitions' block counts.
+    Components take four bytes each where they fit; ``top`` is the length of the block's first, longest vector. Each range partition packs its own rows; blocks are numbered along the lengths from the partitions' block counts.
     """
     ordered = vectors.repartitionByRange(F.desc("norm2"), F.col("vec_id")).sortWithinPartitions(F.desc("norm2"), "vec_id")
 
@@ -66,8 +68,10 @@ def _blocks(vectors: DataFrame, dims: int, size: int) -> DataFrame:
         def pack(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
             table = pa.Table.from_batches(parts)
             ints = np.concatenate([_matrix(c, dims) for c in table.column("q").chunks])
-            blobs = [pa.array([v.tobytes()], pa.binary()) for v in (table.column("vec_id").to_numpy(), ints)]
-            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([done], pa.int64()), *blobs], names=["part", "own", "ids", "ints"])
+            small = ints if np.abs(ints).max(initial=0) >> 31 else ints.astype(np.int32)
+            blobs = [pa.array([v.tobytes()], pa.binary()) for v in (table.column("vec_id").to_numpy(), small)]
+            top = float(np.sqrt(table.column("norm2")[0].as_py()))
+            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([done], pa.int64()), pa.array([top]), *blobs], names=["part", "own", "top", "ids", "ints"])
 
         held: list[pa.RecordBatch] = []
         for batch in batches:
@@ -82,18 +86,19 @@ def _blocks(vectors: DataFrame, dims: int, size: int) -> DataFrame:
         if held:
             yield pack(held)
 
-    packed = checkpoint(ordered.select("vec_id", "q").mapInArrow(run, "part int, own long, ids binary, ints binary"))
+    packed = checkpoint(ordered.select("vec_id", "q", "norm2").mapInArrow(run, "part int, own long, top double, ids binary, ints binary"))
     counts = dict(packed.groupBy("part").agg(F.count(F.lit(1))).collect())
     before, rows = 0, []
     for part in sorted(counts):
         rows.append({"part": part, "before": before})
         before += counts[part]
     first = literal_rows(vectors.sparkSession, rows, "part int, before long")
-    return packed.join(F.broadcast(first), "part").select((F.col("before") + F.col("own")).alias("block"), "ids", "ints")
+    return packed.join(F.broadcast(first), "part").select((F.col("before") + F.col("own")).alias("block"), "top", "ids", "ints")
 
 
-def best_of(queries: tuple, blocks: list[tuple], k: int, head: int, floor: np.ndarray) -> list[tuple[int, int, int]]:
-    """The ``k`` best ``(query_id, vec_id, score)`` of each query among the blocks, which come by descending length.
+def best_of(queries: tuple, blocks: Iterable[tuple], longest: float, k: int, head: int, floor: np.ndarray) -> list[tuple[int, int, int]]:
+    """The ``k`` best ``(query_id, vec_id, score)`` of each query among the blocks, which come by descending length, one at
+    a time; no vector is longer than ``longest``.
 
     ``floor`` holds, for each query, a score that its k-th best is known to reach (-inf: none). A candidate is dropped when
     its partial sum over the first ``head`` rotated dimensions plus the product of the lengths of the rest is below that;
@@ -105,7 +110,7 @@ def best_of(queries: tuple, blocks: list[tuple], k: int, head: int, floor: np.nd
     best_s = [np.zeros(0, np.int64)] * n
     best_v = [np.zeros(0, np.int64)] * n
     floor = floor.copy()
-    exact = max(float(np.abs(q_norms).max(initial=0)), 1) * max(max((float(b[3].max(initial=0)) for b in blocks), default=1), 1) < 2**52
+    exact = max(float(q_norms.max(initial=0)), 1) * max(longest, 1) < 2**52
     for ids, ints, turned, norms in blocks:
         slack = 1e-6 * (1 + q_norms * norms.max(initial=0))
         live = np.flatnonzero(q_norms * norms.max(initial=0) + slack >= floor)
@@ -138,11 +143,14 @@ def top_k(
 
     Returns ``(query_id, rank, vec_id, score)`` over the quantised vectors, ties to the smaller vec_id. Blocks of queries
     meet stripes of blocks of candidates, both by descending length; the first stripe gives every query a score that its
-    k-th best reaches, with which the other stripes are pruned. A task holds one query block and one stripe.
+    k-th best reaches. A block of candidates then meets only the query blocks of which some query could reach its k-th
+    best with the block's longest vector; the others are left out before the shuffle. A task holds one query block, one
+    stripe as it was packed, and one block of it unpacked.
 
     Vectors that are null or hold null or non-finite components, and rows with a null vec_id, take no part. Shorter vectors
     count as filled up with zeros. Rows that share a vec_id with the query are its own row; of repeated query ids the
     smallest vector asks; repeated candidate rows are candidates each. Extra columns are not read; no rows give no rows.
+    More than ``MAX_DIMS`` components, and scores that 64 bits may not hold, are errors.
     """
     spark = vectors.sparkSession
     schema = "query_id long, rank int, vec_id long, score long"
@@ -150,7 +158,9 @@ def top_k(
     ints = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), q.alias("q")).where("vec_id IS NOT NULL AND q IS NOT NULL")
     norm2 = F.aggregate("q", F.lit(0.0), lambda s, x: s + x.cast("double") * x)
     ints = checkpoint(ints.withColumn("norm2", norm2))
-    dims = ints.agg(F.max(F.size("q"))).head()[0]
+    dims, longest = ints.agg(F.max(F.size("q")), F.sqrt(F.max("norm2"))).head()
+    if dims and (dims > MAX_DIMS or longest >= 2.0**31):
+        raise ValueError(f"vectors of {dims} components and a length of {longest} are too large")
     if not dims:
         return spark.createDataFrame([], schema) if dims is None else _zeros(ints, every, k)
     turn = rotation(ints, dims)
@@ -165,35 +175,49 @@ def top_k(
 
     def unpack(row) -> tuple:
         ids = np.frombuffer(row.ids, np.int64)
-        ints = np.frombuffer(row.ints, np.int64).reshape(len(ids), dims)
+        ints = np.frombuffer(row.ints, np.int32 if len(row.ints) == 4 * len(ids) * dims else np.int64).reshape(len(ids), dims).astype(np.int64)
         return ids, ints, ints.astype(float) @ turn, np.sqrt((ints.astype(float) ** 2).sum(axis=1))
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         found: list[tuple[int, int, int]] = []
-        blocks = [unpack(r) for r in right.sort_values("block").itertuples()] if len(right) else []
+        right = right.sort_values("block")
         for row in left.itertuples():
             queries = unpack(row)
             floor = np.frombuffer(row.floors) if row.floors is not None else np.full(len(queries[0]), -np.inf)
-            found += best_of(queries, blocks, k, head, floor)
+            found += best_of(queries, map(unpack, right.itertuples()), longest, k, head, floor)
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
 
-    def search(asking: DataFrame, some: DataFrame) -> DataFrame:
-        pairs = some.withColumn("qb", F.explode(F.expr(f"sequence(0L, {n_blocks - 1}L)"))).groupBy("qb", "stripe")
-        return asking.groupBy("qb", "stripe").cogroup(pairs).applyInPandas(meet, "query_id long, vec_id long, score long")
+    def search(asking: DataFrame, pairs: DataFrame) -> DataFrame:
+        """``asking(qb, stripe, ...)`` against the blocks of ``pairs(qb, stripe, ...)``."""
+        return asking.groupBy("qb", "stripe").cogroup(pairs.groupBy("qb", "stripe")).applyInPandas(meet, "query_id long, vec_id long, score long")
 
-    no_floor = query_blocks.withColumn("floors", F.lit(None).cast("binary"))
-    found = search(no_floor.withColumn("stripe", F.lit(0).cast("long")), stripes.where("stripe = 0"))
+    no_floor = query_blocks.drop("top").withColumn("floors", F.lit(None).cast("binary"))
+    every_block = F.explode(F.expr(f"sequence(0L, {n_blocks - 1}L)"))
+    found = search(no_floor.withColumn("stripe", F.lit(0).cast("long")), stripes.where("stripe = 0").withColumn("qb", every_block))
     if n_stripes > 1:
         found = checkpoint(found)
         reached = found.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("floor"))
-        later = _with_floors(query_blocks, reached).withColumn("stripe", F.explode(F.expr(f"sequence(1L, {int(n_stripes) - 1}L)")))
-        found = found.unionByName(search(later, stripes.where("stripe > 0")))
+        later = checkpoint(_with_floors(query_blocks.drop("top"), reached, dims))
+        pairs = surviving_pairs(stripes.where("stripe > 0"), later)
+        asking = checkpoint(pairs.select("qb", "stripe").distinct())
+        found = found.unionByName(search(later.drop("least").join(asking, "qb"), pairs))
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _with_floors(query_blocks: DataFrame, reached: DataFrame) -> DataFrame:
-    """Query blocks with the reached scores of their queries as a binary column, in the block's order."""
+def surviving_pairs(blocks: DataFrame, query_blocks: DataFrame) -> DataFrame:
+    """``blocks`` once for each block ``qb`` of ``query_blocks(qb, least)`` that its longest vector is long enough for.
+
+    The driver sees one number for each query block, that is for each 2048 queries.
+    """
+    least = query_blocks.select("qb", "least").orderBy("qb").collect()
+    needed = F.array(*[F.struct(F.lit(r.qb).cast("long").alias("qb"), F.lit(float(r.least)).alias("least")) for r in least])
+    return blocks.withColumn("qb", F.explode(F.transform(F.filter(needed, lambda x: x["least"] <= F.col("top")), lambda x: x["qb"])))
+
+
+def _with_floors(query_blocks: DataFrame, reached: DataFrame, dims: int) -> DataFrame:
+    """Query blocks with the reached scores of their queries as a binary column, in the block's order, and ``least``: the
+    length below which no vector can reach any of them."""
 
     def members(batch: pa.RecordBatch) -> Iterator[dict]:
         ids = [np.frombuffer(b, np.int64) for b in batch.column(1).to_pylist()]
@@ -204,10 +228,20 @@ def _with_floors(query_blocks: DataFrame, reached: DataFrame) -> DataFrame:
     floors = listed.join(reached, "query_id", "left").groupBy("qb").agg(F.sort_array(F.collect_list(F.struct("at", "floor"))).alias("f"))
 
     def pack(batch: pa.RecordBatch) -> Iterator[dict]:
-        rows = batch.column(1).to_pylist()
-        yield {"qb": batch.column(0), "floors": [np.array([-np.inf if x["floor"] is None else x["floor"] for x in r], float).tobytes() for r in rows]}
-
-    return query_blocks.join(map_batches(floors, "qb long, floors binary", pack), "qb")
+        found, least = [], []
+        for r, blob in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            floor = np.array([-np.inf if x["floor"] is None else x["floor"] for x in r], float)
+            ints = np.frombuffer(blob, np.int32 if len(blob) == 4 * len(floor) * dims else np.int64).reshape(len(floor), dims)
+            norms = np.sqrt((ints.astype(float) ** 2).sum(axis=1))
+            # The room for rounding is more than that of the search. A vector without length scores 0 with all.
+            with np.errstate(divide="ignore", invalid="ignore"):
+                needed = np.where(norms > 0, (floor - 1e-5) / norms * (1 - 1e-5), np.where(floor <= 0, -np.inf, np.inf))
+            found.append(floor.tobytes())
+            least.append(float(np.where(floor <= 0, -np.inf, needed).min()))
+        yield {"qb": batch.column(0), "floors": found, "least": least}
+
+    blobs = floors.join(query_blocks.select("qb", "ints"), "qb").select("qb", "f", "ints")
+    return query_blocks.join(map_batches(blobs, "qb long, floors binary, least double", pack), "qb")
 
 
 def _zeros(ints: DataFrame, every: int, k: int) -> DataFrame:
