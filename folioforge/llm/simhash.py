@@ -150,10 +150,14 @@ def near_duplicates(
     columns are not read. An empty table gives an empty result.
     """
     prints = checkpoint(fingerprints(docs, shingle, doc_id, text))
-    nodes = checkpoint(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")))
+    nodes = checkpoint(prints.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")))
     roots = connected_components(links(nodes.select("fp"), distance, parts, hot))
     linked = nodes.join(roots.withColumnRenamed("node", "fp"), "fp")
     smallest = linked.groupBy("root").agg(F.min("rep").alias("component"))
     moved = linked.join(smallest, "root").select("fp", "component")
-    of = nodes.join(moved, "fp", "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
-    return prints.join(of, "fp").select("doc_id", "fp", "component_id")
+    of = checkpoint(nodes.join(moved, "fp", "left").select("fp", "n", F.coalesce("component", "rep").alias("component_id")))
+    # Fingerprints of more than a thousandth of the rows, so at most 1000 of them, are joined by broadcast.
+    often = of.where(F.col("n") * 1000 > prints.count()).select("fp", F.struct("component_id").alias("of"))
+    known = prints.join(F.broadcast(often), "fp", "left")
+    rest = known.where("of IS NULL").drop("of").join(of.where("n * 1000 <= " + str(prints.count())), "fp")
+    return known.where("of IS NOT NULL").select("doc_id", "fp", "of.component_id").unionByName(rest.select("doc_id", "fp", "component_id"))

@@ -436,3 +436,29 @@ def test_recall_of_verbatim_passages_by_length():
         starts = range(0, len(item) - size, 3)
         found = index.find_in([f"lead {item[s : s + size]} tail" for s in starts])
         assert sum(bool(f) for f in found) >= least * len(starts), size
+
+
+def test_top_k_leaves_out_short_blocks(spark):
+    """Lengths that fall off: most pairs of blocks are gone before the shuffle, and the result is that of brute force."""
+    rng = np.random.default_rng(19)
+    vectors = rng.normal(size=(600, 4)) * np.exp(-np.arange(600) / 60)[:, None] * 50
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    seen = []
+    keep = topk.surviving_pairs
+    topk.surviving_pairs = lambda blocks, asked: seen.append((keep(blocks, asked).count(), blocks.count() * asked.count())) or keep(blocks, asked)
+    try:
+        got = sorted(tuple(r) for r in topk.top_k(frame, k=5, block=16, query_block=8, stripe=2).collect())
+    finally:
+        topk.surviving_pairs = keep
+    ints = np.floor(64 * vectors).astype(np.int64)
+    want = []
+    for i in range(0, 600, 20):
+        best = sorted((-int(s), j) for j, s in enumerate(ints @ ints[i]) if j != i)[:5]
+        want += [(i, r + 1, j, -s) for r, (s, j) in enumerate(best)]
+    assert got == sorted(want) and seen[0][0] < seen[0][1] / 2, seen
+
+
+def test_top_k_refuses_what_does_not_fit(spark):
+    frame = spark.createDataFrame([(0, [1e9]), (1, [1e9])], "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError, match="too large"):
+        topk.top_k(frame)
