@@ -23,7 +23,7 @@ MAX_WORD = 40
 def words_of(text: str) -> list[str]:
     """Lower-cased runs of letters; numerals such as a half or a circled one are no letters."""
     words = _WORD.findall(text.lower())
-    if not "".join(words).isalpha():
+    if not text.isascii() and not "".join(set(words)).isalpha():
         words = [p for w in words for p in ("".join(c if c.isalpha() else " " for c in w).split() if not w.isalpha() else (w,))]
     if any(len(w) > MAX_WORD for w in words):
         words = [w[i : i + MAX_WORD] for w in words for i in range(0, len(w), MAX_WORD)]
