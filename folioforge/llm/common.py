@@ -33,6 +33,20 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(*frames: DataFrame) -> None:
+    """Delete the files of frames that :func:`checkpoint` gave, so that they don't fill the shared folder until the job's end.
+
+    Only for frames that nothing will read again: all that was made of them must be checkpointed itself, so that no lost
+    executor leads back to them.
+    """
+    for df in frames:
+        file = df._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+        if file.isDefined():
+            context = df.sparkSession.sparkContext
+            path = context._jvm.org.apache.hadoop.fs.Path(file.get())
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 #: Bytes and rows of the record batches that go to Python workers, where the session sets nothing else.
 BATCH_BYTES, BATCH_ROWS = "8m", "2000"
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint
+from .common import checkpoint, release
 
 
 def _digest(edges: DataFrame) -> tuple:
@@ -34,7 +34,8 @@ def connected_components(pairs: DataFrame) -> DataFrame:
         small = large.join(smallest, "hi").select(
             F.when(F.col("lo") == F.col("m"), F.col("hi")).otherwise(F.col("lo")).alias("hi"), F.col("m").alias("lo")
         )
-        edges = checkpoint(small.where("hi <> lo").distinct())
+        last, edges = edges, checkpoint(small.where("hi <> lo").distinct())
+        release(last)
         after = _digest(edges)
         if after == before:
             break
