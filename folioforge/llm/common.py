@@ -30,7 +30,14 @@ def checkpoint(df: DataFrame) -> DataFrame:
         if not shared and not re.fullmatch(r"local(\[.*\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(shared or os.path.join(tempfile.gettempdir(), "folioforge-checkpoints"))
-    return df.checkpoint(eager=True)
+    # What the frame was shuffled through is of no use once it is written. The setting counts when a plan is made.
+    session, key = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = session.conf.get(key, None)
+    session.conf.set(key, "true")
+    try:
+        return df.select("*").checkpoint(eager=True)
+    finally:
+        session.conf.unset(key) if was is None else session.conf.set(key, was)
 
 
 def release(*frames: DataFrame) -> None:
