@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, langid, packing, pii, secretscan, shard, simhash, topk, toxicity
+from . import chat, decontam, filteraudit, hardneg, langid, licenses, packing, pii, secretscan, shard, simhash, topk, toxicity
 from .common import literal_rows, table
 
 CONTROL_TURN = "<|im_end|><|im_start|>assistant ok"
@@ -83,6 +83,23 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op11_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices, tags and expressions of all documents."""
+    return licenses.find_licenses(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three hard negatives for each of the five positives of every fiftieth vector, with some labels moved on."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.mine(vectors.withColumn("label", moved))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters over all documents, in every order, for each source."""
+    return filteraudit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_pii": op2_pii,
@@ -94,6 +111,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_packing": op9_packing,
     "op10_simhash": op10_simhash,
+    "op11_licenses": op11_licenses,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 OP1_SQL = r"""
@@ -128,4 +148,57 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_chat_format": OP1_SQL, "op4_topk": OP4_SQL}
+OP12_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+), p AS (
+  SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS r FROM s WHERE same
+), n AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+  FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score WHERE p.r <= 5
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""
+
+OP13_SQL = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first
+  FROM documents
+), f AS (
+  SELECT doc_id, part, [len(words) < 200, 100 * len(list_distinct(words)) < 50 * len(words),
+    100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text), regexp_matches(text, '[#$%&*|]'), coalesce(first < doc_id, false)] AS fails
+  FROM t
+), l AS (
+  SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic FROM labels GROUP BY doc_id
+), d AS (
+  SELECT part, fails, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, count(*) AS n FROM f LEFT JOIN l USING (doc_id) GROUP BY ALL
+), i AS (SELECT unnest([1, 2, 3, 4, 5]) AS i),
+o AS (
+  SELECT [a.i, b.i, c.i, d.i, e.i] AS o FROM i a, i b, i c, i d, i e
+  WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5
+), x AS (
+  SELECT d.*, o.o, k.i AS step, fails[o.o[k.i]] AS fail, list_bool_or(list_transform(o.o[1:k.i - 1], lambda j: fails[j])) AS before,
+    len(list_filter(fails, lambda v: v)) AS n_fails
+  FROM d, o, i k
+), y AS (
+  SELECT part, array_to_string(list_transform(o, lambda j: substr('ABCDE', j, 1)), '') AS filter_order, step, substr('ABCDE', o[step], 1) AS name,
+    CAST(sum(CASE WHEN NOT fail AND NOT coalesce(before, false) THEN n ELSE 0 END) AS BIGINT) AS kept,
+    CAST(sum(CASE WHEN fail AND NOT coalesce(before, false) THEN n ELSE 0 END) AS BIGINT) AS removed,
+    CAST(sum(CASE WHEN fail AND coalesce(before, false) THEN n ELSE 0 END) AS BIGINT) AS redundant,
+    CAST(sum(CASE WHEN fail AND n_fails = 1 THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+    CAST(sum(CASE WHEN fail AND NOT coalesce(before, false) AND good THEN n ELSE 0 END) AS BIGINT) AS good_lost,
+    CAST(sum(CASE WHEN fail AND NOT coalesce(before, false) AND toxic THEN n ELSE 0 END) AS BIGINT) AS toxic_lost
+  FROM x GROUP BY part, o, step
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, name) AS BIGINT) AS shapley
+FROM y
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_chat_format": OP1_SQL, "op4_topk": OP4_SQL, "op12_hard_negatives": OP12_SQL, "op13_filter_audit": OP13_SQL}
