@@ -233,8 +233,25 @@ def write_conflicts(planned: DataFrame, present: DataFrame, prior: DataFrame, ow
 
 
 def orphans(prior: DataFrame, planned: DataFrame) -> DataFrame:
-    """Paths recorded at the last build that this one doesn't write."""
-    return prior.select("path").distinct().join(planned.select("path"), "path", "left_anti")
+    """``(path)`` recorded at the last build of a source that this one doesn't write.
+
+    ``planned(source_slug, path)`` says which sources are built: recorded paths of other sources of ``prior(source_slug, path)`` are no
+    orphans, nor are paths that any planned source writes.
+    """
+    built = prior.join(planned.select("source_slug").distinct(), "source_slug", "left_semi")
+    return built.select("path").distinct().join(planned.select("path"), "path", "left_anti")
+
+
+def next_record(prior: DataFrame, planned: DataFrame) -> DataFrame:
+    """``(source_slug, path, state)`` of every path that is recorded or planned: ``written``, ``orphan``, or ``kept``.
+
+    Kept are the paths of sources that this build leaves alone; the next record is all that is written or kept.
+    """
+    built = planned.select("source_slug").distinct().withColumn("built", F.lit(True))
+    mine = planned.select("source_slug", "path").distinct().withColumn("now", F.lit(True))
+    every = prior.select("source_slug", "path").distinct().join(mine, ["source_slug", "path"], "full").join(built, "source_slug", "left")
+    state = F.when(F.col("now"), "written").when(F.col("built"), "orphan").otherwise("kept")
+    return every.select("source_slug", "path", state.alias("state"))
 
 
 def referenced_assets(sections: DataFrame, staged: DataFrame) -> DataFrame:
@@ -261,15 +278,17 @@ def upsert_region(text: Column, block: Column, start: str = AUTO_START, end: str
     return F.when(text.rlike(pattern), F.concat(F.regexp_extract(text, pattern, 1), block, F.regexp_extract(text, pattern, 2))).otherwise(appended)
 
 
-def update_library_index(index: DataFrame, books: DataFrame) -> DataFrame:
-    """``(text)``: the library index with one entry for each of ``books(source_slug, title)``.
+def update_library_index(index: DataFrame, books: DataFrame, gone: DataFrame | None = None) -> DataFrame:
+    """``(text)``: the library index with one entry for each of ``books(source_slug, title)`` and none of ``gone(source_slug)``.
 
     ``index`` holds the old ``text`` (one row at most; without one a new index begins). Old entries whose first path part is
     one of the books go, whatever their form; others stay.
     """
     old = index.select("text").unionByName(index.sparkSession.range(1).select(F.lit("# Imported PDFs\n\n").alias("text"))).limit(1)
     kept = old.select(F.explode(X.links(managed_region(F.col("text")))).alias("e")).select("e.target", "e.alias")
-    kept = kept.join(books.select(F.col("source_slug").alias("s")), F.substring_index("target", "/", 1) == F.col("s"), "left_anti")
+    named = books.select(F.col("source_slug").alias("s"))
+    named = named if gone is None else named.unionByName(gone.select(F.col("source_slug").alias("s")))
+    kept = kept.join(named, F.substring_index("target", "/", 1) == F.col("s"), "left_anti")
     new = books.select(F.concat("source_slug", F.lit("/"), "source_slug").alias("target"), F.col("title").alias("alias"))
     entries = kept.unionByName(new).agg(F.collect_list(F.struct("target", "alias")).alias("e"))
     text = upsert_region(F.col("text"), managed_block(F.col("e")))

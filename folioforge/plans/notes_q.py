@@ -379,10 +379,26 @@ def k02(spark: SparkSession, sf_dir: str) -> DataFrame:
 K02_SQL = f"{_ALL} SELECT path FROM v WHERE NOT mine AND path NOT IN (SELECT 'tpch/01-c' || k || '.md' FROM v WHERE k % 2 = 0) UNION ALL SELECT unnest(['index.md', 'loose.md'])"
 
 
+#: Recorded notes of one source for each nation, and what a build of every second nation writes.
+_RECORDED = "SELECT concat('n', CAST(c_nationkey AS STRING)) AS source_slug, concat('n', CAST(c_nationkey AS STRING), '/', CAST(c_custkey AS STRING), '.md') AS path FROM {customer} WHERE c_custkey % 5 > 0"
+_PLANNED = "SELECT concat('n', CAST(c_nationkey AS STRING)) AS source_slug, concat('n', CAST(c_nationkey AS STRING), '/', CAST(c_custkey AS STRING), '.md') AS path FROM {customer} WHERE c_custkey % 3 > 0 AND c_nationkey % 2 = 0"
+
+
 def k03(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prior = fx.run(spark, sf_dir, "SELECT concat('tpch/', CAST(c_custkey AS STRING), '.md') AS path FROM {customer}")
-    planned = fx.run(spark, sf_dir, "SELECT concat('tpch/', CAST(c_custkey AS STRING), '.md') AS path FROM {customer} WHERE c_custkey % 3 > 0")
-    return V.orphans(prior, planned)
+    return V.orphans(fx.run(spark, sf_dir, _RECORDED), fx.run(spark, sf_dir, _PLANNED))
+
+
+def k04(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The record after a build of some of its sources."""
+    return V.next_record(fx.run(spark, sf_dir, _RECORDED), fx.run(spark, sf_dir, _PLANNED))
+
+
+K03_SQL = f"""WITH r AS ({fx.duck(_RECORDED)}), p AS ({fx.duck(_PLANNED)})
+SELECT path FROM r WHERE source_slug IN (SELECT source_slug FROM p) AND path NOT IN (SELECT path FROM p)"""
+K04_SQL = """SELECT 'n' || c_nationkey AS source_slug, 'n' || c_nationkey || '/' || c_custkey || '.md' AS path,
+  CASE WHEN c_nationkey % 2 = 0 AND c_custkey % 3 > 0 THEN 'written'
+    WHEN EXISTS (SELECT 1 FROM customer o WHERE o.c_nationkey = c.c_nationkey AND o.c_nationkey % 2 = 0 AND o.c_custkey % 3 > 0) THEN 'orphan' ELSE 'kept' END AS state
+FROM customer c WHERE c_custkey % 5 > 0 OR (c_nationkey % 2 = 0 AND c_custkey % 3 > 0)"""
 
 
 def k06(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -462,7 +478,7 @@ QUERIES: dict[str, Q] = {
     "r09_parent_links": lambda s, d: R.parent_links(sections(s, d), _paths(s, d), sources(s, d)).select("toc_number", "parent"),
     "r10_contents": lambda s, d: R.contents(sections(s, d), _paths(s, d)).select(F.coalesce("parent_number", F.lit("")).alias("parent_number"), "contents"),
     "r13_build_notes": r13, "r15_parse_notes": r15, "r17_links": r17, "r18_managed_region": r18, "r19_enrich": r19, "r20_repair": r20,
-    "k02_write_conflicts": k02, "k03_orphans": k03, "k06_assets": k06, "k07_library_index": k07, "k09_clean_notes": k09, "k10_picture_text": k10,
+    "k02_write_conflicts": k02, "k03_orphans": k03, "k04_record": k04, "k06_assets": k06, "k07_library_index": k07, "k09_clean_notes": k09, "k10_picture_text": k10,
     **{f"v0{i + 1}_{name}": gate(name) for i, name in enumerate(V.GATES)},
     "v09_verify": v09,
 }
@@ -485,7 +501,7 @@ ORACLES: dict[str, str] = {
     "r09_parent_links": f"{CTE} SELECT s.toc_number, coalesce('[[' || pth.link_target || '|' || p.display_title || ']]', '[[tpch/tpch|All \"Customers\"]]') AS parent FROM sec s LEFT JOIN sec p ON p.toc_number = s.parent_number LEFT JOIN pth ON pth.ord = p.ord",
     "r10_contents": f"{CTE} SELECT coalesce(parent_number, '') AS parent_number, string_agg('- [[' || link_target || '|' || display_title || ']]', chr(10) ORDER BY ord) AS contents FROM sec JOIN pth USING (ord) GROUP BY 1",
     "r13_build_notes": R13_SQL, "r15_parse_notes": R15_SQL, "r17_links": R17_SQL, "r18_managed_region": R18_SQL, "r19_enrich": R19_SQL, "r20_repair": R20_SQL,
-    "k02_write_conflicts": K02_SQL, "k03_orphans": "SELECT 'tpch/' || c_custkey || '.md' AS path FROM customer WHERE c_custkey % 3 = 0",
+    "k02_write_conflicts": K02_SQL, "k03_orphans": K03_SQL, "k04_record": K04_SQL,
     "k06_assets": f"{CTE} SELECT DISTINCT 'tpch' AS source_slug, regexp_extract(text, '([0-4]\\.png)', 1) AS ref FROM own JOIN pg USING (page) WHERE regexp_matches(text, '/[0-4]\\.png')",
     "k07_library_index": K07_SQL, "k09_clean_notes": K09_SQL,
     "k10_picture_text": "SELECT CAST(c_custkey AS VARCHAR) AS path, 'Map of ' || c_name AS residue FROM customer WHERE c_custkey % 4 = 1",

@@ -1,7 +1,8 @@
 """Vaults as folders of files: reading notes, writing, copying and removing files, and the record of generated paths.
 
 Files are written by the executors through the store that the vault's address names (a folder that all of them share, HDFS
-or an object store). Every action gives the same files when a lost task is run again.
+or an object store). Every action gives the same files when a lost task is run again. Vaults themselves are written by
+``vault_sink``, which makes a change's files count together.
 """
 
 from __future__ import annotations
@@ -12,6 +13,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.lineage import checkpoint
+
+#: Columns of the record below a folder for each source. A source that is gone has one row without a path.
 RECORD = "vault string, path string"
 
 
@@ -26,6 +30,18 @@ def exists(spark: SparkSession, folder: str) -> bool:
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
+def enclosing(spark: SparkSession, vault: str, mark: str = ".obsidian") -> str:
+    """The vault's path below the nearest folder at or above it that holds ``mark``; empty if that is the vault, or there is none."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    at, below = path(address(spark, vault)), []
+    while at is not None:
+        if exists(spark, path(at, mark).toString()):
+            return "/".join(reversed(below))
+        below.append(at.getName())
+        at = at.getParent()
+    return ""
+
+
 def _store(uri: str):
     """The file system of an address, and the path in it."""
     from pyarrow import fs
@@ -64,25 +80,6 @@ def write_files(spark: SparkSession, files: DataFrame, vault: str) -> DataFrame:
     return _each(files.select("path", "text"), act)
 
 
-def copy_files(spark: SparkSession, files: DataFrame, vault: str) -> DataFrame:
-    """Copy the file at each ``uri`` of ``files(uri, path)`` to its path below the vault; missing ones are left out."""
-    root = address(spark, vault)
-
-    def act(frame: pd.DataFrame) -> list[str]:
-        done = []
-        for uri, path in zip(frame["uri"], frame["path"]):
-            (source, at), (store, top) = _store(uri), _store(root)
-            if source.get_file_info(at).is_file:
-                store.create_dir(f"{top}/{path}".rpartition("/")[0], recursive=True)
-                with source.open_input_stream(at) as data, store.open_output_stream(f"{top}/{path}") as out:
-                    while chunk := data.read(1 << 20):
-                        out.write(chunk)
-                done.append(path)
-        return done
-
-    return _each(files.select("uri", "path"), act)
-
-
 def remove_files(spark: SparkSession, paths: DataFrame, vault: str) -> DataFrame:
     """Remove ``paths(path)`` below the vault; ``(path)`` of those that are gone now."""
     root = address(spark, vault)
@@ -97,26 +94,38 @@ def remove_files(spark: SparkSession, paths: DataFrame, vault: str) -> DataFrame
     return _each(paths.select("path"), act)
 
 
+def folders_above(paths: DataFrame) -> DataFrame:
+    """``(folder, depth)``: all folders that ``paths(path)`` stand in, each once."""
+    parts = F.split("path", "/", -1)
+    above = F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))
+    inside = paths.where(F.contains("path", F.lit("/"))).select(F.explode(above).alias("folder")).where("folder <> ''").distinct()
+    return inside.select("folder", F.size(F.split("folder", "/", -1)).alias("depth"))
+
+
 def prune_folders(spark: SparkSession, removed: DataFrame, vault: str) -> None:
-    """Remove folders of ``removed(path)`` that are empty now, deepest first, and folders that this empties; never the vault."""
-    from pyarrow import fs
+    """Remove folders of ``removed(path)`` that are empty now, and folders that this empties; never the vault.
 
-    store, top = _store(address(spark, vault))
-    folders = removed.select(F.regexp_replace("path", r"/?[^/]*\z", "").alias("d")).where("d <> ''").distinct()
-    for row in folders.orderBy(F.desc(F.size(F.split("d", "/"))), "d").toLocalIterator():
-        folder = row.d
-        while folder and store.get_file_info(f"{top}/{folder}").type == fs.FileType.Directory:
-            if store.get_file_info(fs.FileSelector(f"{top}/{folder}")):
-                break
-            store.delete_dir(f"{top}/{folder}")
-            folder = folder.rpartition("/")[0]
+    From the deepest level up, a job for each level: its folders are looked at and removed by the executors, so the driver sees
+    the number of levels only.
+    """
+    root = address(spark, vault)
+    folders = checkpoint(folders_above(removed))
 
+    def act(frame: pd.DataFrame) -> list[str]:
+        from pyarrow import fs
 
-def read_record(spark: SparkSession, record: str) -> DataFrame:
-    """``(vault, path)`` generated by the last build; no rows before the first."""
-    return spark.read.schema(RECORD).parquet(record) if exists(spark, record) else spark.createDataFrame([], RECORD)
+        store, top = _store(root)
+        for path in frame["path"]:
+            if store.get_file_info(f"{top}/{path}").type == fs.FileType.Directory and not store.get_file_info(fs.FileSelector(f"{top}/{path}")):
+                store.delete_dir(f"{top}/{path}")
+        return list(frame["path"])
 
+    for depth in range(folders.agg(F.max("depth")).head()[0] or 0, 0, -1):
+        _each(folders.where(F.col("depth") == depth).select(F.col("folder").alias("path")), act).write.format("noop").mode("overwrite").save()
 
-def write_record(spark: SparkSession, paths: DataFrame, vault: str, record: str) -> None:
-    """Record ``paths(path)`` as generated in the vault, in place of the last record."""
-    paths.select(F.lit(address(spark, vault)).alias("vault"), "path").distinct().write.mode("overwrite").parquet(record)
+
+def read_record(spark: SparkSession, record: str) -> DataFrame:
+    """``(source_slug, vault, path)``: what the last build of each source generated; no rows before the first."""
+    schema = f"{RECORD}, source_slug string"
+    rows = spark.read.schema(schema).parquet(record) if exists(spark, record) else spark.createDataFrame([], schema)
+    return rows.select("source_slug", "vault", "path").where("path IS NOT NULL")

@@ -114,9 +114,20 @@ def test_build_verify_change_and_rebuild(spark, inbox, tmp_path):
     assert [r.path for r in changed.collect()] == [guns] and "Copy of 12" in (tmp_path / "backup" / guns).read_text()
     assert "Copy of" not in (tmp_path / "vault" / guns).read_text() and spark.read.json(str(tmp_path / "report")).count() == 1
 
-    fewer = build.build_vault(spark, full.where("source_slug = 'rule-book'"), sources.where("source_slug = 'rule-book'"), where, record)
-    assert {r.path.split("/")[0] for r in fewer.removed.collect() if "assets" not in r.path} == {"no-title", "contents-book"}
-    assert not (tmp_path / "vault/rule-book/assets").exists()
+    one = full.where("source_slug = 'rule-book'"), sources.where("source_slug = 'rule-book'")
+    fewer = build.build_vault(spark, *one, where, record)
+    assert {r.path for r in fewer.removed.collect()} == {"rule-book/assets/a.png"} and not (tmp_path / "vault/rule-book/assets").exists()
+    assert (tmp_path / "vault/no-title/no-title.md").exists() and (tmp_path / "vault/contents-book/contents-book.md").exists()
+    recorded = {r.source_slug for r in vault_files.read_record(spark, record).collect()}
+    assert recorded == {"rule-book", "no-title", "contents-book"}
+
+    gone = build.remove_books(spark, sources.where("source_slug <> 'rule-book'"), where, record)
+    assert {r.path.split("/")[0] for r in gone.collect()} == {"no-title", "contents-book"} and not (tmp_path / "vault/no-title").exists()
+    assert {r.source_slug for r in vault_files.read_record(spark, record).collect()} == {"rule-book"}
+    index = (tmp_path / "vault/index.md").read_text()
+    assert "rule-book/rule-book" in index and "no-title" not in index
+    left = spark.createDataFrame([(p,) for p in before if p.startswith("rule-book")], "path string")
+    assert vault.verify(notes(), left, checkpoint, [g for g in vault.GATES if g != "assets"]).collect() == []
     mine = tmp_path / "vault/no-title/no-title.md"
     mine.parent.mkdir(exist_ok=True)
     mine.write_text("my own words")
