@@ -319,19 +319,37 @@ def enrich(notes: DataFrame, updates: DataFrame, owner: str = OWNER) -> DataFram
     return j.select("path", outcome.alias("outcome"), F.when(done, summary).alias("summary"), F.when(done, tags).alias("tags"), F.when(done, text).alias("text"))
 
 
+#: Repairs that need no body: they only change how a table is laid out.
+TRANSFORMS = {"demoted-label-row": tables.promote_label_row}
+
+
 def repair(notes: DataFrame, proposals: DataFrame, owner: str = OWNER) -> tuple[DataFrame, DataFrame]:
     """Accepted ``(path, text)`` and rejected ``(path, kind, table_no, detail)`` repairs of generated notes.
 
-    An accepted note is written anew, frontmatter keys in their order, with the proposed body.
+    ``proposals(path, kind, new_body)`` may name one of :data:`TRANSFORMS` in a column ``transform``, which then makes the body; an unknown
+    one is a finding. Equal proposals are one; of several that differ, all are rejected, since each would be written over the
+    others. An accepted note is written anew, frontmatter keys in their order, with the proposed body.
     """
-    joined = proposals.join(notes.select("path", "text", "meta", "body"), "path", "left")
+    transform = F.col("transform") if "transform" in proposals.columns else F.lit(None).cast("string")
+    asked = proposals.select("path", "kind", "new_body", transform.alias("transform")).distinct().withColumn("n", F.count(F.lit(1)).over(W.partitionBy("path")))
+    joined = asked.join(notes.select("path", "meta", "body"), "path", "left")
     owned = F.coalesce(F.col("meta.generated_by") == owner, F.lit(False))
-    foreign = joined.where(~owned).select("path", F.lit("ownership").alias("kind"), F.lit(None).cast("int").alias("table_no"), F.lit("not a generated note").alias("detail"))
-    mine = joined.where(owned)
-    drift = guards.repair_drift(mine.select("path", "kind", F.col("body").alias("before"), F.col("new_body").alias("after")), "path")
-    text = rerender(F.col("meta"), F.col("new_body"))
-    accepted = mine.join(drift.select("path").distinct(), "path", "left_anti").select("path", text.alias("text"))
-    return accepted, drift.unionByName(foreign)
+    body = F.when(F.col("transform").isNull(), F.col("new_body"))
+    for name, rule in TRANSFORMS.items():
+        body = body.when(F.col("transform") == name, rule(F.col("body")))
+    why = lambda kind, detail: F.struct(F.lit(kind).alias("kind"), detail.alias("detail"))
+    unknown = ~F.coalesce(F.col("transform").isin(*TRANSFORMS), F.lit(True))
+    reason = (
+        F.when(~owned, why("ownership", F.lit("not a generated note")))
+        .when(F.col("n") > 1, why("duplicate", F.lit("several proposals for one note")))
+        .when(unknown, why("transform", F.concat(F.lit("unknown transform "), F.col("transform"))))
+    )
+    judged = joined.withColumn("reason", reason).withColumn("after", body)
+    refused = judged.where("reason IS NOT NULL").select("path", "reason.kind", F.lit(None).cast("int").alias("table_no"), "reason.detail").distinct()
+    mine = judged.where("reason IS NULL")
+    drift = guards.repair_drift(mine.select("path", "kind", F.col("body").alias("before"), "after"), "path")
+    accepted = mine.join(drift.select("path").distinct(), "path", "left_anti").select("path", rerender(F.col("meta"), F.coalesce("after", F.lit(""))).alias("text"))
+    return accepted, drift.unionByName(refused)
 
 
 def clean_notes(notes: DataFrame, patterns: Sequence[str]) -> DataFrame:
