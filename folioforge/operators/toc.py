@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -13,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions import unicode as U
+from .outline import walk
 
 
 def choose_source(candidates: DataFrame) -> DataFrame:
@@ -49,52 +49,15 @@ def effective_levels(toc: DataFrame) -> DataFrame:
     return with_k.withColumn("eff", F.least(F.col("k") + 1, F.col("k") + low)).drop("__l")
 
 
-def walk_outline(levels: Sequence[int], starts: Sequence[int | None], pad_width: int) -> Iterator[tuple[int, str, str | None, str, bool, int | None]]:
-    """``(depth, number, parent's number, plain number, is leaf, start of the next entry that is as shallow)`` of each entry.
-
-    One walk with a stack of the open entries, one for each depth; any depth. Numbers are padded to the width of their
-    largest sibling, ``pad_width`` at least.
-    """
-    parents, places, depths, siblings, nexts = [], [], [], Counter(), [None] * len(levels)
-    still: list[int] = []
-    for k, level in enumerate(levels):
-        depth = min(max(level, 1), len(still) + 1)
-        for done in still[depth - 1 :]:
-            nexts[done] = starts[k]
-        del still[depth - 1 :]
-        parent = still[-1] if still else -1
-        siblings[parent] += 1
-        parents.append(parent)
-        places.append(siblings[parent])
-        depths.append(depth)
-        still.append(k)
-    numbers, plain = [], []
-    for k, (parent, place) in enumerate(zip(parents, places)):
-        part = str(place).rjust(max(pad_width, len(str(siblings[parent]))), "0")
-        numbers.append(part if parent < 0 else f"{numbers[parent]}.{part}")
-        plain.append(str(place) if parent < 0 else f"{plain[parent]}.{place}")
-        yield depths[k], numbers[k], None if parent < 0 else numbers[parent], plain[k], k not in siblings, nexts[k]
-
-
-def build_sections(toc: DataFrame, pages: DataFrame, pad_width: int = 2, slug_len: int = 60) -> DataFrame:
+def build_sections(toc: DataFrame, pages: DataFrame, pad_width: int = 2, slug_len: int = 60, tasks: int | None = None) -> DataFrame:
     """The section table out of ``toc(source_slug, ord, level, title, start_page)`` and ``pages(source_slug, page_count)``.
 
     Returns ``(source_slug, ord, toc_number, parent_number, level, title, display_title, slug, is_leaf, start_page,
-    end_page)``. Each entry's depth, number and end depend on all before it, so a document's entries, without their texts'
-    pages, are walked as one group: one shuffle by document, linear in the entries, any depth. Documents without a
-    page count give no sections; a null level is 1.
+    end_page)``. Each entry's depth, number and end depend on all before and behind it; ``outline.walk`` works them out by a scan
+    over range partitions (``tasks`` of them, if given), so a document may take many tasks. Documents without a page count give no
+    sections; a null level is 1.
     """
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("ord", kind="stable")
-        levels = [1 if pd.isna(x) else int(x) for x in frame["level"]]
-        starts = [None if pd.isna(x) else int(x) for x in frame["start_page"]]
-        walked = pd.DataFrame(walk_outline(levels, starts, pad_width), columns=["eff", "toc_number", "parent_number", "plain", "is_leaf", "next_page"], dtype=object)
-        return walked.assign(source_slug=frame["source_slug"].to_numpy(), k=range(len(frame)), title=frame["title"].to_numpy(), start_page=pd.Series(starts, dtype=object))
-
-    shape = "source_slug string, k int, eff int, toc_number string, parent_number string, plain string, is_leaf boolean, title string, start_page int, next_page int"
-    entries = toc.select("source_slug", "ord", "level", "title", F.col("start_page").cast("int").alias("start_page"))
-    t = entries.groupBy("source_slug").applyInPandas(run, shape).join(pages.select("source_slug", F.col("page_count").cast("int").alias("page_count")), "source_slug")
+    t = walk(toc, pad_width, tasks).join(pages.select("source_slug", F.col("page_count").cast("int").alias("page_count")), "source_slug")
     n = F.greatest(F.col("page_count"), F.lit(1))
     start = F.least(F.greatest(F.col("start_page"), F.lit(1)), n)
     end = F.when(F.col("next_page").isNull(), F.col("page_count")).otherwise(F.greatest(F.col("start_page"), F.col("next_page") - 1))

@@ -25,28 +25,30 @@ def duck(sql: str) -> str:
     return _NAME.sub(r"\1", sql)
 
 
-#: An outline region > nation > customer with level jumps and shared pages.
+#: An outline of segments and customers for each nation, with level jumps and shared pages.
 TOC = """
-SELECT 'tpch' AS source_slug, CAST(row_number() OVER (ORDER BY k1, k2, k3) - 1 AS INT) AS ord, level, title,
-  CAST(floor((row_number() OVER (ORDER BY k1, k2, k3) - 1) / 3) AS INT) + 1 AS start_page
-FROM (
-  SELECT 1 AS level, r_name AS title, r_regionkey AS k1, -1 AS k2, CAST(-1 AS BIGINT) AS k3 FROM {region}
-  UNION ALL SELECT 2, n_name, n_regionkey, n_nationkey, CAST(-1 AS BIGINT) FROM {nation}
-  UNION ALL SELECT CASE WHEN c_custkey % 7 = 0 THEN 5 ELSE 3 END, c_name, n_regionkey, n_nationkey, c_custkey
-    FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey
-) u
+SELECT source_slug, CAST(rn - 1 AS INT) AS ord, level, title, CAST(floor((rn - 1) / 3) AS INT) + 1 AS start_page FROM (
+  SELECT *, row_number() OVER (PARTITION BY source_slug ORDER BY k1, k2) AS rn FROM (
+    SELECT DISTINCT concat('n', CAST(c_nationkey AS STRING)) AS source_slug, 1 AS level, c_mktsegment AS title, c_mktsegment AS k1, CAST(-1 AS BIGINT) AS k2 FROM {customer}
+    UNION ALL SELECT concat('n', CAST(c_nationkey AS STRING)), CASE WHEN c_custkey % 7 = 0 THEN 4 ELSE 2 END, c_name, c_mktsegment, c_custkey FROM {customer}
+  ) u
+) v
 """
 
-#: Number of pages of that outline's document.
-PAGES = f"SELECT source_slug, max(start_page) + 2 AS page_count FROM ({TOC}) t GROUP BY source_slug"
-
-#: Its pages' texts: documents with a heading and an image.
+#: The pages' texts: all documents, dealt over the nations, with a heading and an image.
 PAGE_TEXT = """
-SELECT 'tpch' AS source_slug, CAST(doc_id + 1 AS INT) AS page,
+SELECT concat('n', CAST(doc_id % 25 AS STRING)) AS source_slug, CAST(floor(doc_id / 25) AS INT) + 1 AS page,
   concat('## ', CAST(doc_id % 40 + 1 AS STRING), '. Customer#', CAST(doc_id AS STRING), chr(10), text, chr(10), '![x](img/', CAST(doc_id % 9 AS STRING), '.png)') AS text
 FROM {documents}
 """
 
+#: Number of pages of those documents: what the outline or the texts need.
+PAGES = f"""
+SELECT t.source_slug, CAST(greatest(t.n, coalesce(p.n, 0)) AS INT) AS page_count
+FROM (SELECT source_slug, max(start_page) + 2 AS n FROM ({TOC}) o GROUP BY source_slug) t
+LEFT JOIN (SELECT source_slug, max(page) AS n FROM ({PAGE_TEXT}) x GROUP BY source_slug) p ON t.source_slug = p.source_slug
+"""
+
 #: One page per document with the usual furniture of extracted text.
 DIRTY = """
 SELECT doc_id, concat('## C H A P T E R  ', CAST(doc_id AS STRING), chr(10), text, chr(7), chr(10), chr(10), chr(10), chr(10),

@@ -1,4 +1,4 @@
-"""Queries of outlines, sections, notes, links and gates over the region > nation > customer outline."""
+"""Queries of outlines, sections, notes, links and gates over one outline of segments and customers for each nation."""
 
 from __future__ import annotations
 
@@ -34,33 +34,33 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 _SLUG = "coalesce(nullif(rtrim(left(trim(regexp_replace(lower(title), '[^a-z0-9]+', '-', 'g'), '-'), 60), '-'), ''), 'section')"
 #: The section table in SQL: parents by self-join, numbers by recursion.
 CTE = f"""
-WITH RECURSIVE toc AS ({fx.duck(fx.TOC)}), pc AS (SELECT max(start_page) + 2 AS n FROM toc),
-e AS (SELECT *, least(ord + 1, ord + min(greatest(level, 1) - ord) OVER (ORDER BY ord)) AS eff FROM toc),
-p AS (SELECT a.ord, max(b.ord) AS parent FROM e a LEFT JOIN e b ON b.ord < a.ord AND b.eff < a.eff GROUP BY a.ord),
-i AS (SELECT e.*, p.parent, row_number() OVER (PARTITION BY p.parent ORDER BY e.ord) AS idx, count(*) OVER (PARTITION BY p.parent) AS sib FROM e JOIN p USING (ord)),
+WITH RECURSIVE toc AS (SELECT source_slug AS s, ord, level, title, start_page FROM ({fx.duck(fx.TOC)}) t), pc AS (SELECT source_slug AS s, page_count AS n FROM ({fx.duck(fx.PAGES)}) q),
+e AS (SELECT *, least(ord + 1, ord + min(greatest(level, 1) - ord) OVER (PARTITION BY s ORDER BY ord)) AS eff FROM toc),
+p AS (SELECT a.s, a.ord, max(b.ord) AS parent FROM e a LEFT JOIN e b ON b.s = a.s AND b.ord < a.ord AND b.eff < a.eff GROUP BY a.s, a.ord),
+i AS (SELECT e.*, p.parent, row_number() OVER (PARTITION BY e.s, p.parent ORDER BY e.ord) AS idx, count(*) OVER (PARTITION BY e.s, p.parent) AS sib FROM e JOIN p ON p.s = e.s AND p.ord = e.ord),
 g AS (SELECT *, lpad(CAST(idx AS VARCHAR), CAST(greatest(2, length(CAST(sib AS VARCHAR))) AS INT), '0') AS part FROM i),
 path AS (
-  SELECT ord, part AS num, CAST(NULL AS VARCHAR) AS up, CAST(idx AS VARCHAR) AS human FROM g WHERE parent IS NULL
-  UNION ALL SELECT g.ord, path.num || '.' || g.part, path.num, path.human || '.' || g.idx FROM g JOIN path ON g.parent = path.ord),
-nx AS (SELECT a.ord, min(b.ord) AS nxt FROM e a LEFT JOIN e b ON b.ord > a.ord AND b.eff <= a.eff GROUP BY a.ord),
+  SELECT s, ord, part AS num, CAST(NULL AS VARCHAR) AS up, CAST(idx AS VARCHAR) AS human FROM g WHERE parent IS NULL
+  UNION ALL SELECT g.s, g.ord, path.num || '.' || g.part, path.num, path.human || '.' || g.idx FROM g JOIN path ON g.s = path.s AND g.parent = path.ord),
+nx AS (SELECT a.s, a.ord, min(b.ord) AS nxt FROM e a LEFT JOIN e b ON b.s = a.s AND b.ord > a.ord AND b.eff <= a.eff GROUP BY a.s, a.ord),
 sec AS (
-  SELECT 'tpch' AS source_slug, CAST(g.ord AS INT) AS ord, num AS toc_number, up AS parent_number, CAST(g.eff AS INT) AS level, g.title, human || ' ' || g.title AS display_title, {_SLUG.replace("title", "g.title")} AS slug,
-    coalesce(lead(g.eff) OVER (ORDER BY g.ord) <= g.eff, true) AS is_leaf,
+  SELECT g.s, CAST(g.ord AS INT) AS ord, num AS toc_number, up AS parent_number, CAST(g.eff AS INT) AS level, g.title, human || ' ' || g.title AS display_title, {_SLUG.replace("title", "g.title")} AS slug,
+    coalesce(lead(g.eff) OVER (PARTITION BY g.s ORDER BY g.ord) <= g.eff, true) AS is_leaf,
     CAST(least(greatest(g.start_page, 1), pc.n) AS INT) AS start_page,
     CAST(least(greatest(CASE WHEN t.start_page IS NULL THEN pc.n ELSE greatest(g.start_page, t.start_page - 1) END, least(greatest(g.start_page, 1), pc.n)), pc.n) AS INT) AS end_page
-  FROM g JOIN path USING (ord) JOIN nx USING (ord) LEFT JOIN toc t ON t.ord = nx.nxt CROSS JOIN pc),
-pre AS (SELECT s.toc_number, s.start_page AS first_page, min(k.start_page) - 1 AS last_page FROM sec s JOIN sec k ON k.parent_number = s.toc_number GROUP BY ALL HAVING min(k.start_page) > s.start_page),
+  FROM g JOIN path ON path.s = g.s AND path.ord = g.ord JOIN nx ON nx.s = g.s AND nx.ord = g.ord LEFT JOIN toc t ON t.s = g.s AND t.ord = nx.nxt JOIN pc ON pc.s = g.s),
+pre AS (SELECT s.s, s.toc_number, s.start_page AS first_page, min(k.start_page) - 1 AS last_page FROM sec s JOIN sec k ON k.s = s.s AND k.parent_number = s.toc_number GROUP BY ALL HAVING min(k.start_page) > s.start_page),
 own AS (
-  SELECT ord, toc_number, CAST(unnest(range(lo, hi + 1)) AS INT) AS page FROM (
-    SELECT ord, sec.toc_number, CASE WHEN is_leaf THEN start_page ELSE first_page END AS lo, CASE WHEN is_leaf THEN end_page ELSE last_page END AS hi
-    FROM sec LEFT JOIN pre ON pre.toc_number = sec.toc_number) r WHERE lo <= hi),
-pg AS ({fx.duck(fx.PAGE_TEXT)}),
-anc AS (SELECT a.ord, b.level AS depth, b.toc_number || '-' || b.slug AS seg FROM sec a JOIN sec b ON a.toc_number = b.toc_number OR a.toc_number LIKE b.toc_number || '.%'),
+  SELECT s, ord, toc_number, CAST(unnest(range(lo, hi + 1)) AS INT) AS page FROM (
+    SELECT sec.s, ord, sec.toc_number, CASE WHEN is_leaf THEN start_page ELSE first_page END AS lo, CASE WHEN is_leaf THEN end_page ELSE last_page END AS hi
+    FROM sec LEFT JOIN pre ON pre.s = sec.s AND pre.toc_number = sec.toc_number) r WHERE lo <= hi),
+pg AS (SELECT source_slug AS s, page, text FROM ({fx.duck(fx.PAGE_TEXT)}) x),
+anc AS (SELECT a.s, a.ord, b.level AS depth, b.toc_number || '-' || b.slug AS seg FROM sec a JOIN sec b ON a.s = b.s AND (a.toc_number = b.toc_number OR a.toc_number LIKE b.toc_number || '.%')),
 pth AS (
-  SELECT s.ord, s.toc_number, 'tpch/' || string_agg(seg, '/' ORDER BY depth) || CASE WHEN s.is_leaf THEN '' ELSE '/' || s.toc_number || '-' || s.slug END AS link_target
-  FROM anc JOIN sec s USING (ord) GROUP BY s.ord, s.toc_number, s.is_leaf, s.slug),
+  SELECT s.s, s.ord, s.toc_number, s.s || '/' || string_agg(seg, '/' ORDER BY depth) || CASE WHEN s.is_leaf THEN '' ELSE '/' || s.toc_number || '-' || s.slug END AS link_target
+  FROM anc JOIN sec s ON s.s = anc.s AND s.ord = anc.ord GROUP BY s.s, s.ord, s.toc_number, s.is_leaf, s.slug),
 txt AS (
-  SELECT own.ord, string_agg(trim(text, ' ' || chr(10)), chr(10) || chr(10) ORDER BY own.page) AS markdown FROM own JOIN pg USING (page) GROUP BY own.ord)
+  SELECT own.s, own.ord, string_agg(trim(text, ' ' || chr(10)), chr(10) || chr(10) ORDER BY own.page) AS markdown FROM own JOIN pg ON pg.s = own.s AND pg.page = own.page GROUP BY own.s, own.ord)
 """
 
 
@@ -69,15 +69,15 @@ def _paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def section_rows(*columns: str) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: sections(spark, sf_dir).select("ord", *columns)
+    return lambda spark, sf_dir: sections(spark, sf_dir).select("source_slug", "ord", *columns)
 
 
 def _section_sql(*columns: str) -> str:
-    return f"{CTE} SELECT ord, {', '.join(columns)} FROM sec"
+    return f"{CTE} SELECT s AS source_slug, ord, {', '.join(columns)} FROM sec"
 
 
 def t04(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.effective_levels(toc(spark, sf_dir)).select("ord", c("eff").cast("int").alias("eff"))
+    return T.effective_levels(toc(spark, sf_dir)).select("source_slug", "ord", c("eff").cast("int").alias("eff"))
 
 
 def t09(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,7 +85,7 @@ def t09(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = sections(spark, sf_dir)
     kids = s.groupBy("source_slug", c("parent_number").alias("toc_number")).agg(F.count(F.lit(1)).alias("children"))
     place = F.when(c("is_leaf"), F.row_number().over(W.partitionBy("source_slug", "is_leaf").orderBy("ord")))
-    return s.join(kids, ["source_slug", "toc_number"], "left").select("toc_number", F.coalesce("children", F.lit(0)).alias("children"), F.coalesce(place, F.lit(0)).alias("leaf_place"))
+    return s.join(kids, ["source_slug", "toc_number"], "left").select("source_slug", "toc_number", F.coalesce("children", F.lit(0)).alias("children"), F.coalesce(place, F.lit(0)).alias("leaf_place"))
 
 
 def t01(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,48 +199,50 @@ SELECT 'n' || n AS source_slug, ord, band AS level, title, start_page FROM e UNI
 
 
 def r01(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.section_text(sections(spark, sf_dir), pages(spark, sf_dir)).select("ord", "markdown")
+    return R.section_text(sections(spark, sf_dir), pages(spark, sf_dir)).select("source_slug", "ord", "markdown")
 
 
 def r03(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = R.section_text(sections(spark, sf_dir), pages(spark, sf_dir))
-    return text.select("ord", F.explode("assets").alias("a")).groupBy("ord", "a.ref", "a.kind").agg(F.count(F.lit(1)).alias("n"), F.sum("a.page").alias("page_sum"))
+    return text.select("source_slug", "ord", F.explode("assets").alias("a")).groupBy("source_slug", "ord", "a.ref", "a.kind").agg(F.count(F.lit(1)).alias("n"), F.sum("a.page").alias("page_sum"))
 
 
 def r05(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.note_headings(pages(spark, sf_dir).select(F.lit("s").alias("source_slug"), c("page").cast("string").alias("link_target"), c("text").alias("markdown"))).select("link_target", "key", "heading")
+    return R.note_headings(pages(spark, sf_dir).select("source_slug", c("page").cast("string").alias("link_target"), c("text").alias("markdown"))).select("source_slug", "link_target", "key", "heading")
 
 
-_INDEX_BODY = "concat('## INDEX', chr(10), '- Customer#', CAST(c_custkey AS STRING), ' ', CAST(c_custkey AS STRING), ', **', CAST(c_custkey + 3 AS STRING), '**, 99999', chr(10), 'no entry 5')"
+_INDEX_BODY = "concat('## INDEX', chr(10), '- Customer#', CAST(c_custkey % 40 AS STRING), ' ', CAST(c_custkey % 40 AS STRING), ', **', CAST(c_custkey % 40 + 3 AS STRING), '**, 99999', chr(10), 'no entry 5')"
 
 
 def r06(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Index notes over sections: a page, a bold page, and a page that no note covers; page n + 1 has the heading Customer#n."""
+    """Index notes over sections: a page, a bold page, and a page that no note covers; notes have a heading for each page that they cover."""
     s, paths = sections(spark, sf_dir), _paths(spark, sf_dir)
-    index = fx.run(spark, sf_dir, f"SELECT 'tpch' AS source_slug, CAST(c_custkey AS STRING) AS link_target, {_INDEX_BODY} AS markdown FROM {{customer}}")
+    index = fx.run(spark, sf_dir, f"SELECT concat('n', CAST(c_nationkey AS STRING)) AS source_slug, CAST(c_custkey AS STRING) AS link_target, {_INDEX_BODY} AS markdown FROM {{customer}}")
     targets = R.page_targets(s, paths)
     heads = targets.select("source_slug", "link_target", F.concat(F.lit("## 3. Customer#"), "page").alias("markdown"))
     merged = heads.groupBy("source_slug", "link_target").agg(F.array_join(F.sort_array(F.collect_list("markdown")), "\n").alias("markdown"))
-    return R.linkify_index(index, targets, R.note_headings(merged)).select("link_target", "markdown")
+    return R.linkify_index(index, targets, R.note_headings(merged)).select("source_slug", "link_target", "markdown")
 
 
-_TARGETS = "tgt AS (SELECT page, link_target FROM (SELECT *, row_number() OVER (PARTITION BY page ORDER BY is_leaf DESC, ord) AS r FROM (SELECT sec.ord, is_leaf, CAST(unnest(range(start_page, end_page + 1)) AS INT) AS page, link_target FROM sec JOIN pth USING (ord)) u) v WHERE r = 1)"
-R06_SQL = f"""{CTE}, {_TARGETS}
-SELECT CAST(c_custkey AS VARCHAR) AS link_target, '## INDEX' || chr(10) || '- Customer#' || c_custkey || ' '
-  || coalesce('[[' || a.link_target || '#Customer#' || c_custkey || '|' || c_custkey || ']]', CAST(c_custkey AS VARCHAR))
-  || ', ' || coalesce('**[[' || b.link_target || CASE WHEN b.link_target = a.link_target THEN '#Customer#' || c_custkey ELSE '' END || '|' || (c_custkey + 3) || ']]**', '**' || (c_custkey + 3) || '**')
+_TARGETS = """tgt AS (SELECT s, page, link_target FROM (SELECT *, row_number() OVER (PARTITION BY s, page ORDER BY is_leaf DESC, ord) AS r FROM (
+  SELECT sec.s, sec.ord, is_leaf, CAST(unnest(range(start_page, end_page + 1)) AS INT) AS page, link_target FROM sec JOIN pth ON pth.s = sec.s AND pth.ord = sec.ord) u) v WHERE r = 1)"""
+R06_SQL = f"""{CTE}, {_TARGETS}, x AS (SELECT *, 'n' || c_nationkey AS s, c_custkey % 40 AS p FROM customer)
+SELECT x.s AS source_slug, CAST(c_custkey AS VARCHAR) AS link_target, '## INDEX' || chr(10) || '- Customer#' || p || ' '
+  || coalesce('[[' || a.link_target || '#Customer#' || p || '|' || p || ']]', CAST(p AS VARCHAR))
+  || ', ' || coalesce('**[[' || b.link_target || CASE WHEN b.link_target = a.link_target THEN '#Customer#' || p ELSE '' END || '|' || (p + 3) || ']]**', '**' || (p + 3) || '**')
   || ', 99999' || chr(10) || 'no entry 5' AS markdown
-FROM customer LEFT JOIN tgt a ON a.page = c_custkey LEFT JOIN tgt b ON b.page = c_custkey + 3
+FROM x LEFT JOIN tgt a ON a.s = x.s AND a.page = p LEFT JOIN tgt b ON b.s = x.s AND b.page = p + 3
 """
 
 
 def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = fx.run(spark, sf_dir, fx.PAGES)
-    return n.select("source_slug", F.lit("All \"Customers\"").alias("source_title"), F.lit("tpch.pdf").alias("file_name"), c("page_count").cast("int").alias("page_count"), F.lit("2024-01-02").alias("created"), F.lit("headings").alias("toc_source"))
+    title, name = F.concat(F.lit('All "'), "source_slug", F.lit('"')), F.concat("source_slug", F.lit(".pdf"))
+    return n.select("source_slug", title.alias("source_title"), name.alias("file_name"), "page_count", F.lit("2024-01-02").alias("created"), F.lit("headings").alias("toc_source"))
 
 
 def notes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All notes of the outline's document, built from its sections and pages."""
+    """All notes of the outlines' documents, built from their sections and pages."""
     s = sections(spark, sf_dir)
     text = R.section_text(s, pages(spark, sf_dir).withColumn("text", X.image_sentinels(c("text"))))
     full = s.join(text, ["source_slug", "ord"], "left").withColumn("kind", F.when(c("is_leaf") & (c("ord") % 5 == 0), F.lit("index")).otherwise("text"))
@@ -255,25 +257,26 @@ def r13(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _Q = "replace(replace({0}, chr(92), chr(92) || chr(92)), '\"', chr(92) || '\"')"
 R13_SQL = f"""{CTE}, {_TARGETS},
-lk AS (SELECT sec.ord, sec.toc_number, '[[' || link_target || '|' || display_title || ']]' AS l FROM sec JOIN pth USING (ord)),
-nb AS (SELECT ord, lag(l) OVER (ORDER BY ord) AS pv, lead(l) OVER (ORDER BY ord) AS nx FROM lk JOIN (SELECT ord FROM sec WHERE is_leaf) s USING (ord)),
-lst AS (SELECT parent_number, string_agg('- ' || l, chr(10) ORDER BY sec.ord) AS items FROM sec JOIN lk USING (ord) GROUP BY parent_number),
+lk AS (SELECT sec.s, sec.ord, sec.toc_number, '[[' || link_target || '|' || display_title || ']]' AS l FROM sec JOIN pth ON pth.s = sec.s AND pth.ord = sec.ord),
+nb AS (SELECT lk.s, lk.ord, lag(l) OVER (PARTITION BY lk.s ORDER BY lk.ord) AS pv, lead(l) OVER (PARTITION BY lk.s ORDER BY lk.ord) AS nx FROM lk JOIN sec ON sec.s = lk.s AND sec.ord = lk.ord WHERE is_leaf),
+lst AS (SELECT sec.s, parent_number, string_agg('- ' || l, chr(10) ORDER BY sec.ord) AS items FROM sec JOIN lk ON lk.s = sec.s AND lk.ord = sec.ord GROUP BY sec.s, parent_number),
 body AS (
-  SELECT sec.*, pth.link_target, lk.l, nb.pv, nb.nx, coalesce(pl.l, '[[tpch/tpch|All "Customers"]]') AS up, lst.items,
+  SELECT sec.*, pth.link_target, lk.l, nb.pv, nb.nx, coalesce(pl.l, '[[' || sec.s || '/' || sec.s || '|All "' || sec.s || '"]]') AS up, lst.items,
     replace(CASE WHEN is_leaf AND sec.ord % 5 = 0 THEN coalesce(markdown, '') || chr(10) || '- Zeta ' || coalesce('[[' || ta.link_target || '|' || sec.start_page || ']]', CAST(sec.start_page AS VARCHAR))
       || ', ' || coalesce('**[[' || tb.link_target || '|' || (sec.start_page + 1) || ']]**', '**' || (sec.start_page + 1) || '**') || ', 999999' ELSE markdown END, '![x](img/', '![](' || repeat('../', length(pth.link_target) - length(replace(pth.link_target, '/', '')) - 1) || 'assets/') AS md
-  FROM sec JOIN pth USING (ord) JOIN lk USING (ord) LEFT JOIN nb USING (ord) LEFT JOIN txt USING (ord) LEFT JOIN lk pl ON pl.toc_number = sec.parent_number LEFT JOIN lst ON lst.parent_number = sec.toc_number
-    LEFT JOIN tgt ta ON ta.page = sec.start_page LEFT JOIN tgt tb ON tb.page = sec.start_page + 1)
-SELECT link_target || '.md' AS path, '---' || chr(10) || 'title: "' || display_title || '"' || chr(10) || 'source: "tpch.pdf"' || chr(10) || 'source_pages: [' || start_page || ', ' || end_page || ']' || chr(10)
+  FROM sec JOIN pth ON pth.s = sec.s AND pth.ord = sec.ord JOIN lk ON lk.s = sec.s AND lk.ord = sec.ord LEFT JOIN nb ON nb.s = sec.s AND nb.ord = sec.ord LEFT JOIN txt ON txt.s = sec.s AND txt.ord = sec.ord
+    LEFT JOIN lk pl ON pl.s = sec.s AND pl.toc_number = sec.parent_number LEFT JOIN lst ON lst.s = sec.s AND lst.parent_number = sec.toc_number
+    LEFT JOIN tgt ta ON ta.s = sec.s AND ta.page = sec.start_page LEFT JOIN tgt tb ON tb.s = sec.s AND tb.page = sec.start_page + 1)
+SELECT link_target || '.md' AS path, '---' || chr(10) || 'title: "' || display_title || '"' || chr(10) || 'source: "' || s || '.pdf"' || chr(10) || 'source_pages: [' || start_page || ', ' || end_page || ']' || chr(10)
   || 'boundary: page-level' || chr(10) || 'toc_level: ' || level || chr(10) || 'toc_number: "' || toc_number || '"' || chr(10) || 'parent: "' || {_Q.format("up")} || '"' || chr(10)
-  || coalesce('prev: "' || pv || '"' || chr(10), '') || coalesce('next: "' || nx || '"' || chr(10), '') || 'tags: [pdf-import, tpch]' || chr(10) || 'created: 2024-01-02' || chr(10) || 'generated_by: engine' || chr(10) || '---' || chr(10) || chr(10)
+  || coalesce('prev: "' || pv || '"' || chr(10), '') || coalesce('next: "' || nx || '"' || chr(10), '') || 'tags: [pdf-import, ' || s || ']' || chr(10) || 'created: 2024-01-02' || chr(10) || 'generated_by: engine' || chr(10) || '---' || chr(10) || chr(10)
   || CASE WHEN is_leaf THEN coalesce(md, '_No extractable text in this section._') ELSE '# ' || display_title || chr(10) || chr(10) || coalesce(md || chr(10) || chr(10), '') || '## Contents' || chr(10) || chr(10) || items END || chr(10) AS text
 FROM body
-UNION ALL SELECT 'tpch/tpch.md', '---' || chr(10) || 'title: "All \\"Customers\\""' || chr(10) || 'source: "tpch.pdf"' || chr(10) || 'source_pages: [1, ' || n || ']' || chr(10) || 'boundary: page-level' || chr(10) || 'toc_level: 0' || chr(10)
-  || 'toc_number: "00"' || chr(10) || 'parent: "[[index|Imported PDFs]]"' || chr(10) || 'tags: [pdf-import, tpch]' || chr(10) || 'created: 2024-01-02' || chr(10) || 'generated_by: engine' || chr(10) || '---' || chr(10) || chr(10)
-  || '# All "Customers"' || chr(10) || chr(10) || '> Source: `tpch.pdf` - ' || n || ' pages - imported 2024-01-02' || chr(10) || chr(10)
+UNION ALL SELECT lst.s || '/' || lst.s || '.md', '---' || chr(10) || 'title: "All \\"' || lst.s || '\\""' || chr(10) || 'source: "' || lst.s || '.pdf"' || chr(10) || 'source_pages: [1, ' || n || ']' || chr(10) || 'boundary: page-level' || chr(10) || 'toc_level: 0' || chr(10)
+  || 'toc_number: "00"' || chr(10) || 'parent: "[[index|Imported PDFs]]"' || chr(10) || 'tags: [pdf-import, ' || lst.s || ']' || chr(10) || 'created: 2024-01-02' || chr(10) || 'generated_by: engine' || chr(10) || '---' || chr(10) || chr(10)
+  || '# All "' || lst.s || '"' || chr(10) || chr(10) || '> Source: `' || lst.s || '.pdf` - ' || n || ' pages - imported 2024-01-02' || chr(10) || chr(10)
   || '> [!note] No embedded table of contents. This structure was inferred from detected headings, not extracted from PDF bookmarks - verify it matches the source before relying on it.' || chr(10) || chr(10)
-  || '## Contents' || chr(10) || chr(10) || items || chr(10) FROM lst, pc WHERE parent_number IS NULL
+  || '## Contents' || chr(10) || chr(10) || items || chr(10) FROM lst JOIN pc ON pc.s = lst.s WHERE parent_number IS NULL
 """
 
 # A small vault of customer notes with known faults.
@@ -403,7 +406,7 @@ FROM customer c WHERE c_custkey % 5 > 0 OR (c_nationkey % 2 = 0 AND c_custkey %
 
 def k06(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = R.section_text(sections(spark, sf_dir), pages(spark, sf_dir))
-    staged = fx.run(spark, sf_dir, "SELECT 'tpch' AS source_slug, concat(CAST(r_regionkey AS STRING), '.png') AS ref FROM {region}")
+    staged = fx.run(spark, sf_dir, "SELECT concat('n', CAST(n_nationkey AS STRING)) AS source_slug, concat(CAST(n_regionkey AS STRING), '.png') AS ref FROM {nation}")
     return V.referenced_assets(text, staged)
 
 
@@ -464,45 +467,45 @@ SELECT o.path, outcome, CASE WHEN outcome = 'accepted' THEN replace(replace(text
 Q = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Q] = {
     "t01_toc_source": t01, "t02_degenerate": t02,
-    "t03_clamp_depth": lambda s, d: T.clamp_depth(toc(s, d), 2).select("ord", "level", "title"),
+    "t03_clamp_depth": lambda s, d: T.clamp_depth(toc(s, d), 2).select("source_slug", "ord", "level", "title"),
     "t04_levels": t04, "t05_numbering": section_rows("toc_number", "parent_number", "level"), "t06_padding": section_rows("toc_number"),
     "t07_sections": section_rows("display_title", "slug", "is_leaf"), "t08_page_ranges": section_rows("start_page", "end_page"), "t09_tree": t09,
-    "t10_preamble": lambda s, d: T.preambles(sections(s, d)).select("toc_number", "first_page", "last_page"),
+    "t10_preamble": lambda s, d: T.preambles(sections(s, d)).select("source_slug", "toc_number", "first_page", "last_page"),
     "t11_heading_toc": t11, "t12_toc_pages": t12, "t14_indent_levels": t14, "t15_prefix_levels": t15, "t16_page_offset": t16, "t17_printed_toc": t17,
-    "s06_page_entries": lambda s, d: T.page_entries(fx.run(s, d, fx.PAGES)).select("ord", "title", "start_page"),
+    "s06_page_entries": lambda s, d: T.page_entries(fx.run(s, d, fx.PAGES)).select("source_slug", "ord", "title", "start_page"),
     "s08_vault_scan": s08,
-    "r01_section_text": r01, "r02_shared_pages": lambda s, d: R.shared_pages(sections(s, d)).select("toc_number", "page", "owner"), "r03_section_assets": r03,
-    "r04_page_targets": lambda s, d: R.page_targets(sections(s, d), _paths(s, d)).select("page", "link_target"), "r05_note_headings": r05, "r06_linkify_index": r06,
-    "r07_note_paths": lambda s, d: _paths(s, d).select("toc_number", "note_path"),
-    "r08_prev_next": lambda s, d: R.neighbours(sections(s, d)).select("toc_number", "prev_number", "next_number"),
-    "r09_parent_links": lambda s, d: R.parent_links(sections(s, d), _paths(s, d), sources(s, d)).select("toc_number", "parent"),
-    "r10_contents": lambda s, d: R.contents(sections(s, d), _paths(s, d)).select(F.coalesce("parent_number", F.lit("")).alias("parent_number"), "contents"),
+    "r01_section_text": r01, "r02_shared_pages": lambda s, d: R.shared_pages(sections(s, d)).select("source_slug", "toc_number", "page", "owner"), "r03_section_assets": r03,
+    "r04_page_targets": lambda s, d: R.page_targets(sections(s, d), _paths(s, d)).select("source_slug", "page", "link_target"), "r05_note_headings": r05, "r06_linkify_index": r06,
+    "r07_note_paths": lambda s, d: _paths(s, d).select("source_slug", "toc_number", "note_path"),
+    "r08_prev_next": lambda s, d: R.neighbours(sections(s, d)).select("source_slug", "toc_number", "prev_number", "next_number"),
+    "r09_parent_links": lambda s, d: R.parent_links(sections(s, d), _paths(s, d), sources(s, d)).select("source_slug", "toc_number", "parent"),
+    "r10_contents": lambda s, d: R.contents(sections(s, d), _paths(s, d)).select("source_slug", F.coalesce("parent_number", F.lit("")).alias("parent_number"), "contents"),
     "r13_build_notes": r13, "r15_parse_notes": r15, "r17_links": r17, "r18_managed_region": r18, "r19_enrich": r19, "r20_repair": r20,
     "k02_write_conflicts": k02, "k03_orphans": k03, "k04_record": k04, "k06_assets": k06, "k07_library_index": k07, "k09_clean_notes": k09, "k10_picture_text": k10,
     **{f"v0{i + 1}_{name}": gate(name) for i, name in enumerate(V.GATES)},
     "v09_verify": v09,
 }
 ORACLES: dict[str, str] = {
-    "t01_toc_source": T01_SQL, "t02_degenerate": T02_SQL, "t03_clamp_depth": f"SELECT ord, level, title FROM ({fx.duck(fx.TOC)}) t WHERE level <= 2",
-    "t04_levels": f"{CTE} SELECT ord, CAST(eff AS INT) AS eff FROM e", "t05_numbering": _section_sql("toc_number", "parent_number", "level"), "t06_padding": _section_sql("toc_number"),
+    "t01_toc_source": T01_SQL, "t02_degenerate": T02_SQL, "t03_clamp_depth": f"SELECT source_slug, ord, level, title FROM ({fx.duck(fx.TOC)}) t WHERE level <= 2",
+    "t04_levels": f"{CTE} SELECT s AS source_slug, ord, CAST(eff AS INT) AS eff FROM e", "t05_numbering": _section_sql("toc_number", "parent_number", "level"), "t06_padding": _section_sql("toc_number"),
     "t07_sections": _section_sql("display_title", "slug", "is_leaf"), "t08_page_ranges": _section_sql("start_page", "end_page"),
-    "t09_tree": f"{CTE}, k AS (SELECT parent_number AS p, count(*) AS n FROM sec GROUP BY 1) SELECT toc_number, coalesce(k.n, 0) AS children, CASE WHEN is_leaf THEN CAST(row_number() OVER (PARTITION BY is_leaf ORDER BY ord) AS INT) ELSE 0 END AS leaf_place FROM sec LEFT JOIN k ON p = toc_number",
-    "t10_preamble": f"{CTE} SELECT toc_number, first_page, last_page FROM pre",
+    "t09_tree": f"{CTE}, k AS (SELECT s, parent_number AS p, count(*) AS n FROM sec GROUP BY ALL) SELECT sec.s AS source_slug, toc_number, coalesce(k.n, 0) AS children, CASE WHEN is_leaf THEN CAST(row_number() OVER (PARTITION BY sec.s, is_leaf ORDER BY ord) AS INT) ELSE 0 END AS leaf_place FROM sec LEFT JOIN k ON k.s = sec.s AND p = toc_number",
+    "t10_preamble": f"{CTE} SELECT s AS source_slug, toc_number, first_page, last_page FROM pre",
     "t11_heading_toc": T11_SQL, "t12_toc_pages": T12_SQL, "t14_indent_levels": T14_SQL, "t15_prefix_levels": T15_SQL, "t16_page_offset": T16_SQL, "t17_printed_toc": T17_SQL,
-    "s06_page_entries": f"{CTE} SELECT CAST(p - 1 AS INT) AS ord, 'Page ' || p AS title, CAST(p AS INT) AS start_page FROM (SELECT unnest(range(1, n + 1)) AS p FROM pc) x",
+    "s06_page_entries": f"{CTE} SELECT s AS source_slug, CAST(p - 1 AS INT) AS ord, 'Page ' || p AS title, CAST(p AS INT) AS start_page FROM (SELECT s, unnest(range(1, n + 1)) AS p FROM pc) x",
     "s08_vault_scan": f"SELECT path FROM ({fx.duck(VAULT)}) x WHERE path NOT LIKE '.%'",
-    "r01_section_text": f"{CTE} SELECT ord, markdown FROM txt",
-    "r02_shared_pages": f"{CTE} SELECT DISTINCT toc_number, page, owner FROM (SELECT *, first_value(toc_number) OVER (PARTITION BY page ORDER BY ord) AS owner FROM own) o WHERE owner <> toc_number",
-    "r03_section_assets": f"{CTE} SELECT own.ord, regexp_extract(text, '([0-9]+\\.png)', 1) AS ref, 'image' AS kind, count(*) AS n, CAST(sum(own.page) AS BIGINT) AS page_sum FROM own JOIN pg USING (page) GROUP BY ALL",
-    "r04_page_targets": f"{CTE}, {_TARGETS} SELECT page, link_target FROM tgt",
-    "r05_note_headings": f"SELECT CAST(page AS VARCHAR) AS link_target, 'customer' || (page - 1) AS key, 'Customer#' || (page - 1) AS heading FROM ({fx.duck(fx.PAGE_TEXT)}) p",
-    "r06_linkify_index": R06_SQL, "r07_note_paths": f"{CTE} SELECT toc_number, link_target || '.md' AS note_path FROM pth",
-    "r08_prev_next": f"{CTE} SELECT toc_number, lag(toc_number) OVER (ORDER BY ord) AS prev_number, lead(toc_number) OVER (ORDER BY ord) AS next_number FROM sec WHERE is_leaf",
-    "r09_parent_links": f"{CTE} SELECT s.toc_number, coalesce('[[' || pth.link_target || '|' || p.display_title || ']]', '[[tpch/tpch|All \"Customers\"]]') AS parent FROM sec s LEFT JOIN sec p ON p.toc_number = s.parent_number LEFT JOIN pth ON pth.ord = p.ord",
-    "r10_contents": f"{CTE} SELECT coalesce(parent_number, '') AS parent_number, string_agg('- [[' || link_target || '|' || display_title || ']]', chr(10) ORDER BY ord) AS contents FROM sec JOIN pth USING (ord) GROUP BY 1",
+    "r01_section_text": f"{CTE} SELECT s AS source_slug, ord, markdown FROM txt",
+    "r02_shared_pages": f"{CTE} SELECT DISTINCT s AS source_slug, toc_number, page, owner FROM (SELECT *, first_value(toc_number) OVER (PARTITION BY s, page ORDER BY ord) AS owner FROM own) o WHERE owner <> toc_number",
+    "r03_section_assets": f"{CTE} SELECT own.s AS source_slug, own.ord, regexp_extract(text, '([0-9]+\\.png)', 1) AS ref, 'image' AS kind, count(*) AS n, CAST(sum(own.page) AS BIGINT) AS page_sum FROM own JOIN pg ON pg.s = own.s AND pg.page = own.page GROUP BY ALL",
+    "r04_page_targets": f"{CTE}, {_TARGETS} SELECT s AS source_slug, page, link_target FROM tgt",
+    "r05_note_headings": "SELECT 'n' || doc_id % 25 AS source_slug, CAST(doc_id // 25 + 1 AS VARCHAR) AS link_target, 'customer' || doc_id AS key, 'Customer#' || doc_id AS heading FROM documents",
+    "r06_linkify_index": R06_SQL, "r07_note_paths": f"{CTE} SELECT s AS source_slug, toc_number, link_target || '.md' AS note_path FROM pth",
+    "r08_prev_next": f"{CTE} SELECT s AS source_slug, toc_number, lag(toc_number) OVER (PARTITION BY s ORDER BY ord) AS prev_number, lead(toc_number) OVER (PARTITION BY s ORDER BY ord) AS next_number FROM sec WHERE is_leaf",
+    "r09_parent_links": f"{CTE} SELECT s.s AS source_slug, s.toc_number, coalesce('[[' || pth.link_target || '|' || p.display_title || ']]', '[[' || s.s || '/' || s.s || '|All \"' || s.s || '\"]]') AS parent FROM sec s LEFT JOIN sec p ON p.s = s.s AND p.toc_number = s.parent_number LEFT JOIN pth ON pth.s = p.s AND pth.ord = p.ord",
+    "r10_contents": f"{CTE} SELECT sec.s AS source_slug, coalesce(parent_number, '') AS parent_number, string_agg('- [[' || link_target || '|' || display_title || ']]', chr(10) ORDER BY sec.ord) AS contents FROM sec JOIN pth ON pth.s = sec.s AND pth.ord = sec.ord GROUP BY 1, 2",
     "r13_build_notes": R13_SQL, "r15_parse_notes": R15_SQL, "r17_links": R17_SQL, "r18_managed_region": R18_SQL, "r19_enrich": R19_SQL, "r20_repair": R20_SQL,
     "k02_write_conflicts": K02_SQL, "k03_orphans": K03_SQL, "k04_record": K04_SQL,
-    "k06_assets": f"{CTE} SELECT DISTINCT 'tpch' AS source_slug, regexp_extract(text, '([0-4]\\.png)', 1) AS ref FROM own JOIN pg USING (page) WHERE regexp_matches(text, '/[0-4]\\.png')",
+    "k06_assets": f"{CTE} SELECT DISTINCT own.s AS source_slug, regexp_extract(text, '([0-9]\\.png)', 1) AS ref FROM own JOIN pg ON pg.s = own.s AND pg.page = own.page JOIN nation ON 'n' || n_nationkey = own.s WHERE regexp_extract(text, '([0-9])\\.png', 1) = CAST(n_regionkey AS VARCHAR)",
     "k07_library_index": K07_SQL, "k09_clean_notes": K09_SQL,
     "k10_picture_text": "SELECT CAST(c_custkey AS VARCHAR) AS path, 'Map of ' || c_name AS residue FROM customer WHERE c_custkey % 4 = 1",
     **{f"v0{i + 1}_{name}": gate_sql(name) for i, name in enumerate(V.GATES)},
