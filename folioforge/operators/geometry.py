@@ -96,11 +96,12 @@ def dominant_size(frags: DataFrame) -> DataFrame:
 _LETTER = r"\A[*_]{0,2}([A-Z])[*_]{0,2}\z"
 
 
-def rebuild_index(frags: DataFrame, title: str = "Index", tolerance: float = 0.6, room: int = 5) -> DataFrame:
+def rebuild_index(frags: DataFrame, titles: DataFrame | None = None, tolerance: float = 0.6, room: int = 5) -> DataFrame:
     """Printed index pages as Markdown: ``(source_slug, markdown)`` for documents with two columns or more.
 
     Body-sized fragments and single-letter heads within the columns are read column by column; a row's text keeps bold
-    runs and loses leaders; a letter met first becomes a heading, other rows list items; the title's rows go.
+    runs and loses leaders; a letter met first becomes a heading, other rows list items; the rows of the title go, which is
+    that of ``titles(source_slug, title)`` or ``Index``.
     """
     filled = frags.where(X.strip(F.col("text")) != "")
     template = column_template(column_bands(filled))
@@ -113,7 +114,10 @@ def rebuild_index(frags: DataFrame, title: str = "Index", tolerance: float = 0.6
     shown = F.when(F.col("bold"), F.concat(F.lit("**"), X.strip(F.col("text")), F.lit("**"))).otherwise(F.col("text"))
     parts = F.transform(F.sort_array(F.collect_list(F.struct("x0", "frag_ord", shown.alias("w")))), lambda f: f["w"])
     rows = row_numbers(columns).groupBy("source_slug", "page", "row").agg(X.strip_leaders(F.array_join(parts, " ")).alias("t"))
-    rows = rows.where((F.col("t") != "") & (F.lower("t") != title.strip().lower()) & (F.upper("t") != "INDEX"))
+    if titles is not None:
+        rows = rows.join(titles.select("source_slug", F.lower(X.strip(F.col("title"))).alias("own")), "source_slug", "left")
+        rows = rows.where(F.lower("t") != F.coalesce("own", F.lit(""))).drop("own")
+    rows = rows.where((F.col("t") != "") & (F.upper("t") != "INDEX"))
     letter = F.regexp_extract("t", _LETTER, 1)
     first = F.row_number().over(W.partitionBy("source_slug", letter).orderBy("page", "row")) == 1
     line = F.when(letter == "", F.concat(F.lit("- "), F.col("t"), F.lit("\n"))).when(first, F.concat(F.lit("\n### "), letter, F.lit("\n\n")))

@@ -115,13 +115,13 @@ TOC_TITLE = (
 def locate_toc_pages(pages: DataFrame, title_pattern: str = TOC_TITLE, reach: int = 19, pinned: int | None = None) -> DataFrame:
     """Pages of the printed table of contents: ``(source_slug, page)``.
 
-    The first page with a line, or a heading, that matches the title (or the pinned one), and the pages behind it as long as
+    The first page with a line, or a heading, whose beginning matches the title in either case (or the pinned one), and the pages behind it as long as
     each has a run of four or more leader dots, ``reach`` at most.
     """
     text = F.coalesce("text", F.lit(""))
     bare = F.transform(F.split(text, "\n", -1), lambda x: X.strip(F.regexp_replace(X.strip(x), r"(?U)\A#{1,6}\s+", "")))
     own = W.partitionBy("source_slug")
-    titled = F.exists(bare, lambda x: (x != "") & x.rlike(title_pattern))
+    titled = F.exists(bare, lambda x: (x != "") & x.rlike(rf"(?i)\A(?:{title_pattern})"))
     first = F.min(F.when(F.col("titled"), F.col("page"))).over(own) if pinned is None else F.greatest(F.lit(1), F.least(F.lit(pinned), F.max("page").over(own)))
     flags = pages.select("source_slug", "page", titled.alias("titled"), text.rlike(r"[.·…]{4,}").alias("leaders")).withColumn("first", first)
     after = flags.where(f"page >= first AND page <= first + {reach}")
@@ -168,6 +168,14 @@ def page_offset(rows: DataFrame, headings: DataFrame, sample: int = 20) -> DataF
     return ranked.where("r = 1").select("source_slug", F.col("page_offset").cast("int").alias("page_offset"), F.col("votes").cast("int").alias("votes"), F.col("winners").cast("int").alias("winners"))
 
 
+def offset_warnings(rows: DataFrame, offsets: DataFrame) -> DataFrame:
+    """``(source_slug, warning)`` of documents with printed entries: no vote at all, or too few for the offset that won."""
+    asked = rows.where("page IS NOT NULL").select("source_slug").distinct().join(offsets, "source_slug", "left")
+    poor = F.col("winners") < F.greatest(F.lit(2), F.floor(F.col("votes") / 2))
+    said = F.concat(F.lit("printed contents: the page offset differs across "), F.col("votes"), F.lit(" samples; "), F.col("page_offset"), F.lit(" is taken, which "), F.col("winners"), F.lit(" of them have"))
+    none = F.lit("printed contents: no title is found among the headings; page offset 0 is taken")
+    return asked.select("source_slug", F.when(F.col("votes").isNull(), none).when(poor, said).alias("warning")).where("warning IS NOT NULL")
+
 
 _PIPE, _LEADING, _CHAPTER = re.compile(r"(\d+)\s*\|\s*(.*)"), re.compile(r"(\d+)\s+([^\d|].+)"), re.compile(r"Chapter\s+\d+", re.I)
 _TRAILING = re.compile(r"\s+(\*{0,2})(\d+)\1\s*$")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -75,28 +75,33 @@ def sectionize(pages: DataFrame, entries: DataFrame, page_counts: DataFrame, opt
     return tree.join(sections.section_text(tree, pages), ["source_slug", "ord"], "left").withColumn("kind", F.lit("text"))
 
 
-def printed_outline(pages: DataFrame, fragments: DataFrame, page_counts: DataFrame, options: Mapping[str, object] = {}, pinned: int | None = None) -> DataFrame:
-    """Outline out of printed tables of contents: their pages, rows, entries, page offset, levels."""
+def printed_outline(pages: DataFrame, fragments: DataFrame, page_counts: DataFrame, options: Mapping[str, object] = {}, pinned: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Outline out of printed tables of contents (their pages, rows, entries, page offset, levels), and ``(source_slug, warning)``."""
     cfg = DEFAULTS | dict(options)
-    at = toc.locate_toc_pages(pages, str(cfg["toc_title_pattern"]), pinned=pinned)
+    at = checkpoint(toc.locate_toc_pages(pages, str(cfg["toc_title_pattern"]), pinned=pinned))
     on = geometry.row_numbers(fragments.where(X.strip(F.col("text")) != "").join(at, ["source_slug", "page"]))
     parts = F.sort_array(F.collect_list(F.struct("x0", "frag_ord", "text")))
     rows = on.groupBy("source_slug", F.col("page").alias("page_no"), F.col("row").alias("row_no")).agg(parts.alias("f"))
     rows = rows.select("source_slug", "page_no", "row_no", X.strip_leaders(F.array_join("f.text", " ")).alias("text"), F.element_at("f.x0", 1).alias("x0"), F.element_at("f.x0", -1).alias("x1"))
     title = F.regexp_replace(F.col("text"), r"\A#{1,6}\s+", "")
-    entries = checkpoint(toc.parse_printed_rows(rows.where(~title.rlike(str(cfg["toc_title_pattern"])))))
+    entries = checkpoint(toc.parse_printed_rows(rows.where(~title.rlike(rf"(?i)\A(?:{cfg['toc_title_pattern']})"))))
     headings = pages.join(at, ["source_slug", "page"], "left_anti").select("source_slug", "page", F.explode(toc.heading_titles(F.coalesce("text", F.lit("")))).alias("title"))
-    return toc.printed_toc(entries, toc.page_offset(entries, headings), page_counts, str(cfg["toc_hierarchy_mode"]))
+    offsets = checkpoint(toc.page_offset(entries, headings))
+    outline = checkpoint(toc.printed_toc(entries, offsets, page_counts, str(cfg["toc_hierarchy_mode"])))
+    where = at.groupBy("source_slug").agg(F.array_join(F.sort_array(F.collect_list("page")), ", ").alias("at"))
+    read = outline.groupBy("source_slug").agg(F.count(F.lit(1)).alias("n")).join(where, "source_slug")
+    inferred = F.concat(F.lit("no embedded outline: "), F.col("n"), F.lit(" entries are read from printed contents on page "), F.col("at"), F.lit(", inferred, to be verified"))
+    return outline, read.select("source_slug", inferred.alias("warning")).unionByName(toc.offset_warnings(entries, offsets).join(read, "source_slug", "left_semi"))
 
 
 def reconstruct_indexes(tree: DataFrame, fragments: DataFrame, pattern: str) -> DataFrame:
-    """``(source_slug, ord, markdown)`` of the leaves whose title matches; null where their pages have no index layout."""
+    """``(source_slug, ord, markdown)`` of the leaves whose title's beginning matches; null where their pages have no index layout."""
     plain = X.strip(F.regexp_replace("title", r"[\x00-\x1f]+", ""))
-    found = tree.where(F.col("is_leaf") & plain.rlike(f"(?i){pattern}")).select("source_slug", "ord", "start_page", "end_page")
+    found = tree.where(F.col("is_leaf") & plain.rlike(rf"(?i)\A(?:{pattern})")).select("source_slug", "ord", "start_page", "end_page", plain.alias("title"))
     key = F.concat_ws("#", F.col("ord").cast("string"), "source_slug")
     on = found.select("source_slug", "ord", F.explode(F.sequence("start_page", "end_page")).alias("page"))
     frags = fragments.join(on, ["source_slug", "page"]).withColumn("source_slug", key).drop("ord")
-    rebuilt = geometry.rebuild_index(frags).select(F.col("source_slug").alias("key"), "markdown")
+    rebuilt = geometry.rebuild_index(frags, found.select(key.alias("source_slug"), "title")).select(F.col("source_slug").alias("key"), "markdown")
     return found.withColumn("key", key).join(rebuilt, "key", "left").select("source_slug", "ord", "markdown")
 
 
@@ -118,28 +123,38 @@ TOC_SOURCES = ("embedded", "toc-page", "headings", "pages")
 
 def extract(
     pages: DataFrame, page_counts: DataFrame, embedded: DataFrame | None = None, fragments: DataFrame | None = None, options: Mapping[str, object] = {},
-    fallback: str | None = None, ignore_toc: bool = False, toc_page: int | None = None, heading_maps: DataFrame | None = None,
+    fallback: str | None = None, ignore_toc: bool = False, toc_page: int | None = None, heading_maps: DataFrame | None = None, warned: Sequence[str] = (),
 ) -> Extraction:
     """Pages of many documents into sections.
 
     The embedded outline is used wherever there is one, unless ``ignore_toc``; other documents get that of ``fallback``
-    (``toc``, ``headings`` or ``pages``). Rejected are documents with table drift, with too little text, and without an
-    outline. ``reconstruct_index`` rebuilds index sections out of ``fragments``.
+    (``toc``, ``headings`` or ``pages``), with a warning that it was inferred. Rejected are documents with table drift, with too little
+    text, without an outline, and all that share a slug, whose pages can't be told apart (``documents.distinct_slugs`` parts
+    them). ``reconstruct_index`` rebuilds index sections out of ``fragments``. ``warned`` are warnings of the page parser (see
+    ``documents.passthrough``), given to each document.
     """
     cfg = DEFAULTS | dict(options)
-    counts = page_counts.select("source_slug", "page_count")
+    each = checkpoint(page_counts.groupBy("source_slug").agg(F.max("page_count").alias("page_count"), F.count(F.lit(1)).alias("n")))
+    counts, twice = each.where("n = 1").select("source_slug", "page_count"), each.where("n > 1").select("source_slug")
+    pages = pages.join(twice, "source_slug", "left_anti")
     done = normalize_pages(pages, options, counts, heading_maps)
     text = checkpoint(done.pages)
     shape = ["source_slug", F.col("ord").cast("int").alias("ord"), F.col("level").cast("int").alias("level"), "title", F.col("start_page").cast("int").alias("start_page")]
-    candidates = []
+    candidates, bare, inferred = [], text, None
     if embedded is not None and not ignore_toc:
+        embedded = embedded.join(counts.select("source_slug"), "source_slug", "left_semi")
         candidates.append((0, embedded.withColumn("title", X.clean_inline(F.col("title")))))
+        bare = text.join(embedded.select("source_slug").distinct(), "source_slug", "left_anti")
     if fallback == "toc":
         if fragments is None:
             raise ValueError("the fallback to a printed table of contents needs fragments")
-        candidates.append((1, printed_outline(text, fragments, counts, options, toc_page)))
+        printed, inferred = printed_outline(bare, fragments, counts, options, toc_page)
+        candidates.append((1, printed))
     elif fallback == "headings":
-        candidates.append((2, toc.toc_from_headings(text)))
+        found = checkpoint(toc.toc_from_headings(bare))
+        candidates.append((2, found))
+        said = F.concat(F.lit("no embedded outline: the structure is inferred from "), F.count(F.lit(1)), F.lit(" headings, to be verified"))
+        inferred = found.groupBy("source_slug").agg(said.alias("warning"))
     elif fallback == "pages":
         candidates.append((3, toc.page_entries(counts)))
     entries = reduce(DataFrame.unionByName, [t.select(*shape, F.lit(p).alias("priority")) for p, t in candidates]) if candidates else pages.sparkSession.createDataFrame([], "source_slug string, ord int, level int, title string, start_page int, priority int")
@@ -149,11 +164,16 @@ def extract(
     reason = lambda rows, why: rows.select("source_slug", F.lit(why).alias("reason"))
     drifted = done.drift.select(F.regexp_replace("key", r"#[0-9]*\z", "").alias("source_slug")).distinct()
     rejected = reason(counts.join(outlines, "source_slug", "left_anti"), "no outline").unionByName(reason(drifted, "table data changed"))
+    rejected = rejected.unionByName(reason(twice, "several documents have this slug"))
     rejected = checkpoint(rejected.unionByName(reason(scanned_documents(pages, outlines, int(cfg["min_text_chars"])), "too little text")))
     tree = sectionize(text, chosen.join(rejected, "source_slug", "left_anti").drop("priority"), counts, options)
     shared = sections.shared_pages(tree).select("source_slug", F.concat(F.lit("page "), F.col("page"), F.lit(" is shared by sections "), F.col("owner"), F.lit(" and "), F.col("toc_number")).alias("warning"))
-    bare = toc.looks_degenerate(chosen.where("priority = 0")).where("degenerate").select("source_slug", F.lit("the embedded outline looks degenerate").alias("warning"))
-    warnings = shared.unionByName(bare)
+    poor = toc.looks_degenerate(chosen.where("priority = 0")).where("degenerate").select("source_slug", F.lit("the embedded outline looks degenerate").alias("warning"))
+    warnings = shared.unionByName(poor)
+    if inferred is not None:
+        warnings = warnings.unionByName(inferred.join(outlines, "source_slug", "left_semi"))
+    if warned:
+        warnings = warnings.unionByName(outlines.select("source_slug", F.explode(F.array(*[F.lit(w) for w in warned])).alias("warning")))
     if cfg["reconstruct_index"] and cfg["tier"] != "structural":
         if fragments is None:
             raise ValueError("rebuilding indexes needs fragments")
@@ -168,3 +188,27 @@ def extract(
         warnings = warnings.unionByName(poor.select("source_slug", F.concat(F.lit("section "), F.col("ord"), F.lit(" has no index layout")).alias("warning")))
         warnings = warnings.unionByName(none.select("source_slug", F.lit("no leaf's title matches the index title").alias("warning")))
     return Extraction(tree, text, outlines, warnings.distinct(), rejected)
+
+
+def manifests(done: Extraction, documents: DataFrame, options: Mapping[str, object] = {}, tooling: Mapping[str, str] = {}, staging: str | None = None) -> DataFrame:
+    """One manifest for each extracted document, in the shape of ``documents.MANIFEST``.
+
+    ``documents`` are those of ``documents.read_documents``; ``tooling`` names what the pages were parsed with. Sections stand in
+    order, warnings once and sorted. A document without warnings or sections has empty lists.
+    """
+    cfg = DEFAULTS | dict(options)
+    value = lambda v: F.array(*[F.lit(x) for x in v]).cast("array<string>") if isinstance(v, tuple | list) else F.lit(v)
+    source = F.struct(
+        F.col("path").alias("file_path"), "file_name", "title", "author", "source_slug", F.col("page_count").cast("int").alias("page_count"), "sha256",
+        F.current_date().alias("extracted_at"), F.lit(staging).cast("string").alias("assets_staging_dir"),
+    )
+    own = documents.join(done.rejected.select("source_slug"), "source_slug", "left_anti").select("source_slug", source.alias("source"))
+    columns = [c for c in done.sections.columns if c not in ("source_slug", "ord")]
+    listed = done.sections.groupBy("source_slug").agg(F.sort_array(F.collect_list(F.struct("ord", F.struct(*columns).alias("s")))).alias("a"))
+    said = done.warnings.groupBy("source_slug").agg(F.sort_array(F.collect_set("warning")).alias("warnings"))
+    rows = own.join(done.outlines, "source_slug").join(listed, "source_slug", "left").join(said, "source_slug", "left")
+    return rows.select(
+        "source_slug", F.lit(1).alias("schema_version"), "source", F.struct(*[F.lit(v).alias(k) for k, v in tooling.items()] or [F.lit(None).cast("string").alias("parser")]).alias("tooling"),
+        F.struct(*[value(v).alias(k) for k, v in cfg.items()]).alias("config"), F.lit(True).alias("toc_present"), "toc_source",
+        F.col("a.s").alias("sections"), F.coalesce("warnings", F.array().cast("array<string>")).alias("warnings"),
+    )

@@ -12,6 +12,7 @@ from ..functions import text as X
 from ..operators import sections as R
 from ..operators import toc as T
 from ..operators import vault as V
+from . import extract
 from . import fixtures as fx
 from .lineage import checkpoint
 
@@ -255,6 +256,18 @@ def r13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return notes(spark, sf_dir).select("path", "text")
 
 
+def u01(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Warnings of a whole extraction: outlines of every second nation are embedded and share pages, the others are inferred from headings."""
+    embedded = toc(spark, sf_dir).where("CAST(substring(source_slug, 2) AS INT) % 2 = 0")
+    return extract.extract(pages(spark, sf_dir), fx.run(spark, sf_dir, fx.PAGES), embedded, fallback="headings").warnings.select("source_slug", "warning")
+
+
+U01_SQL = f"""{CTE}
+SELECT DISTINCT s AS source_slug, 'page ' || page || ' is shared by sections ' || owner || ' and ' || toc_number AS warning
+FROM (SELECT *, first_value(toc_number) OVER (PARTITION BY s, page ORDER BY ord) AS owner FROM own) o WHERE owner <> toc_number AND CAST(substr(s, 2) AS INT) % 2 = 0
+UNION ALL SELECT s, 'no embedded outline: the structure is inferred from ' || count(*) || ' headings, to be verified' FROM pg WHERE CAST(substr(s, 2) AS INT) % 2 = 1 GROUP BY s
+"""
+
 _Q = "replace(replace({0}, chr(92), chr(92) || chr(92)), '\"', chr(92) || '\"')"
 R13_SQL = f"""{CTE}, {_TARGETS},
 lk AS (SELECT sec.s, sec.ord, sec.toc_number, '[[' || link_target || '|' || display_title || ']]' AS l FROM sec JOIN pth ON pth.s = sec.s AND pth.ord = sec.ord),
@@ -480,7 +493,7 @@ QUERIES: dict[str, Q] = {
     "r08_prev_next": lambda s, d: R.neighbours(sections(s, d)).select("source_slug", "toc_number", "prev_number", "next_number"),
     "r09_parent_links": lambda s, d: R.parent_links(sections(s, d), _paths(s, d), sources(s, d)).select("source_slug", "toc_number", "parent"),
     "r10_contents": lambda s, d: R.contents(sections(s, d), _paths(s, d)).select("source_slug", F.coalesce("parent_number", F.lit("")).alias("parent_number"), "contents"),
-    "r13_build_notes": r13, "r15_parse_notes": r15, "r17_links": r17, "r18_managed_region": r18, "r19_enrich": r19, "r20_repair": r20,
+    "u01_extract_warnings": u01, "r13_build_notes": r13, "r15_parse_notes": r15, "r17_links": r17, "r18_managed_region": r18, "r19_enrich": r19, "r20_repair": r20,
     "k02_write_conflicts": k02, "k03_orphans": k03, "k04_record": k04, "k06_assets": k06, "k07_library_index": k07, "k09_clean_notes": k09, "k10_picture_text": k10,
     **{f"v0{i + 1}_{name}": gate(name) for i, name in enumerate(V.GATES)},
     "v09_verify": v09,
@@ -503,7 +516,7 @@ ORACLES: dict[str, str] = {
     "r08_prev_next": f"{CTE} SELECT s AS source_slug, toc_number, lag(toc_number) OVER (PARTITION BY s ORDER BY ord) AS prev_number, lead(toc_number) OVER (PARTITION BY s ORDER BY ord) AS next_number FROM sec WHERE is_leaf",
     "r09_parent_links": f"{CTE} SELECT s.s AS source_slug, s.toc_number, coalesce('[[' || pth.link_target || '|' || p.display_title || ']]', '[[' || s.s || '/' || s.s || '|All \"' || s.s || '\"]]') AS parent FROM sec s LEFT JOIN sec p ON p.s = s.s AND p.toc_number = s.parent_number LEFT JOIN pth ON pth.s = p.s AND pth.ord = p.ord",
     "r10_contents": f"{CTE} SELECT sec.s AS source_slug, coalesce(parent_number, '') AS parent_number, string_agg('- [[' || link_target || '|' || display_title || ']]', chr(10) ORDER BY sec.ord) AS contents FROM sec JOIN pth ON pth.s = sec.s AND pth.ord = sec.ord GROUP BY 1, 2",
-    "r13_build_notes": R13_SQL, "r15_parse_notes": R15_SQL, "r17_links": R17_SQL, "r18_managed_region": R18_SQL, "r19_enrich": R19_SQL, "r20_repair": R20_SQL,
+    "u01_extract_warnings": U01_SQL, "r13_build_notes": R13_SQL, "r15_parse_notes": R15_SQL, "r17_links": R17_SQL, "r18_managed_region": R18_SQL, "r19_enrich": R19_SQL, "r20_repair": R20_SQL,
     "k02_write_conflicts": K02_SQL, "k03_orphans": K03_SQL, "k04_record": K04_SQL,
     "k06_assets": f"{CTE} SELECT DISTINCT own.s AS source_slug, regexp_extract(text, '([0-9]\\.png)', 1) AS ref FROM own JOIN pg ON pg.s = own.s AND pg.page = own.page JOIN nation ON 'n' || n_nationkey = own.s WHERE regexp_extract(text, '([0-9])\\.png', 1) = CAST(n_regionkey AS VARCHAR)",
     "k07_library_index": K07_SQL, "k09_clean_notes": K09_SQL,

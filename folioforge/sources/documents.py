@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text as X
 
+#: ``tooling`` and ``config`` are JSON texts, whatever keys a manifest has.
 MANIFEST = (
     "schema_version int, source struct<file_path:string,file_name:string,title:string,author:string,source_slug:string,page_count:int,sha256:string,"
-    "extracted_at:date,assets_staging_dir:string>, toc_source string, sections array<struct<toc_number:string,parent_number:string,level:int,title:string,"
+    "extracted_at:date,assets_staging_dir:string>, tooling string, config string, toc_present boolean, toc_source string, sections array<struct<toc_number:string,parent_number:string,level:int,title:string,"
     "display_title:string,slug:string,is_leaf:boolean,start_page:int,end_page:int,markdown:string,assets:array<struct<ref:string,page:int,kind:string>>,"
     "kind:string>>, warnings array<string>"
 )
@@ -122,12 +124,20 @@ def manifest_sections(manifests: DataFrame) -> DataFrame:
     return each.withColumns(cleaned)
 
 
-def write_manifests(sources: DataFrame, sections: DataFrame, path: str) -> None:
-    """One JSON line per document, in a folder of its own, out of the source struct and its sections by ``ord``."""
-    columns = [c for c in sections.columns if c not in ("source_slug", "ord")]
-    rows = sections.groupBy("source_slug").agg(F.sort_array(F.collect_list(F.struct("ord", F.struct(*columns).alias("s")))).alias("a"))
-    body = sources.join(rows, "source_slug").withColumn("sections", F.col("a.s")).drop("a")
-    body.write.mode("overwrite").partitionBy("source_slug").json(path)
+def write_manifests(manifests: DataFrame, path: str) -> None:
+    """One JSON line per document (see ``plans.extract.manifests``), in a folder of its own; those of other documents stay."""
+    manifests.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source_slug").json(path)
+
+
+def distinct_slugs(documents: DataFrame) -> DataFrame:
+    """``documents(path, source_slug, ...)`` with slugs of their own: of equal ones all but the first by path get a part of their path's hash.
+
+    Only paths and slugs are shuffled; the few that change come back by a join on the path.
+    """
+    nth = F.row_number().over(W.partitionBy("source_slug").orderBy("path"))
+    own = F.concat_ws("-", "source_slug", F.substring(F.sha2("path", 256), 1, 8))
+    changed = documents.select("path", "source_slug").withColumn("n", nth).where("n > 1").select("path", own.alias("__slug"))
+    return documents.join(changed, "path", "left").withColumn("source_slug", F.coalesce("__slug", "source_slug")).drop("__slug").select(documents.columns)
 
 
 def read_patterns(spark: SparkSession, path: str) -> list[str]:

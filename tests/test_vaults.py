@@ -150,9 +150,91 @@ def test_options_and_manifests(spark, tmp_path):
     (tmp_path / "m/one.json").write_text(json.dumps(one, indent=2))
     rows = documents.manifest_sections(documents.read_manifests(spark, str(tmp_path / "m"))).orderBy("ord").collect()
     assert [(r.source_slug, r.ord, r.title, r.markdown) for r in rows] == [("s", 0, "a", "x\ny"), ("s", 1, "b", None)]
-    sections = documents.manifest_sections(documents.read_manifests(spark, str(tmp_path / "m"))).select("source_slug", "ord", "title")
-    documents.write_manifests(sections.select("source_slug").distinct(), sections, str(tmp_path / "out"))
-    assert spark.read.json(str(tmp_path / "out")).selectExpr("size(sections) n").head().n == 2
+
+
+def test_manifests_of_an_extraction_come_back(spark, inbox, tmp_path):
+    done, _ = run_extract(spark, inbox)
+    docs = checkpoint(documents.read_documents(spark, inbox, parser()))
+    made = checkpoint(extract.manifests(done, docs, {"split_depth": 3}, {"parser": "1.2"}, "/staging"))
+    documents.write_manifests(made, str(tmp_path / "m"))
+    documents.write_manifests(made.where("source_slug = 'no-title'"), str(tmp_path / "m"))
+    back = {r.source.source_slug: r for r in documents.read_manifests(spark, str(tmp_path / "m")).collect()}
+    assert set(back) == {"rule-book", "no-title", "contents-book"}
+    book, plain = back["rule-book"], back["no-title"]
+    assert (book.schema_version, book.toc_present, book.toc_source, book.source.title, book.source.author, book.source.page_count) == (1, True, "embedded", "Rule Book", "A.", 4)
+    assert json.loads(book.tooling) == {"parser": "1.2"} and json.loads(book.config)["split_depth"] == 3 and json.loads(book.config)["toc_hierarchy_mode"] == "auto"
+    assert book.source.file_path.endswith("rules.doc") and len(book.source.sha256) == 64 and book.source.assets_staging_dir == "/staging"
+    assert [s.toc_number for s in book.sections] == ["01", "01.01", "01.01.01", "02"] and book.sections[3].kind == "index"
+    assert sorted(plain.warnings) == plain.warnings and any("inferred from 2 headings" in w for w in plain.warnings)
+    sections = {(r.source_slug, r.ord): r for r in documents.manifest_sections(documents.read_manifests(spark, str(tmp_path / "m"))).collect()}
+    assert sections["rule-book", 1].markdown == book.sections[1].markdown and sections["no-title", 0].title == "One"
+
+
+LONG = "plain words of a page that is long enough to be no scan " * 4
+
+
+def pages_of(spark, **docs):
+    rows = [(s, i + 1, t) for s, pages in docs.items() for i, t in enumerate(pages)]
+    counts = [(s, len(pages)) for s, pages in docs.items()]
+    return spark.createDataFrame(rows, "source_slug string, page int, text string"), spark.createDataFrame(counts, "source_slug string, page_count int")
+
+
+def test_documents_of_one_slug_do_not_mix(spark):
+    pages, counts = pages_of(spark, a=[f"# A\n{LONG}", f"# B\n{LONG}"], b=[f"# C\n{LONG}"])
+    done = extract.extract(pages.unionByName(pages.where("source_slug = 'a'")), counts.unionByName(counts.where("source_slug = 'a'")), fallback="headings")
+    assert [tuple(r) for r in done.rejected.collect()] == [("a", "several documents have this slug")]
+    assert {r.source_slug for r in done.sections.collect()} == {"b"}
+    docs = spark.createDataFrame([("/x/2", "a", 1), ("/x/1", "a", 2), ("/x/3", "b", 3)], "path string, source_slug string, page_count int")
+    found = {r.path: r.source_slug for r in documents.distinct_slugs(docs).collect()}
+    assert found["/x/1"] == "a" and found["/x/3"] == "b" and found["/x/2"].startswith("a-") and len(found["/x/2"]) == 10
+
+
+def index_fragments(spark, slug, page, title):
+    rows = [(slug, page, -1, title, 10.0, 90.0, 0.0, 10.0, False)]
+    rows += [(slug, page, i, f"Term{i} word word word .... {1 + i % 3}", 10.0 + 300 * (i % 2), 200.0 + 300 * (i % 2), 20.0 * (i // 2 + 1), 10.0, False) for i in range(12)]
+    return spark.createDataFrame(rows, "source_slug string, page int, frag_ord int, text string, x0 double, x1 double, y double, size double, bold boolean")
+
+
+def test_index_titles_and_anchored_patterns(spark):
+    """The title's row is no entry, whatever it says; a pattern is held against the beginning of a title."""
+    pages, counts = pages_of(spark, s=[LONG, LONG, LONG])
+    toc_rows = [("s", 0, 1, "Start", 1), ("s", 1, 1, "Reregister of guns", 2), ("s", 2, 1, "Register", 3)]
+    embedded = spark.createDataFrame(toc_rows, "source_slug string, ord int, level int, title string, start_page int")
+    options = {"reconstruct_index": True, "index_title_pattern": "register"}
+    done = extract.extract(pages, counts, embedded, index_fragments(spark, "s", 3, "REGISTER"), options, warned=("option 'x' is not supported",))
+    rows = {r.title: r for r in done.sections.collect()}
+    assert rows["Reregister of guns"].kind == "text" and rows["Register"].kind == "index"
+    assert "- Term0 word word word 1" in rows["Register"].markdown and "- REGISTER" not in rows["Register"].markdown
+    assert {r.warning for r in done.warnings.collect()} == {"option 'x' is not supported"}
+
+
+def test_printed_contents_say_what_they_are(spark):
+    def rows(slug, lines):
+        return [(slug, 1, i, t, 10.0, 100.0, 30.0 * i, 10.0, False) for i, t in enumerate(lines)]
+
+    names = "source_slug string, page int, frag_ord int, text string, x0 double, x1 double, y double, size double, bold boolean"
+    far = [f"# T{i}\n{LONG}" for i in range(6)]
+    docs = {"good": ["Contents", *far], "none": ["Contents", *[LONG] * 3], "split": ["Contents of it", *far]}
+    frags = rows("good", ["Contents", *[f"T{i} ..... {i}" for i in range(1, 6)]]) + rows("none", ["Contents", "Alpha .... 1"]) + rows("split", [f"T{i} ..... {i * i + 1}" for i in range(1, 6)])
+    pages, counts = pages_of(spark, **docs)
+    done = extract.extract(pages, counts, None, spark.createDataFrame(frags, names), {"toc_title_pattern": "contents"}, fallback="toc")
+    said = {}
+    for r in done.warnings.collect():
+        said.setdefault(r.source_slug, []).append(r.warning)
+    of = lambda slug, text: [w for w in said[slug] if text in w]
+    assert of("good", "5 entries are read from printed contents on page 1") and not of("good", "offset")
+    assert of("none", "no title is found among the headings") and of("split", "the page offset differs across 5 samples")
+
+
+def test_structural_tier_keeps_texts_as_they_are(spark):
+    page = f"# C A P S\n12\n![x](img/a.png)\n\n\n\n{TABLE}{LONG}\u0007"
+    pages, _ = pages_of(spark, s=[page, None])
+    done = extract.normalize_pages(pages, {"tier": "structural", "merge_wrapped_table_rows": True})
+    texts = {r.page: r.text for r in done.pages.collect()}
+    assert "ASSET" in texts[1] and TABLE in texts[1] and "# C A P S\n12\n" in texts[1] and "\u0007" not in texts[1]
+    assert texts[2] == "" and done.drift.count() == 0
+    clean = {r.page: r.text for r in extract.normalize_pages(pages, {"merge_wrapped_table_rows": True}).pages.collect()}
+    assert clean[1].startswith("# CAPS\n![") and "Knock, Sharp|" in clean[1]
 
 
 def test_outlines_of_any_depth(spark):
