@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import text as X
@@ -25,10 +25,13 @@ DEFAULTS: dict[str, object] = {
 
 @dataclass(frozen=True)
 class Extracted:
-    """Normalised pages, and the table drift of the structural rules, which must be empty."""
+    """Normalised ``pages``, the table ``drift`` of the structural rules, which must be empty, ``chars(source_slug, chars)`` of the raw
+    texts, and what was ``observed`` while the pages were written: ``pages``, ``chars``, ``drifted``."""
 
     pages: DataFrame
     drift: DataFrame
+    chars: DataFrame
+    observed: Mapping[str, int]
 
 
 def normalize_pages(pages: DataFrame, options: Mapping[str, object] = {}, page_counts: DataFrame | None = None, heading_maps: DataFrame | None = None) -> Extracted:
@@ -36,36 +39,44 @@ def normalize_pages(pages: DataFrame, options: Mapping[str, object] = {}, page_c
 
     Order: control characters, image sentinels, furniture, heading words, stat profiles, equipment, then the table rules between
     two snapshots that the guard compares. The ``structural`` tier stops after the image sentinels. Rules that are off are not
-    in the plan.
+    in the plan. Texts, the guard's findings and the numbers of characters are written by one job, which also observes their
+    sums: the findings are read again only where there are some.
     """
     cfg = DEFAULTS | dict(options)
     text = F.col("text")
-    out = pages.withColumn("text", X.image_sentinels(X.clean_block(F.coalesce(text, F.lit("")))))
-    none = out.limit(0).select(F.lit("").alias("key"), F.lit(0).alias("table_no"), F.lit("").alias("token"), F.lit(0).alias("delta"))
-    if cfg["tier"] == "structural":
-        return Extracted(out, none)
-    count = F.lit(None).cast("int")
-    if page_counts is not None:
-        out, count = out.join(page_counts.select("source_slug", F.col("page_count").alias("__n")), "source_slug", "left"), F.col("__n")
-    out = out.withColumn("text", lines.normalize_body(text, list(cfg["boilerplate_patterns"]), bool(cfg["strip_page_numbers"]), count)).drop("__n")
-    if cfg["fix_heading_spaces"] and heading_maps is not None:
-        spaced = F.when(F.col("mapping").isNull(), text).otherwise(lines.spaced_headings(text, F.col("mapping")))
-        out = out.join(heading_maps, "source_slug", "left").withColumn("text", spaced).drop("mapping")
-    if cfg["reformat_stat_blocks"]:
-        out = out.withColumn("text", lines.tabulate_profiles(text))
-    if cfg["reformat_equipment_lists"]:
-        out = out.withColumn("text", lines.tabulate_equipment(text))
-    chosen = [
-        (tables.promote_header, "promote_header_below_separator"), (tables.promote_label_row, ""), (tables.collapse_headers, "collapse_table_headers"),
-        (tables.split_fused, "split_am_traits"), (tables.merge_wrapped_rows, "merge_wrapped_table_rows"), (tables.merge_wrapped_names, "merge_wrapped_name_rows"),
-    ]
-    rules = [rule for rule, option in chosen if not option or cfg[option]]
-    done = checkpoint(tables.repair_tables(out.withColumn("before", text), "text", rules))
-    drift = none
-    if cfg["guard_table_data"]:
-        pairs = done.select(F.concat_ws("#", "source_slug", F.col("page").cast("string")).alias("key"), "before", F.col("text").alias("after"))
-        drift = guards.data_drift(pairs, "key")
-    return Extracted(done.drop("before"), drift)
+    out = pages.withColumn("__chars", F.length(F.coalesce(text, F.lit("")))).withColumn("text", X.image_sentinels(X.clean_block(F.coalesce(text, F.lit("")))))
+    findings = F.array().cast(guards._NONE)
+    if cfg["tier"] != "structural":
+        count = F.lit(None).cast("int")
+        if page_counts is not None:
+            out, count = out.join(page_counts.select("source_slug", F.col("page_count").alias("__n")), "source_slug", "left"), F.col("__n")
+        out = out.withColumn("text", lines.normalize_body(text, list(cfg["boilerplate_patterns"]), bool(cfg["strip_page_numbers"]), count)).drop("__n")
+        if cfg["fix_heading_spaces"] and heading_maps is not None:
+            spaced = F.when(F.col("mapping").isNull(), text).otherwise(lines.spaced_headings(text, F.col("mapping")))
+            out = out.join(heading_maps, "source_slug", "left").withColumn("text", spaced).drop("mapping")
+        if cfg["reformat_stat_blocks"]:
+            out = out.withColumn("text", lines.tabulate_profiles(text))
+        if cfg["reformat_equipment_lists"]:
+            out = out.withColumn("text", lines.tabulate_equipment(text))
+        chosen = [
+            (tables.promote_header, "promote_header_below_separator"), (tables.promote_label_row, ""), (tables.collapse_headers, "collapse_table_headers"),
+            (tables.split_fused, "split_am_traits"), (tables.merge_wrapped_rows, "merge_wrapped_table_rows"), (tables.merge_wrapped_names, "merge_wrapped_name_rows"),
+        ]
+        rules = [rule for rule, option in chosen if not option or cfg[option]]
+        out = tables.repair_tables(out.withColumn("__before", text), "text", rules)
+        if cfg["guard_table_data"]:
+            findings = guards.table_findings(F.col("__before"), text, order=False)
+    seen = Observation()
+    whole = out.withColumn("__found", findings).drop("__before")
+    sums = [F.count(F.lit(1)).alias("pages"), F.sum("__chars").alias("chars"), F.sum(F.size("__found")).alias("drifted")]
+    done = checkpoint(whole.observe(seen, *sums))
+    observed = {k: v or 0 for k, v in seen.get.items()}
+    keyed = done.select("source_slug", "page", F.explode_outer("__found").alias("t")).where("t IS NOT NULL")
+    drift = keyed.select(F.concat_ws("#", "source_slug", F.col("page").cast("string")).alias("key"), "t.table_no", "t.token", "t.delta")
+    if not observed["drifted"]:
+        drift = done.sparkSession.createDataFrame([], drift.schema)
+    chars = done.groupBy("source_slug").agg(F.sum("__chars").alias("chars"))
+    return Extracted(done.drop("__chars", "__found"), drift, chars, observed)
 
 
 def sectionize(pages: DataFrame, entries: DataFrame, page_counts: DataFrame, options: Mapping[str, object] = {}) -> DataFrame:
@@ -165,7 +176,7 @@ def extract(
     drifted = done.drift.select(F.regexp_replace("key", r"#[0-9]*\z", "").alias("source_slug")).distinct()
     rejected = reason(counts.join(outlines, "source_slug", "left_anti"), "no outline").unionByName(reason(drifted, "table data changed"))
     rejected = rejected.unionByName(reason(twice, "several documents have this slug"))
-    rejected = checkpoint(rejected.unionByName(reason(scanned_documents(pages, outlines, int(cfg["min_text_chars"])), "too little text")))
+    rejected = checkpoint(rejected.unionByName(reason(scanned_documents(done.chars, outlines, int(cfg["min_text_chars"])), "too little text")))
     tree = sectionize(text, chosen.join(rejected, "source_slug", "left_anti").drop("priority"), counts, options)
     shared = sections.shared_pages(tree).select("source_slug", F.concat(F.lit("page "), F.col("page"), F.lit(" is shared by sections "), F.col("owner"), F.lit(" and "), F.col("toc_number")).alias("warning"))
     poor = toc.looks_degenerate(chosen.where("priority = 0")).where("degenerate").select("source_slug", F.lit("the embedded outline looks degenerate").alias("warning"))

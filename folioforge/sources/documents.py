@@ -47,32 +47,63 @@ DOCUMENT = (
 )
 
 
-def read_documents(spark: SparkSession, path: str, parse) -> DataFrame:
-    """Binary documents by a plug-in, one row each in the shape of :data:`DOCUMENT` and their ``source_slug``.
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """``(path, length, modified)`` of the files below a folder; their contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.select("path", "length", F.col("modificationTime").alias("modified"))
+
+
+def parse_files(files: DataFrame, parse) -> DataFrame:
+    """Files by a plug-in, one row each in the shape of :data:`DOCUMENT`, without slugs.
 
-    ``parse(path, content)`` gives a dictionary with ``title``, ``author``, ``toc`` (tuples of level, title, page), ``pages`` (texts)
-    and ``fragments`` (tuples in the order of the field), each of which may lack. The title is the cleaned one of the
-    document, else its file's name without the ending.
+    ``files`` holds ``path`` and either ``sha256`` and ``content``, or ``known``: then executors open each file themselves, and one whose content
+    hash is the known one comes back without being parsed (null ``pages``). ``parse(path, content)`` gives a dictionary with
+    ``title``, ``author``, ``toc`` (tuples of level, title, page), ``pages`` (texts) and ``fragments`` (tuples in the order of the field), each of
+    which may lack.
     """
-    from ..functions import unicode as U
 
     def run(frames):
+        from hashlib import sha256
+
         import pandas as pd
 
+        from .vault_files import _store
+
         fields = [f.split()[0] for f in ("path", "file_name", "sha256", "title", "author", "page_count", "toc", "pages", "fragments")]
         for frame in frames:
             rows = []
             for f in frame.itertuples():
-                d = parse(f.path, f.content)
+                if hasattr(f, "content"):
+                    sha, content = f.sha256, f.content
+                else:
+                    store, at = _store(f.path)
+                    with store.open_input_stream(at) as data:
+                        content = data.read()
+                    sha = sha256(content).hexdigest()
+                    if sha == f.known:
+                        rows.append((f.path, f.path.rpartition("/")[2], sha, *[None] * 6))
+                        continue
+                d = parse(f.path, content)
                 pages = list(d.get("pages", ()))
                 toc = [dict(zip(("level", "title", "start_page"), e)) for e in d.get("toc", ())]
                 frags = [dict(zip(("page", "text", "x0", "x1", "y0", "y1", "size", "flags"), e)) for e in d.get("fragments", ())]
-                rows.append((f.path, f.path.rpartition("/")[2], f.sha256, d.get("title"), (d.get("author") or "").strip(), len(pages), toc, pages, frags))
-            yield pd.DataFrame(rows, columns=fields)
+                rows.append((f.path, f.path.rpartition("/")[2], sha, d.get("title"), (d.get("author") or "").strip(), len(pages), toc, pages, frags))
+            yield pd.DataFrame(rows, columns=fields, dtype=object)
+
+    return files.mapInPandas(run, DOCUMENT)
+
+
+def with_slugs(documents: DataFrame) -> DataFrame:
+    """Parsed files with their title, the cleaned one of the document or else its file's name without the ending, and ``source_slug``."""
+    from ..functions import unicode as U
 
-    found = read_binary(spark, path).select("path", "sha256", "content").mapInPandas(run, DOCUMENT)
     own, stem = X.clean_inline(F.coalesce("title", F.lit(""))), F.regexp_replace("file_name", r"\.[^.]*\z", "")
-    return found.withColumn("title", F.when(own != "", own).otherwise(stem)).withColumn("source_slug", U.slugify(F.col("title")))
+    return documents.withColumn("title", F.when(own != "", own).otherwise(stem)).withColumn("source_slug", U.slugify(F.col("title")))
+
+
+def read_documents(spark: SparkSession, path: str, parse) -> DataFrame:
+    """Binary documents by a plug-in (see :func:`parse_files`), one row each in the shape of :data:`DOCUMENT` and their ``source_slug``."""
+    return with_slugs(parse_files(read_binary(spark, path).select("path", "sha256", "content"), parse))
 
 
 def document_pages(documents: DataFrame) -> DataFrame:
@@ -129,14 +160,19 @@ def write_manifests(manifests: DataFrame, path: str) -> None:
     manifests.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source_slug").json(path)
 
 
-def distinct_slugs(documents: DataFrame) -> DataFrame:
+def distinct_slugs(documents: DataFrame, taken: DataFrame | None = None) -> DataFrame:
     """``documents(path, source_slug, ...)`` with slugs of their own: of equal ones all but the first by path get a part of their path's hash.
 
+    A slug that ``taken(path, source_slug)`` holds stays with its path, so documents that are there already keep their names.
     Only paths and slugs are shuffled; the few that change come back by a join on the path.
     """
-    nth = F.row_number().over(W.partitionBy("source_slug").orderBy("path"))
     own = F.concat_ws("-", "source_slug", F.substring(F.sha2("path", 256), 1, 8))
-    changed = documents.select("path", "source_slug").withColumn("n", nth).where("n > 1").select("path", own.alias("__slug"))
+    asked = documents.select("path", "source_slug", F.lit(1).alias("late"))
+    if taken is not None:
+        held = taken.join(asked.select("path"), "path", "left_anti").select("path", "source_slug", F.lit(0).alias("late"))
+        asked = asked.unionByName(held)
+    nth = F.row_number().over(W.partitionBy("source_slug").orderBy("late", "path"))
+    changed = asked.withColumn("n", nth).where("n > 1 AND late = 1").select("path", own.alias("__slug"))
     return documents.join(changed, "path", "left").withColumn("source_slug", F.coalesce("__slug", "source_slug")).drop("__slug").select(documents.columns)
 
 
@@ -161,8 +197,12 @@ def with_config(sources: DataFrame, overrides: DataFrame, config: Mapping[str, o
 
 
 def scanned_documents(pages: DataFrame, toc_sources: DataFrame, least: int = 200) -> DataFrame:
-    """Documents with too little text before any rule ran: ``(source_slug, chars)``; those sliced by page don't count."""
-    chars = pages.groupBy("source_slug").agg(F.sum(F.length(F.coalesce("text", F.lit("")))).alias("chars"))
+    """Documents with too little text before any rule ran: ``(source_slug, chars)``; those sliced by page don't count.
+
+    ``pages`` holds ``text``, or ``chars`` that were counted before.
+    """
+    n = F.col("chars") if "chars" in pages.columns else F.length(F.coalesce("text", F.lit("")))
+    chars = pages.groupBy("source_slug").agg(F.sum(n).alias("chars"))
     return chars.join(toc_sources.where("toc_source <> 'pages'").select("source_slug"), "source_slug", "left_semi").where(F.col("chars") < least)
 
 

@@ -94,6 +94,24 @@ def remove_files(spark: SparkSession, paths: DataFrame, vault: str) -> DataFrame
     return _each(paths.select("path"), act)
 
 
+def remove_folders(spark: SparkSession, paths: DataFrame, top_folder: str) -> None:
+    """Remove the folders ``paths(path)`` below a folder with all that is in them, by the executors."""
+    if not exists(spark, top_folder):
+        return
+    root = address(spark, top_folder)
+
+    def act(frame: pd.DataFrame) -> list[str]:
+        from pyarrow import fs
+
+        store, top = _store(root)
+        for path in frame["path"]:
+            if store.get_file_info(f"{top}/{path}").type == fs.FileType.Directory:
+                store.delete_dir(f"{top}/{path}")
+        return list(frame["path"])
+
+    _each(paths.select("path"), act).write.format("noop").mode("overwrite").save()
+
+
 def folders_above(paths: DataFrame) -> DataFrame:
     """``(folder, depth)``: all folders that ``paths(path)`` stand in, each once."""
     parts = F.split("path", "/", -1)
