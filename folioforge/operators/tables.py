@@ -10,6 +10,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import text as X
 from .lines import is_code, is_table, join_segments, lines_of, segments
@@ -25,6 +26,36 @@ def map_blocks(text: Column, rule: Callable[[Column], Column]) -> Column:
     return F.when(F.contains(text, F.lit("|")), join_segments(F.transform(segments(text), one))).otherwise(text)
 
 
+def map_blocks_with(rows: DataFrame, key: str, text: str, rule: Callable[[list[str]], list[str]]) -> DataFrame:
+    """``(<key>, <text>)`` of ``rows`` with a Python ``rule`` applied to the lines of every table block outside fences.
+
+    The rule gets a block's lines and gives those that replace it. Texts are cut into segments by the same expression as for
+    all other rules; a table function takes each text's segments in order, partitioned by its key, so only texts with a block
+    go to Python, segment by segment. Keys must be unique; null texts stay null.
+    """
+    cut = rows.select(key, F.col(text).alias("__text"), F.contains(text, F.lit("|")).alias("__may"))
+    parts = cut.where("__may").select(F.col(key).alias("k"), F.posexplode(segments(F.col("__text"))).alias("n", "segment")).withColumn("block", is_table(F.col("segment")))
+
+    class Rule:
+        def __init__(self) -> None:
+            self.key, self.parts = None, []
+
+        def eval(self, row) -> None:
+            self.key = row["k"]
+            if row["block"]:
+                self.parts += [line + "\n" for line in rule(row["segment"].removesuffix("\n").split("\n"))]
+            else:
+                self.parts.append(row["segment"])
+
+        def terminate(self):
+            if self.parts:
+                yield self.key, "".join(self.parts).removesuffix("\n")
+
+    shape = StructType([StructField(key, rows.schema[key].dataType), StructField(text, StringType())])
+    mapped = F.udtf(Rule, returnType=shape)(parts.asTable().partitionBy("k").orderBy("n"))
+    return mapped.unionByName(cut.where("__may IS NULL OR NOT __may").select(key, F.col("__text").alias(text)))
+
+
 def cells_of(block: Column) -> Column:
     return F.transform(block, X.split_cells)
 

@@ -15,6 +15,7 @@ from ..functions import text as X
 from . import guards, tables
 from . import sections as S
 from .lines import is_code, is_hash_line, lines_of, normalize_body, segments
+from .patterns import first_match
 
 INDEX = "index.md"
 #: The default mark of generated notes; pass the mark of an existing vault where it has another.
@@ -193,9 +194,9 @@ def check_tables(notes: DataFrame) -> DataFrame:
 
 
 def check_boilerplate(notes: DataFrame, patterns: Sequence[str]) -> DataFrame:
-    """Notes in which a pattern is left: the first of the list that is found. Patterns are literals of the plan."""
-    hit = F.coalesce(*[F.when(F.col("text").rlike(p), F.lit(p)) for p in patterns], F.lit(None).cast("string"))
-    return _failure(notes.withColumn("hit", hit).where("hit IS NOT NULL"), "boilerplate", F.concat(F.lit("survived: "), F.col("hit")))
+    """Notes in which a pattern is left: the first of the list that is found. Any number of patterns (see ``patterns.first_match``)."""
+    found = first_match(notes.select("path", "text"), "text", patterns)
+    return _failure(found.where("hit IS NOT NULL"), "boilerplate", F.concat(F.lit("survived: "), F.col("hit")))
 
 
 def check_headings(notes: DataFrame) -> DataFrame:

@@ -269,6 +269,13 @@ SELECT k, rule, CASE rule WHEN 'b07' THEN wrapped WHEN 'b08' THEN named ELSE tru
 FROM k, (VALUES ('b02'), ('b05'), ('b06'), ('b07'), ('b08')) v(rule)
 """
 
+def u09(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables of all orders with their rows sorted backwards by a Python callable."""
+    return tables.map_blocks_with(_both(_B_TABLE, spark, sf_dir), "k", "text", lambda rows: rows[:2] + sorted(rows[2:], reverse=True))
+
+
+U09_SQL = fx.duck_agg(fx.duck(_B_TABLE)).replace("ORDER BY rn)", "ORDER BY line DESC)")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "e01_boilerplate_by_lang": common_lines,
     "n01_fences": n01,
@@ -285,6 +292,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "d07_index_drift": lambda spark, sf_dir: guards.index_drift(fx.run(spark, sf_dir, _INDEX), "k"),
     "d09_repair_check": d09,
     "d10_extraction_guard": d10,
+    "u09_map_blocks": u09,
 }
 
 ORACLES: dict[str, str] = {
@@ -303,4 +311,5 @@ ORACLES: dict[str, str] = {
     "d07_index_drift": D07_SQL,
     "d09_repair_check": D09_SQL,
     "d10_extraction_guard": D10_SQL,
+    "u09_map_blocks": U09_SQL,
 }
