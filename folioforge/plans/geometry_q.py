@@ -15,14 +15,14 @@ from . import fixtures as fx
 
 c = F.col
 
-#: An index in two columns of 250 rows a page with a title and a letter head, and a last page with one column.
+#: Three indexes in two columns with a title and a letter head each, and a last page with one column.
 FRAGMENTS = """
-SELECT 'idx' AS source_slug, page, frag_ord, text, x0, x0 + 5 * length(text) AS x1, y, size, bold FROM (
-  SELECT CAST(floor(p_partkey / 500) AS INT) + 1 AS page, CAST(p_partkey AS INT) AS frag_ord, concat(p_name, ' ........ ', CAST(p_size AS STRING)) AS text, CASE WHEN p_partkey % 2 = 0 THEN CAST(10 AS DOUBLE) ELSE CAST(200 AS DOUBLE) END AS x0,
-    CAST(20 * row_number() OVER (PARTITION BY p_partkey % 2, floor(p_partkey / 500) ORDER BY p_partkey) AS DOUBLE) AS y, CAST(10 AS DOUBLE) AS size, p_partkey % 10 = 0 AS bold FROM {part}
-  UNION ALL SELECT 1000000, CAST(p_partkey AS INT), concat(p_name, ' .. 7'), CAST(10 AS DOUBLE), CAST(20 * p_partkey AS DOUBLE), CAST(10 AS DOUBLE), false FROM {part} WHERE p_partkey % 97 = 0
-  UNION ALL SELECT 1, -2, 'INDEX', CAST(10 AS DOUBLE), CAST(0 AS DOUBLE), CAST(30 AS DOUBLE), false FROM {region} WHERE r_regionkey = 0
-  UNION ALL SELECT 1, -1, 'A', CAST(10 AS DOUBLE), CAST(10 AS DOUBLE), CAST(16 AS DOUBLE), false FROM {region} WHERE r_regionkey = 0
+SELECT concat('idx', CAST(d AS STRING)) AS source_slug, page, frag_ord, text, x0, x0 + 5 * length(text) AS x1, y, size, bold FROM (
+  SELECT CAST(p_partkey % 3 AS INT) AS d, CAST(floor(p_partkey / 500) AS INT) + 1 AS page, CAST(p_partkey AS INT) AS frag_ord, concat(p_name, ' ........ ', CAST(p_size AS STRING)) AS text, CASE WHEN p_partkey % 2 = 0 THEN CAST(10 AS DOUBLE) ELSE CAST(200 AS DOUBLE) END AS x0,
+    CAST(20 * row_number() OVER (PARTITION BY p_partkey % 3, p_partkey % 2, floor(p_partkey / 500) ORDER BY p_partkey) AS DOUBLE) AS y, CAST(10 AS DOUBLE) AS size, p_partkey % 10 = 0 AS bold FROM {part}
+  UNION ALL SELECT CAST(p_partkey % 3 AS INT), 1000000, CAST(p_partkey AS INT), concat(p_name, ' .. 7'), CAST(10 AS DOUBLE), CAST(20 * p_partkey AS DOUBLE), CAST(10 AS DOUBLE), false FROM {part} WHERE p_partkey % 97 = 0
+  UNION ALL SELECT CAST(r_regionkey AS INT), 1, -2, 'INDEX', CAST(10 AS DOUBLE), CAST(0 AS DOUBLE), CAST(30 AS DOUBLE), false FROM {region} WHERE r_regionkey < 3
+  UNION ALL SELECT CAST(r_regionkey AS INT), 1, -1, 'A', CAST(10 AS DOUBLE), CAST(10 AS DOUBLE), CAST(16 AS DOUBLE), false FROM {region} WHERE r_regionkey < 3
 ) f
 """
 _F = fx.duck(FRAGMENTS)
@@ -35,7 +35,7 @@ def frags(spark: SparkSession, sf_dir: str) -> DataFrame:
 def g05(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = frags(spark, sf_dir)
     cuts = G.column_cuts(G.column_template(G.column_bands(f)))
-    return f.join(cuts, "source_slug").select("page", "frag_ord", G.column_of(c("x0"), c("cuts")).alias("col"))
+    return f.join(cuts, "source_slug").select("source_slug", "page", "frag_ord", G.column_of(c("x0"), c("cuts")).alias("col"))
 
 
 _LINE = "CASE WHEN bold THEN '**' ELSE '' END || regexp_replace(text, ' [.]+ ', ' ') || CASE WHEN bold THEN '**' ELSE '' END"
@@ -47,7 +47,7 @@ FROM ({_F}) f WHERE size = 10 GROUP BY source_slug
 
 def glyphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A segment name per customer, with a gap before the fourth letter; every fourth line is large."""
-    lines = fx.run(spark, sf_dir, "SELECT 'g' AS source_slug, 1 AS page, CAST(c_custkey AS INT) AS line_no, concat(c_mktsegment, ' ', 'XY') AS s, CASE WHEN c_custkey % 4 = 0 THEN CAST(30 AS DOUBLE) ELSE CAST(10 AS DOUBLE) END AS size FROM {customer}")
+    lines = fx.run(spark, sf_dir, "SELECT concat('g', CAST(c_nationkey % 5 AS STRING)) AS source_slug, 1 AS page, CAST(c_custkey AS INT) AS line_no, concat(c_mktsegment, ' ', 'XY') AS s, CASE WHEN c_custkey % 4 = 0 THEN CAST(30 AS DOUBLE) ELSE CAST(10 AS DOUBLE) END AS size FROM {customer}")
     each = lines.select("source_slug", "page", "line_no", "size", F.posexplode(F.split("s", "")).alias("pos", "c")).where("c <> ''")
     x0 = c("pos") * 10.0 + F.when(c("pos") >= 3, 6.0).otherwise(0.0)
     return each.withColumn("x0", x0).withColumn("x1", x0 + 9.5)
@@ -58,7 +58,7 @@ def n05(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def n06(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return G.heading_space_map(glyphs(spark, sf_dir)).select(F.explode("mapping").alias("glued", "spaced"))
+    return G.heading_space_map(glyphs(spark, sf_dir)).select("source_slug", F.explode("mapping").alias("glued", "spaced"))
 
 
 _BOX = "SELECT p_partkey AS k, CAST(p_size AS DOUBLE) AS x0, CAST(p_size + p_partkey % 3 AS DOUBLE) AS x1, p_partkey % 2 = 0 AS hits FROM {part}"
@@ -158,20 +158,20 @@ R14_SQL = """SELECT c_custkey AS k, '---' || chr(10) || 'title: "' || replace(re
   || 'toc_level: 2' || chr(10) || 'tags: [a, b]' || chr(10) || CASE WHEN c_custkey % 2 = 0 THEN 'summary: "' || c_mktsegment || '"' || chr(10) ELSE '' END || 'created: 2024-01-02' || chr(10) || '---' AS text FROM customer"""
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "g01_rows": lambda s, d: G.row_numbers(frags(s, d)).select("page", "frag_ord", "row"),
-    "g02_columns": lambda s, d: G.column_bands(frags(s, d)).select("page", "band", "lo", "hi"),
-    "g03_column_template": lambda s, d: G.column_template(G.column_bands(frags(s, d))).select("band", "lo", "hi"),
+    "g01_rows": lambda s, d: G.row_numbers(frags(s, d)).select("source_slug", "page", "frag_ord", "row"),
+    "g02_columns": lambda s, d: G.column_bands(frags(s, d)).select("source_slug", "page", "band", "lo", "hi"),
+    "g03_column_template": lambda s, d: G.column_template(G.column_bands(frags(s, d))).select("source_slug", "band", "lo", "hi"),
     "g04_dominant_size": lambda s, d: G.dominant_size(frags(s, d)), "g05_column_of": g05, "g06_index": lambda s, d: G.rebuild_index(frags(s, d)),
     "n05_glued_words": n05, "n06_heading_map": n06, "s04_zero_area": s04, "s05_fragments": s05, "s10_patterns": s10, "s13_scanned": s13, "s14_config": s14, "x22_vault_paths": x22,
     "k05_moved_vaults": k05, "k08_sort_specs": k08, "r14_frontmatter": r14, "u01_normalize_pages": u01,
 }
-_SPACED = "SELECT CAST(c_custkey AS INT) AS line_no, c_mktsegment AS glued, left(c_mktsegment, 3) || ' ' || substr(c_mktsegment, 4) AS spaced FROM customer"
+_SPACED = "SELECT CAST(c_custkey AS INT) AS line_no, c_mktsegment AS glued, left(c_mktsegment, 3) || ' ' || substr(c_mktsegment, 4) AS spaced, c_nationkey % 5 AS nation FROM customer"
 ORACLES: dict[str, str] = {
-    "g01_rows": f"SELECT page, frag_ord, CAST(dense_rank() OVER (PARTITION BY page ORDER BY y) - 1 AS INT) AS row FROM ({_F}) f",
-    "g02_columns": f"SELECT page, CAST(row_number() OVER (PARTITION BY page ORDER BY lo) - 1 AS INT) AS band, lo, hi FROM (SELECT page, CAST(min(x0) AS INT) AS lo, CAST(max(x1) AS INT) AS hi FROM ({_F}) f GROUP BY page, x0) b",
-    "g03_column_template": f"SELECT CAST(row_number() OVER (ORDER BY lo) - 1 AS INT) AS band, lo, hi FROM (SELECT CAST(min(x0) AS INT) AS lo, CAST(max(x1) AS INT) AS hi FROM ({_F}) f WHERE page = 1 GROUP BY x0) b",
-    "g04_dominant_size": "SELECT 'idx' AS source_slug, CAST(10 AS DOUBLE) AS size", "g05_column_of": f"SELECT page, frag_ord, CAST(x0 >= 100 AS INT) AS col FROM ({_F}) f", "g06_index": G06_SQL,
-    "n05_glued_words": _SPACED, "n06_heading_map": f"SELECT DISTINCT glued, spaced FROM ({_SPACED}) s WHERE line_no % 4 = 0",
+    "g01_rows": f"SELECT source_slug, page, frag_ord, CAST(dense_rank() OVER (PARTITION BY source_slug, page ORDER BY y) - 1 AS INT) AS row FROM ({_F}) f",
+    "g02_columns": f"SELECT source_slug, page, CAST(row_number() OVER (PARTITION BY source_slug, page ORDER BY lo) - 1 AS INT) AS band, lo, hi FROM (SELECT source_slug, page, CAST(min(x0) AS INT) AS lo, CAST(max(x1) AS INT) AS hi FROM ({_F}) f GROUP BY source_slug, page, x0) b",
+    "g03_column_template": f"SELECT source_slug, CAST(row_number() OVER (PARTITION BY source_slug ORDER BY lo) - 1 AS INT) AS band, lo, hi FROM (SELECT source_slug, CAST(min(x0) AS INT) AS lo, CAST(max(x1) AS INT) AS hi FROM ({_F}) f WHERE page = 1 GROUP BY source_slug, x0) b",
+    "g04_dominant_size": f"SELECT DISTINCT source_slug, CAST(10 AS DOUBLE) AS size FROM ({_F}) f", "g05_column_of": f"SELECT source_slug, page, frag_ord, CAST(x0 >= 100 AS INT) AS col FROM ({_F}) f", "g06_index": G06_SQL,
+    "n05_glued_words": f"SELECT line_no, glued, spaced FROM ({_SPACED}) s", "n06_heading_map": f"SELECT DISTINCT 'g' || nation AS source_slug, glued, spaced FROM ({_SPACED}) s WHERE line_no % 4 = 0",
     "s04_zero_area": f"SELECT k, CASE WHEN k % 3 = 0 THEN x0 BETWEEN 9 AND 31 ELSE hits END AS kept FROM ({fx.duck(_BOX)}) b",
     "s10_patterns": "SELECT c_name || '.*' AS p FROM customer WHERE c_custkey % 3 = 2",
     "s13_scanned": "SELECT CAST(doc_id AS VARCHAR) AS source_slug, length(text) AS chars FROM documents WHERE length(text) < 600 AND doc_id % 3 <> 0",
