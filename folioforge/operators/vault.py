@@ -159,20 +159,43 @@ def check_assets(notes: DataFrame, files: DataFrame) -> DataFrame:
     return _failure(seen.withColumn("w", wrong).where("w IS NOT NULL"), "assets", F.col("w"))
 
 
-def reachable(notes: DataFrame, checkpoint) -> DataFrame:
+def jumps(edges: DataFrame, n: int, checkpoint) -> DataFrame:
+    """``(path, to)``: for each node of ``edges(path, to)`` a node 1, 2, 4, ... links further along one way out of it.
+
+    The way follows the next neighbour in the order of paths, or the first one. Pointer doubling makes the table in
+    log2(n) joins, and it holds n log2(n) rows at most; every jump leads to a node that links reach.
+    """
+    ahead = F.coalesce(F.min(F.when(F.col("to") > F.col("path"), F.col("to"))), F.min("to"))
+    step = checkpoint(edges.where("path <> to").groupBy("path").agg(ahead.alias("to")))
+    every = step
+    for _ in range(max(n - 1, 1).bit_length() - 1):
+        step = checkpoint(step.join(step.select(F.col("path").alias("to"), F.col("to").alias("further")), "to").select("path", F.col("further").alias("to")).where("path <> to"))
+        if step.isEmpty():
+            break
+        every = every.unionByName(step)
+    return every
+
+
+def reachable(notes: DataFrame, checkpoint, patience: int = 2, counted: list | None = None) -> DataFrame:
     """``(path)`` of the notes that links reach from the index; a breadth-first frontier join until nothing is new.
 
-    ``checkpoint`` cuts lineage (see ``plans.lineage``). Rounds are as many as the deepest shortest path.
+    ``checkpoint`` cuts lineage (see ``plans.lineage``). After ``patience`` rounds with something new, :func:`jumps` join the links, so a long chain
+    takes as many rounds as its length has binary digits, not one for each note. ``counted`` gets the size of each round's frontier.
     """
     links = note_links(notes)
     to = F.when(X.is_index_target(F.col("target")), F.lit(INDEX)).otherwise(F.concat("target", F.lit(".md")))
-    edges = checkpoint(links.select("path", to.alias("to")).distinct().join(notes.select(F.col("path").alias("to")).distinct(), "to"))
+    edges = checkpoint(links.select("path", to.alias("to")).distinct().join(notes.select(F.col("path").alias("to")).distinct(), "to").select("path", "to"))
     frontier = checkpoint(notes.where(F.col("path") == INDEX).select("path").distinct())
-    seen = frontier
-    while not frontier.isEmpty():
+    seen, rounds = frontier, 0
+    while new := frontier.count():
+        if counted is not None:
+            counted.append(new)
+        if rounds == patience:
+            edges = checkpoint(edges.unionByName(jumps(edges, edges.select("path").distinct().count(), checkpoint)).distinct())
         # Each round writes its own notes only; what was seen is a union of the rounds' files.
         frontier = checkpoint(frontier.join(edges, "path").select(F.col("to").alias("path")).distinct().join(seen, "path", "left_anti"))
         seen = seen.unionByName(frontier)
+        rounds += 1
     return seen
 
 

@@ -105,3 +105,37 @@ def test_bucketed_documents_need_no_shuffle(spark):
     finally:
         spark.sql("DROP TABLE IF EXISTS folio_sections")
         spark.sql("DROP TABLE IF EXISTS folio_pages")
+
+
+def linked(spark, pairs):
+    """Notes with links between them; the index is node 0."""
+    name = lambda i: "index" if i == 0 else f"n/{i:06}"
+    of = {}
+    for a, b in pairs:
+        of.setdefault(a, []).append(b)
+        of.setdefault(b, [])
+    return spark.createDataFrame([(f"{name(a)}.md", " ".join(f"[[{name(b)}|x]]" for b in bs)) for a, bs in of.items()], "path string, text string")
+
+
+def test_a_chain_takes_few_rounds(spark):
+    """Ten thousand notes that link to the next and back, and one that nothing links to."""
+    n = 10_000
+    notes = linked(spark, [(i, i + 1) for i in range(n)] + [(i + 1, i) for i in range(n)] + [(n + 5, 3)])
+    rounds = []
+    found = checkpoint(vault.reachable(notes, checkpoint, counted=rounds))
+    assert found.count() == n + 1 == found.distinct().count() == sum(rounds) and len(rounds) <= 16
+    assert found.where(F.col("path") == f"n/{n + 5:06}.md").count() == 0
+
+
+def test_reachable_equals_search_on_random_links(spark):
+    rng = random.Random(8)
+    for size, links in ((30, 25), (60, 90), (40, 38)):
+        pairs = [(rng.randrange(size), rng.randrange(size)) for _ in range(links)] + [(0, 1), (1, 2), (2, 3), (3, 4), (4, 5), (5, 6), (6, 4)]
+        want, todo = {0}, [0]
+        while todo:
+            at = todo.pop()
+            for b in {b for a, b in pairs if a == at} - want:
+                want.add(b)
+                todo.append(b)
+        found = vault.reachable(linked(spark, pairs), checkpoint, patience=1).collect()
+        assert sorted(r.path for r in found) == sorted("index.md" if i == 0 else f"n/{i:06}.md" for i in want)
