@@ -91,7 +91,9 @@ def normalize_body(
         row = cut.rlike(r"(?U)\A\s*\|")
         emptied = excised & F.when(row, ~X.row_has_content(X.split_cells(cut))).otherwise(X.is_residue(cut))
         number = ~row & X.is_page_number(cut, page_count) if strip_page_numbers else F.lit(False)
-        return F.when(emptied | number, nothing).otherwise(F.array(cut))
+        # Most lines are no heading, no number and hold no furniture: one look at each, and none of the rules.
+        may = reduce(lambda c, p: c | line.rlike(p), patterns, line.rlike(r"(?U)\A\s*+(?:#|\*{0,2}\d{1,4}\*{0,2}\s*\z)"))
+        return F.when(~may, F.array(line)).when(emptied | number, nothing).otherwise(F.array(cut))
 
     return limit_blank_runs(map_lines(text, rule))
 
