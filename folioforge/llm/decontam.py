@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, rewrite_rows, texts_of
+from .common import checkpoint, map_batches, rewrite_rows, texts_of
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15 | 1)
 _FILTER_BITS = 22
@@ -324,17 +324,18 @@ class BenchmarkIndex:
             out[i].sort(key=lambda r: (r.item, r.window, r.start))
 
 
-def benchmark_slices(benchmark: DataFrame, max_chars: int) -> Iterator[list[tuple[int | None, str]]]:
-    """The different ``(item_id, text)`` of the benchmark, in slices of about ``max_chars`` characters.
+def benchmark_slices(benchmark: DataFrame, max_chars: int) -> Iterator[tuple[list[tuple[int | None, str]], bool]]:
+    """The different ``(item_id, text)`` of the benchmark in slices of about ``max_chars`` characters, and whether there are several.
 
-    A slice's index, about 50 bytes a character, is broadcast; a larger benchmark takes more passes over the documents.
+    A slice's index, about 50 bytes a character, is broadcast; a larger benchmark takes more passes over the documents. Of
+    several slices, each one's result is written and its index destroyed before the next is built.
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text")).distinct()
     total = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).head()[0]
     parts = max(1, -(-total // max_chars))
     place = F.pmod(F.xxhash64("item_id", "text"), F.lit(parts))
     for part in range(parts):
-        yield [(r["item_id"], r["text"]) for r in items.where(place == part).orderBy("item_id", "text").collect()]
+        yield [(r["item_id"], r["text"]) for r in items.where(place == part).orderBy("item_id", "text").collect()], parts > 1
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, max_chars: int = 2_000_000, **options) -> DataFrame:
@@ -348,7 +349,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, max_chars: int = 2
     schema = "doc_id long, item_id long, n_windows int, start int, end int, edits int"
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found: DataFrame | None = None
-    for items in benchmark_slices(benchmark, max_chars):
+    for items, several in benchmark_slices(benchmark, max_chars):
         ids = [i for i, _ in items]
         shared = docs.sparkSession.sparkContext.broadcast(BenchmarkIndex([t for _, t in items], **options))
 
@@ -357,21 +358,26 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, max_chars: int = 2
             doc_ids = batch.column(0).to_pylist()
             out: dict[str, list] = {c: [] for c in ("doc_id", "item_id", "n_windows", "start", "end", "edits")}
             for doc_id, regions in zip(doc_ids, index.find_in(texts_of(batch))):
-                for item in dict.fromkeys(r.item for r in regions):
-                    own = [r for r in regions if r.item == item]
+                by_item: dict[int, list[Region]] = {}
+                for r in regions:
+                    by_item.setdefault(r.item, []).append(r)
+                for item, own in by_item.items():
                     row = (doc_id, ids[item], len({r.window for r in own}), min(r.start for r in own), max(r.end for r in own), min(r.edits for r in own))
                     for c, x in zip(out, row):
                         out[c].append(x)
             yield out
 
         part = map_batches(rows, schema, run)
+        if several:
+            part = checkpoint(part)
+            shared.destroy()
         found = part if found is None else found.unionByName(part)
     return found
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, max_chars: int = 2_000_000, **options) -> DataFrame:
     """``docs`` without the rows that repeat a benchmark passage; columns stay as they are."""
-    for items in benchmark_slices(benchmark, max_chars):
+    for items, several in benchmark_slices(benchmark, max_chars):
         shared = docs.sparkSession.sparkContext.broadcast(BenchmarkIndex([t for _, t in items], **options))
 
         def run(batch: pa.RecordBatch, shared=shared) -> pa.RecordBatch:
@@ -379,4 +385,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, max_chars: int = 2_
             return batch.filter(pa.array([not r for r in index.find_in(texts_of(batch))], pa.bool_()))
 
         docs = rewrite_rows(docs, run)
+        if several:
+            docs = checkpoint(docs)
+            shared.destroy()
     return docs

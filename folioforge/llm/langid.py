@@ -125,7 +125,8 @@ def training_rows(docs: DataFrame, doc_id: str = "doc_id") -> DataFrame:
 
 
 def fit(docs: DataFrame, docs_per_lang: int = 1200, **options) -> LanguageModel:
-    """Learn from about ``docs_per_lang`` labelled documents of each language, chosen by a hash of the id.
+    """Learn from about ``docs_per_lang`` labelled documents of each language, chosen by a hash of id and
+    text, so that rows of one id are chosen apart.
 
     That is the only bound: all languages and all words of these documents are learned. Word counts are made on the
     cluster, and the sample's vocabulary reaches the driver.
@@ -133,7 +134,7 @@ def fit(docs: DataFrame, docs_per_lang: int = 1200, **options) -> LanguageModel:
     rows = training_rows(docs).select("doc_id", "lang", "text")
     sizes = rows.groupBy(F.col("lang").alias("__lang")).agg(F.count(F.lit(1)).alias("__n"))
     scale = 1 << 20
-    place = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(scale))
+    place = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), "text"), F.lit(scale))
     chosen = (F.col("lang") == F.col("__lang")) & (place * F.col("__n") < F.lit(docs_per_lang * scale))
     # One row for each language, as many as the model has columns.
     sample = rows.join(F.broadcast(sizes), chosen).select("lang", "text")

@@ -85,13 +85,13 @@ def labelled_samples(docs: DataFrame, max_docs: int = 4000, n_random: int = 4000
     """Labelled strings: random ones and ordinary identifiers with their counts.
 
     Ordinary identifiers are the letters-first strings of a bounded sample of documents (about ``max_docs``, chosen by a
-    hash of the id) outside the spans of known secrets, without those of the kind to be judged; a string that comes n
+    hash of the id and text) outside the spans of known secrets, without those of the kind to be judged; a string that comes n
     times weighs 1 + log2(n). Of more than ``max_tokens`` different strings the most frequent ones are samples. Random strings are the values of known secrets in that sample
     and ``n_random`` strings drawn uniformly from base-62, base-64, base-32 and hexadecimal signs, of 20 to 64 signs.
     """
     total = docs.count()
     share = min(1.0, max_docs / max(total, 1))
-    sample = docs.where(F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)) + 1))
+    sample = docs.where(F.pmod(F.xxhash64(F.col("doc_id").cast("string"), "text"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)) + 1))
 
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
         tokens, secret = [], []

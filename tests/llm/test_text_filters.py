@@ -462,3 +462,23 @@ def test_top_k_refuses_what_does_not_fit(spark):
     frame = spark.createDataFrame([(0, [1e9]), (1, [1e9])], "vec_id long, embedding array<double>")
     with pytest.raises(ValueError, match="too large"):
         topk.top_k(frame)
+
+
+def test_samples_take_rows_of_one_id_apart(spark):
+    """Rows without an id, more than the sample holds: some are learned from, not all or none."""
+    own = lambda i: "wort" + "".join(chr(97 + int(c)) for c in str(i))
+    rows = [(None, f"kato mira {own(i)} solun", "aa") for i in range(400)] + [(None, f"le petit {own(i + 1000)} vert", "bb") for i in range(400)]
+    model = langid.fit(docs(spark, rows), docs_per_lang=60, min_count=1)
+    assert model.langs == ["aa", "bb"] and model.predict("kato mira solun")[0] == "aa" and model.predict("petit vert")[0] == "bb"
+    assert 20 < sum(own(i) in model.words for i in range(400)) < 140
+
+
+def test_benchmarks_in_slices_equal_one(spark):
+    """Items over several slices: the same rows, each slice's index gone before the next."""
+    items = [(i, " ".join(f"{w}{i}" for w in ("kato", "mira", "velon", "tarik", "basta", "nidorupa", "gelon"))) for i in range(12)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = docs(spark, [(i, f"before {t} after" if i % 2 else f"clean words {i}", "aa") for i, t in items])
+    one = sorted(map(tuple, decontam.find_contamination(rows, bench).collect()))
+    many = sorted(map(tuple, decontam.find_contamination(rows, bench, max_chars=150).collect()))
+    assert one == many and {r[0] for r in one} == {i for i, _ in items if i % 2}
+    assert {r.doc_id for r in decontam.drop_contaminated(rows, bench, max_chars=150).collect()} == {i for i, _ in items if i % 2 == 0}
