@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed values throughout: control characters that are cut out, the length of blank runs, and the digits of a page number.
 #: White space but the line feed, as a character class.
 BLANK = r"[\s&&[^\n]]"
 

@@ -93,6 +93,7 @@ def dominant_size(frags: DataFrame) -> DataFrame:
     return n.withColumn("r", r).where("r = 1").select("source_slug", "size")
 
 
+# Fixed value: a letter head of a printed index, with or without emphasis.
 _LETTER = r"\A[*_]{0,2}([A-Z])[*_]{0,2}\z"
 
 

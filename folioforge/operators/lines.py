@@ -157,6 +157,7 @@ def spaced_headings(text: Column, mapping: Column) -> Column:
     return map_lines(text, rule, fenced=True)
 
 
+# How a cost is written in an equipment list, and the signs that stand between items.
 _COST = r"(?<![A-Za-z\d])\+?\d+\s*credits"
 _COST_END = r"(?i)(?<![A-Za-z\d])(\+?\d+)\s*(credits)\s*\z"
 _EDGE = r"[-—–•*’]"

@@ -87,6 +87,7 @@ def note_headings(notes: DataFrame) -> DataFrame:
     return found.groupBy("source_slug", "link_target", "key").agg(F.min_by("heading", "n").alias("heading"))
 
 
+# Fixed value: the form of an index entry that is linked, a list item with page references at its end.
 _ENTRY = r"(?U)\A(- )(.*?)(\s+)(\*{0,2}\d[\d,–\-\s*]*)\z"
 
 

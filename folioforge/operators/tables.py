@@ -90,6 +90,7 @@ def is_demoted_header(cells: Column) -> Column:
     return F.coalesce(good, F.lit(False))
 
 
+# First cells that are data, not labels: rolls, ranges and distances.
 _DATA_FIRST = r'(?i)\A(?:Unlimited|\d+-\d+|\d+|\d+["”]-\d+["”]|\d+["”]\+)\z'
 
 

@@ -177,6 +177,7 @@ def offset_warnings(rows: DataFrame, offsets: DataFrame) -> DataFrame:
     return asked.select("source_slug", F.when(F.col("votes").isNull(), none).when(poor, said).alias("warning")).where("warning IS NOT NULL")
 
 
+# The forms of a printed entry: page and bar, page before the title, chapter label, page behind the title.
 _PIPE, _LEADING, _CHAPTER = re.compile(r"(\d+)\s*\|\s*(.*)"), re.compile(r"(\d+)\s+([^\d|].+)"), re.compile(r"Chapter\s+\d+", re.I)
 _TRAILING = re.compile(r"\s+(\*{0,2})(\d+)\1\s*$")
 

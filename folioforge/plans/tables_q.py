@@ -28,7 +28,7 @@ def _text(head: str, line: str, tail: str = _TAIL) -> str:
     return fx.tables_sql(head, line, tail)
 
 
-# Eight columns: the labels below a group row.
+# Column labels that the rules look for; eight columns, the labels below a group row.
 _LABELS = "'|Weapon|S|L|S|Str|D|**Ap**|Traits|', chr(10)"
 _ROW8 = f"concat({_NAME}, {_V}, 'Melee', '|', chr(10))"
 
