@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import text as X
 from ..operators import guards, lines, tables
 from . import fixtures as fx
 
@@ -209,9 +210,11 @@ def b01(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shapes of the demoted-header, label-row and two-row-header tables: which test takes which, and the separator's row."""
     out = None
     for key in ("b02_promote_header", "b04_promote_label_row", "b05_collapse_headers"):
-        first = F.try_element_at(guards.blocks(c("text")), F.lit(1))
-        cells = tables.cells_of(first)
-        part = _both(BEFORE_AFTER[key][0], spark, sf_dir).select("k", F.lit(key[:3]).alias("input"), tables.is_demoted_header(cells).alias("demoted"), tables.is_demoted_label_row(cells).alias("label_row"), tables.separator_index(cells).alias("sep"))
+        # One value, so that the text is cut once and not for each mention of its cells.
+        shape = lambda cells: F.struct(tables.is_demoted_header(cells).alias("demoted"), tables.is_demoted_label_row(cells).alias("label_row"), tables.separator_index(cells).alias("sep"))
+        first = X.let(guards.blocks(c("text")), lambda b: F.try_element_at(b, F.lit(1)))
+        each = _both(BEFORE_AFTER[key][0], spark, sf_dir).select("k", F.explode(F.array(X.let(tables.cells_of(first), shape))).alias("s"))
+        part = each.select("k", F.lit(key[:3]).alias("input"), "s.demoted", "s.label_row", "s.sep")
         out = part if out is None else out.unionByName(part)
     return out
 
