@@ -109,28 +109,37 @@ def tabulate_profiles(text: Column) -> Column:
 
     A line counts if it is no table row and no ``#`` line and holds a profile's labels followed by twelve values.
     """
-    values = r"\s+".join([f"({STAT_VALUE})"] * 12)
+    values = r"\s+".join([f"{STAT_VALUE}"] * 12)
 
     def shape(labels: Sequence[str]) -> str:
-        return r"(?Us)\A(.*?)\*{0,2}\s*" + r"\s+".join(labels) + r"\s*\*{0,2}(?:(?<=\*)|\s)\s*" + values + r"(?:\s+(.*))?\z"
+        return r"(?Us)\A(.*?)\*{0,2}\s*" + r"\s+".join(labels) + r"\s*\*{0,2}(?:(?<=\*)|\s)\s*(" + values + r")(?:\s+(.*))?\z"
 
-    def rule(line: Column) -> Column:
-        probe = X.breaks_as_spaces(line)
-        out = F.array(line)
-        for labels in (VEHICLE, FIGHTER):
-            form = shape(labels)
-            part = [F.regexp_extract(probe, form, i) for i in (1, *range(2, 14), 14)]
+    def tabulated(labels: Sequence[str]) -> Callable[[Column], Column]:
+        def of(part: Column) -> Column:
             before = F.regexp_replace(X.inner_spaces(F.regexp_replace(part[0], r"\.{3,}", " ")), r"\A[ *]+|[ *]+\z", "")
-            behind = F.regexp_replace(F.regexp_replace(part[-1], r"(?U)\s+", " "), r"\A[ *]+|[ *]+\z", "")
-            head = F.concat(F.lit("| " + " | ".join(labels) + " |"))
-            row = F.concat(F.lit("| "), F.concat_ws(" | ", *part[1:-1]), F.lit(" |"))
+            behind = F.regexp_replace(F.regexp_replace(part[2], r"(?U)\s+", " "), r"\A[ *]+|[ *]+\z", "")
+            head = F.lit("| " + " | ".join(labels) + " |")
+            # No value holds white space, so what stands between the twelve is all that parts them.
+            row = F.concat(F.lit("| "), F.regexp_replace(part[1], r"(?U)\s+", " | "), F.lit(" |"))
             empty = F.array().cast("array<string>")
             table = F.array(F.lit(""), head, F.lit("|" + "|".join(["---"] * 12) + "|"), row)
-            lines = F.concat(
-                F.when(before != "", F.array(before)).otherwise(empty), table, F.when(behind != "", F.array(F.lit(""), behind)).otherwise(empty)
-            )
-            out = F.when(probe.rlike(form), lines).otherwise(out)
-        return F.when(line.rlike(r"(?U)\A\s*[|#]"), F.array(line)).otherwise(out)
+            first = X.let(before, lambda x: F.when(x != "", F.array(x)).otherwise(empty))
+            last = X.let(behind, lambda x: F.when(x != "", F.array(F.lit(""), x)).otherwise(empty))
+            return F.concat(first, table, last)
+
+        return of
+
+    def probed(line: Column, probe: Column) -> Column:
+        out = F.array(line)
+        for labels in (VEHICLE, FIGHTER):
+            form = shape(labels)
+            part = F.array(*[F.regexp_extract(probe, form, i) for i in (1, 2, 3)])
+            out = F.when(probe.rlike(form), X.let(part, tabulated(labels))).otherwise(out)
+        return out
+
+    def rule(line: Column) -> Column:
+        plain = line.rlike(r"(?U)\A\s*[|#]") | ~F.contains(line, F.lit("Wil"))
+        return F.when(plain, F.array(line)).otherwise(X.let(X.breaks_as_spaces(line), lambda probe: probed(line, probe)))
 
     return F.when(F.contains(text, F.lit("Wil Int")), limit_blank_runs(map_lines(text, rule, fenced=True))).otherwise(text)
 
@@ -165,29 +174,35 @@ _EDGE = r"[-—–•*’]"
 
 def _split_merged(line: Column) -> Column:
     """Items that an extraction put on one line, each as a line; a cost in the middle parts them."""
-    text = X.rstrip(line)
-    n = F.regexp_count(text, F.lit(f"(?iU){_COST}"))
-    merged = (n >= 2) | ((n == 1) & ~text.rlike(_COST_END))
-    marked = F.regexp_replace(text, rf"(?iU)(\+?\d+\s*credits)\s+(?:{_EDGE}\s*)?(?=[A-Z\d])", "$1\x00")
-    parts = F.filter(F.transform(F.split(marked, "\x00", -1), X.strip), lambda p: p != "")
-    bullet = F.startswith(text, F.lit("- "))
 
-    def item(p: Column, i: Column) -> Column:
-        first = F.when(bullet & ~F.startswith(p, F.lit("- ")), F.concat(F.lit("- "), p)).otherwise(p)
-        return F.when(i == 0, first).otherwise(F.concat(F.lit("- "), X.strip(F.regexp_replace(p, rf"(?U)\A{_EDGE}\s*", ""))))
+    def of(text: Column) -> Column:
+        marked = F.regexp_replace(text, rf"(?iU)(\+?\d+\s*credits)\s+(?:{_EDGE}\s*)?(?=[A-Z\d])", "$1\x00")
+        parts = F.filter(F.transform(F.split(marked, "\x00", -1), X.strip), lambda p: p != "")
+        bullet = F.startswith(text, F.lit("- "))
 
-    return F.when(text.rlike(r"\A[|#]") | ~merged, F.array(line)).otherwise(F.transform(parts, item))
+        def item(p: Column, i: Column) -> Column:
+            first = F.when(bullet & ~F.startswith(p, F.lit("- ")), F.concat(F.lit("- "), p)).otherwise(p)
+            return F.when(i == 0, first).otherwise(F.concat(F.lit("- "), X.strip(F.regexp_replace(p, rf"(?U)\A{_EDGE}\s*", ""))))
+
+        merged = X.let(F.regexp_count(text, F.lit(f"(?iU){_COST}")), lambda n: (n >= 2) | ((n == 1) & ~text.rlike(_COST_END)))
+        return F.when(merged, F.transform(parts, item)).otherwise(F.array(line))
+
+    # A line without the word has no cost.
+    plain = line.rlike(r"\A[|#]") | ~line.rlike(r"(?iU)credits")
+    return F.when(plain, F.array(line)).otherwise(X.let(X.rstrip(line), of))
 
 
 def _clean_item(line: Column) -> Column:
     """Bullets without leaders and stray marks; a bare line with a leader becomes a bullet."""
-    text = X.rstrip(line)
     spaced = lambda x: X.strip(X.inner_spaces(F.regexp_replace(x, r"\.{3,}", " ")))
-    bullet = F.concat(F.lit("- "), spaced(F.regexp_replace(F.substring(text, F.lit(3), F.length(text)), r"(?U)\A[•*]\s*", "")))
-    bare = spaced(text)
-    led = F.when(bare == "", F.array().cast("array<string>")).otherwise(F.array(F.concat(F.lit("- "), bare)))
-    plain = (text == "") | text.rlike(r"\A[|#]")
-    return F.when(plain, F.array(line)).when(F.startswith(text, F.lit("- ")), F.array(bullet)).when(text.rlike(r"\.{3,}"), led).otherwise(F.array(line))
+
+    def of(text: Column) -> Column:
+        bullet = F.concat(F.lit("- "), spaced(F.regexp_replace(F.substring(text, F.lit(3), F.length(text)), r"(?U)\A[•*]\s*", "")))
+        led = X.let(spaced(text), lambda bare: F.when(bare == "", F.array().cast("array<string>")).otherwise(F.array(F.concat(F.lit("- "), bare))))
+        plain = (text == "") | text.rlike(r"\A[|#]")
+        return F.when(plain, F.array(line)).when(F.startswith(text, F.lit("- ")), F.array(bullet)).when(text.rlike(r"\.{3,}"), led).otherwise(F.array(line))
+
+    return X.let(X.rstrip(line), of)
 
 
 def tabulate_equipment(text: Column) -> Column:
@@ -204,22 +219,29 @@ def tabulate_equipment(text: Column) -> Column:
     split = map_lines(text, _split_merged, fenced=True)
     joined = F.regexp_replace(split, parted, "- $1 $2")
     tidy = map_lines(joined, _clean_item, fenced=True)
-    parts = F.regexp_extract_all(F.concat(tidy, F.lit("\n")), F.lit(r"(?U)(?:- [^\n]*\S[^\n]*+\n)++|[^\n]*+\n"), F.lit(0))
+    pieces = F.regexp_extract_all(F.concat(tidy, F.lit("\n")), F.lit(r"(?U)(?:- [^\n]*\S[^\n]*+\n)++|[^\n]*+\n"), F.lit(0))
 
     def row(line: Column) -> Column:
         cost = F.concat(F.regexp_extract(line, _COST_END, 1), F.lit(" "), F.regexp_extract(line, _COST_END, 2))
         item = X.strip(F.regexp_replace(F.substring(line, F.lit(3), F.length(line)), _COST_END, ""))
-        mark = F.when(F.startswith(cost, F.lit("+")), F.lit("— ")).otherwise(F.lit(""))
-        return F.concat(F.lit("| "), mark, item, F.lit(" | "), cost, F.lit(" |\n"))
-
-    def one(part: Column, i: Column) -> Column:
-        run = F.transform(lines_of(part), X.rstrip)
-        before = F.try_element_at(parts, i)
-        gap = F.when((i > 0) & F.coalesce(before != "\n", F.lit(False)), F.lit("\n")).otherwise(F.lit(""))
-        table = F.concat(gap, F.lit("| Item | Cost |\n|---|---|\n"), F.array_join(F.transform(run, row), ""), F.lit("\n"))
-        plain = F.array_join(F.transform(run, lambda x: F.concat(x, F.lit("\n"))), "")
-        bullets = F.startswith(part, F.lit("- "))
-        return F.when(bullets & F.forall(run, lambda x: x.rlike(_COST_END)), table).when(bullets, plain).otherwise(part)
-
-    done = limit_blank_runs(join_segments(F.transform(parts, one)))
+        mark = lambda c: F.when(F.startswith(c, F.lit("+")), F.lit("— ")).otherwise(F.lit(""))
+        return X.let(cost, lambda c: F.concat(F.lit("| "), mark(c), item, F.lit(" | "), c, F.lit(" |\n")))
+
+    def whole(parts: Column) -> Column:
+        """The pieces joined again; each sees the one before it, so they are one value, cut once."""
+
+        def one(part: Column, i: Column) -> Column:
+            before = F.try_element_at(parts, i)
+            gap = F.when((i > 0) & F.coalesce(before != "\n", F.lit(False)), F.lit("\n")).otherwise(F.lit(""))
+
+            def of(run: Column) -> Column:
+                table = F.concat(gap, F.lit("| Item | Cost |\n|---|---|\n"), F.array_join(F.transform(run, row), ""), F.lit("\n"))
+                plain = F.array_join(F.transform(run, lambda x: F.concat(x, F.lit("\n"))), "")
+                return F.when(F.forall(run, lambda x: x.rlike(_COST_END)), table).otherwise(plain)
+
+            return F.when(F.startswith(part, F.lit("- ")), X.let(F.transform(lines_of(part), X.rstrip), of)).otherwise(part)
+
+        return join_segments(F.transform(parts, one))
+
+    done = limit_blank_runs(X.let(pieces, whole))
     return F.when(F.contains(F.lower(text), F.lit("credits")), done).otherwise(text)
