@@ -8,9 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import text as X
 from .lines import is_code, is_table, join_segments, lines_of, segments
@@ -30,30 +30,22 @@ def map_blocks_with(rows: DataFrame, key: str, text: str, rule: Callable[[list[s
     """``(<key>, <text>)`` of ``rows`` with a Python ``rule`` applied to the lines of every table block outside fences.
 
     The rule gets a block's lines and gives those that replace it. Texts are cut into segments by the same expression as for
-    all other rules; a table function takes each text's segments in order, partitioned by its key, so only texts with a block
-    go to Python, segment by segment. Keys must be unique; null texts stay null.
+    all other rules; those with a block go to Python by Arrow, with their segments marked, in their own row: nothing is
+    shuffled, and keys need not be unique. Null texts stay null.
     """
-    cut = rows.select(key, F.col(text).alias("__text"), F.contains(text, F.lit("|")).alias("__may"))
-    parts = cut.where("__may").select(F.col(key).alias("k"), F.posexplode(segments(F.col("__text"))).alias("n", "segment")).withColumn("block", is_table(F.col("segment")))
 
-    class Rule:
-        def __init__(self) -> None:
-            self.key, self.parts = None, []
+    @F.pandas_udf("string")
+    def run(parts: pd.Series) -> pd.Series:
+        def one(part: dict) -> str:
+            lines = lambda s: "".join(x + "\n" for x in rule(s.removesuffix("\n").split("\n")))
+            return lines(part["segment"]) if part["block"] else part["segment"]
 
-        def eval(self, row) -> None:
-            self.key = row["k"]
-            if row["block"]:
-                self.parts += [line + "\n" for line in rule(row["segment"].removesuffix("\n").split("\n"))]
-            else:
-                self.parts.append(row["segment"])
+        return parts.map(lambda p: None if p is None else "".join(one(x) for x in p).removesuffix("\n"))
 
-        def terminate(self):
-            if self.parts:
-                yield self.key, "".join(self.parts).removesuffix("\n")
-
-    shape = StructType([StructField(key, rows.schema[key].dataType), StructField(text, StringType())])
-    mapped = F.udtf(Rule, returnType=shape)(parts.asTable().partitionBy("k").orderBy("n"))
-    return mapped.unionByName(cut.where("__may IS NULL OR NOT __may").select(key, F.col("__text").alias(text)))
+    parts = F.transform(segments(F.col(text)), lambda s: F.struct(s.alias("segment"), is_table(s).alias("block")))
+    cut = rows.select(key, F.col(text).alias("__text"), F.when(F.contains(text, F.lit("|")), parts).alias("__parts"))
+    cut = cut.withColumn("__new", run("__parts"))
+    return cut.select(key, F.when(F.col("__parts").isNull(), F.col("__text")).otherwise(F.col("__new")).alias(text))
 
 
 def cells_of(block: Column) -> Column:
@@ -75,17 +67,18 @@ def at(cells: Column, i: int) -> Column:
 def separator_index(cells: Column, dashes: int = 3) -> Column:
     """Index of the first separator row from 0, or null."""
     found = F.array_position(F.transform(cells, lambda c: X.is_separator(c, dashes)), True)
-    return F.when(found > 0, found.cast("int") - 1)
+    return X.let(found, lambda n: F.when(n > 0, n.cast("int") - 1))
 
 
 def is_demoted_header(cells: Column) -> Column:
     """A group row, the separator, and then the real labels of a weapon chart."""
     group, labels = at(cells, 0), at(cells, 2)
     names = F.transform(labels, lambda c: F.upper(X.strip(F.regexp_replace(X.strip(c), r"\A\*+|\*+\z", ""))))
-    has = lambda *xs: F.arrays_overlap(names, F.array(*[F.lit(x) for x in xs]))
+    has = lambda n, *xs: F.arrays_overlap(n, F.array(*[F.lit(x) for x in xs]))
+    # The cheap tests stand first: most tables fail there.
     good = (
-        (F.size(cells) >= 3) & (width(cells) >= 6) & X.is_separator(at(cells, 1)) & (F.size(group) == F.size(labels))
-        & (at(group, 0) == "") & (at(labels, 0) != "") & has("AP") & has("D") & has("AM", "TRAITS", "AM TRAITS")
+        (F.size(cells) >= 3) & (at(group, 0) == "") & (at(labels, 0) != "") & (F.size(group) == F.size(labels)) & X.is_separator(at(cells, 1))
+        & (width(cells) >= 6) & X.let(names, lambda n: has(n, "AP") & has(n, "D") & has(n, "AM", "TRAITS", "AM TRAITS"))
     )
     return F.coalesce(good, F.lit(False))
 
@@ -96,13 +89,15 @@ _DATA_FIRST = r'(?i)\A(?:Unlimited|\d+-\d+|\d+|\d+["”]-\d+["”]|\d+["”]\+)\
 
 def is_demoted_label_row(cells: Column) -> Column:
     """A spanning title, the separator, and then the real labels of a table of two to five columns."""
-    n, group, labels = width(cells), at(cells, 0), at(cells, 2)
+    group, labels = at(cells, 0), at(cells, 2)
+    n = F.size(group)
+    # Five columns at most, so it can't be a demoted header, which has six.
     good = (
-        (F.size(cells) >= 4) & n.between(2, 5) & X.is_separator(at(cells, 1)) & (F.size(group) == n) & (F.size(labels) == n)
-        & (at(group, 0) != "") & F.forall(F.slice(group, 2, 100), lambda c: c == "") & F.forall(labels, lambda c: c != "")
+        (F.size(cells) >= 4) & n.between(2, 5) & (F.size(labels) == n) & (at(group, 0) != "") & F.forall(F.slice(group, 2, 100), lambda c: c == "")
+        & (width(cells) == n) & X.is_separator(at(cells, 1)) & F.forall(labels, lambda c: c != "")
         & ~at(labels, 0).rlike(_DATA_FIRST) & at(at(cells, 3), 0).rlike(_DATA_FIRST)
     )
-    return F.coalesce(good & ~is_demoted_header(cells), F.lit(False))
+    return F.coalesce(good, F.lit(False))
 
 
 def _both(g: Column, h: Column, first_wins: bool) -> Column:
@@ -124,7 +119,8 @@ def collapse_header_block(block: Column) -> Column:
         merged = render_row(F.zip_with(group, header, lambda g, h: _both(g, h, first_wins=True)))
         rest = F.slice(block, F.lit(3), F.size(block))
         folded = F.when(F.size(group) == F.size(header), F.concat(F.array(merged), rest)).otherwise(F.concat(F.slice(block, 2, 1), rest))
-        return F.when((width(cells) >= 6) & F.coalesce(separator_index(cells) == 2, F.lit(False)), folded).otherwise(block)
+        third = X.is_separator(at(cells, 2)) & ~X.is_separator(at(cells, 0)) & ~X.is_separator(at(cells, 1))
+        return F.when(F.coalesce(third, F.lit(False)) & (width(cells) >= 6), folded).otherwise(block)
 
     return X.let(cells_of(block), rule)
 
@@ -132,68 +128,62 @@ def collapse_header_block(block: Column) -> Column:
 def split_fused_block(block: Column) -> Column:
     """A fused ``Am Traits`` column as two: the leading ammo token, and the rest."""
     def rule(cells: Column) -> Column:
-        header, sep = at(cells, 0), separator_index(cells)
-        fused = F.transform(header, lambda c: c.rlike(r"(?iU)\AAm\s+Traits\z"))
-        j = F.array_position(fused, True).cast("int")
-        good = (
-            (width(cells) >= 6) & sep.isNotNull() & (F.size(F.filter(fused, lambda x: x)) == 1)
-            & F.forall(cells, lambda c: F.size(c) == F.size(header))
-        )
+        header = at(cells, 0)
+        fused = lambda c: c.rlike(r"(?iU)\AAm\s+Traits\z")
         token = r"(?Us)\A(\d+\+|\d+|-)(?:\s+(.*))?\z"
 
-        def one(row: Column, i: Column) -> Column:
-            cell = F.element_at(row, j)
-            ammo = F.regexp_extract(cell, token, 1)
-            rest = F.when(ammo != "", F.regexp_extract(cell, token, 2)).otherwise(cell)
-            new = F.when(i == sep, F.array(cell, cell)).when(i == 0, F.array(F.lit("Am"), F.lit("Traits"))).otherwise(F.array(ammo, rest))
-            return render_row(F.concat(F.slice(row, F.lit(1), j - 1), new, F.slice(row, j + 1, F.size(row))))
+        def split(at: Column) -> Column:
+            """The rows, with the places of the separator and of the fused column worked out once."""
+            sep, j = at["sep"], at["j"]
 
-        return F.when(F.coalesce(good, F.lit(False)), F.transform(cells, one)).otherwise(block)
+            def one(row: Column, i: Column) -> Column:
+                cell = F.element_at(row, j)
+                ammo = F.regexp_extract(cell, token, 1)
+                rest = F.when(ammo != "", F.regexp_extract(cell, token, 2)).otherwise(cell)
+                new = F.when(i == sep, F.array(cell, cell)).when(i == 0, F.array(F.lit("Am"), F.lit("Traits"))).otherwise(F.array(ammo, rest))
+                return render_row(F.concat(F.slice(row, F.lit(1), j - 1), new, F.slice(row, j + 1, F.size(row))))
+
+            return F.when(sep.isNotNull(), F.transform(cells, one)).otherwise(block)
+
+        places = F.struct(separator_index(cells).alias("sep"), F.array_position(F.transform(header, fused), True).cast("int").alias("j"))
+        good = F.exists(header, fused) & (F.size(F.filter(header, fused)) == 1) & (width(cells) >= 6) & F.forall(cells, lambda c: F.size(c) == F.size(header))
+        return F.when(F.coalesce(good, F.lit(False)), X.let(places, split)).otherwise(block)
 
     return X.let(cells_of(block), rule)
 
 
-_ROW = "struct<raw:string,cells:array<string>,kind:int,dirty:boolean>"
+_ROW = "struct<raw:string,cells:array<string>,k:int,sep:boolean,dirty:boolean>"
+_STATE = f"struct<done:array<{_ROW}>,prev:{_ROW},tail:array<{_ROW}>,sep:boolean>"
 
 
 def _merge(block: Column, wraps: Callable[[Column, Column, Column, Column], Column], after_separator: bool) -> Column:
     """Fold rows that continue the last kept data row into it.
 
     The state is the rows kept so far, the last data row apart as ``prev`` with rows behind it in ``tail`` (separators),
-    since a continuation grows its cell and the next row is tested against the grown one.
+    since a continuation grows its cell and the next row is tested against the grown one. Rows are looked at once before the fold;
+    a block without a row of one filled cell is left as it is.
     """
-    none = F.lit(None).cast(_ROW)
-    start = F.struct(
-        F.array().cast(f"array<{_ROW}>").alias("done"), none.alias("prev"), F.array().cast(f"array<{_ROW}>").alias("tail"), F.lit(False).alias("sep")
-    ).cast(f"struct<done:array<{_ROW}>,prev:{_ROW},tail:array<{_ROW}>,sep:boolean>")
-
-    def step(state: Column, raw: Column) -> Column:
-        return X.let(X.split_cells(raw), lambda cells: advance(state, raw, cells))
-
-    def advance(state: Column, raw: Column, cells: Column) -> Column:
-        filled = F.filter(F.transform(cells, lambda c, i: F.when(c != "", i)), lambda i: i.isNotNull())
-        k = F.try_element_at(filled, F.lit(1))
-        separator = X.is_separator(cells)
-        prev = state["prev"]
-        before = F.try_element_at(prev["cells"], k + 1)
-        cell = F.try_element_at(cells, k + 1)
-        goes_on = ~separator & (F.size(filled) == 1) & prev.isNotNull() & (k < F.size(prev["cells"]))
-        goes_on = F.coalesce(goes_on & wraps(before, cell, k, prev["cells"]), F.lit(False))
+    single = lambda cells: F.size(F.filter(cells, lambda c: c != "")) == 1
+
+    def row(raw: Column, cells: Column) -> Column:
+        k = F.when(single(cells) & ~X.is_separator(cells), F.array_position(F.transform(cells, lambda c: c != ""), True).cast("int") - 1)
+        return F.struct(raw.alias("raw"), cells.alias("cells"), k.alias("k"), X.is_separator(cells).alias("sep"), F.lit(False).alias("dirty"))
+
+    def step(state: Column, r: Column) -> Column:
+        prev, k = state["prev"], r["k"]
+        before, cell = F.get(prev["cells"], k), F.get(r["cells"], k)
+        goes_on = F.coalesce(k.isNotNull() & prev.isNotNull() & (k < F.size(prev["cells"])) & wraps(before, cell, k, prev["cells"]), F.lit(False))
         grown = F.struct(
             prev["raw"].alias("raw"), F.transform(prev["cells"], lambda c, i: F.when(i == k, F.concat(c, F.lit(" "), cell)).otherwise(c)).alias("cells"),
-            prev["kind"].alias("kind"), F.lit(True).alias("dirty"),
-        ).cast(_ROW)
-        row = F.struct(raw.alias("raw"), cells.alias("cells"), F.lit(0).alias("kind"), F.lit(False).alias("dirty")).cast(_ROW)
-        aside = separator | (~state["sep"] if after_separator else F.lit(False))
-        sep = state["sep"] | separator
+            prev["k"].alias("k"), prev["sep"].alias("sep"), F.lit(True).alias("dirty"),
+        )
+        aside = (r["sep"] | ~state["sep"]) if after_separator else r["sep"]
         kept = F.concat(state["done"], F.when(prev.isNotNull(), F.array(prev)).otherwise(F.array().cast(f"array<{_ROW}>")), state["tail"])
-        name = lambda d, p, t: F.struct(d.alias("done"), p.alias("prev"), t.alias("tail"), sep.alias("sep")).cast(
-            f"struct<done:array<{_ROW}>,prev:{_ROW},tail:array<{_ROW}>,sep:boolean>"
-        )
+        name = lambda d, p, t: F.struct(d.alias("done"), p.alias("prev"), t.alias("tail"), (state["sep"] | r["sep"]).alias("sep"))
         return (
             F.when(goes_on, name(state["done"], grown, state["tail"]))
-            .when(aside, name(state["done"], prev, F.concat(state["tail"], F.array(row))))
-            .otherwise(name(kept, row, F.array().cast(f"array<{_ROW}>")))
+            .when(aside, name(state["done"], prev, F.concat(state["tail"], F.array(r))))
+            .otherwise(name(kept, r, F.array().cast(f"array<{_ROW}>")))
         )
 
     def finish(state: Column) -> Column:
@@ -201,7 +191,13 @@ def _merge(block: Column, wraps: Callable[[Column, Column, Column, Column], Colu
         rows = F.concat(state["done"], prev, state["tail"])
         return F.transform(rows, lambda r: F.when(r["dirty"], render_row(r["cells"])).otherwise(r["raw"]))
 
-    return F.when(width(cells_of(block)) >= 6, F.aggregate(block, start, step, finish)).otherwise(block)
+    def rule(cells: Column) -> Column:
+        none = F.array().cast(f"array<{_ROW}>")
+        start = F.struct(none.alias("done"), F.lit(None).cast(_ROW).alias("prev"), none.alias("tail"), F.lit(False).alias("sep")).cast(_STATE)
+        folded = F.aggregate(F.zip_with(block, cells, row), start, step, finish)
+        return F.when(F.exists(cells, single) & (width(cells) >= 6), folded).otherwise(block)
+
+    return X.let(cells_of(block), rule)
 
 
 def merge_wrapped_block(block: Column) -> Column:
@@ -240,21 +236,24 @@ def merge_wrapped_names(text: Column) -> Column:
 
 def promote_label_row(text: Column) -> Column:
     """The labels of a demoted label row above the separator, its title as a bold line with blank lines around it."""
-    parts = segments(text)
 
-    def one(segment: Column, i: Column) -> Column:
-        return X.let(lines_of(segment), lambda block: X.let(cells_of(block), lambda cells: promoted(segment, i, block, cells)))
+    def whole(parts: Column) -> Column:
+        def one(segment: Column, i: Column) -> Column:
+            new = X.let(lines_of(segment), lambda block: X.let(cells_of(block), lambda cells: promoted(segment, i, block, cells)))
+            return F.when(is_table(segment), new).otherwise(segment)
+
+        def promoted(segment: Column, i: Column, block: Column, cells: Column) -> Column:
+            title = F.regexp_replace(at(at(cells, 0), 0), r"\A\*+|\*+\z", "")
+            before = F.try_element_at(parts, i)
+            gap = F.when((i > 0) & F.coalesce(before != "\n", F.lit(False)), F.lit("\n")).otherwise(F.lit(""))
+            rows = F.concat(F.slice(block, 3, 1), F.slice(block, 2, 1), F.slice(block, F.lit(4), F.size(block)))
+            table = F.array_join(F.transform(rows, lambda x: F.concat(x, F.lit("\n"))), "")
+            new = F.when(title != "", F.concat(gap, F.lit("**"), title, F.lit("**\n\n"), table)).otherwise(segment)
+            return F.when(is_demoted_label_row(cells), new).otherwise(segment)
 
-    def promoted(segment: Column, i: Column, block: Column, cells: Column) -> Column:
-        title = F.regexp_replace(at(at(cells, 0), 0), r"\A\*+|\*+\z", "")
-        before = F.try_element_at(parts, i)
-        gap = F.when((i > 0) & F.coalesce(before != "\n", F.lit(False)), F.lit("\n")).otherwise(F.lit(""))
-        rows = F.concat(F.slice(block, 3, 1), F.slice(block, 2, 1), F.slice(block, F.lit(4), F.size(block)))
-        table = F.array_join(F.transform(rows, lambda x: F.concat(x, F.lit("\n"))), "")
-        new = F.when(title != "", F.concat(gap, F.lit("**"), title, F.lit("**\n\n"), table)).otherwise(segment)
-        return F.when(is_table(segment) & is_demoted_label_row(cells), new).otherwise(segment)
+        return join_segments(F.transform(parts, one))
 
-    return F.when(F.contains(text, F.lit("|")), join_segments(F.transform(parts, one))).otherwise(text)
+    return F.when(F.contains(text, F.lit("|")), X.let(segments(text), whole)).otherwise(text)
 
 
 RULES = (promote_header, promote_label_row, collapse_headers, split_fused, merge_wrapped_rows, merge_wrapped_names)
