@@ -27,7 +27,7 @@ def data_rows(block: Column) -> Column:
 
 
 def _tokens(rows: Column) -> Column:
-    return F.array_sort(F.flatten(F.transform(F.flatten(rows), lambda c: F.regexp_extract_all(c, F.lit(r"(?U)\S+"), F.lit(0)))))
+    return F.sort_array(F.regexp_extract_all(F.array_join(F.flatten(rows), " "), F.lit(r"(?U)\S+"), F.lit(0)))
 
 
 def _anchors(rows: Column) -> Column:
@@ -68,7 +68,7 @@ def multiset_difference(before: Column, after: Column) -> Column:
         each = F.transform(runs, lambda x, i: F.struct(x["token"].alias("token"), F.when(first(x, i), delta(x, i)).otherwise(F.lit(0)).alias("delta")))
         return F.filter(each, lambda x: x["delta"] != 0)
 
-    return X.let(F.array_sort(F.concat(_runs(before, -1), _runs(after, 1))), merged)
+    return X.let(F.sort_array(F.concat(_runs(before, -1), _runs(after, 1))), merged)
 
 
 def _first_difference(b: Column, a: Column) -> Column:
@@ -104,7 +104,7 @@ def table_findings(before: Column, after: Column, order: bool = True) -> Column:
                     one = _finding(kind=F.lit("order"), table_no=i, row_no=k, was=F.get(s["b"], k), now=F.get(s["a"], k))
                     return F.when(k.isNotNull(), F.array(one)).otherwise(F.array().cast(_NONE))
 
-                same = F.array_sort(s["b"]) == F.array_sort(s["a"])
+                same = F.sort_array(s["b"]) == F.sort_array(s["a"])
                 return F.when((s["b"] != s["a"]) & same, X.let(_first_difference(s["b"], s["a"]), at)).otherwise(F.array().cast(_NONE))
 
             both = lambda f: F.struct(f(r["b"]).alias("b"), f(r["a"]).alias("a"))
