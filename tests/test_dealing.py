@@ -5,6 +5,10 @@ import re
 from pyspark.sql import functions as F
 
 from folioforge.operators import sections as R
+from folioforge.plans import fixtures as fx
+from folioforge.plans import notes_q
+
+SF = "/root/testdata/sf0.001"
 
 
 def test_pages_asked_for_are_no_broadcast(spark):
@@ -18,3 +22,14 @@ def test_pages_asked_for_are_no_broadcast(spark):
     plan = found._jdf.queryExecution().executedPlan().toString()
     kinds = re.findall(r"(\w+Join)\b[^\n]*\bb#\d+", plan)
     assert kinds and set(kinds) == {"SortMergeJoin"}
+
+
+def test_notes_of_one_row_group_are_parsed_in_many_tasks(spark):
+    notes = notes_q.vault(spark, SF)
+    used = [r["n"] for r in notes.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert len(used) >= 8 and max(used) < sum(used) / 4
+
+
+def test_dealt_tables_have_the_same_rows(spark):
+    plain, dealt = fx.run(spark, SF, notes_q.VAULT), fx.run(spark, SF, notes_q.VAULT, deal=True)
+    assert sorted(plain.collect()) == sorted(dealt.collect())
