@@ -109,7 +109,8 @@ def table_findings(before: Column, after: Column, order: bool = True) -> Column:
 
             both = lambda f: F.struct(f(r["b"]).alias("b"), f(r["a"]).alias("a"))
             found = X.let(both(_tokens), tokens)
-            return F.concat(found, X.let(both(_anchors), moved)) if order else found
+            # A rule that moves labels leaves the data cells as they were: then neither tokens nor anchors are cut.
+            return F.when(r["b"] == r["a"], F.array().cast(_NONE)).otherwise(F.concat(found, X.let(both(_anchors), moved)) if order else found)
 
         pair = F.struct(data_rows(x).alias("b"), data_rows(y).alias("a"))
         return F.when(x == y, F.array().cast(_NONE)).otherwise(X.let(pair, rows))

@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -82,6 +83,22 @@ SELECT l_orderkey AS k, concat({head}, TEXT_AGG(line, rn), {tail}) AS text FROM
 """
 
 
+def texts_sql(texts: Mapping[str, tuple[str, str, str, str]], items: str = ITEMS) -> str:
+    """Several texts of each order in one row, by name: ``head``, ``line``, ``tail`` and the number that the lines stand in order by.
+
+    For Spark. The window that numbers an order's lines has brought them together and sorted; a second one gathers them there, so that
+    all texts take one shuffle and one sort, and no aggregation.
+    """
+    kinds = list(dict.fromkeys((order, line) for _, line, _, order in texts.values()))
+    rows = ", ".join(f"struct({order} AS o, {line} AS x) AS r{i}" for i, (order, line) in enumerate(kinds))
+    lists = ", ".join(f"collect_list(r{i}) OVER (PARTITION BY l_orderkey) AS a{i}" for i in range(len(kinds)))
+    joined = lambda line, order: f"array_join(transform(sort_array(a{kinds.index((order, line))}), r -> r.x), '')"
+    each = ", ".join(f"concat({head}, {joined(line, order)}, {tail}) AS {name}" for name, (head, line, tail, order) in texts.items())
+    return f"""
+SELECT l_orderkey AS k, {each} FROM (SELECT l_orderkey, rn, {lists} FROM (SELECT l_orderkey, rn, {rows} FROM ({items}) i) r) a WHERE rn = 1
+"""
+
+
 _AGG = re.compile(r"TEXT_AGG\((\w+), (\w+)\)")
 
 

@@ -33,17 +33,25 @@ def _text(head: str, line: str, tail: str = _TAIL) -> str:
 _LABELS = "'|Weapon|S|L|S|Str|D|**Ap**|Traits|', chr(10)"
 _ROW8 = f"concat({_NAME}, {_V}, 'Melee', '|', chr(10))"
 
+#: Head and line of the texts that several queries take.
+BEFORE: dict[str, tuple[str, str]] = {
+    "b02_promote_header": (f"'intro', {NL}, '||Rng|Rng|Acc|Str|D|||', {NL}, {_SEP8}, {_LABELS}", _ROW8),
+    "b04_promote_label_row": (f"'intro', {NL}, '|*Selections*|||', {NL}, '|---|---|---|', {NL}, '|Available|Benefit|Cost|', {NL}", "concat('|', CAST(l_linenumber AS STRING), '-', CAST(l_linenumber + 1 AS STRING), '|', l_returnflag, '|', CAST(l_partkey AS STRING), '|', chr(10))"),
+    "b05_collapse_headers": (f"'|Name|Range|Range|Acc|Acc|D||Traits|', {NL}, '|Weapon|S|L|S|L|D|AP|Traits|', {NL}, {_SEP8}", _ROW8),
+    "b08_merge_wrapped_names": (f"'|Weapon|S|L|Str|D|AP|Traits|', {NL}, '|---|---|---|---|---|---|---|', {NL}", f"concat({_NAME}, {_V}, 'x|', chr(10), CASE CAST(l_linenumber AS INT) % 3 WHEN 0 THEN concat('|grenades||||||', chr(10), '|and more||||||', chr(10)) WHEN 1 THEN concat('|*Pistols*||||||', chr(10)) ELSE '' END)"),
+}
+
 BEFORE_AFTER: dict[str, tuple[str, Callable[[Column], Column], str]] = {
     "b02_promote_header": (
-        _text(f"'intro', {NL}, '||Rng|Rng|Acc|Str|D|||', {NL}, {_SEP8}, {_LABELS}", _ROW8), tables.promote_header,
+        _text(*BEFORE["b02_promote_header"]), tables.promote_header,
         _text(f"'intro', {NL}, '|Weapon|Rng (S)|Rng (L)|Acc (S)|Str|D|**Ap**|Traits|', {NL}, {_SEP8}", _ROW8),
     ),
     "b04_promote_label_row": (
-        _text(f"'intro', {NL}, '|*Selections*|||', {NL}, '|---|---|---|', {NL}, '|Available|Benefit|Cost|', {NL}", "concat('|', CAST(l_linenumber AS STRING), '-', CAST(l_linenumber + 1 AS STRING), '|', l_returnflag, '|', CAST(l_partkey AS STRING), '|', chr(10))"), tables.promote_label_row,
+        _text(*BEFORE["b04_promote_label_row"]), tables.promote_label_row,
         _text(f"'intro', {NL}, {NL}, '**Selections**', {NL}, {NL}, '|Available|Benefit|Cost|', {NL}, '|---|---|---|', {NL}", "concat('|', CAST(l_linenumber AS STRING), '-', CAST(l_linenumber + 1 AS STRING), '|', l_returnflag, '|', CAST(l_partkey AS STRING), '|', chr(10))"),
     ),
     "b05_collapse_headers": (
-        _text(f"'|Name|Range|Range|Acc|Acc|D||Traits|', {NL}, '|Weapon|S|L|S|L|D|AP|Traits|', {NL}, {_SEP8}", _ROW8), tables.collapse_headers,
+        _text(*BEFORE["b05_collapse_headers"]), tables.collapse_headers,
         _text(f"'|Name (Weapon)|Range (S)|Range (L)|Acc (S)|Acc (L)|D|AP|Traits|', {NL}, {_SEP8}", _ROW8),
     ),
     "b06_split_fused": (
@@ -55,7 +63,7 @@ BEFORE_AFTER: dict[str, tuple[str, Callable[[Column], Column], str]] = {
         _text(f"'|Weapon|S|L|Str|D|AP|Traits|', {NL}, '|---|---|---|---|---|---|---|', {NL}", f"concat({_NAME}, {_V}, CASE CAST(l_linenumber AS INT) % 3 WHEN 0 THEN 'Knock, Sharp, Shock' WHEN 1 THEN 'x, Shield Breaker, y' ELSE concat('Sharp|', chr(10), '|||||||Other') END, '|', chr(10))"),
     ),
     "b08_merge_wrapped_names": (
-        _text(f"'|Weapon|S|L|Str|D|AP|Traits|', {NL}, '|---|---|---|---|---|---|---|', {NL}", f"concat({_NAME}, {_V}, 'x|', chr(10), CASE CAST(l_linenumber AS INT) % 3 WHEN 0 THEN concat('|grenades||||||', chr(10), '|and more||||||', chr(10)) WHEN 1 THEN concat('|*Pistols*||||||', chr(10)) ELSE '' END)"), tables.merge_wrapped_names,
+        _text(*BEFORE["b08_merge_wrapped_names"]), tables.merge_wrapped_names,
         _text(f"'|Weapon|S|L|Str|D|AP|Traits|', {NL}, '|---|---|---|---|---|---|---|', {NL}", f"concat({_NAME}, CASE WHEN CAST(l_linenumber AS INT) % 3 = 0 THEN ' grenades and more' ELSE '' END, {_V}, 'x|', chr(10), CASE CAST(l_linenumber AS INT) % 3 WHEN 1 THEN concat('|*Pistols*||||||', chr(10)) ELSE '' END)"),
     ),
     "n08_stat_profiles": (
@@ -84,16 +92,17 @@ def rewrite_oracle(key: str) -> str:
 
 _B_TABLE = _text(f"'intro', {NL}, '|Name|Part|Supp|Line|Flag|Status|', {NL}, '|---|---|---|---|---|---|', {NL}", f"concat({_NAME}, {_V}, chr(10))")
 _CHANGED = "CASE WHEN l_orderkey % 3 = 1 AND rn = 1 THEN CAST(l_partkey + 1 AS STRING) ELSE CAST(l_partkey AS STRING) END"
-_SWAPPED = "SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_returnflag, l_linestatus, rn AS name, CASE WHEN l_orderkey % 3 = 2 AND rn IN (1, 2) THEN 3 - rn ELSE rn END AS rn FROM (" + fx.ITEMS + ") z"
-_A_TABLE = fx.tables_sql(
-    f"'intro', {NL}, '|Name|Part|Supp|Line|Flag|Status|', {NL}, '|---|---|---|---|---|---|', {NL}",
-    f"concat('|W', CAST(name AS STRING), '|', {_CHANGED}, '|', CAST(l_suppkey AS STRING), '|', CAST(l_linenumber AS STRING), '|', l_returnflag, '|', l_linestatus, '|', chr(10))", _TAIL, _SWAPPED,
-)
+_SWAPPED = "CASE WHEN l_orderkey % 3 = 2 AND rn IN (1, 2) THEN 3 - rn ELSE rn END"
+_B_HEAD = f"'intro', {NL}, '|Name|Part|Supp|Line|Flag|Status|', {NL}, '|---|---|---|---|---|---|', {NL}"
+_PAIRS = fx.texts_sql({
+    "before": (_B_HEAD, f"concat({_NAME}, {_V}, chr(10))", _TAIL, "rn"),
+    "after": (_B_HEAD, f"concat({_NAME}, '|', {_CHANGED}, '|', CAST(l_suppkey AS STRING), '|', CAST(l_linenumber AS STRING), '|', l_returnflag, '|', l_linestatus, '|', chr(10))", _TAIL, _SWAPPED),
+})
 
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tables before and after an edit: unchanged, with one value changed, or with the first two rows swapped."""
-    return _both(_B_TABLE, spark, sf_dir).withColumnRenamed("text", "before").join(_both(_A_TABLE, spark, sf_dir).withColumnRenamed("text", "after"), "k")
+    return fx.run(spark, sf_dir, _PAIRS)
 
 
 def lost(rows: DataFrame) -> DataFrame:
