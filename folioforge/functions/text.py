@@ -78,7 +78,7 @@ def split_cells(c: Column) -> Column:
 
     White space at pipes and at both ends goes in one pass over the row, so the work does not grow with its cells.
     """
-    tight = F.regexp_replace(c, r"(?U)\A\s++|(?<=\|)\s++|(?<!\s)\s++(?:\z|(?=\|))", "")
+    tight = F.when(c.rlike(r"(?U)\s"), F.regexp_replace(c, r"(?U)\A\s++|(?<=\|)\s++|(?<!\s)\s++(?:\z|(?=\|))", "")).otherwise(c)
     return F.split(F.regexp_replace(tight, r"\A\||\|\z", ""), r"\|", -1)
 
 

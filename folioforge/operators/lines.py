@@ -7,6 +7,7 @@ no window, no Python.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -72,6 +73,21 @@ def map_lines(text: Column, rule: Callable[[Column], Column], fenced: bool = Fal
     return join_segments(F.transform(segments(text), one))
 
 
+# Parts of an expression whose meaning depends on what stands around a line: anchors, boundaries, groups with ``?``, possessive loops.
+_AROUND = re.compile(r"[\^$]|\\[AZzbBG]|\(\?|[*+?}]\+")
+
+
+def _may_change(text: Column, patterns: Sequence[str]) -> Column:
+    """Whether a line of the text may be a heading, a page number, or hold a pattern: one look at the whole text.
+
+    A pattern that knows no more than its own characters is found in a text if it is found in one of its lines; with any other all texts may
+    change.
+    """
+    if any(_AROUND.search(p) for p in patterns):
+        return F.lit(True)
+    return reduce(lambda c, p: c | text.rlike(p), patterns, text.rlike(r"(?dmU)^\s*+(?:#|\*{0,2}\d{1,4}\*{0,2}\s*$)"))
+
+
 def normalize_body(
     text: Column, patterns: Sequence[str] = (), strip_page_numbers: bool = True, page_count: Column | None = None
 ) -> Column:
@@ -95,7 +111,7 @@ def normalize_body(
         may = reduce(lambda c, p: c | line.rlike(p), patterns, line.rlike(r"(?U)\A\s*+(?:#|\*{0,2}\d{1,4}\*{0,2}\s*\z)"))
         return F.when(~may, F.array(line)).when(emptied | number, nothing).otherwise(F.array(cut))
 
-    return limit_blank_runs(map_lines(text, rule))
+    return limit_blank_runs(F.when(_may_change(text, patterns), map_lines(text, rule)).otherwise(text))
 
 
 # The column labels of the two stat profiles and the form of a value.

@@ -16,14 +16,14 @@ from ..functions import text as X
 from .lines import is_code, is_table, join_segments, lines_of, segments
 
 
-def map_blocks(text: Column, rule: Callable[[Column], Column]) -> Column:
-    """Apply ``rule`` to every table block outside fences."""
+def map_blocks(text: Column, rule: Callable[[Column], Column], may: Column | None = None) -> Column:
+    """Apply ``rule`` to every table block outside fences; only to texts that ``may`` holds for, where it is given."""
 
     def one(segment: Column) -> Column:
         new = F.array_join(F.transform(X.let(lines_of(segment), rule), lambda x: F.concat(x, F.lit("\n"))), "")
         return F.when(is_table(segment), new).otherwise(segment)
 
-    return F.when(F.contains(text, F.lit("|")), join_segments(F.transform(segments(text), one))).otherwise(text)
+    return F.when(F.contains(text, F.lit("|")) if may is None else may, join_segments(F.transform(segments(text), one))).otherwise(text)
 
 
 def map_blocks_with(rows: DataFrame, key: str, text: str, rule: Callable[[list[str]], list[str]]) -> DataFrame:
@@ -214,24 +214,42 @@ def merge_names_block(block: Column) -> Column:
     return _merge(block, wraps, after_separator=True)
 
 
+# One look at a whole text, which a rule needs before it can change anything there. Each expression finds all that the rule takes, and
+# may find more: rows inside fences, rows in the middle of a block. A text it doesn't match is not cut.
+_IN_LINE = r"[\s|&&[^\n]]"
+_ROW_START, _SEP_START = r"^\s*+\|", r"\s*+\|[\s|]*+:?+-{3}"
+#: A row whose first cell is empty, and a separator below it.
+_MAY_PROMOTE = rf"(?dmU){_ROW_START}\s*+\|[^\n]*+\n{_SEP_START}"
+#: A row with only its first cell filled, and a separator below it.
+_MAY_LABEL = rf"(?dmU){_ROW_START}\s*+[^\s|][^\n|]*+[\s|]*+:?+-{{3}}"
+#: A separator below two rows.
+_MAY_COLLAPSE = rf"(?dmU){_ROW_START}[^\n]*+\n\s*+\|[^\n]*+\n{_SEP_START}"
+_MAY_SPLIT = r"(?iU)Am\s+Traits"
+#: A row with one filled cell, or with only the first one filled.
+_MAY_WRAP = rf"(?dmU){_ROW_START}[\s|]*+[^\s|][^\n|]*+{_IN_LINE}*+$"
+_MAY_NAME = rf"(?dmU){_ROW_START}\s*+[^\s|][^\n|]*+{_IN_LINE}*+$"
+#: A cell that goes on in the next row: it ends with a comma or with the first word of a known trait.
+_MAY_GO_ON = rf"(?dmU),[\s&&[^\n]]*+(?:\||$)|{'|'.join(sorted({t.split()[0] for t in X.MULTIWORD_TRAITS}))}"
+
+
 def promote_header(text: Column) -> Column:
-    return map_blocks(text, promote_header_block)
+    return map_blocks(text, promote_header_block, text.rlike(_MAY_PROMOTE))
 
 
 def collapse_headers(text: Column) -> Column:
-    return map_blocks(text, collapse_header_block)
+    return map_blocks(text, collapse_header_block, text.rlike(_MAY_COLLAPSE))
 
 
 def split_fused(text: Column) -> Column:
-    return map_blocks(text, split_fused_block)
+    return map_blocks(text, split_fused_block, text.rlike(_MAY_SPLIT))
 
 
 def merge_wrapped_rows(text: Column) -> Column:
-    return map_blocks(text, merge_wrapped_block)
+    return map_blocks(text, merge_wrapped_block, text.rlike(_MAY_GO_ON) & text.rlike(_MAY_WRAP))
 
 
 def merge_wrapped_names(text: Column) -> Column:
-    return map_blocks(text, merge_names_block)
+    return map_blocks(text, merge_names_block, text.rlike(_MAY_NAME))
 
 
 def promote_label_row(text: Column) -> Column:
@@ -253,7 +271,7 @@ def promote_label_row(text: Column) -> Column:
 
         return join_segments(F.transform(parts, one))
 
-    return F.when(F.contains(text, F.lit("|")), X.let(segments(text), whole)).otherwise(text)
+    return F.when(text.rlike(_MAY_LABEL), X.let(segments(text), whole)).otherwise(text)
 
 
 RULES = (promote_header, promote_label_row, collapse_headers, split_fused, merge_wrapped_rows, merge_wrapped_names)

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import text as X
@@ -34,12 +34,12 @@ class Extracted:
     observed: Mapping[str, int]
 
 
-def normalize_pages(pages: DataFrame, options: Mapping[str, object] = {}, page_counts: DataFrame | None = None, heading_maps: DataFrame | None = None) -> Extracted:
+def normalize_pages(pages: DataFrame, options: Mapping[str, object] = {}, page_counts: DataFrame | Column | None = None, heading_maps: DataFrame | None = None) -> Extracted:
     """``pages(source_slug, page, text)`` with their texts normalised, and the guard's findings.
 
     Order: control characters, image sentinels, furniture, heading words, stat profiles, equipment, then the table rules between
     two snapshots that the guard compares. The ``structural`` tier stops after the image sentinels. Rules that are off are not
-    in the plan. Texts, the guard's findings and the numbers of characters are written by one job, which also observes their
+    in the plan. ``page_counts`` is a table, or a column of ``pages``, which needs no join. Texts, the guard's findings and the numbers of characters are written by one job, which also observes their
     sums: the findings are read again only where there are some.
     """
     cfg = DEFAULTS | dict(options)
@@ -48,7 +48,9 @@ def normalize_pages(pages: DataFrame, options: Mapping[str, object] = {}, page_c
     findings = F.array().cast(guards._NONE)
     if cfg["tier"] != "structural":
         count = F.lit(None).cast("int")
-        if page_counts is not None:
+        if isinstance(page_counts, Column):
+            count = page_counts
+        elif page_counts is not None:
             out, count = out.join(page_counts.select("source_slug", F.col("page_count").alias("__n")), "source_slug", "left"), F.col("__n")
         out = out.withColumn("text", lines.normalize_body(text, list(cfg["boilerplate_patterns"]), bool(cfg["strip_page_numbers"]), count)).drop("__n")
         if cfg["fix_heading_spaces"] and heading_maps is not None:
