@@ -149,7 +149,11 @@ def near_duplicates(
     component of null ids only has a null component_id); repeated rows are returned as often as they come; extra
     columns are not read. An empty table gives an empty result.
     """
-    prints = checkpoint(fingerprints(docs, shingle, doc_id, text))
+    return components(checkpoint(fingerprints(docs, shingle, doc_id, text)), distance, parts, hot)
+
+
+def components(prints: DataFrame, distance: int = 2, parts: int = 2, hot: int = 4096) -> DataFrame:
+    """:func:`near_duplicates` of fingerprints ``prints(doc_id, fp)`` that are there already, written or checkpointed."""
     nodes = checkpoint(prints.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")))
     roots = connected_components(links(nodes.select("fp"), distance, parts, hot))
     linked = nodes.join(roots.withColumnRenamed("node", "fp"), "fp")

@@ -1,4 +1,5 @@
-"""Near-duplicate removal by exact shingle similarity: a prefix-filtered self-join, verified on whole shingle sets."""
+"""Near-duplicate removal by exact shingle similarity: SimHash components by multi-index hashing, verified on whole shingle sets, then a
+prefix-filtered self-join for the links between texts whose fingerprints lie further apart."""
 
 from __future__ import annotations
 
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from . import simhash
 from .common import checkpoint, fresh, map_batches, release, texts_of
 from .components import connected_components
 
@@ -81,8 +83,8 @@ def frequent_tokens(docs: DataFrame, shingle: int, max_docs: int, max_tokens: in
 
 
 def prefixes(docs: DataFrame, shingle: int, share: float, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """``(doc_id, row, node, n, prefix, rare, bits)``: the node of a row's words, its number of shingles and their rarest
-    ones, of which the first ``rare`` are not among the frequent ones, and a bitmap of 1024 places for all of them.
+    """``(doc_id, row, node, n, prefix, rare, bits, fp)``: the node of a row's words, its number of shingles and their rarest
+    ones, of which the first ``rare`` are not among the frequent ones, a bitmap of 1024 places for all of them, and the SimHash.
 
     Shingles stand in one order for all texts, rare ones first. Sets of similarity ``share`` or more have a shingle in
     common among the first ``n - ceil(share * n) + 1`` of each, whatever the order.
@@ -91,7 +93,7 @@ def prefixes(docs: DataFrame, shingle: int, share: float, frequent: tuple[np.nda
 
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
         cache: dict[bytes, int] = {}
-        nodes, sizes, prefix, rare, bits = [], [], [], [], []
+        nodes, sizes, prefix, rare, bits, prints = [], [], [], [], [], []
         for text in texts_of(batch):
             words = words_of(text)
             found = tokens(words, shingle, cache)
@@ -105,12 +107,13 @@ def prefixes(docs: DataFrame, shingle: int, share: float, frequent: tuple[np.nda
             places = np.zeros(1024, np.uint8)
             places[(found >> np.uint64(54)).astype(np.int64)] = 1
             bits.append(np.packbits(places).view(np.int64))
+            prints.append(simhash.fingerprint(text, shingle))
             nodes.append(xxhash.xxh64_intdigest(b" ".join(words), SEED))
             sizes.append(n)
             prefix.append(found[: n - least_common(n, share) + 1].view(np.int64))
-        yield {"doc_id": batch.column(0), "row": batch.column(1), "node": pa.array(np.array(nodes, np.uint64).view(np.int64)), "n": sizes, "prefix": pa.array(prefix, pa.list_(pa.int64())), "rare": rare, "bits": pa.array(bits, pa.list_(pa.int64()))}
+        yield {"doc_id": batch.column(0), "row": batch.column(1), "node": pa.array(np.array(nodes, np.uint64).view(np.int64)), "n": sizes, "prefix": pa.array(prefix, pa.list_(pa.int64())), "rare": rare, "bits": pa.array(bits, pa.list_(pa.int64())), "fp": pa.array(np.array(prints, np.uint64).view(np.int64))}
 
-    return map_batches(docs, "doc_id long, row long, node long, n int, prefix array<long>, rare int, bits array<long>", run)
+    return map_batches(docs, "doc_id long, row long, node long, n int, prefix array<long>, rare int, bits array<long>, fp long", run)
 
 
 #: Numbers that give a bucket's members further orders; the first in an order is a pivot.
@@ -164,6 +167,26 @@ def plausible(x: str, y: str, share: float) -> Column:
     return sizes & (apart <= F.lit((1 - share) / (1 + share)) * (n_x + n_y) + 1e-6)
 
 
+def pairs_by_index(nodes: DataFrame, distance: int) -> DataFrame:
+    """Pairs ``(a, b)`` of each of ``nodes(node, fp)`` with the first one of its SimHash component, which multi-index hashing finds.
+
+    One pair a node at most, however many fingerprints lie close together.
+    """
+    prints = checkpoint(nodes.select(F.col("node").alias("doc_id"), "fp"))
+    found = simhash.components(prints, distance).where("doc_id <> component_id").select(*_ordered(F.col("doc_id"), F.col("component_id")))
+    pairs = checkpoint(found)
+    release(prints)
+    return pairs
+
+
+def pairs_apart(pairs: DataFrame, component: DataFrame) -> DataFrame:
+    """Those of ``pairs(a, b)`` whose sides are in different components."""
+    moved = component.where("node <> component")
+    side = lambda s: moved.select(F.col("node").alias(s), F.col("component").alias(f"of_{s}"))
+    both = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
+    return both.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
+
+
 def open_buckets(entries: DataFrame, component: DataFrame) -> DataFrame:
     """``(token, node, component, major)`` of the buckets whose members are in several components; ``major`` is the largest."""
     of = entries.join(component, "node").select("token", "node", "component")
@@ -235,11 +258,12 @@ def similar_pairs(rows: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle:
     return found
 
 
-def similar_components(rows: DataFrame, nodes: DataFrame, shingle: int, share: float, small: int = 2, rounds: int = 2) -> DataFrame:
-    """``(node, component)``: which of ``nodes(node, row, n, prefix, rare, bits)`` links of similarity ``share`` or more join.
+def similar_components(rows: DataFrame, nodes: DataFrame, shingle: int, share: float, small: int = 2, rounds: int = 2, distance: int = 2) -> DataFrame:
+    """``(node, component)``: which of ``nodes(node, row, n, prefix, rare, bits, fp)`` links of similarity ``share`` or more join.
 
-    Only components are asked for, so a group of any number of similar texts need not be expanded into pairs. Buckets of
-    at most ``small`` texts give all their pairs. Larger ones first give pairs with a few pivots, in ``rounds`` rounds over
+    Only components are asked for, so a group of any number of similar texts need not be expanded into pairs. First come the
+    SimHash components of fingerprints within ``distance`` bits, each text verified against the first of its own. What these leave apart
+    is found by prefix shingles. Buckets of at most ``small`` texts give all their pairs. Larger ones first give pairs with a few pivots, in ``rounds`` rounds over
     those whose members are still in several components; at last the pairs across the components that are left. A pair
     is left out only if both of its texts are in one component already, so no component is missed.
     """
@@ -266,7 +290,11 @@ def similar_components(rows: DataFrame, nodes: DataFrame, shingle: int, share: f
         release(component, links)
         return both
 
-    component = joined(verified(pairs_of_small(entries, small).union(pairs_with_pivots(large, _ORDERS[:1])).distinct()))
+    close = pairs_by_index(nodes, distance)
+    component = joined(verified(close))
+    release(close)
+    first = pairs_of_small(entries, small).union(pairs_with_pivots(large, _ORDERS[:1])).distinct()
+    component = added(component, verified(pairs_apart(first, component)))
     for r in range(1, rounds + 1):
         found = open_buckets(large, component)
         if found.head(1):
@@ -297,9 +325,9 @@ def drop_similar(docs: DataFrame, shingle: int = 5, share: float = 0.8, max_docs
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row.alias("row"), "text")
     frequent = frequent_tokens(rows, shingle, max_docs, max_tokens)
     best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row"))
-    of_node = [F.first(c).alias(c) for c in ("n", "prefix", "rare", "bits")]
+    of_node = [F.first(c).alias(c) for c in ("n", "prefix", "rare", "bits", "fp")]
     prints = checkpoint(prefixes(rows, shingle, share, frequent).groupBy("node").agg(best.alias("best"), *of_node))
-    nodes = prints.select("node", "best", F.col("best.row").alias("row"), "n", "prefix", "rare", "bits")
+    nodes = prints.select("node", "best", F.col("best.row").alias("row"), "n", "prefix", "rare", "bits", "fp")
     component = similar_components(rows, nodes, shingle, share, **options)
     of = nodes.select("node", "best").join(component, "node")
     best_row = of.groupBy("component").agg(F.min("best").alias("best"))
