@@ -9,7 +9,7 @@ import tempfile
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -40,14 +40,29 @@ def checkpoint(df: DataFrame) -> DataFrame:
         session.conf.unset(key) if was is None else session.conf.set(key, was)
 
 
+#: Rows of a counted table that a task reads at most on the average, unless the cluster has more cores to read with.
+TASK_ROWS = 50_000
+
+
+def observed(df: DataFrame, **sums: Column) -> tuple[DataFrame, dict]:
+    """:func:`checkpoint` of ``df``, its count ``n`` and other aggregates of its rows.
+
+    They are made while the rows are written, so without a job of their own. As the count is known, the files are read back in
+    as many tasks as the rows need, not in one for each, however small.
+    """
+    seen = Observation()
+    written = checkpoint(df.observe(seen, F.count(F.lit(1)).alias("n"), *[of.alias(name) for name, of in sums.items()]))
+    return written.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-seen.get["n"] // TASK_ROWS))), seen.get
+
+
 def release(*frames: DataFrame) -> None:
-    """Delete the files of frames that :func:`checkpoint` gave, so that they don't fill the shared folder until the job's end.
+    """Delete the files of frames that :func:`checkpoint` or :func:`observed` gave, so that they don't fill the shared folder until the job's end.
 
     Only for frames that nothing will read again: all that was made of them must be checkpointed itself, so that no lost
     executor leads back to them.
     """
     for df in frames:
-        file = df._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+        file = df._jdf.queryExecution().analyzed().collectLeaves().head().rdd().getCheckpointFile()
         if file.isDefined():
             context = df.sparkSession.sparkContext
             path = context._jvm.org.apache.hadoop.fs.Path(file.get())

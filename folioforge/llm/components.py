@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, release
+from .common import observed, release
 
 
-def _digest(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)"))).head()
-    return row[0], row[1]
+def _written(edges: DataFrame) -> tuple[DataFrame, dict]:
+    return observed(edges, digest=F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)")))
 
 
 def connected_components(pairs: DataFrame) -> DataFrame:
@@ -18,25 +17,20 @@ def connected_components(pairs: DataFrame) -> DataFrame:
 
     Every round hangs nodes below the smallest neighbour they know of, until each component is a star. All state is
     two-column tables in the shared checkpoint folder; nothing about nodes or links comes to the driver but a count and
-    a hash sum, by which a round without change is noticed.
+    a hash sum, by which a round without change is noticed; they are taken while the links are written. No other job is run.
     """
-    edges = checkpoint(
-        pairs.where("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct()
-    )
-    before = _digest(edges)
-    while before[0]:
-        both = edges.select(F.col("hi").alias("x"), F.col("lo").alias("y")).unionByName(
-            edges.select(F.col("lo").alias("x"), F.col("hi").alias("y"))
-        )
+    edges, before = _written(pairs.where("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct())
+    while before["n"]:
+        ends = F.array(F.struct(F.col("hi").alias("x"), F.col("lo").alias("y")), F.struct(F.col("lo").alias("x"), F.col("hi").alias("y")))
+        both = edges.select(F.explode(ends).alias("e")).select("e.x", "e.y")
         least = both.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m"))
         large = both.join(least, "x").where("y > x").select(F.col("y").alias("hi"), F.col("m").alias("lo")).distinct()
         smallest = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = large.join(smallest, "hi").select(
             F.when(F.col("lo") == F.col("m"), F.col("hi")).otherwise(F.col("lo")).alias("hi"), F.col("m").alias("lo")
         )
-        last, edges = edges, checkpoint(small.where("hi <> lo").distinct())
+        last, (edges, after) = edges, _written(small.where("hi <> lo").distinct())
         release(last)
-        after = _digest(edges)
         if after == before:
             break
         before = after

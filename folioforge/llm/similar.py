@@ -1,4 +1,4 @@
-"""Near-duplicate removal by exact shingle similarity: SimHash components by multi-index hashing, verified on whole shingle sets, then a
+"""Near-duplicate removal by exact shingle similarity: SimHash links by multi-index hashing, verified on whole shingle sets, then a
 prefix-filtered self-join for the links between texts whose fingerprints lie further apart."""
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import simhash
-from .common import checkpoint, fresh, map_batches, release, texts_of
+from .common import checkpoint, fresh, map_batches, observed, release, texts_of
 from .components import connected_components
 
 SEED = 42
@@ -138,21 +138,21 @@ def buckets(nodes: DataFrame) -> DataFrame:
 
 
 def pairs_of_small(entries: DataFrame, small: int) -> DataFrame:
-    """All pairs ``(a, b)`` of buckets of at most ``small`` texts: less than ``small / 2`` for each entry."""
+    """All pairs ``(a, b)``, with repeats, of buckets of at most ``small`` texts: less than ``small / 2`` for each entry."""
     some = entries.where(F.col("texts") <= small)
     on = (F.col("x.token") == F.col("y.token")) & (F.col("x.node") < F.col("y.node"))
-    return some.alias("x").join(some.alias("y"), on).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    return some.alias("x").join(some.alias("y"), on).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
 
 
 def pairs_with_pivots(entries: DataFrame, orders: Sequence[int]) -> DataFrame:
-    """Pairs ``(a, b)`` of the members of each of ``entries(token, node)``'s buckets with the bucket's pivots.
+    """Pairs ``(a, b)``, with repeats, of the members of each of ``entries(token, node)``'s buckets with the bucket's pivots.
 
     A pivot is the first member in an order of all nodes, so that buckets with the same members have the same one.
     """
     first = [F.min(F.col("node").bitwiseXOR(F.lit(c))).alias(f"p{i}") for i, c in enumerate(orders)]
     pivots = entries.groupBy("token").agg(*first).select("token", F.array(*[F.col(f"p{i}").bitwiseXOR(F.lit(c)) for i, c in enumerate(orders)]).alias("pivots"))
     met = entries.join(pivots, "token").select("node", F.explode(F.array_distinct("pivots")).alias("pivot")).where("node <> pivot")
-    return met.select(*_ordered(F.col("node"), F.col("pivot"))).distinct()
+    return met.select(*_ordered(F.col("node"), F.col("pivot")))
 
 
 def plausible(x: str, y: str, share: float) -> Column:
@@ -168,23 +168,32 @@ def plausible(x: str, y: str, share: float) -> Column:
 
 
 def pairs_by_index(nodes: DataFrame, distance: int) -> DataFrame:
-    """Pairs ``(a, b)`` of each of ``nodes(node, fp)`` with the first one of its SimHash component, which multi-index hashing finds.
+    """Pairs ``(a, b)`` of each of ``nodes(node, fp)`` with the first one of its SimHash or, for that one, of the smallest SimHash near by.
 
-    One pair a node at most, however many fingerprints lie close together.
+    Multi-index hashing finds what is near by. One pair a node at most, however many fingerprints lie close together; the
+    pairs alone connect every node with the smallest SimHash around it, so no components of fingerprints are made.
     """
-    prints = checkpoint(nodes.select(F.col("node").alias("doc_id"), "fp"))
-    found = simhash.components(prints, distance).where("doc_id <> component_id").select(*_ordered(F.col("doc_id"), F.col("component_id")))
-    pairs = checkpoint(found)
+    prints, _ = observed(nodes.groupBy("fp").agg(F.min("node").alias("first")))
+    least = simhash.links(prints.select("fp"), distance).groupBy(F.col("b").alias("fp")).agg(F.min("a").alias("near"))
+    near = least.join(prints.select(F.col("fp").alias("near"), F.col("first").alias("up")), "near").select("fp", "up")
+    of = nodes.select("node", "fp").join(prints.join(near, "fp", "left"), "fp")
+    other = of.select("node", F.when(F.col("node") == F.col("first"), F.col("up")).otherwise(F.col("first")).alias("other"))
+    pairs, _ = observed(other.where("other IS NOT NULL").select(*_ordered(F.col("node"), F.col("other"))))
     release(prints)
     return pairs
 
 
-def pairs_apart(pairs: DataFrame, component: DataFrame) -> DataFrame:
-    """Those of ``pairs(a, b)`` whose sides are in different components."""
+def with_components(pairs: DataFrame, component: DataFrame) -> DataFrame:
+    """``pairs(a, b)`` with the components of both sides, ``of_a`` and ``of_b``."""
     moved = component.where("node <> component")
     side = lambda s: moved.select(F.col("node").alias(s), F.col("component").alias(f"of_{s}"))
     both = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
-    return both.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
+    return both.select("a", "b", F.coalesce("of_a", "a").alias("of_a"), F.coalesce("of_b", "b").alias("of_b"))
+
+
+def pairs_apart(pairs: DataFrame, component: DataFrame) -> DataFrame:
+    """Those of ``pairs(a, b)`` whose sides are in different components."""
+    return with_components(pairs, component).where("of_a <> of_b").select("a", "b")
 
 
 def open_buckets(entries: DataFrame, component: DataFrame) -> DataFrame:
@@ -192,7 +201,7 @@ def open_buckets(entries: DataFrame, component: DataFrame) -> DataFrame:
     of = entries.join(component, "node").select("token", "node", "component")
     sizes = of.groupBy("token", "component").agg(F.count(F.lit(1)).alias("n"))
     several = sizes.groupBy("token").agg(F.max_by("component", "n").alias("major"), F.count(F.lit(1)).alias("k")).where("k > 1").select("token", "major")
-    return checkpoint(of.join(several, "token"))
+    return observed(of.join(several, "token"))[0]
 
 
 def pairs_across(found: DataFrame, nodes: DataFrame, share: float) -> DataFrame:
@@ -208,39 +217,44 @@ def pairs_across(found: DataFrame, nodes: DataFrame, share: float) -> DataFrame:
     return x.join(y, on).select(*_ordered(F.col("x.node"), F.col("y.node"))).distinct()
 
 
-def few_nodes(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The rows of ``nodes`` that ``pairs(a, b)`` name, so that the arrays of others are not shuffled."""
+def few_nodes(pairs: DataFrame, count: int, nodes: DataFrame) -> DataFrame:
+    """``(node, row, n, bits, shorts, more)`` of those ``nodes`` that the ``count`` rows of ``pairs(a, b)`` name, for :func:`possible`.
+
+    Of a shingle of the prefix 16 bits are kept; ``more`` of them are not told apart by these.
+    """
     named = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    # A table of few ids is broadcast, so that no array is shuffled for the selection.
-    return nodes.join(F.broadcast(named) if pairs.count() <= 500_000 else named, "node", "left_semi")
+    # A table of few ids is broadcast, so that the arrays of other nodes are not shuffled for the selection.
+    some = nodes.join(F.broadcast(named) if count <= 500_000 else named, "node", "left_semi")
+    shorts = F.array_distinct(F.transform("prefix", lambda t: F.shiftright(F.shiftleft(t, 16), 48).cast("smallint")))
+    some = some.select("node", "row", "n", "bits", F.size("prefix").alias("all"), shorts.alias("shorts"))
+    return observed(some.select("node", "row", "n", "bits", "shorts", (F.col("all") - F.size("shorts")).alias("more")))[0]
 
 
-def possible(pairs: DataFrame, nodes: DataFrame, share: float) -> DataFrame:
-    """Those of ``pairs(a, b)`` that the sizes, bitmaps and prefixes of ``nodes(node, n, bits, prefix)`` do not rule out.
+def possible(pairs: DataFrame, some: DataFrame, share: float) -> DataFrame:
+    """Those of ``pairs(a, b)`` that the sizes, bitmaps and prefixes of their :func:`few_nodes` do not rule out.
 
     Common shingles up to the end of the prefix that ends first stand in both prefixes; so the overlap is at most the
     number of shingles that the prefixes share and what the longer remainder holds. Of a shingle 16 bits go to its pair: shingles
     of one prefix that these don't tell apart may all be shared, so as many are added.
     """
-    short = lambda s: few_nodes(pairs, nodes).select(F.col("node").alias(s), F.col("n").alias(f"{s}_n"), F.col("bits").alias(f"{s}_bits"))
-    sized = checkpoint(pairs.join(short("a"), "a").join(short("b"), "b").where(plausible("a_", "b_", share)).select("a", "b", F.col("a_n").alias("n_a"), F.col("b_n").alias("n_b")))
-    bits = F.array_distinct(F.transform("prefix", lambda t: F.shiftright(F.shiftleft(t, 16), 48).cast("smallint")))
-    alike = few_nodes(sized, nodes).select("node", F.size("prefix").alias("all"), bits.alias("bits"))
-    side = lambda s: alike.select(F.col("node").alias(s), F.col("bits").alias(f"bits_{s}"), (F.col("all") - F.size("bits")).alias(f"more_{s}"))
+    short = lambda s: some.select(F.col("node").alias(s), F.col("n").alias(f"{s}_n"), F.col("bits").alias(f"{s}_bits"))
+    sized, _ = observed(pairs.join(short("a"), "a").join(short("b"), "b").where(plausible("a_", "b_", share)).select("a", "b", F.col("a_n").alias("n_a"), F.col("b_n").alias("n_b")))
+    side = lambda s: some.select(F.col("node").alias(s), F.col("shorts").alias(f"shorts_{s}"), F.col("more").alias(f"more_{s}"))
     both = sized.join(side("a"), "a").join(side("b"), "b")
-    shared = F.size(F.array_intersect("bits_a", "bits_b")) + F.least("more_a", "more_b")
+    shared = F.size(F.array_intersect("shorts_a", "shorts_b")) + F.least("more_a", "more_b")
     remainder = F.ceil(F.lit(share) * F.greatest("n_a", "n_b") - 1e-9) - 1
     overlap = F.lit(share / (1 + share)) * (F.col("n_a") + F.col("n_b")) - 1e-6
-    found = checkpoint(both.where(shared + remainder >= overlap).select("a", "b"))
+    found, _ = observed(both.where(shared + remainder >= overlap).select("a", "b"))
     release(sized)
     return found
 
 
 def similar_pairs(rows: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int, share: float) -> DataFrame:
     """Those of ``pairs(a, b)`` whose texts, those of the nodes' ``row`` in ``rows(row, text)``, have similarity ``share``."""
-    asked = checkpoint(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(nodes.select("node", "row"), "node"))
+    named = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    asked, seen = observed(named.join(nodes.select("node", "row"), "node"))
     # A table of few ids is broadcast, so that the texts need no shuffle.
-    few = F.broadcast(asked) if asked.count() <= 200_000 else asked
+    few = F.broadcast(asked) if seen["n"] <= 200_000 else asked
     texts = checkpoint(rows.select("row", "text").join(few, "row").dropDuplicates(["node"]).select("node", "text"))
     both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
 
@@ -253,7 +267,7 @@ def similar_pairs(rows: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle:
         keep = pa.array(good, pa.bool_())
         yield {"a": batch.column(0).filter(keep), "b": batch.column(1).filter(keep)}
 
-    found = checkpoint(map_batches(both.select("a", "b", "text_a", "text_b"), "a long, b long", run))
+    found, _ = observed(map_batches(both.select("a", "b", "text_a", "text_b"), "a long, b long", run))
     release(asked, texts)
     return found
 
@@ -262,8 +276,8 @@ def similar_components(rows: DataFrame, nodes: DataFrame, shingle: int, share: f
     """``(node, component)``: which of ``nodes(node, row, n, prefix, rare, bits, fp)`` links of similarity ``share`` or more join.
 
     Only components are asked for, so a group of any number of similar texts need not be expanded into pairs. First come the
-    SimHash components of fingerprints within ``distance`` bits, each text verified against the first of its own. What these leave apart
-    is found by prefix shingles. Buckets of at most ``small`` texts give all their pairs. Larger ones first give pairs with a few pivots, in ``rounds`` rounds over
+    links of fingerprints within ``distance`` bits, each text verified against one near by. What these leave apart is found by prefix
+    shingles. Buckets of at most ``small`` texts give all their pairs. Larger ones first give pairs with a few pivots, in ``rounds`` rounds over
     those whose members are still in several components; at last the pairs across the components that are left. A pair
     is left out only if both of its texts are in one component already, so no component is missed.
     """
@@ -271,27 +285,26 @@ def similar_components(rows: DataFrame, nodes: DataFrame, shingle: int, share: f
     large = entries.where(F.col("texts") > small)
 
     def verified(pairs: DataFrame) -> DataFrame:
-        candidates = checkpoint(pairs)
-        able = possible(candidates, nodes, share)
-        links = similar_pairs(rows, nodes, able, shingle, share)
-        release(candidates, able)
+        candidates, seen = observed(pairs)
+        some = few_nodes(candidates, seen["n"], nodes)
+        able = possible(candidates, some, share)
+        links = similar_pairs(rows, some, able, shingle, share)
+        release(candidates, some, able)
         return links
 
-    def joined(links: DataFrame) -> DataFrame:
-        roots = connected_components(links)
-        return checkpoint(nodes.select("node").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("component")))
-
     def added(component: DataFrame, links: DataFrame) -> DataFrame:
-        """The components with further links: the star of each component stands for its links."""
+        """The components with further links, each component taken as one node."""
         if not links.head(1):
             return component
-        star = component.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-        both = joined(star.union(links))
+        between = with_components(links, component).select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
+        roots = connected_components(between).select(F.col("node").alias("component"), "root")
+        both, _ = observed(component.join(roots, "component", "left").select("node", F.coalesce("root", "component").alias("component")))
         release(component, links)
         return both
 
     close = pairs_by_index(nodes, distance)
-    component = joined(verified(close))
+    alone, _ = observed(nodes.select("node", F.col("node").alias("component")))
+    component = added(alone, verified(close))
     release(close)
     first = pairs_of_small(entries, small).union(pairs_with_pivots(large, _ORDERS[:1])).distinct()
     component = added(component, verified(pairs_apart(first, component)))
@@ -304,7 +317,7 @@ def similar_components(rows: DataFrame, nodes: DataFrame, shingle: int, share: f
                 orders = _ORDERS[2 * r : 2 * r + 2]
                 inside, outside = found.where("component = major"), found.where("component <> major")
                 first = inside.groupBy("token").agg(F.min(F.col("node").bitwiseXOR(F.lit(orders[0]))).bitwiseXOR(F.lit(orders[0])).alias("pivot"))
-                with_major = outside.join(first, "token").select(*_ordered(F.col("node"), F.col("pivot"))).distinct()
+                with_major = outside.join(first, "token").select(*_ordered(F.col("node"), F.col("pivot")))
                 more = with_major.union(pairs_with_pivots(outside, orders)).distinct()
             component = added(component, verified(more))
         release(found)
