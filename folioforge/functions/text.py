@@ -17,8 +17,11 @@ BLANK = r"[\s&&[^\n]]"
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with the value worked out once, however often ``use`` names it."""
-    return F.element_at(F.transform(F.array(value), use), 1)
+    """``use(value)`` with the value worked out once, however often ``use`` names it.
+
+    A fold over nothing gives its start to ``use`` as it is; ``transform`` would copy the value, and all strings in it.
+    """
+    return F.aggregate(F.array().cast("array<int>"), value, lambda v, _: v, use)
 
 
 def strip(c: Column) -> Column:
@@ -76,10 +79,13 @@ def strip_leaders(c: Column) -> Column:
 def split_cells(c: Column) -> Column:
     """Trimmed cells of a table row, one outer pipe dropped at each side; a pipe always parts cells.
 
-    White space at pipes and at both ends goes in one pass over the row, so the work does not grow with its cells.
+    White space at pipes and at both ends goes in one pass over the row, so the work does not grow with its cells. A row without any
+    is only cut at its ends.
     """
-    tight = F.when(c.rlike(r"(?U)\s"), F.regexp_replace(c, r"(?U)\A\s++|(?<=\|)\s++|(?<!\s)\s++(?:\z|(?=\|))", "")).otherwise(c)
-    return F.split(F.regexp_replace(tight, r"\A\||\|\z", ""), r"\|", -1)
+    tight = F.regexp_replace(c, r"(?U)\A\s++|(?<=\|)\s++|(?<!\s)\s++(?:\z|(?=\|))", "")
+    first = F.startswith(c, F.lit("|")).cast("int")
+    inner = F.substring(c, first + 1, F.length(c) - first - F.endswith(c, F.lit("|")).cast("int"))
+    return F.split(F.when(c.rlike(r"(?U)\s"), F.regexp_replace(tight, r"\A\||\|\z", "")).otherwise(inner), r"\|", -1)
 
 
 def is_separator(cells: Column, dashes: int = 3) -> Column:

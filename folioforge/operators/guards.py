@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from .lines import is_code, is_hash_line, is_table, lines_of, segments
-from .tables import at, cells_of, is_demoted_header, is_demoted_label_row, promote_label_row, separator_index
+from .tables import at, begins_demoted, begins_labelled, cells_of, head_of, promote_label_row, separator_index
 
 
 def blocks(text: Column) -> Column:
@@ -15,33 +15,42 @@ def blocks(text: Column) -> Column:
     return F.transform(F.filter(segments(text), is_table), lines_of)
 
 
-def data_rows(block: Column) -> Column:
-    """Cells of the rows that hold data: behind the separator, and behind a demoted label row; all without a separator."""
+def data_lines(block: Column) -> Column:
+    """The rows that hold data: behind the separator, and behind a demoted label row; all without a separator.
+
+    Where they begin is told by the cells of the first rows; others are cut only where the separator is not among these.
+    """
 
-    def rule(cells: Column) -> Column:
-        demoted = is_demoted_header(cells) | is_demoted_label_row(cells)
-        first = F.when(demoted, F.lit(3)).otherwise(F.coalesce(separator_index(cells) + 1, F.lit(0)))
-        return F.slice(cells, first + 1, F.size(cells))
+    def rule(head: Column) -> Column:
+        demoted = begins_demoted(head, block) | begins_labelled(head, block)
+        first = F.when(demoted, F.lit(3)).otherwise(F.coalesce(separator_index(head) + 1, separator_index(cells_of(block)) + 1, F.lit(0)))
+        return F.slice(block, first + 1, F.size(block))
 
-    return X.let(cells_of(block), rule)
+    return X.let(head_of(block), rule)
+
+
+def data_rows(block: Column) -> Column:
+    """Cells of the rows that hold data (see :func:`data_lines`)."""
+    return cells_of(data_lines(block))
 
 
 def _tokens(rows: Column) -> Column:
-    return F.sort_array(F.regexp_extract_all(F.array_join(F.flatten(rows), " "), F.lit(r"(?U)\S+"), F.lit(0)))
+    """White-space tokens of the cells of table lines, in order: no cell need be cut out, since only pipes part them."""
+    return F.regexp_extract_all(F.array_join(rows, "|"), F.lit(r"(?U)[^\s|]++"), F.lit(0))
 
 
 def _anchors(rows: Column) -> Column:
-    return F.filter(F.transform(rows, lambda r: at(r, 0)), lambda c: c.isNotNull() & (c != ""))
+    return F.filter(F.transform(rows, lambda r: at(X.split_cells(r), 0)), lambda c: c.isNotNull() & (c != ""))
 
 
 def data_tokens(block: Column) -> Column:
     """White-space tokens of the data cells, sorted."""
-    return _tokens(data_rows(block))
+    return F.sort_array(_tokens(data_lines(block)))
 
 
 def anchors(block: Column) -> Column:
     """Filled first cells of the data rows, in order."""
-    return _anchors(data_rows(block))
+    return _anchors(data_lines(block))
 
 
 def _runs(tokens: Column, sign: int) -> Column:
@@ -95,10 +104,14 @@ def table_findings(before: Column, after: Column, order: bool = True) -> Column:
 
     def table(x: Column, y: Column, i: Column) -> Column:
         def rows(r: Column) -> Column:
-            def tokens(t: Column) -> Column:
+            def counted(t: Column) -> Column:
                 changed = F.transform(multiset_difference(t["b"], t["a"]), lambda d: _finding(kind=F.lit("token"), table_no=i, token=d["token"], delta=d["delta"]))
                 return F.when(t["b"] != t["a"], changed).otherwise(F.array().cast(_NONE))
 
+            def tokens(t: Column) -> Column:
+                # Tokens that stand in the same order need no sorting.
+                return F.when(t["b"] != t["a"], X.let(F.struct(F.sort_array(t["b"]).alias("b"), F.sort_array(t["a"]).alias("a")), counted)).otherwise(F.array().cast(_NONE))
+
             def moved(s: Column) -> Column:
                 def at(k: Column) -> Column:
                     one = _finding(kind=F.lit("order"), table_no=i, row_no=k, was=F.get(s["b"], k), now=F.get(s["a"], k))
@@ -109,10 +122,10 @@ def table_findings(before: Column, after: Column, order: bool = True) -> Column:
 
             both = lambda f: F.struct(f(r["b"]).alias("b"), f(r["a"]).alias("a"))
             found = X.let(both(_tokens), tokens)
-            # A rule that moves labels leaves the data cells as they were: then neither tokens nor anchors are cut.
+            # A rule that moves labels leaves the data rows as they were: then neither tokens nor anchors are cut.
             return F.when(r["b"] == r["a"], F.array().cast(_NONE)).otherwise(F.concat(found, X.let(both(_anchors), moved)) if order else found)
 
-        pair = F.struct(data_rows(x).alias("b"), data_rows(y).alias("a"))
+        pair = F.struct(data_lines(x).alias("b"), data_lines(y).alias("a"))
         return F.when(x == y, F.array().cast(_NONE)).otherwise(X.let(pair, rows))
 
     def texts(t: Column) -> Column:

@@ -30,13 +30,18 @@ def segments(text: Column) -> Column:
     return F.regexp_extract_all(F.concat(text, F.lit("\n")), F.lit(_SEGMENT), F.lit(0))
 
 
+def _unended(text: Column) -> Column:
+    """Without a line feed at the end."""
+    return F.substring(text, F.lit(1), F.length(text) - F.endswith(text, F.lit("\n")).cast("int"))
+
+
 def join_segments(parts: Column) -> Column:
-    return F.regexp_replace(F.array_join(parts, ""), r"\n\z", "")
+    return X.let(F.array_join(parts, ""), _unended)
 
 
 def lines_of(segment: Column) -> Column:
     """The lines of a segment, without the line feeds."""
-    return F.split(F.regexp_replace(segment, r"\n\z", ""), "\n", -1)
+    return F.split(_unended(segment), "\n", -1)
 
 
 def is_code(segment: Column) -> Column:

@@ -7,6 +7,7 @@ come out as they went in. A block is one table of one text, so the arrays are sm
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -70,15 +71,40 @@ def separator_index(cells: Column, dashes: int = 3) -> Column:
     return X.let(found, lambda n: F.when(n > 0, n.cast("int") - 1))
 
 
+#: Rows that tell how a table begins; what looks no further takes the cells of these, and cuts the others where it comes to their number.
+HEAD = 4
+
+
+def head_of(block: Column) -> Column:
+    """Cells of a table's first rows."""
+    return cells_of(F.slice(block, 1, HEAD))
+
+
+def _sizes(cells: Column, block: Column | None) -> tuple[Column, Callable[[Column], Column]]:
+    """The rows whose cells are counted, and how: those of ``cells``, or of all lines of ``block`` where ``cells`` is only its head."""
+    return (cells, F.size) if block is None else (block, lambda line: F.size(X.split_cells(line)))
+
+
+def _is_wide(cells: Column, block: Column | None) -> Column:
+    """Some row has six cells or more; looks no further than the first of them."""
+    rows, size = _sizes(cells, block)
+    return F.exists(rows, lambda r: size(r) >= 6)
+
+
 def is_demoted_header(cells: Column) -> Column:
     """A group row, the separator, and then the real labels of a weapon chart."""
+    return begins_demoted(cells, None)
+
+
+def begins_demoted(cells: Column, block: Column | None) -> Column:
+    """:func:`is_demoted_header` of all ``cells``, or of the head of ``block``."""
     group, labels = at(cells, 0), at(cells, 2)
     names = F.transform(labels, lambda c: F.upper(X.strip(F.regexp_replace(X.strip(c), r"\A\*+|\*+\z", ""))))
     has = lambda n, *xs: F.arrays_overlap(n, F.array(*[F.lit(x) for x in xs]))
     # The cheap tests stand first: most tables fail there.
     good = (
         (F.size(cells) >= 3) & (at(group, 0) == "") & (at(labels, 0) != "") & (F.size(group) == F.size(labels)) & X.is_separator(at(cells, 1))
-        & (width(cells) >= 6) & X.let(names, lambda n: has(n, "AP") & has(n, "D") & has(n, "AM", "TRAITS", "AM TRAITS"))
+        & _is_wide(cells, block) & X.let(names, lambda n: has(n, "AP") & has(n, "D") & has(n, "AM", "TRAITS", "AM TRAITS"))
     )
     return F.coalesce(good, F.lit(False))
 
@@ -89,13 +115,19 @@ _DATA_FIRST = r'(?i)\A(?:Unlimited|\d+-\d+|\d+|\d+["”]-\d+["”]|\d+["”]\+)\
 
 def is_demoted_label_row(cells: Column) -> Column:
     """A spanning title, the separator, and then the real labels of a table of two to five columns."""
+    return begins_labelled(cells, None)
+
+
+def begins_labelled(cells: Column, block: Column | None) -> Column:
+    """:func:`is_demoted_label_row` of all ``cells``, or of the head of ``block``."""
     group, labels = at(cells, 0), at(cells, 2)
     n = F.size(group)
+    rows, size = _sizes(cells, block)
     # Five columns at most, so it can't be a demoted header, which has six.
     good = (
         (F.size(cells) >= 4) & n.between(2, 5) & (F.size(labels) == n) & (at(group, 0) != "") & F.forall(F.slice(group, 2, 100), lambda c: c == "")
-        & (width(cells) == n) & X.is_separator(at(cells, 1)) & F.forall(labels, lambda c: c != "")
-        & ~at(labels, 0).rlike(_DATA_FIRST) & at(at(cells, 3), 0).rlike(_DATA_FIRST)
+        & X.is_separator(at(cells, 1)) & F.forall(labels, lambda c: c != "") & ~at(labels, 0).rlike(_DATA_FIRST) & at(at(cells, 3), 0).rlike(_DATA_FIRST)
+        & F.forall(rows, lambda r: size(r) <= n)
     )
     return F.coalesce(good, F.lit(False))
 
@@ -108,9 +140,9 @@ def _both(g: Column, h: Column, first_wins: bool) -> Column:
 def promote_header_block(block: Column) -> Column:
     def rule(cells: Column) -> Column:
         merged = F.zip_with(at(cells, 0), at(cells, 2), lambda g, h: _both(g, h, first_wins=False))
-        return F.when(is_demoted_header(cells), F.concat(F.array(render_row(merged)), F.slice(block, 2, 1), F.slice(block, F.lit(4), F.size(block)))).otherwise(block)
+        return F.when(begins_demoted(cells, block), F.concat(F.array(render_row(merged)), F.slice(block, 2, 1), F.slice(block, F.lit(4), F.size(block)))).otherwise(block)
 
-    return X.let(cells_of(block), rule)
+    return X.let(head_of(block), rule)
 
 
 def collapse_header_block(block: Column) -> Column:
@@ -120,9 +152,9 @@ def collapse_header_block(block: Column) -> Column:
         rest = F.slice(block, F.lit(3), F.size(block))
         folded = F.when(F.size(group) == F.size(header), F.concat(F.array(merged), rest)).otherwise(F.concat(F.slice(block, 2, 1), rest))
         third = X.is_separator(at(cells, 2)) & ~X.is_separator(at(cells, 0)) & ~X.is_separator(at(cells, 1))
-        return F.when(F.coalesce(third, F.lit(False)) & (width(cells) >= 6), folded).otherwise(block)
+        return F.when(F.coalesce(third, F.lit(False)) & _is_wide(cells, block), folded).otherwise(block)
 
-    return X.let(cells_of(block), rule)
+    return X.let(head_of(block), rule)
 
 
 def split_fused_block(block: Column) -> Column:
@@ -146,56 +178,56 @@ def split_fused_block(block: Column) -> Column:
             return F.when(sep.isNotNull(), F.transform(cells, one)).otherwise(block)
 
         places = F.struct(separator_index(cells).alias("sep"), F.array_position(F.transform(header, fused), True).cast("int").alias("j"))
-        good = F.exists(header, fused) & (F.size(F.filter(header, fused)) == 1) & (width(cells) >= 6) & F.forall(cells, lambda c: F.size(c) == F.size(header))
+        good = (F.size(F.filter(header, fused)) == 1) & _is_wide(cells, None) & F.forall(cells, lambda c: F.size(c) == F.size(header))
         return F.when(F.coalesce(good, F.lit(False)), X.let(places, split)).otherwise(block)
 
     return X.let(cells_of(block), rule)
 
 
-_ROW = "struct<raw:string,cells:array<string>,k:int,sep:boolean,dirty:boolean>"
-_STATE = f"struct<done:array<{_ROW}>,prev:{_ROW},tail:array<{_ROW}>,sep:boolean>"
+_LINES = "array<string>"
+_ROW = "struct<raw:string,cells:array<string>>"
+_STATE = f"struct<done:{_LINES},prev:{_ROW},tail:{_LINES},sep:boolean>"
 
 
 def _merge(block: Column, wraps: Callable[[Column, Column, Column, Column], Column], after_separator: bool) -> Column:
     """Fold rows that continue the last kept data row into it.
 
-    The state is the rows kept so far, the last data row apart as ``prev`` with rows behind it in ``tail`` (separators),
-    since a continuation grows its cell and the next row is tested against the grown one. Rows are looked at once before the fold;
-    a block without a row of one filled cell is left as it is.
+    The state is the lines kept so far, the last data row apart as ``prev`` (its line null once it has grown) with lines behind it in
+    ``tail`` (separators), since a continuation grows its cell and the next row is tested against the grown one. Rows are looked at
+    once before the fold; a block without a row of one filled cell is left as it is.
     """
     single = lambda cells: F.size(F.filter(cells, lambda c: c != "")) == 1
+    nothing = F.array().cast(_LINES)
 
     def row(raw: Column, cells: Column) -> Column:
-        k = F.when(single(cells) & ~X.is_separator(cells), F.array_position(F.transform(cells, lambda c: c != ""), True).cast("int") - 1)
-        return F.struct(raw.alias("raw"), cells.alias("cells"), k.alias("k"), X.is_separator(cells).alias("sep"), F.lit(False).alias("dirty"))
+        sep = X.is_separator(cells)
+        k = F.when(single(cells), F.array_position(F.transform(cells, lambda c: c != ""), True).cast("int") - 1)
+        return F.struct(raw.alias("raw"), cells.alias("cells"), F.when(~sep, k).alias("k"), sep.alias("sep"))
+
+    def rendered(prev: Column) -> Column:
+        return F.when(prev.isNotNull(), F.array(F.coalesce(prev["raw"], render_row(prev["cells"])))).otherwise(nothing)
 
     def step(state: Column, r: Column) -> Column:
         prev, k = state["prev"], r["k"]
         before, cell = F.get(prev["cells"], k), F.get(r["cells"], k)
         goes_on = F.coalesce(k.isNotNull() & prev.isNotNull() & (k < F.size(prev["cells"])) & wraps(before, cell, k, prev["cells"]), F.lit(False))
-        grown = F.struct(
-            prev["raw"].alias("raw"), F.transform(prev["cells"], lambda c, i: F.when(i == k, F.concat(c, F.lit(" "), cell)).otherwise(c)).alias("cells"),
-            prev["k"].alias("k"), prev["sep"].alias("sep"), F.lit(True).alias("dirty"),
-        )
+        cells = F.transform(prev["cells"], lambda c, i: F.when(i == k, F.concat(c, F.lit(" "), cell)).otherwise(c))
+        grown = F.struct(F.lit(None).cast("string").alias("raw"), cells.alias("cells"))
         aside = (r["sep"] | ~state["sep"]) if after_separator else r["sep"]
-        kept = F.concat(state["done"], F.when(prev.isNotNull(), F.array(prev)).otherwise(F.array().cast(f"array<{_ROW}>")), state["tail"])
         name = lambda d, p, t: F.struct(d.alias("done"), p.alias("prev"), t.alias("tail"), (state["sep"] | r["sep"]).alias("sep"))
         return (
             F.when(goes_on, name(state["done"], grown, state["tail"]))
-            .when(aside, name(state["done"], prev, F.concat(state["tail"], F.array(r))))
-            .otherwise(name(kept, r, F.array().cast(f"array<{_ROW}>")))
+            .when(aside, name(state["done"], prev, F.concat(state["tail"], F.array(r["raw"]))))
+            .otherwise(name(F.concat(state["done"], rendered(prev), state["tail"]), F.struct(r["raw"].alias("raw"), r["cells"].alias("cells")), nothing))
         )
 
     def finish(state: Column) -> Column:
-        prev = F.when(state["prev"].isNotNull(), F.array(state["prev"])).otherwise(F.array().cast(f"array<{_ROW}>"))
-        rows = F.concat(state["done"], prev, state["tail"])
-        return F.transform(rows, lambda r: F.when(r["dirty"], render_row(r["cells"])).otherwise(r["raw"]))
+        return F.concat(state["done"], rendered(state["prev"]), state["tail"])
 
     def rule(cells: Column) -> Column:
-        none = F.array().cast(f"array<{_ROW}>")
-        start = F.struct(none.alias("done"), F.lit(None).cast(_ROW).alias("prev"), none.alias("tail"), F.lit(False).alias("sep")).cast(_STATE)
+        start = F.struct(nothing.alias("done"), F.lit(None).cast(_ROW).alias("prev"), nothing.alias("tail"), F.lit(False).alias("sep")).cast(_STATE)
         folded = F.aggregate(F.zip_with(block, cells, row), start, step, finish)
-        return F.when(F.exists(cells, single) & (width(cells) >= 6), folded).otherwise(block)
+        return F.when(F.exists(cells, single) & _is_wide(cells, None), folded).otherwise(block)
 
     return X.let(cells_of(block), rule)
 
@@ -221,15 +253,16 @@ _ROW_START, _SEP_START = r"^\s*+\|", r"\s*+\|[\s|]*+:?+-{3}"
 #: A row whose first cell is empty, and a separator below it.
 _MAY_PROMOTE = rf"(?dmU){_ROW_START}\s*+\|[^\n]*+\n{_SEP_START}"
 #: A row with only its first cell filled, and a separator below it.
-_MAY_LABEL = rf"(?dmU){_ROW_START}\s*+[^\s|][^\n|]*+[\s|]*+:?+-{{3}}"
+_MAY_LABEL = rf"(?dmU){_ROW_START}\s*+[^\s|][^\n|]*+{_IN_LINE}*+\n{_SEP_START}"
 #: A separator below two rows.
 _MAY_COLLAPSE = rf"(?dmU){_ROW_START}[^\n]*+\n\s*+\|[^\n]*+\n{_SEP_START}"
 _MAY_SPLIT = r"(?iU)Am\s+Traits"
 #: A row with one filled cell, or with only the first one filled.
 _MAY_WRAP = rf"(?dmU){_ROW_START}[\s|]*+[^\s|][^\n|]*+{_IN_LINE}*+$"
 _MAY_NAME = rf"(?dmU){_ROW_START}\s*+[^\s|][^\n|]*+{_IN_LINE}*+$"
-#: A cell that goes on in the next row: it ends with a comma or with the first word of a known trait.
-_MAY_GO_ON = rf"(?dmU),[\s&&[^\n]]*+(?:\||$)|{'|'.join(sorted({t.split()[0] for t in X.MULTIWORD_TRAITS}))}"
+#: A cell that goes on in the next row: it ends with a comma, or it holds the first word of a known trait.
+_MAY_END = r"(?dmU),[\s&&[^\n]]*+(?:\||$)"
+_FIRST_WORDS = sorted({t.split()[0] for t in X.MULTIWORD_TRAITS})
 
 
 def promote_header(text: Column) -> Column:
@@ -245,7 +278,8 @@ def split_fused(text: Column) -> Column:
 
 
 def merge_wrapped_rows(text: Column) -> Column:
-    return map_blocks(text, merge_wrapped_block, text.rlike(_MAY_GO_ON) & text.rlike(_MAY_WRAP))
+    goes_on = reduce(lambda c, word: c | F.contains(text, F.lit(word)), _FIRST_WORDS, F.contains(text, F.lit(",")) & text.rlike(_MAY_END))
+    return map_blocks(text, merge_wrapped_block, goes_on & text.rlike(_MAY_WRAP))
 
 
 def merge_wrapped_names(text: Column) -> Column:
@@ -257,7 +291,7 @@ def promote_label_row(text: Column) -> Column:
 
     def whole(parts: Column) -> Column:
         def one(segment: Column, i: Column) -> Column:
-            new = X.let(lines_of(segment), lambda block: X.let(cells_of(block), lambda cells: promoted(segment, i, block, cells)))
+            new = X.let(lines_of(segment), lambda block: X.let(head_of(block), lambda cells: promoted(segment, i, block, cells)))
             return F.when(is_table(segment), new).otherwise(segment)
 
         def promoted(segment: Column, i: Column, block: Column, cells: Column) -> Column:
@@ -267,7 +301,7 @@ def promote_label_row(text: Column) -> Column:
             rows = F.concat(F.slice(block, 3, 1), F.slice(block, 2, 1), F.slice(block, F.lit(4), F.size(block)))
             table = F.array_join(F.transform(rows, lambda x: F.concat(x, F.lit("\n"))), "")
             new = F.when(title != "", F.concat(gap, F.lit("**"), title, F.lit("**\n\n"), table)).otherwise(segment)
-            return F.when(is_demoted_label_row(cells), new).otherwise(segment)
+            return F.when(begins_labelled(cells, block), new).otherwise(segment)
 
         return join_segments(F.transform(parts, one))
 

@@ -5,7 +5,7 @@ Inputs are texts rendered from orders with a known fault; the SQL renders the sa
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +38,8 @@ BEFORE: dict[str, tuple[str, str]] = {
     "b02_promote_header": (f"'intro', {NL}, '||Rng|Rng|Acc|Str|D|||', {NL}, {_SEP8}, {_LABELS}", _ROW8),
     "b04_promote_label_row": (f"'intro', {NL}, '|*Selections*|||', {NL}, '|---|---|---|', {NL}, '|Available|Benefit|Cost|', {NL}", "concat('|', CAST(l_linenumber AS STRING), '-', CAST(l_linenumber + 1 AS STRING), '|', l_returnflag, '|', CAST(l_partkey AS STRING), '|', chr(10))"),
     "b05_collapse_headers": (f"'|Name|Range|Range|Acc|Acc|D||Traits|', {NL}, '|Weapon|S|L|S|L|D|AP|Traits|', {NL}, {_SEP8}", _ROW8),
+    "b06_split_fused": (f"'|Weapon|S|L|Str|D|AP|Am  Traits|', {NL}, '|---|---|---|---|---|---|:--:|--|', {NL}".replace("|:--:|--|'", "|:---:|'"), f"concat({_NAME}, {_V}, CASE CAST(l_linenumber AS INT) % 4 WHEN 0 THEN '5+ Rapid Fire' WHEN 1 THEN '- Melee' WHEN 2 THEN 'Sharp' ELSE '6+' END, '|', chr(10))"),
+    "b07_merge_wrapped_rows": (f"'|Weapon|S|L|Str|D|AP|Traits|', {NL}, '|---|---|---|---|---|---|---|', {NL}", f"concat({_NAME}, {_V}, CASE CAST(l_linenumber AS INT) % 3 WHEN 0 THEN concat('Knock,|', chr(10), '|||||||Sharp,|', chr(10), '|||||||Shock') WHEN 1 THEN concat('x, Shield|', chr(10), '|||||||Breaker, y') ELSE concat('Sharp|', chr(10), '|||||||Other') END, '|', chr(10))"),
     "b08_merge_wrapped_names": (f"'|Weapon|S|L|Str|D|AP|Traits|', {NL}, '|---|---|---|---|---|---|---|', {NL}", f"concat({_NAME}, {_V}, 'x|', chr(10), CASE CAST(l_linenumber AS INT) % 3 WHEN 0 THEN concat('|grenades||||||', chr(10), '|and more||||||', chr(10)) WHEN 1 THEN concat('|*Pistols*||||||', chr(10)) ELSE '' END)"),
 }
 
@@ -55,11 +57,11 @@ BEFORE_AFTER: dict[str, tuple[str, Callable[[Column], Column], str]] = {
         _text(f"'|Name (Weapon)|Range (S)|Range (L)|Acc (S)|Acc (L)|D|AP|Traits|', {NL}, {_SEP8}", _ROW8),
     ),
     "b06_split_fused": (
-        _text(f"'|Weapon|S|L|Str|D|AP|Am  Traits|', {NL}, '|---|---|---|---|---|---|:--:|--|', {NL}".replace("|:--:|--|'", "|:---:|'"), f"concat({_NAME}, {_V}, CASE CAST(l_linenumber AS INT) % 4 WHEN 0 THEN '5+ Rapid Fire' WHEN 1 THEN '- Melee' WHEN 2 THEN 'Sharp' ELSE '6+' END, '|', chr(10))"), tables.split_fused,
+        _text(*BEFORE["b06_split_fused"]), tables.split_fused,
         _text(f"'|Weapon|S|L|Str|D|AP|Am|Traits|', {NL}, '|---|---|---|---|---|---|:---:|:---:|', {NL}", f"concat({_NAME}, {_V}, CASE CAST(l_linenumber AS INT) % 4 WHEN 0 THEN '5+|Rapid Fire' WHEN 1 THEN '-|Melee' WHEN 2 THEN '|Sharp' ELSE '6+|' END, '|', chr(10))"),
     ),
     "b07_merge_wrapped_rows": (
-        _text(f"'|Weapon|S|L|Str|D|AP|Traits|', {NL}, '|---|---|---|---|---|---|---|', {NL}", f"concat({_NAME}, {_V}, CASE CAST(l_linenumber AS INT) % 3 WHEN 0 THEN concat('Knock,|', chr(10), '|||||||Sharp,|', chr(10), '|||||||Shock') WHEN 1 THEN concat('x, Shield|', chr(10), '|||||||Breaker, y') ELSE concat('Sharp|', chr(10), '|||||||Other') END, '|', chr(10))"), tables.merge_wrapped_rows,
+        _text(*BEFORE["b07_merge_wrapped_rows"]), tables.merge_wrapped_rows,
         _text(f"'|Weapon|S|L|Str|D|AP|Traits|', {NL}, '|---|---|---|---|---|---|---|', {NL}", f"concat({_NAME}, {_V}, CASE CAST(l_linenumber AS INT) % 3 WHEN 0 THEN 'Knock, Sharp, Shock' WHEN 1 THEN 'x, Shield Breaker, y' ELSE concat('Sharp|', chr(10), '|||||||Other') END, '|', chr(10))"),
     ),
     "b08_merge_wrapped_names": (
@@ -81,6 +83,16 @@ def _both(sql: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.run(spark, sf_dir, fx.spark_agg(sql))
 
 
+def order_texts(spark: SparkSession, sf_dir: str, keys: Sequence[str]) -> DataFrame:
+    """``(k, key, text)``: the texts that the queries ``keys`` take, those of an order out of one pass over its lines.
+
+    A union would read and shuffle the lines once for each query, and plan and compile all rules above it as often.
+    """
+    made = fx.run(spark, sf_dir, fx.texts_sql({key[:3]: (*BEFORE[key], _TAIL, "rn") for key in keys}))
+    each = F.array(*[F.struct(F.lit(key).alias("key"), c(key[:3]).alias("text")) for key in keys])
+    return made.select("k", F.explode(each).alias("t")).select("k", "t.key", "t.text")
+
+
 def rewrite_query(key: str) -> Callable[[SparkSession, str], DataFrame]:
     before, rule, _ = BEFORE_AFTER[key]
     return lambda spark, sf_dir: _both(before, spark, sf_dir).select("k", rule(c("text")).alias("text"))
@@ -264,14 +276,10 @@ UNION ALL SELECT k + 1000000000, 'index', -1, 'position ' || position || ': ' ||
 
 def d10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Drift of all structural rules in their order over demoted, fused and wrapped tables: there must be none."""
-    every = None
-    for key in ("b02_promote_header", "b05_collapse_headers", "b06_split_fused", "b07_merge_wrapped_rows", "b08_merge_wrapped_names"):
-        part = _both(BEFORE_AFTER[key][0], spark, sf_dir).withColumn("k", F.concat_ws(":", F.lit(key[:3]), "k"))
-        every = part if every is None else every.unionByName(part)
+    every = order_texts(spark, sf_dir, ("b02_promote_header", "b05_collapse_headers", "b06_split_fused", "b07_merge_wrapped_rows", "b08_merge_wrapped_names"))
     pair = tables.repair_tables(every.withColumn("before", c("text")), "text").withColumnRenamed("text", "after")
     drifted = F.size(guards.table_findings(c("before"), c("after"), order=False)).cast("long")
-    key = F.split("k", ":")
-    return pair.select(key[1].cast("long").alias("k"), key[0].alias("rule"), (c("before") != c("after")).alias("changed"), drifted.alias("drifted"))
+    return pair.select("k", F.substring("key", 1, 3).alias("rule"), (c("before") != c("after")).alias("changed"), drifted.alias("drifted"))
 
 
 D10_SQL = f"""
